@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pagewright.llm.decontam import decontaminate
 from pagewright.llm.exact import exact_groups
 
 
@@ -15,9 +16,39 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_docs(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-QUERIES = {"op7_exact_dedup": op7_exact_dedup}
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("item_ids", "spans")
+
+
+QUERIES = {
+    "op5_decontamination": op5_decontamination,
+    "op7_exact_dedup": op7_exact_dedup,
+}
 
 ORACLES = {
+    "op5_decontamination": r"""
+        WITH w AS (
+            SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+            UNION ALL
+            SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+        ), items AS (
+            SELECT DISTINCT id, least(len(ws), 13) AS k, array_to_string(ws[s : s + least(len(ws), 13) - 1], ' ') AS win
+            FROM (SELECT id, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS s FROM w WHERE kind = 'b' AND len(ws) > 0)
+        ), sizes AS (SELECT DISTINCT k FROM items), runs AS (
+            SELECT id, s, k, array_to_string(ws[s : s + k - 1], ' ') AS win
+            FROM (SELECT id, ws, k, unnest(range(1, len(ws) - k + 2)) AS s FROM w, sizes WHERE kind = 'd' AND len(ws) >= k)
+        ), hits AS (
+            SELECT r.id, r.s, r.k, i.id AS item FROM runs r JOIN items i ON r.win = i.win AND r.k = i.k
+        ), words AS (
+            SELECT id, count(DISTINCT p) AS n FROM (SELECT id, unnest(range(s, s + k)) AS p FROM (SELECT DISTINCT id, s, k FROM hits)) GROUP BY id
+        ), found AS (
+            SELECT id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT id, item::VARCHAR AS item FROM hits) GROUP BY id
+        )
+        SELECT w.id AS doc_id, len(ws)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit, coalesce(found.n, 0)::BIGINT AS n_items,
+               sha256(coalesce(found.names, '')) AS items_sha256,
+               coalesce(words.n, 0) > 0 AND 20 * coalesce(words.n, 0) >= len(ws) AS contaminated
+        FROM w LEFT JOIN words ON words.id = w.id LEFT JOIN found ON found.id = w.id WHERE kind = 'd'
+    """,
     "op7_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents)
         SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
