@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pagewright.llm.decontam import decontaminate
 from pagewright.llm.exact import exact_groups
+from pagewright.llm.secrets import scan_secrets
+from pagewright.llm.urls import filter_urls
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,9 +22,19 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("item_ids", "spans")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(_docs(spark, sf_dir))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
+    "op3_secret_scan": op3_secret_scan,
     "op5_decontamination": op5_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLES = {
