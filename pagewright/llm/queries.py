@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pagewright.llm.decontam import decontaminate
 from pagewright.llm.exact import exact_groups
+from pagewright.llm.lid import held_out, identify, train_on
 from pagewright.llm.secrets import scan_secrets
 from pagewright.llm.urls import filter_urls
 
@@ -30,7 +32,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    found = identify(docs.select("doc_id", "text"), train_on(docs))
+    return found.select("row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_secret_scan": op3_secret_scan,
     "op5_decontamination": op5_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
