@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagewright.llm.decontam import decontaminate
 from pagewright.llm.exact import exact_groups
 from pagewright.llm.lid import held_out, identify, train_on
+from pagewright.llm.packing import pack_documents
 from pagewright.llm.secrets import scan_secrets
 from pagewright.llm.urls import filter_urls
 
@@ -28,6 +29,18 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_docs(spark, sf_dir))
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """The content of a public tokenizer's file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_docs(spark, sf_dir), tokenizer_file())
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
@@ -43,6 +56,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op5_decontamination": op5_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
 }
 
