@@ -10,6 +10,7 @@ from pagewright.llm.exact import exact_groups
 from pagewright.llm.lid import held_out, identify, train_on
 from pagewright.llm.packing import pack_documents
 from pagewright.llm.secrets import scan_secrets
+from pagewright.llm.substring import remove_repeats
 from pagewright.llm.urls import filter_urls
 
 
@@ -17,6 +18,10 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_docs(spark, sf_dir)).drop("removed")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_docs(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -55,12 +60,26 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_secret_scan": op3_secret_scan,
     "op5_decontamination": op5_decontamination,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
 }
 
 ORACLES = {
+    "op6_substring_dedup": r"""
+        WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        runs AS (
+            SELECT doc_id, s, array_to_string(ws[s : s + 19], ' ') AS win
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM t WHERE len(ws) >= 20)
+        ),
+        ranked AS (SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) AS r FROM runs),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM ranked WHERE r > 1),
+        lists AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+        SELECT t.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+               sha256(coalesce(array_to_string([w[2] FOR w IN list_zip(range(1, len(ws) + 1), ws) IF ps IS NULL OR NOT list_contains(ps, w[1])], ' '), '')) AS kept_sha256
+        FROM t LEFT JOIN lists USING (doc_id)
+    """,
     "op5_decontamination": r"""
         WITH w AS (
             SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
