@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagewright.llm import scratch
 from pagewright.llm.text import ALNUM, U, texts, whole
@@ -135,23 +136,23 @@ def _probed(docs: DataFrame, items: list[tuple[str, str]], window: int, shingle:
                         c.append(v)
             out = [*zip([ids, *cols], _ARROW, strict=True)]
             arrays = [pa.array(v, t.type) for v, t in out]
-            if keep_text:
-                arrays.append(b.column("text"))
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+            yield pa.RecordBatch.from_arrays([*arrays, *(b.column(c) for c in passed)], names=[*_ARROW.names, *passed])
 
-    schema = _ARROW.append(pa.field("text", pa.string())) if keep_text else _ARROW
-    return docs.mapInArrow(probe, OUT + ", text string" * keep_text)
+    passed = ["text"] * keep_text + ["row"] * ("row" in docs.columns)
+    schema = T.StructType([*T._parse_datatype_string(OUT), *(docs.schema[c] for c in passed)])
+    return docs.mapInArrow(probe, schema)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES, carry: bool = False) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, item_ids, spans``.
 
     ``docs`` has ``doc_id`` and ``text``, ``items`` has ``item_id`` and ``text``; other columns are ignored. A null or
     empty text has no words, is never hit and holds no item; an item without words is never found. Repeated rows are
     judged each on its own. ``spans`` are the maximal hit runs of words, end exclusive. A document is contaminated
-    when at least a twentieth of its words are hit.
+    when at least a twentieth of its words are hit. With ``carry`` the result also has ``row``, a struct of the document's columns.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row)
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
     total = items.agg(F.sum(F.octet_length("text") + 64).alias("n")).first()["n"] or 0
     blocks = -(-total // block_bytes) or 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pagewright.llm.decontam import decontaminate
 from pagewright.llm.exact import exact_groups
 from pagewright.llm.lid import held_out, identify, train_on
+from pagewright.llm.ngram_join import near_duplicates
 from pagewright.llm.packing import pack_documents
 from pagewright.llm.secrets import scan_secrets
 from pagewright.llm.substring import remove_repeats
@@ -34,6 +35,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_docs(spark, sf_dir))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_docs(spark, sf_dir))
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """The content of a public tokenizer's file."""
     import public_tokenizers
@@ -62,11 +67,29 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_ngram_join": op8_ngram_join,
     "op9_packing": op9_packing,
     "op10_url_filter": op10_url_filter,
 }
 
 ORACLES = {
+    "op8_ngram_join": r"""
+        WITH RECURSIVE t AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[s : s + 4], ' ') AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS s FROM t WHERE len(ws) > 0)
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)
+        ), reach AS (
+            SELECT doc_id AS x, doc_id AS y FROM t UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+        )
+        SELECT t.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(y) AS component_id
+        FROM t LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.x = t.doc_id GROUP BY t.doc_id
+    """,
     "op6_substring_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
         runs AS (
