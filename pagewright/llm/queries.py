@@ -10,6 +10,8 @@ from pagewright.llm.exact import exact_groups
 from pagewright.llm.lid import held_out, identify, train_on
 from pagewright.llm.ngram_join import near_duplicates
 from pagewright.llm.packing import pack_documents
+from pagewright.llm.pii import mask
+from pagewright.llm.quality import classify
 from pagewright.llm.secrets import scan_secrets
 from pagewright.llm.substring import remove_repeats
 from pagewright.llm.urls import filter_urls
@@ -31,6 +33,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("item_ids", "spans")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_docs(spark, sf_dir))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mask(_docs(spark, sf_dir), key="a key for the query only").withColumn("text_sha256", F.sha2("text", 256)).drop("text")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_docs(spark, sf_dir))
 
@@ -63,7 +73,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_quality": op2_quality,
     "op3_secret_scan": op3_secret_scan,
+    "op4_pii": op4_pii,
     "op5_decontamination": op5_decontamination,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_exact_dedup": op7_exact_dedup,
