@@ -1,4 +1,657 @@
-"""Registry of the engine's queries and of their DuckDB equivalents."""
+"""Registry of the engine's queries over the driver's tables, each beside its DuckDB equivalent."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from pagewright.functions import text as T
+from pagewright.operators import catalog, chunks, elements, guard, hints, hydrate, ops, retrieval, routing, rules
+from pagewright.plans import models
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Registers a function of tables (its parameters' names) as a query, with its oracle."""
+
+    def register(f):
+        names = f.__code__.co_varnames[: f.__code__.co_argcount]
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(*[spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names])
+
+        run.__name__ = f.__name__
+        QUERIES[f.__name__] = run
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return register
+
+
+# SQL for the classes of ``functions.text``, in RE2's syntax.
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_LINE = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+_WORDS = r"[\p{L}\p{N}_][\p{L}\p{N}_./+\-]*"
+
+
+def _count(x: str, pattern: str) -> str:
+    return f"len(regexp_extract_all({x}, '{pattern}'))"
+
+
+def _lines(x: str) -> str:
+    strip = f"regexp_replace(l, '^{_SPACE}+|{_SPACE}+$', '', 'g')"
+    return f"[s FOR s IN [{strip} FOR l IN regexp_split_to_array({x}, '{_LINE}')] IF s <> '']"
+
+
+def _fold(x: str) -> str:
+    return f"translate({x}, '{T.UPPER}', '{T.LOWER}')"
+
+
+def _hash(*parts: str) -> str:
+    pieces = " || ".join(f"unhex(lpad(to_hex(octet_length(encode({p}))), 16, '0')) || encode({p})" for p in parts)
+    return f"sha256({pieces})"
+
+
+# ---------------------------------------------------------------- routing
+
+_SIGNALS = f"""
+    SELECT doc_id, text, length(regexp_replace(text, '{_SPACE}+', '', 'g')) AS character_count, {_count('text', _WORDS)} AS word_count,
+           len({_lines('text')}) AS line_count, length(text) AS size,
+           length(text) - {_count('text', r'[\p{C}\p{Z}]')} + {_count('text', '[ ]')} + {_count('text', '[\\n\\r\\t]')} AS printable,
+           {_count('text', r'[\p{L}\p{N}]')} AS alnum, {_count('text', r'[\x{fffd}]')} AS replaced,
+           coalesce(list_aggregate([length(s) FOR s IN {_lines('text')}], 'median'), 0.0) AS median_line_length
+    FROM documents
+"""
+_DECIDED = f"""
+    SELECT doc_id, list_filter([
+        CASE WHEN character_count < 80 THEN 'insufficient_native_characters' END, CASE WHEN word_count < 12 THEN 'insufficient_native_words' END,
+        CASE WHEN size > 0 AND printable / size < 0.95 THEN 'low_printable_ratio' END,
+        CASE WHEN character_count = 0 OR alnum / character_count < 0.35 THEN 'low_alphanumeric_ratio' END,
+        CASE WHEN replaced / greatest(character_count, 1) > 0.01 THEN 'corrupt_or_replacement_glyphs' END,
+        CASE WHEN tables > 0 THEN 'table_layout' END], lambda r: r IS NOT NULL) AS against
+    FROM (SELECT *, CASE WHEN len(rows) >= 3 AND tabular >= 3 AND tabular / len(rows) >= 0.2 THEN 1 ELSE 0 END AS tables FROM (
+        SELECT *, len([r FOR r IN rows IF contains(r, chr(9)) OR regexp_matches(r, '\\S\\s{{2,}}\\S\\s{{2,}}\\S')]) AS tabular FROM (
+            SELECT *, [l FOR l IN regexp_split_to_array(text, '{_LINE}') IF trim(l) <> ''] AS rows FROM ({_SIGNALS}))))
+"""
+
+
+def _routed(documents: DataFrame) -> DataFrame:
+    pages = documents.select("doc_id", F.col("text").alias("native_text")).withColumn("table_count", routing.table_count(F.col("native_text")))
+    return routing.route_pages(pages)
+
+
+@query(f"""
+    SELECT doc_id, character_count, word_count, line_count, round(CASE WHEN size > 0 THEN printable / size ELSE 1 END, 6) AS printable_ratio,
+           round(CASE WHEN character_count > 0 THEN alnum / character_count ELSE 0 END, 6) AS alphanumeric_ratio,
+           round(replaced / greatest(character_count, 1), 6) AS replacement_character_ratio, median_line_length::DOUBLE AS median_line_length
+    FROM ({_SIGNALS})
+""")
+def route_signals(documents):
+    s = _routed(documents).select("doc_id", "signals.*")
+    ratios = [F.round(c, 6).alias(c) for c in ("printable_ratio", "alphanumeric_ratio", "replacement_character_ratio")]
+    return s.select("doc_id", "character_count", "word_count", "line_count", *ratios, "median_line_length")
+
+
+@query(f"""
+    SELECT doc_id, CASE WHEN len(against) > 0 THEN 'document_vlm' ELSE 'native_text' END AS route, len(against) > 0 AS requires_ocr,
+           CASE WHEN len(against) > 0 THEN array_to_string(against, '|') || '|ocr_identifier_verification' ELSE 'native_text_quality_passed' END AS reasons
+    FROM ({_DECIDED})
+""")
+def route_decision(documents):
+    return _routed(documents).select("doc_id", "routing.route", "routing.requires_ocr", F.array_join("routing.reasons", "|").alias("reasons"))
+
+
+@query(f"""
+    SELECT CASE WHEN len(against) > 0 THEN 'document_vlm' ELSE 'native_text' END AS route, count(*) AS pages,
+           count(*) FILTER (WHERE len(against) > 0) AS ocr_pages
+    FROM ({_DECIDED}) GROUP BY 1
+""")
+def route_histogram(documents):
+    return routing.route_histogram(_routed(documents))
+
+
+@query(f"""
+    SELECT reason, count(*) AS n FROM (
+        SELECT unnest(CASE WHEN len(against) > 0 THEN list_append(against, 'ocr_identifier_verification') ELSE ['native_text_quality_passed'] END) AS reason FROM ({_DECIDED}))
+    GROUP BY reason
+""")
+def route_reason_counts(documents):
+    return _routed(documents).select(F.explode("routing.reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(r"""
+    SELECT doc_id, len([t FOR t IN regexp_extract_all(regexp_replace(text, '([^\p{L}\p{N}_./\-])', '\1\1', 'g'),
+               '(?:^|[^\p{L}\p{N}_])([A-Za-z0-9]+(?:[._/\-][A-Za-z0-9]+)+)(?:[^\p{L}\p{N}_]|$)', 1)
+           IF length(t) >= 4 AND regexp_matches(t, '[A-Za-z]') AND regexp_matches(t, '[0-9]')]) AS identifiers
+    FROM documents
+""")
+def identifier_counts(documents):
+    return documents.select("doc_id", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(T.IDENTIFIERS)).cast("long").alias("identifiers"))
+
+
+# ---------------------------------------------------------------- elements and chunks
+
+_ELEMENT = "'el_' || left(" + _hash("to_json(doc_id::VARCHAR)::VARCHAR", "'1'", "seq::VARCHAR", "'\"text\"'", "to_json(line)::VARCHAR", "'\"native_text\"'", "'null'", "'null'") + ", 32)"
+_ELEMENTS = f"""
+    SELECT *, {_ELEMENT} AS element_id FROM (
+        SELECT doc_id, unnest(range(len(ls))) AS seq, unnest(ls) AS line FROM (SELECT doc_id, {_lines('text')} AS ls FROM documents))
+"""
+
+
+@query(f"SELECT doc_id::VARCHAR AS document_id, seq::INT AS sequence_number, element_id, length(line)::BIGINT AS characters, sha256(line) AS text_sha256 FROM ({_ELEMENTS})")
+def line_elements(documents):
+    found = elements.line_elements(documents)
+    return found.select("document_id", "sequence_number", "element_id", F.length("text").cast("long").alias("characters"), F.sha2("text", 256).alias("text_sha256"))
+
+
+_PATH = "'pages.1.elements.' || seq || '.text'"
+
+
+@query(
+    "SELECT 'kb_' || left("
+    + _hash("'1.1'", "'page_evidence'", "doc_id::VARCHAR", "'1'", "seq::VARCHAR", "line", "element_id", _PATH, "''")
+    + f", 32) AS chunk_id, doc_id::VARCHAR AS source_document_id, seq::INT AS ordinal, {_PATH} AS field_path, element_id FROM ({_ELEMENTS})"
+)
+def page_evidence_chunks(documents):
+    c = chunks.page_chunks(elements.line_elements(documents))
+    return c.select("chunk_id", "source_document_id", "ordinal", F.col("citations")[0]["field_paths"][0].alias("field_path"), F.col("citations")[0]["element_id"].alias("element_id"))
+
+
+_PRODUCTS = """
+    SELECT 'p' || p_partkey AS record_id, CASE WHEN p_size % 7 <> 0 THEN p_brand END AS manufacturer, p_name AS part_name,
+           CASE WHEN p_size % 5 <> 0 THEN p_brand || '-' || p_partkey END AS part_number, CASE WHEN p_size % 3 <> 0 THEN p_size::VARCHAR END AS size,
+           CASE WHEN p_size % 2 = 0 THEN p_type END AS type, CASE WHEN p_size % 4 = 0 THEN 0.5 WHEN p_size % 4 = 1 THEN NULL ELSE 0.9 END AS conf, p_partkey, p_size, p_type FROM part
+"""
+
+
+def products_of(part: DataFrame) -> DataFrame:
+    """Product records that stand on the rows of ``part``, with gaps: every product cites the element of its part."""
+    element = F.struct(
+        F.lit("part").alias("source_document_id"), F.lit(None).cast("string").alias("source_path"), F.greatest(F.col("p_size"), F.lit(1)).cast("int").alias("page_number"),
+        F.concat(F.lit("el_"), F.col("p_partkey")).alias("element_id"), F.col("p_name").alias("text"), F.lit(None).cast("double").alias("confidence"),
+    )
+    rate = F.when(F.col("p_size") % 4 == 0, 0.5).when(F.col("p_size") % 4 == 1, None).otherwise(0.9)
+    value = lambda raw: F.when(raw.isNotNull(), F.struct(raw.alias("raw"), F.lit(None).cast("string").alias("normalized"), rate.alias("confidence"), F.lit(None).cast("string").alias("normalization_method"), F.array(element).alias("evidence"))).cast(chunks.VALUE)
+    none = F.lit(None).cast(chunks.VALUE)
+    spec = lambda name, raw, unit: F.when(raw.isNotNull(), F.struct(value(F.lit(name)).alias("name"), value(raw).alias("value"), (value(F.lit(unit)) if unit else none).alias("unit"), none.alias("category"), none.alias("qualifier")))
+    specs = F.array_compact(F.array(spec("size", F.when(F.col("p_size") % 3 != 0, F.col("p_size").cast("string")), "millimeters"), spec("type", F.when(F.col("p_size") % 2 == 0, F.col("p_type")), None), spec("size", F.when(F.col("p_size") % 10 == 1, F.col("p_partkey").cast("string")), "millimeters")))
+    return part.select(
+        F.concat(F.lit("p"), F.col("p_partkey")).alias("record_id"), F.lit("part").alias("source_document_id"), F.lit(None).cast("string").alias("source_path"),
+        value(F.when(F.col("p_size") % 7 != 0, F.col("p_brand"))).alias("manufacturer"), value(F.col("p_name")).alias("part_name"),
+        value(F.when(F.col("p_size") % 5 != 0, F.concat_ws("-", "p_brand", F.col("p_partkey").cast("string")))).alias("part_number"), none.alias("category"), none.alias("description"),
+        specs.cast(f"array<{chunks.SPEC}>").alias("specifications"), F.array().cast(f"array<{chunks.SPEC}>").alias("operating_conditions"),
+    )
+
+
+@query(f"""
+    WITH p AS ({_PRODUCTS})
+    SELECT record_id, 'identity' AS chunk_type, 0 AS ordinal, concat_ws(chr(10), 'Industrial catalog product', 'Manufacturer: ' || manufacturer, 'Part name: ' || part_name, 'Part number: ' || part_number) AS text FROM p
+    UNION ALL
+    SELECT record_id, 'specification', unnest(range(len(ls)))::INT, 'Product: ' || concat_ws(' | ', manufacturer, part_name, part_number) || chr(10) || 'Specification: ' || unnest(ls)
+    FROM (SELECT *, list_filter(['size = ' || size || ' millimeters', 'type = ' || type, CASE WHEN p_size % 10 = 1 THEN 'size = ' || p_partkey || ' millimeters' END], lambda x: x IS NOT NULL) AS ls FROM p)
+""")
+def product_chunks(part):
+    c = chunks.product_chunks(products_of(part))
+    return c.select(F.col("product_record_id").alias("record_id"), "chunk_type", "ordinal", "text")
+
+
+@query("""
+    SELECT l_orderkey AS order_key, l_suppkey AS element, l_returnflag AS excerpt, string_agg(DISTINCT l_linestatus || l_linenumber, ',' ORDER BY l_linestatus || l_linenumber) AS field_paths,
+           arg_min(l_discount, l_linenumber * 1e9 + l_partkey) AS confidence
+    FROM lineitem GROUP BY ALL
+""")
+def citation_merge(lineitem):
+    cited = lineitem.select(
+        F.col("l_orderkey").alias("order_key"), (F.col("l_linenumber") * 1e9 + F.col("l_partkey")).alias("pos"), F.concat("l_linestatus", "l_linenumber").alias("field_path"), F.lit("d").alias("source_document_id"),
+        F.lit(None).cast("string").alias("source_path"), F.lit(1).alias("page_number"), F.col("l_suppkey").alias("element_id"), F.col("l_returnflag").alias("text"), F.col("l_discount").alias("confidence"),
+    )
+    merged = chunks.merge_citations(cited, ("order_key",))
+    return merged.select("order_key", F.col("element_id").alias("element"), F.col("text").alias("excerpt"), F.array_join("field_paths", ",").alias("field_paths"), "confidence")
+
+
+@query("""
+    WITH w AS (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20)
+    SELECT w.o_orderkey AS chunk_id, string_agg(l_linenumber || ':' || l_partkey, ',' ORDER BY l_linenumber, l_partkey) AS citations
+    FROM w LEFT JOIN lineitem ON l_orderkey = w.o_orderkey GROUP BY 1
+""")
+def chunk_with_citations(orders, lineitem):
+    top = orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20).select(F.col("o_orderkey").alias("chunk_id"))
+    cites = lineitem.select(F.col("l_orderkey").alias("chunk_id"), F.col("l_linenumber").alias("ordinal"), "l_partkey")
+    found = retrieval.with_citations(top, cites)
+    return found.select("chunk_id", F.array_join(F.transform("citations", lambda c: F.concat_ws(":", c["ordinal"].cast("string"), c["l_partkey"].cast("string"))), ",").alias("citations"))
+
+
+# ---------------------------------------------------------------- functions
+
+_ROWS = "[r FOR r IN [[trim(regexp_replace(regexp_replace(c, '<[^>]+>', ' ', 'g'), '\\s+', ' ', 'g')) FOR c IN regexp_extract_all(u, '(?is)<li\\b[^>]*>(.*?)</li>', 1)] FOR u IN regexp_extract_all(html, '(?is)<ul\\b[^>]*>(.*?)</ul>', 1)] IF len(r) >= 2]"
+
+
+@query(f"SELECT page_id, unnest(range(len(rs)))::INT AS row_number, array_to_string(unnest(rs), '|') AS cells FROM (SELECT page_id, {_ROWS} AS rs FROM pages)")
+def html_table_rows(pages):
+    return pages.select("page_id", F.posexplode(T.html_rows("html", "ul", "li")).alias("row_number", "r")).select("page_id", "row_number", F.array_join("r", "|").alias("cells"))
+
+
+@query(f"SELECT page_id, len(rs)::BIGINT AS n_rows, coalesce(list_sum([len(r) FOR r IN rs]), 0)::BIGINT AS n_cells, coalesce(list_max([len(r) FOR r IN rs]), 0)::BIGINT AS widest FROM (SELECT page_id, {_ROWS} AS rs FROM pages)")
+def html_cell_stats(pages):
+    sizes = F.transform(T.html_rows("html", "ul", "li"), lambda r: F.size(r).cast("long"))
+    return pages.select("page_id", F.size(sizes).cast("long").alias("n_rows"), F.aggregate(sizes, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_cells"), F.coalesce(F.array_max(sizes), F.lit(0).cast("long")).alias("widest"))
+
+
+@query(f"""
+    SELECT doc_id, len(rs)::BIGINT AS n_rows, sha256(array_to_string([array_to_string(r, '|') FOR r IN rs], chr(10))) AS rows_sha256 FROM (
+        SELECT doc_id, [r FOR r IN [[trim(regexp_replace(c, '{_SPACE}+', ' ', 'g')) FOR c IN string_split(regexp_replace(s, '^\\|+|\\|+$', '', 'g'), '|')] FOR s IN {_lines('text')} IF contains(s, '|')] IF len(r) >= 2] AS rs FROM documents)
+""")
+def bar_table_rows(documents):
+    rows = T.bar_rows("text")
+    return documents.select("doc_id", F.size(rows).cast("long").alias("n_rows"), F.sha2(F.array_join(F.transform(rows, lambda r: F.array_join(r, "|")), "\n"), 256).alias("rows_sha256"))
+
+
+@query("SELECT p_partkey, upper(trim(regexp_replace(replace('  ' || p_brand || ' –' || p_name || '−' || p_partkey, '–', '-').replace('−', '-'), '\\s+', ' ', 'g'))) AS part_number FROM part")
+def normalize_part_number(part):
+    raw = F.concat(F.lit("  "), "p_brand", F.lit(" –"), "p_name", F.lit("−"), F.col("p_partkey").cast("string"))
+    return part.select("p_partkey", T.part_number(raw).alias("part_number"))
+
+
+@query("""
+    SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'mm' WHEN 1 THEN '°C' WHEN 2 THEN 'kW' WHEN 3 THEN 'psi' WHEN 4 THEN 'µm' ELSE 'furlong' END AS unit FROM part
+""")
+def normalize_unit(part):
+    k = F.col("p_size") % 6
+    raw = F.when(k == 0, " Milli" "Meters ").when(k == 1, "Degrees  C").when(k == 2, "kilowatt").when(k == 3, "pounds per\tsquare inch").when(k == 4, "μm").otherwise("furlong")
+    return part.select("p_partkey", T.unit(raw).alias("unit"))
+
+
+@query(f"SELECT doc_id, sha256(trim(regexp_replace(text, '{_SPACE}+', ' ', 'g'))) AS text_sha256 FROM documents")
+def normalize_whitespace(documents):
+    return documents.select("doc_id", F.sha2(T.collapse("text"), 256).alias("text_sha256"))
+
+
+@query("SELECT event_id, (props->>'$.k')::DOUBLE AS k, '{\"event\":' || event_id || ',\"k\":' || (props->>'$.k') || ',\"type\":\"' || event_type || '\"}' AS canonical FROM events")
+def props_json(events):
+    k = F.get_json_object("props", "$.k")
+    canonical = F.to_json(F.struct(F.col("event_id").alias("event"), k.cast("long").alias("k"), F.col("event_type").alias("type")), {"ignoreNullFields": "false"})
+    return events.select("event_id", T.finite(k).alias("k"), canonical.alias("canonical"))
+
+
+@query(r"""
+    SELECT page_id, regexp_matches(html, '(^|[^A-Za-z0-9._/\-])' || regexp_replace(word, '([.\-])', '\\\1', 'g') || '([^A-Za-z0-9._/\-]|$)') AS found
+    FROM (SELECT *, regexp_extract(html, '<title>\s*([A-Za-z]+)', 1) AS word FROM pages) WHERE word <> ''
+""")
+def contains_exact(pages):
+    word = F.regexp_extract("html", r"<title>\s*([A-Za-z]+)", 1)
+    return pages.withColumn("word", word).where("word <> ''").select("page_id", T.contains_identifier("html", "word").alias("found"))
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey,
+           round_even((l_discount * 2 + CASE WHEN l_tax > 0 THEN l_tax * 3 ELSE 0 END) / (2 + CASE WHEN l_tax > 0 THEN 3 ELSE 0 END), 6) AS confidence FROM lineitem
+""")
+def weighted_confidence(lineitem):
+    pair = lambda c, w: F.struct(c.alias("c"), F.lit(w).alias("w"))
+    known = F.filter(F.array(pair(F.col("l_discount"), 2.0), pair(F.when(F.col("l_tax") > 0, F.col("l_tax")), 3.0)), lambda x: x["c"].isNotNull())
+    total = lambda f: F.aggregate(known, F.lit(0.0), lambda a, x: a + f(x))
+    return lineitem.select("l_orderkey", "l_linenumber", "l_partkey", F.bround(total(lambda x: x["c"] * x["w"]) / total(lambda x: x["w"]), 6).alias("confidence"))
+
+
+# ---------------------------------------------------------------- lookups and retrieval
+
+
+@query(f"""
+    SELECT p_partkey, p_name, p_brand FROM part WHERE {_fold('p_type')} = 'economy' AND contains({_fold('p_name')}, 'ring')
+    ORDER BY {_fold('p_name')} NULLS FIRST, {_fold('p_brand')} NULLS FIRST, p_partkey LIMIT 50 OFFSET 5
+""")
+def find_products(part):
+    found = catalog.find_products(part, limit=50, offset=5, order=["p_name", "p_brand", "p_partkey"], contains={"p_name": "RING"}, p_type="Economy")
+    return found.select("p_partkey", "p_name", "p_brand")
+
+
+@query(f"SELECT p_partkey, p_name, p_brand FROM part WHERE {_fold('p_brand')} = 'brand#7' OR {_fold('p_name')} = 'brand#7' ORDER BY p_retailprice DESC, p_partkey")
+def find_by_part_number(part):
+    return catalog.find_by_part_number(part, "BRAND#7", ("p_brand", "p_name"), [F.desc("p_retailprice"), "p_partkey"]).select("p_partkey", "p_name", "p_brand")
+
+
+@query("SELECT p_partkey, p_name FROM part ORDER BY p_partkey")
+def iter_products(part):
+    return part.orderBy("p_partkey").select("p_partkey", "p_name")
+
+
+@query("SELECT p_partkey, p_name FROM part WHERE p_partkey = 17")
+def get_product(part):
+    return part.where(F.col("p_partkey") == 17).select("p_partkey", "p_name")
+
+
+@query(f"SELECT doc_id, sha256(text) AS text_sha256 FROM documents WHERE contains({_fold('text')}, 'the ed') ORDER BY doc_id LIMIT 100")
+def search_text_documents(documents):
+    return retrieval.search_text(documents, "The ED", 100, order=["doc_id"]).select("doc_id", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query(f"SELECT conv_id, turn, role FROM conversations WHERE role = 'user' AND contains({_fold('text')}, 'an') ORDER BY conv_id, turn LIMIT 200")
+def search_text_conversations(conversations):
+    users = conversations.where(F.col("role") == "user")
+    return retrieval.search_text(users, "AN", 200, order=["conv_id", "turn"]).select("conv_id", "turn", "role")
+
+
+_QUERY = [round(((7 * i) % 11 - 5) / 10, 1) or 0.1 for i in range(64)]
+_COSINE = (
+    f"list_dot_product([x::DOUBLE FOR x IN embedding], {_QUERY}::DOUBLE[]) / (sqrt(list_dot_product([x::DOUBLE FOR x IN embedding], [x::DOUBLE FOR x IN embedding])) * {sum(x * x for x in _QUERY) ** 0.5!r})"
+)
+
+
+@query(f"SELECT vec_id, label, round({_COSINE}, 6) AS score FROM embeddings ORDER BY {_COSINE} DESC, vec_id LIMIT 25")
+def cosine_topk(embeddings):
+    return retrieval.similar(embeddings, _QUERY, 25, "vec_id").select("vec_id", "label", F.round("score", 6).alias("score"))
+
+
+@query(f"""
+    SELECT vec_id, label, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS r FROM (SELECT vec_id, label, {_COSINE} AS score FROM embeddings)) WHERE r <= 3
+""")
+def cosine_topk_by_label(embeddings):
+    best = Window.partitionBy("label").orderBy(F.desc("score"), "vec_id")
+    return retrieval.scored(embeddings, _QUERY).withColumn("r", F.row_number().over(best)).where("r <= 3").select("vec_id", "label", F.round("score", 6).alias("score"))
+
+
+@query("SELECT vec_id, round(sqrt(list_dot_product([x::DOUBLE FOR x IN embedding], [x::DOUBLE FOR x IN embedding])), 6) AS norm FROM embeddings")
+def vector_norms(embeddings):
+    return embeddings.select("vec_id", F.round(retrieval.norm(F.col("embedding")), 6).alias("norm"))
+
+
+# ---------------------------------------------------------------- operations
+
+
+@query("SELECT sha256(text) AS sha256, count(*) AS copies, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS paths FROM documents GROUP BY 1 HAVING count(*) > 1")
+def duplicate_content_groups(documents):
+    return ops.duplicate_groups(documents, "text", "doc_id").select("sha256", "copies", F.array_join("paths", ",").alias("paths"))
+
+
+@query("""
+    SELECT sum(n)::BIGINT AS file_count, count(*) AS unique_count, sum(n - 1)::BIGINT AS duplicate_file_count, count(*) FILTER (WHERE n > 1) AS duplicate_groups, sum(b)::BIGINT AS total_bytes
+    FROM (SELECT sha256(text) AS s, count(*) AS n, sum(n_chars) AS b FROM documents GROUP BY 1)
+""")
+def inventory_metrics(documents):
+    return ops.inventory_metrics(documents, "text", "n_chars")
+
+
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def checkpoint_latest(events):
+    return ops.checkpoint_latest(events, "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
+
+
+@query("SELECT event_type AS status, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1 GROUP BY 1")
+def checkpoint_counts(events):
+    return ops.counts(ops.checkpoint_latest(events, "user_id", ["ts", "event_id"]), "event_type")
+
+
+@query("""
+    SELECT CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'running' WHEN 'purchase' THEN 'succeeded' WHEN 'error' THEN 'failed' ELSE 'unknown' END AS state,
+           count(*) AS n, round(avg(value), 6) AS mean_value, max(value) AS max_value FROM events GROUP BY 1
+""")
+def job_states(events):
+    raw = F.when(F.col("event_type") == "signup", "Queued").when(F.col("event_type") == "view", " in_progress").when(F.col("event_type") == "purchase", "COMPLETED").otherwise(F.col("event_type"))
+    found = ops.job_states(events.withColumn("raw", raw), "raw")
+    return found.groupBy("state").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean_value"), F.max("value").alias("max_value"))
+
+
+@query("""
+    SELECT count(*) AS documents, count(*) FILTER (WHERE o_orderstatus = 'F') AS documents_succeeded, count(*) FILTER (WHERE o_orderstatus = 'P') AS documents_review,
+           count(*) FILTER (WHERE o_orderstatus = 'O') AS documents_failed, round(sum(o_totalprice), 2) AS total_price, sum(o_custkey)::BIGINT AS customers FROM orders
+""")
+def run_summary(orders):
+    status = F.when(F.col("o_orderstatus") == "F", "succeeded").when(F.col("o_orderstatus") == "P", "review").otherwise("failed")
+    return ops.run_summary(orders.withColumn("status", status), "status", {"total_price": "o_totalprice", "customers": "o_custkey"}).withColumn("total_price", F.round("total_price", 2))
+
+
+@query("""
+    SELECT doc_id, source, wanted, greatest(0, least(wanted, 60 - spent))::BIGINT AS taken FROM (
+        SELECT *, coalesce(sum(wanted) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent
+        FROM (SELECT doc_id, source, least(n_chars // 1000 + 1, 5)::BIGINT AS wanted FROM documents))
+""")
+def page_budget(documents):
+    docs = documents.withColumn("pages", F.floor(F.col("n_chars") / 1000) + 1)
+    return ops.page_budget(docs, "pages", "doc_id", 60, 5, ["source"]).select("doc_id", "source", F.col("wanted").cast("long").alias("wanted"), "taken")
+
+
+@query("SELECT conv_id, turn, ((row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 + 1)::BIGINT AS chunk FROM conversations")
+def parse_chunks(conversations):
+    return ops.page_chunks(conversations, 3, ["conv_id"], ["turn"]).select("conv_id", "turn", F.col("chunk").cast("long").alias("chunk"))
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey, previous FROM (
+        SELECT *, lag(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS previous FROM lineitem) WHERE l_partkey <= previous
+""")
+def sequence_gaps(lineitem):
+    return ops.sequence_gaps(lineitem, ["l_orderkey"], "l_partkey", ["l_linenumber", "l_partkey", "l_suppkey"]).select("l_orderkey", "l_linenumber", "l_partkey", "previous")
+
+
+# ---------------------------------------------------------------- order-sensitive rules
+
+
+@query(f"SELECT p_name, p_partkey, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY {_fold('p_name')} ORDER BY p_size, p_partkey) AS r FROM part) WHERE r = 1")
+def first_wins_dedupe(part):
+    first = Window.partitionBy(T.fold("p_name")).orderBy("p_size", "p_partkey")
+    return part.withColumn("r", F.row_number().over(first)).where("r = 1").select("p_name", "p_partkey", "p_brand")
+
+
+@query("SELECT p_partkey, CASE WHEN r = 1 THEN p_name ELSE p_name || ' (' || r || ')' END AS label FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, p_name ORDER BY p_partkey) AS r FROM part)")
+def name_occurrence(part):
+    n = F.row_number().over(Window.partitionBy("p_brand", "p_name").orderBy("p_partkey"))
+    return part.withColumn("n", n).select("p_partkey", F.when(F.col("n") == 1, F.col("p_name")).otherwise(F.format_string("%s (%d)", "p_name", "n")).alias("label"))
+
+
+@query("""
+    SELECT p_partkey, CASE WHEN p_size = f THEN 'duplicate_specification' ELSE 'conflicting_specification' END AS code FROM (
+        SELECT *, first_value(p_size) OVER w AS f, row_number() OVER w AS r FROM part WINDOW w AS (PARTITION BY p_brand, p_type ORDER BY p_partkey)) WHERE r > 1
+""")
+def spec_conflicts(part):
+    w = Window.partitionBy("p_brand", "p_type").orderBy("p_partkey")
+    seen = part.withColumns({"f": F.first("p_size").over(w), "r": F.row_number().over(w)}).where("r > 1")
+    return seen.select("p_partkey", F.when(F.col("p_size") == F.col("f"), "duplicate_specification").otherwise("conflicting_specification").alias("code"))
+
+
+@query(f"""
+    WITH p AS ({_PRODUCTS}), i AS (
+        SELECT record_id, 'missing_manufacturer' AS code, 'manufacturer' AS path FROM p WHERE manufacturer IS NULL
+        UNION ALL SELECT record_id, 'missing_part_number', 'part_number' FROM p WHERE part_number IS NULL
+        UNION ALL SELECT record_id, 'missing_specifications', 'specifications' FROM p WHERE size IS NULL AND type IS NULL AND p_size % 10 <> 1
+        UNION ALL SELECT record_id, 'low_confidence', c.path FROM p, (VALUES ('manufacturer'), ('part_name'), ('part_number')) c(path)
+            WHERE conf = 0.5 AND CASE c.path WHEN 'manufacturer' THEN manufacturer WHEN 'part_number' THEN part_number ELSE part_name END IS NOT NULL
+        UNION ALL SELECT record_id, 'low_confidence', 'specifications.' || (unnest(range(len(fs)))) || '.' || f FROM (
+            SELECT record_id, list_filter([CASE WHEN size IS NOT NULL THEN 3 END, CASE WHEN type IS NOT NULL THEN 2 END, CASE WHEN p_size % 10 = 1 THEN 3 END], lambda x: x IS NOT NULL) AS fs FROM p WHERE conf = 0.5) s, (VALUES ('name'), ('value')) v(f)
+        UNION ALL SELECT record_id, 'low_confidence', 'specifications.' || k || '.unit' FROM (
+            SELECT record_id, unnest([CASE WHEN size IS NOT NULL THEN 0 END, CASE WHEN p_size % 10 = 1 THEN (size IS NOT NULL)::INT + (type IS NOT NULL)::INT END]) AS k FROM p WHERE conf = 0.5) WHERE k IS NOT NULL
+        UNION ALL SELECT record_id, CASE WHEN size = p_partkey::VARCHAR THEN 'duplicate_specification' ELSE 'conflicting_specification' END, 'specifications.' || (1 + (type IS NOT NULL)::INT)
+            FROM p WHERE p_size % 10 = 1 AND size IS NOT NULL
+    ) SELECT record_id, code, path FROM i
+""")
+def validation_issues(part):
+    return rules.validate(products_of(part)).select("record_id", F.explode("issues").alias("i")).select("record_id", "i.code", "i.path")
+
+
+@query(f"""
+    WITH p AS ({_PRODUCTS}) SELECT 'missing_manufacturer' AS code, 'warning' AS severity, count(*) AS n FROM p WHERE manufacturer IS NULL HAVING count(*) > 0
+    UNION ALL SELECT 'missing_part_number', 'warning', count(*) FROM p WHERE part_number IS NULL HAVING count(*) > 0
+""")
+def issue_counts(part):
+    found = rules.validate(products_of(part)).select(F.explode("issues").alias("i"))
+    return found.where(F.col("i.code").isin("missing_manufacturer", "missing_part_number")).groupBy("i.code", "i.severity").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+    SELECT record_id, CASE WHEN conf IS NOT NULL THEN round_even(conf, 6) END AS record_confidence, upper(part_number) AS part_number, CASE WHEN size <> p_partkey::VARCHAR THEN 'mm' END AS unit FROM ({_PRODUCTS})
+""")
+def normalize_products(part):
+    done = rules.normalize(products_of(part), ascii_only=True)
+    unit = F.filter("specifications", lambda s: (s["name"]["normalized"] == "size") & (F.coalesce(s["value"]["raw"], F.lit("")) != F.substring("record_id", 2, 99)))
+    first = F.when(F.size(unit) > 0, F.try_element_at(unit, F.lit(1))["unit"]["normalized"])
+    return done.select("record_id", "record_confidence", F.col("part_number.normalized").alias("part_number"), first.alias("unit"))
+
+
+# ---------------------------------------------------------------- joins, tables and DML
+
+
+@query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
+def semi_candidates(customer, orders):
+    return customer.join(orders.where(F.col("o_orderstatus") == "F"), customer["c_custkey"] == orders["o_custkey"], "left_semi").select("c_custkey")
+
+
+@query("SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
+def anti_missing(documents, labels):
+    return documents.join(labels, "doc_id", "left_anti").select("doc_id")
+
+
+@query("SELECT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
+def anti_unexpected(orders, customer):
+    return orders.join(customer.where("c_acctbal > 0"), orders["o_custkey"] == customer["c_custkey"], "left_anti").select("o_custkey")
+
+
+_REFS = """
+    SELECT l_orderkey * 10 + l_linenumber AS ref_id, CASE WHEN l_partkey % 2 = 0 THEN 'el_' || l_partkey WHEN l_partkey % 5 = 1 THEN 'el_x' END AS element_id,
+           CASE WHEN l_partkey % 3 = 0 THEN 'other' ELSE 'part' END AS document_id, p_size AS page_number, p_name AS text, l_partkey FROM lineitem JOIN part ON p_partkey = l_partkey
+"""
+
+
+@query(f"""
+    WITH e AS (SELECT 'el_' || p_partkey AS id, p_size AS page, p_name AS text FROM part), t AS (SELECT page, text, count(*) AS n, min(id) AS id FROM e GROUP BY ALL HAVING count(*) = 1)
+    SELECT ref_id, l_partkey, CASE WHEN e.id IS NOT NULL AND r.document_id <> 'part' THEN NULL ELSE coalesce(e.id, t.id) END AS resolved_id,
+           CASE WHEN e.id IS NOT NULL AND r.document_id <> 'part' THEN 'cross_document' WHEN e.id IS NOT NULL THEN 'by_id' WHEN t.id IS NOT NULL THEN 'by_text' ELSE 'unknown' END AS resolution
+    FROM ({_REFS}) r LEFT JOIN e ON e.id = r.element_id LEFT JOIN t ON e.id IS NULL AND r.document_id = 'part' AND t.page = r.page_number AND t.text = r.text
+""")
+def hydrate_by_key_with_fallback(lineitem, part):
+    k = F.col("l_partkey")
+    element = F.when(k % 2 == 0, F.concat(F.lit("el_"), k)).when(k % 5 == 1, "el_x")
+    refs = lineitem.join(part, k == F.col("p_partkey")).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ref_id"), "l_partkey", element.alias("element_id"), F.when(k % 3 == 0, "other").otherwise("part").alias("document_id"), F.col("p_size").alias("page_number"), F.col("p_name").alias("text"))
+    known = part.select(F.concat(F.lit("el_"), F.col("p_partkey")).alias("element_id"), F.lit("part").alias("document_id"), F.col("p_size").alias("page_number"), F.col("p_name").alias("text"))
+    return hydrate.resolve(refs, known).select("ref_id", "l_partkey", "resolved_id", "resolution")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')")
+def fk_violations(orders, customer):
+    return catalog.violations(orders, customer.where(F.col("c_mktsegment") != "BUILDING"), {"o_custkey": "c_custkey"}).select("o_orderkey")
+
+
+@query("""
+    WITH o AS (SELECT * FROM customer WHERE c_custkey % 3 <> 0), n AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS c_name, c_nationkey + 1 AS c_nationkey FROM customer WHERE c_custkey % 3 <> 1)
+    SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, coalesce(n.c_name, o.c_name) AS c_name, coalesce(n.c_nationkey, o.c_nationkey) AS c_nationkey, o.c_mktsegment FROM o FULL JOIN n ON o.c_custkey = n.c_custkey
+""")
+def upsert_parent_coalesce(customer):
+    old = customer.where("c_custkey % 3 <> 0").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    new = customer.where("c_custkey % 3 <> 1").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.col("c_name")).alias("c_name"), (F.col("c_nationkey") + 1).alias("c_nationkey"))
+    return catalog.merge_parents(old, new, ["c_custkey"])
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P') UNION ALL SELECT o_orderkey, o_custkey, 'N' FROM orders WHERE o_orderstatus = 'P'")
+def replace_scope(orders):
+    old = orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    return catalog.replace_scope(old, old.where("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("N")), ["o_custkey"])
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1")
+def upsert_latest(orders):
+    return catalog.latest(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_orderstatus")
+
+
+@query("SELECT count(*) AS deleted FROM orders WHERE o_orderstatus = 'P'")
+def delete_scope(orders):
+    return catalog.delete_scope(orders, {"o_orderstatus": "P"})[1]
+
+
+@query(f"""
+    WITH p AS ({_PRODUCTS}) SELECT record_id, ls[k].n AS name, ls[k].v AS value, (k - 1)::INT AS ordinal FROM (
+        SELECT record_id, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT record_id, list_filter([CASE WHEN size IS NOT NULL THEN {{'n': 'size', 'v': size}} END, CASE WHEN type IS NOT NULL THEN {{'n': 'type', 'v': type}} END,
+        CASE WHEN p_size % 10 = 1 THEN {{'n': 'size', 'v': p_partkey::VARCHAR}} END], lambda x: x IS NOT NULL) AS ls FROM p))
+""")
+def specification_projection(part):
+    s = catalog.specifications(products_of(part))
+    return s.select("record_id", F.col("name_raw").alias("name"), F.col("value_raw").alias("value"), "ordinal")
+
+
+@query(f"""
+    WITH p AS ({_PRODUCTS}) SELECT record_id, f.path AS field_path, 0 AS ordinal, 'el_' || p_partkey AS element_id FROM p, (VALUES ('manufacturer'), ('part_name'), ('part_number')) f(path)
+    WHERE CASE f.path WHEN 'manufacturer' THEN manufacturer WHEN 'part_number' THEN part_number ELSE part_name END IS NOT NULL
+""")
+def evidence_projection(part):
+    e = catalog.evidence(products_of(part)).where(~F.col("field_path").startswith("specifications"))
+    return e.select(F.col("product_record_id").alias("record_id"), "field_path", "ordinal", "element_id")
+
+
+@query("""
+    WITH p AS (SELECT 'b' || (l_suppkey % 50) AS batch_id, l_quantity > 5 AS ok FROM lineitem UNION ALL SELECT 'b' || s_suppkey, NULL FROM supplier WHERE s_suppkey >= 50 AND s_suppkey < 60)
+    SELECT batch_id, count(*) FILTER (WHERE ok) AS accepted_count, count(*) FILTER (WHERE NOT ok) AS rejected_count,
+           CASE WHEN count(*) FILTER (WHERE ok) > 0 AND count(*) FILTER (WHERE NOT ok) > 0 THEN 'partial' WHEN count(*) FILTER (WHERE NOT ok) > 0 THEN 'failed' ELSE 'succeeded' END AS status FROM p GROUP BY 1
+""")
+def batch_persistence(lineitem, supplier):
+    rows = lineitem.select(F.concat(F.lit("b"), F.col("l_suppkey") % 50).alias("batch_id"), F.col("l_orderkey").alias("ordinal"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("record_id"), F.lit("{}").alias("payload"), F.array().cast("array<string>").alias("issues"), (F.col("l_quantity") > 5).alias("accepted"))
+    batches = rows.select("batch_id").union(supplier.where("s_suppkey >= 50 and s_suppkey < 60").select(F.concat(F.lit("b"), "s_suppkey"))).distinct()
+    return catalog.persist_batch(rows, batches)["ingestion_batches"].select("batch_id", "accepted_count", "rejected_count", "status")
+
+
+@query("""
+    SELECT a.source, array_to_string(list_sort(list_intersect(a.l, b.l)), ',') AS both_, len(list_distinct(list_concat(a.l, b.l)))::BIGINT AS either, len(list_filter(a.l, lambda x: NOT list_contains(b.l, x)))::BIGINT AS only_first
+    FROM (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE lang = 'en' GROUP BY 1) a JOIN (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE lang = 'fr' GROUP BY 1) b USING (source)
+""")
+def id_set_operations(documents):
+    ids = lambda lang: documents.where(F.col("lang") == lang).groupBy("source").agg(F.collect_set(F.col("doc_id") % 97).alias(lang))
+    both = ids("en").join(ids("fr"), "source")
+    return both.select("source", F.array_join(F.array_sort(F.array_intersect("en", "fr")), ",").alias("both_"), F.size(F.array_union("en", "fr")).cast("long").alias("either"), F.size(F.array_except("en", "fr")).cast("long").alias("only_first"))
+
+
+# ---------------------------------------------------------------- what SQL cannot express
+
+
+@query()
+def manufacturer_candidates(documents):
+    return hints.manufacturer_candidates(elements.line_elements(documents)).select("document_id", "raw", "basis", "priority", "rank", "element_id")
+
+
+def _brand_tables(part: DataFrame) -> DataFrame:
+    """A table of parts for each brand, and its maker's label, as evidence elements."""
+    row = F.concat(F.lit("| "), F.concat_ws("-", F.regexp_replace("p_brand", "#", ""), F.col("p_partkey").cast("string")), F.lit(" | "), "p_name", F.lit(" |"))
+    table = part.groupBy("p_brand").agg(F.concat_ws("\n", F.lit("| Part Number | Name |"), F.array_sort(F.collect_list(row))).alias("text"))
+    rows = table.select(F.col("p_brand").alias("document_id"), F.lit(1).alias("page_number"), F.lit(1).alias("sequence_number"), F.lit("table").alias("element_type"), "text")
+    label = table.select(F.col("p_brand").alias("document_id"), F.lit(1).alias("page_number"), F.lit(0).alias("sequence_number"), F.lit("text").alias("element_type"), F.concat(F.lit("Manufacturer: "), "p_brand", F.lit(" Works Ltd")).alias("text"))
+    return elements.completed(rows.unionByName(label))
+
+
+@query("SELECT p_brand AS document_id, CASE WHEN count(*) > 1 THEN 'multi_product_rows' ELSE 'single_family' END AS mode, count(*) AS identifiers FROM part GROUP BY 1 HAVING count(*) > 1")
+def product_cardinality(part):
+    found = hints.cardinality(_brand_tables(part))
+    return found.select("document_id", "mode", F.size("identifiers").cast("long").alias("identifiers"))
+
+
+@query()
+def guarded_products(part):
+    found = _brand_tables(part)
+    hint = hints.source_hints(found)
+    answers = models.generate(hint).select("document_id", "payload")
+    return guard.enforce(answers, hint, found).select("document_id", "guarded", "audit", "error")
+
+
+@query()
+def hydrated_products(part):
+    found = _brand_tables(part)
+    label = found.where("sequence_number = 0").select("document_id", "element_id", "text")
+    cite = F.array(F.struct("element_id"))
+    payload = F.to_json(F.struct(F.array(F.struct(F.struct(F.col("text").alias("raw"), cite.alias("evidence")).alias("manufacturer"), F.struct(F.lit("x").alias("raw"), F.array(F.struct(F.lit("el_none").alias("element_id"))).alias("evidence")).alias("part_name"))).alias("products")))
+    done = hydrate.hydrate(label.select("document_id", payload.alias("payload")), found)
+    return done.select("document_id", "ordinal", "payload", F.transform("issues", lambda i: i["code"]).alias("codes"))
+
+
+@query()
+def embedded_chunks(conversations):
+    rows = conversations.where(F.col("role") == "user").select("conv_id", "turn", "text")
+    return models.embed(rows).select("conv_id", "turn", F.round(retrieval.norm(F.col("embedding")), 6).alias("norm"))
+
+
+@query()
+def resumed_pages(documents):
+    pages = _routed(documents).select(F.col("doc_id").cast("string").alias("document_id"), F.lit(1).alias("page_number"), "native_text", "routing")
+    named = elements.fingerprint(pages)
+    done = named.where(F.crc32(F.col("document_id").cast("binary")) % 2 == 0).select("document_id", "page_number", "fingerprint")
+    todo, held = elements.pending(named, done)
+    return todo.select("document_id", F.lit("extract").alias("action")).unionByName(held.select("document_id", F.lit("restore").alias("action")))
