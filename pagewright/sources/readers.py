@@ -61,13 +61,14 @@ PAGE = (
 
 def read_pages(files: DataFrame, parser: Callable[[bytes], Iterator[dict]]) -> DataFrame:
     """Pages of files (``content``) by a parser that yields a dict per page with the fields of ``PAGE``; the document's id is its content's."""
+    columns = _fields(PAGE)
 
     def parse(frames):
         for frame in frames:
             for doc, raw in zip(frame["document_id"], frame["content"], strict=True):
-                rows = [{"document_id": doc} | page for page in parser(bytes(raw))]
+                rows = [[({"document_id": doc} | page).get(c) for c in columns] for page in parser(bytes(raw))]
                 if rows:
-                    yield pd.DataFrame(rows).reindex(columns=[c.split()[0] for c in _fields(PAGE)])
+                    yield pd.DataFrame(rows, columns=columns, dtype=object)
 
     named = files.select(F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("document_id"), "content")
     return named.mapInPandas(parse, PAGE)
