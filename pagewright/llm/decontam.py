@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagewright.llm import scratch
-from pagewright.llm.text import ALNUM, U, texts, whole
+from pagewright.llm.text import ALNUM, U, releasing, texts, whole
 
 BLOCK_BYTES = 8 << 20
 SHINGLE = 5
@@ -78,7 +78,7 @@ def _counted(docs: DataFrame, wanted: np.ndarray, lengths: list[int]) -> np.ndar
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], schema=out)
 
-    sums = docs.select("text").mapInArrow(count, "j int, uses long").groupBy("j").agg(F.sum("uses").alias("uses")).toArrow()
+    sums = docs.select("text").mapInArrow(releasing(count), "j int, uses long").groupBy("j").agg(F.sum("uses").alias("uses")).toArrow()
     total = np.zeros(len(wanted), np.int64)
     total[sums["j"].to_numpy()] = sums["uses"].to_numpy()
     return total
@@ -140,7 +140,7 @@ def _probed(docs: DataFrame, items: list[tuple[str, str]], window: int, shingle:
 
     passed = ["text"] * keep_text + ["row"] * ("row" in docs.columns)
     schema = T.StructType([*T._parse_datatype_string(OUT), *(docs.schema[c] for c in passed)])
-    return docs.mapInArrow(probe, schema)
+    return docs.mapInArrow(releasing(probe), schema)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, shingle: int = SHINGLE, block_bytes: int = BLOCK_BYTES, carry: bool = False) -> DataFrame:
@@ -151,6 +151,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, shingle:
     judged each on its own. ``spans`` are the maximal hit runs of words, end exclusive. A document is contaminated
     when at least a twentieth of its words are hit. With ``carry`` the result also has ``row``, a struct of the document's columns.
     """
+    scratch.modest(docs.sparkSession)
     row = [F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *row)
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")

@@ -13,10 +13,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.text import U
+from pagewright.llm.text import U, release
 
 CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20
+EVERY = 4
 ROWS = "bucket int, chunk int, kind int, payload binary"
 SCHEMA = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())])
 
@@ -55,6 +56,22 @@ def unbits(raw: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(raw, np.uint8), count=n).astype(bool)
 
 
+def releasing(f):
+    """A function over groups that releases memory after every ``EVERY`` of them."""
+    calls = [0]
+
+    def done(out: pa.Table) -> pa.Table:
+        calls[0] += 1
+        if calls[0] % EVERY == 0:
+            release()
+        return out
+
+    # Spark tells what to pass by the number of parameters.
+    if f.__code__.co_argcount == 1:
+        return lambda table: done(f(table))
+    return lambda key, left, right: done(f(key, left, right))
+
+
 def in_order(table: pa.Table) -> pa.Table:
     """A chunk's documents by id (null last) and then by text, whatever order they came in."""
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")]).combine_chunks()

@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagewright.llm.text import Texts, texts
+from pagewright.llm import scratch
+from pagewright.llm.text import Texts, releasing, texts
 
 ORDER = 3
 MAX_RUNS = 1 << 20
@@ -131,6 +132,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", max_runs: int = MAX_RUNS) -> Model:
     """A model of every non-null language of the rows, learned from all of their texts."""
+    scratch.modest(rows.sparkSession)
     schema = pa.schema([("lang", pa.string()), ("key", pa.int64()), ("n", pa.int64())])
 
     def count(batches):
@@ -156,13 +158,13 @@ def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", max_r
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k), pa.string()), pa.array(k), pa.array(n[i : i + (1 << 16)])], schema=schema)
 
     known = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    counts = known.mapInArrow(count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    from pagewright.llm import scratch
-
+    counts = known.mapInArrow(releasing(count), "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     counts = scratch.table(counts, "runs")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     top = counts.join(totals, "lang").orderBy(F.desc(F.col("n") / F.col("all")), "lang", "key").limit(max_runs).select("lang", "key", "n").toArrow()
     langs = sorted(set(top["lang"].unique().to_pylist()))
+    if not langs:
+        return Model([])
     number = {x: i for i, x in enumerate(langs)}
     lang = np.array([number[x] for x in top["lang"].to_pylist()], np.int64)
     return build(langs, lang, top["key"].to_numpy().astype(np.uint32), top["n"].to_numpy())
@@ -186,6 +188,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     `und`. ``bits_per_byte`` is its code length, 0 for an empty text. Whole texts are read, however long; repeated
     rows are judged one by one.
     """
+    scratch.modest(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(model)
     read = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(text_col).alias("text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
     added = [("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_byte", pa.float64())]
@@ -213,7 +216,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             yield pa.RecordBatch.from_arrays(arrays, names=["row", *(k for k, _ in added)])
 
     schema = T.StructType([read.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits_per_byte", T.DoubleType())])
-    return read.mapInArrow(judge, schema)
+    return read.mapInArrow(releasing(judge), schema)
 
 
 def train_on(docs: DataFrame) -> Model:

@@ -218,12 +218,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     are one node. Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    scratch.modest(docs.sparkSession)
     chunks, buckets = X.sized(docs)
     dealt = X.chunked(docs, chunks)
 
+    @X.releasing
     def ask(table):
         return X.rows(Chunk(table, shingle).ask(buckets))
 
+    @X.releasing
     def sets(key, table, answers):
         return Chunk(table, shingle).sets(answers, buckets, percent) if table.num_rows else _SETS_ARROW.empty_table()
 

@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm import scratch
-from pagewright.llm.text import SPACED, Texts, U, Words, texts
+from pagewright.llm.text import SPACED, Texts, U, Words, releasing, texts
 
 CAPACITY = 2048
 SLACK = 16
 FANOUT = 8
 HANDED_ON = 512
 END = 0
-CACHED_UNITS = 2_000_000
+CACHED_UNITS = 1_000_000
 
 _code = np.arange(256)
 #: 1 letter, 2 digit, 3 visible ASCII sign other than an apostrophe, 0 whatever must not be cut off from its neighbours.
@@ -111,6 +111,7 @@ _PIECE = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``. ``tokenizer`` is the file's content."""
+    scratch.modest(docs.sparkSession)
     spec = docs.sparkSession.sparkContext.broadcast(tokenizer)
     schema = pa.schema(_PIECE + [("ids", pa.list_(pa.int32()))] * with_ids)
 
@@ -128,7 +129,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                         rows.append((names[part.first + i], k, s - a, len(own), zlib.crc32(own.tobytes()), *([own.tolist()] * with_ids)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(cut), "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], list[int]]:
@@ -211,7 +212,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, fanout:
             table = table.set_column(table.schema.get_field_index("bin"), "bin", pa.array(np.arange(table.num_rows)))
             yield from _round(table, TaskContext.get().partitionId(), 0, capacity, slack, nodes == 1).to_batches()
 
-    packed = scratch.table(items.withColumns(state).mapInArrow(local, _PACKED), "packed-0")
+    packed = scratch.table(items.withColumns(state).mapInArrow(releasing(local), _PACKED), "packed-0")
     done, level = packed.where("done"), 0
     while nodes > 1:
         level, nodes = level + 1, -(-nodes // fanout)

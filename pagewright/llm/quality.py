@@ -13,7 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.text import LOWER, Texts, U, mix, texts
+from pagewright.llm import scratch
+from pagewright.llm.text import LOWER, Texts, U, mix, releasing, texts
 
 SAMPLE = 6000
 DIMS = 1 << 16
@@ -157,6 +158,7 @@ def classify(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     spark = docs.sparkSession
+    scratch.modest(spark)
 
     def vote(batches):
         total = np.zeros(3 ** len(LABELLERS), np.int64)
@@ -167,7 +169,7 @@ def classify(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["code", "n"])
 
-    table = docs.select("text").mapInArrow(vote, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow()
+    table = docs.select("text").mapInArrow(releasing(vote), "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).orderBy("code").toArrow()
     codes, counts = table["code"].to_numpy().astype(np.int64), table["n"].to_numpy()
     posterior = np.zeros(3 ** len(LABELLERS))
     weights = np.zeros(DIMS + 1)
@@ -188,7 +190,7 @@ def classify(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text
 
         share = min(1.0, sample / int(counts.sum()))
         chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) if share < 1 else docs
-        got = chosen.select("text").mapInArrow(featured, "code int, places array<int>").toArrow()
+        got = chosen.select("text").mapInArrow(releasing(featured), "code int, places array<int>").toArrow()
         places = [np.array(x, np.int64) for x in got["places"].to_pylist()]
         target = posterior[got["code"].to_numpy()]
         if len(target):
@@ -213,4 +215,4 @@ def classify(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text
             s, w = np.concatenate([*scores, np.zeros(0)]), np.concatenate([*weak, np.zeros(0)])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array(s >= 0.5), pa.array(w)], schema=schema)
 
-    return docs.mapInArrow(score, "doc_id long, quality_score double, kept boolean, weak_posterior double")
+    return docs.mapInArrow(releasing(score), "doc_id long, quality_score double, kept boolean, weak_posterior double")

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+BATCH = "8m"
 _WRITTEN: list[str] = []
 
 
@@ -39,3 +40,10 @@ def clear(spark: SparkSession) -> None:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def modest(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH`` bytes where the session has not chosen a size below Spark's default: workers hold several copies of one."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, "67108864b") in ("67108864b", "64m", "67108864"):
+        spark.conf.set(name, BATCH)

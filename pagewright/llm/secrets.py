@@ -18,6 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.llm import scratch
+from pagewright.llm.text import releasing
+
 KINDS = ("assign", "access", "hex", "lit")
 #: The base rules.
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -132,6 +135,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts as empty and has none. Rows are judged one by one, so repeated rows give repeated results; other columns
     are ignored.
     """
+    scratch.modest(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64())] + [(c, pa.int64()) for c in ("n_assign", "n_access", "n_hex")] + [("base_sha256", pa.string()), ("spans", pa.string()), ("n_lit", pa.int64())])
 
     def scan(batches):
@@ -145,4 +149,4 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t.type) for c, t in zip(cols, list(schema)[1:], strict=True))], schema=schema)
 
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return read.mapInArrow(scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_lit long")
+    return read.mapInArrow(releasing(scan), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_lit long")

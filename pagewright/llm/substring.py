@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm import exchange as X
+from pagewright.llm import scratch
 from pagewright.llm.text import U, Texts, Words, texts
 
 WINDOW = 20
@@ -210,18 +211,22 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     rows with one id and one text the others repeat the first. Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    scratch.modest(docs.sparkSession)
     chunks, buckets = X.sized(docs)
     dealt = X.chunked(docs, chunks)
 
+    @X.releasing
     def ask(table):
         return X.rows(Chunk(table, window).probes(buckets))
 
+    @X.releasing
     def ask_whole(key, table, answers):
         if not table.num_rows:
             return X.rows([])
         chunk = Chunk(table, window)
         return X.rows(chunk.wholes(chunk.candidates(_answers(answers, PROBE), buckets), buckets))
 
+    @X.releasing
     def finish(key, table, answers):
         if not table.num_rows:
             return _ARROW.empty_table()

@@ -5,7 +5,9 @@ All of them work on slices of a column, so memory is bounded by ``SLICE`` bytes
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -136,3 +138,25 @@ def texts(column: pa.Array | pa.ChunkedArray, lower: bool = False, most: int = S
         buf = data[offs[i] : offs[j]]
         yield Texts(i, LOWER[buf] if lower else buf, offs[i : j + 1] - offs[i])
         i = j
+
+
+def release() -> None:
+    """Hands memory that this process no longer uses back to the system; workers are reused by later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # not every system has it
+        pass
+
+
+def releasing(over_partition: Callable) -> Callable:
+    """A function over a partition's batches that releases memory when the partition is done."""
+
+    @functools.wraps(over_partition)
+    def run(batches):
+        try:
+            yield from over_partition(batches)
+        finally:
+            release()
+
+    return run
