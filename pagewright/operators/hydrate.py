@@ -174,11 +174,11 @@ def product_entries(data) -> tuple[list, list[dict]]:
     return found, issues
 
 
-OUT = "document_id string, ordinal int, payload string, issues array<struct<code:string,path:string,severity:string,message:string>>"
+OUT = "document_id string, batch string, ordinal int, payload string, issues array<struct<code:string,path:string,severity:string,message:string>>"
 
 
 def hydrate(batches: DataFrame, elements: DataFrame) -> DataFrame:
-    """One row per product of each answer (``document_id, payload``), hydrated against the document's elements.
+    """One row per product of each answer (``document_id, payload`` and, where a document has several, ``batch``), hydrated against the document's elements.
 
     Both sides meet by document; a document's elements are what one task has to hold.
     """
@@ -200,10 +200,11 @@ def hydrate(batches: DataFrame, elements: DataFrame) -> DataFrame:
                     body, issues = hydrator.product(p)
                 else:
                     body, issues = {"value": p}, [_issue("invalid_product_payload", "", "error", "a product is an object")]
-                out.append((row["document_id"], i, json.dumps(body, sort_keys=True, ensure_ascii=False), shape + issues))
+                out.append((row["document_id"], row["batch"], i, json.dumps(body, sort_keys=True, ensure_ascii=False), shape + issues))
             if not found:
-                out.append((row["document_id"], -1, None, shape or [_issue("empty_product_batch", "products", "warning", "no products")]))
-        return pd.DataFrame(out, columns=["document_id", "ordinal", "payload", "issues"])
+                out.append((row["document_id"], row["batch"], -1, None, shape or [_issue("empty_product_batch", "products", "warning", "no products")]))
+        return pd.DataFrame(out, columns=["document_id", "batch", "ordinal", "payload", "issues"])
 
     fields = ["document_id", "page_number", "element_id", "text", "extraction_method", "confidence"]
-    return batches.select("document_id", "payload").groupBy("document_id").cogroup(elements.select(*fields).groupBy("document_id")).applyInPandas(of_document, OUT)
+    named = batches if "batch" in batches.columns else batches.withColumn("batch", F.lit(None).cast("string"))
+    return named.select("document_id", "batch", "payload").groupBy("document_id").cogroup(elements.select(*fields).groupBy("document_id")).applyInPandas(of_document, OUT)

@@ -17,7 +17,7 @@ def _fs(spark: SparkSession, path: str):
 class Table:
     """A table in a folder of versions. A write makes a new version and then moves the pointer, so readers see the old rows or the new ones."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
+    def __init__(self, spark: SparkSession, path: str, schema):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     def _pointer(self) -> str | None:
