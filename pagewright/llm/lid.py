@@ -161,7 +161,15 @@ def train(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", max_r
     counts = known.mapInArrow(releasing(count), "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     counts = scratch.table(counts, "runs")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("all"))
-    top = counts.join(totals, "lang").orderBy(F.desc(F.col("n") / F.col("all")), "lang", "key").limit(max_runs).select("lang", "key", "n").toArrow()
+    rarity = F.floor(-16 * F.log2(F.col("n") / F.col("all"))).alias("step")
+    stepped = counts.join(totals, "lang").select("lang", "key", "n", rarity)
+    room, last = max_runs, -1
+    for step, n in stepped.groupBy("step").count().orderBy("step").collect():  # sixteen steps for each halving: about a thousand rows
+        room -= n
+        if room < 0:
+            break
+        last = step
+    top = stepped.where(F.col("step") <= last).select("lang", "key", "n").toArrow()
     langs = sorted(set(top["lang"].unique().to_pylist()))
     if not langs:
         return Model([])
