@@ -9,6 +9,8 @@ from pyspark.sql.window import Window
 from pagewright.functions import text as T
 
 KB_VERSION = "1.1"
+#: Fixed value: the first line of an identity chunk.
+HEADING = "Industrial catalog product"
 IDENTITY = {"manufacturer": "Manufacturer", "part_name": "Part name", "part_number": "Part number", "category": "Category", "description": "Description"}
 EVIDENCE = "struct<source_document_id:string,source_path:string,page_number:int,element_id:string,text:string,confidence:double>"
 VALUE = f"struct<raw:string,normalized:string,confidence:double,normalization_method:string,evidence:array<{EVIDENCE}>>"
@@ -66,7 +68,7 @@ def product_chunks(products: DataFrame) -> DataFrame:
     """An identity chunk for each product that has an identity value, and one for each specification and operating condition."""
     label = F.concat_ws(" | ", *[F.when(_shown(F.col(c)) != "", _shown(F.col(c))) for c in ("manufacturer", "part_name", "part_number")])
     any_value = F.coalesce(*[F.col(c)["raw"] for c in IDENTITY], *[F.col(c)["normalized"] for c in IDENTITY]).isNotNull()
-    lines = F.concat_ws("\n", F.lit("Industrial catalog product"), *[F.when(_shown(F.col(c)) != "", F.concat(F.lit(f"{name}: "), _shown(F.col(c)))) for c, name in IDENTITY.items()])
+    lines = F.concat_ws("\n", F.lit(HEADING), *[F.when(_shown(F.col(c)) != "", F.concat(F.lit(f"{name}: "), _shown(F.col(c)))) for c, name in IDENTITY.items()])
     cites = F.concat(*[_cites(F.lit(c), F.col(c)) for c in IDENTITY])
     base = products.withColumns({"identity_text": lines, "label": label, "identity_cites": cites})
     own = ["record_id", "source_document_id", "source_path"]
