@@ -2,7 +2,7 @@
 
 Overlapping heuristics vote good, bad or nothing on every document. How often each combination of votes occurs (at most 3**labellers
 numbers, however many documents) is all that expectation-maximisation needs to estimate each labeller's accuracy and each
-combination's posterior. Posteriors of a bounded sample of documents (``SAMPLE`` rows, dealt by a hash of the id) train a linear scorer over hashed words, word endings and
+combination's posterior. Posteriors of a bounded sample of documents (about ``SAMPLE`` rows chosen by a hash of id and text, never more than twice as many) train a linear scorer over hashed words, word endings and
 shape features, which then scores the whole text of every document.
 """
 
@@ -189,8 +189,8 @@ def classify(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text
                     )
 
         share = min(1.0, sample / int(counts.sum()))
-        chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) if share < 1 else docs
-        got = chosen.select("text").mapInArrow(releasing(featured), "code int, places array<int>").toArrow()
+        chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+        got = chosen.select("text").mapInArrow(releasing(featured), "code int, places array<int>").limit(2 * sample).toArrow()
         places = [np.array(x, np.int64) for x in got["places"].to_pylist()]
         target = posterior[got["code"].to_numpy()]
         if len(target):
