@@ -77,23 +77,35 @@ def literals(raw: bytes, least: float = 0.5) -> list[tuple[int, int]]:
     """Byte spans of the literals that reach a sensitive name, in order."""
     if b"=" not in raw and b":" not in raw and b"--" not in raw and b"</" not in raw:
         return []
-    reached: dict[tuple[int, int, bool], float] = {}
-    known: dict[bytes, list[tuple[int, int, bool]]] = {}
-    pairs = [(m.start(), m) for p in (PAIR, FLAG, TAG) for m in p.finditer(raw)]
-    for _, m in sorted(pairs, key=lambda x: x[0]):
-        name, value, at = m["name"], m["value"], m.start("value")
-        bound: list[tuple[int, int, bool]] = []
+    # Every assignment is an event; a name stands for the event that bound it last. Weights flow back from later events to those that they
+    # refer to, in one pass.
+    found = sorted((m for p in (PAIR, FLAG, TAG) for m in p.finditer(raw)), key=lambda m: m.start())
+    bound: dict[bytes, int] = {}
+    events: list[tuple[bytes, list[tuple[int, int, bool]], list[int]]] = []
+    for m in found:
+        value, at = m["value"], m.start("value")
+        own: list[tuple[int, int, bool]] = []
+        refs: list[int] = []
         if value[:1] in b"\"'`" or b"+" in value:
             for part in PART.finditer(value):
-                bound += known.get(part[0], []) if part[0][:1] not in b"\"'`" else [_unquoted(part[0], at + part.start())]
-        elif value in known:
-            bound = known[value]
+                if part[0][:1] in b"\"'`":
+                    own.append(_unquoted(part[0], at + part.start()))
+                elif part[0] in bound:
+                    refs.append(bound[part[0]])
+        elif value in bound:
+            refs.append(bound[value])
         else:
-            bound = [_unquoted(value, at)]
-        known[name] = bound = bound[:16]
-        weight = sensitivity(name)
-        for span in bound if weight else ():
-            reached[span] = max(reached.get(span, 0.0), weight)
+            own.append(_unquoted(value, at))
+        bound[m["name"]] = len(events)
+        events.append((m["name"], own, refs))
+    weights = [sensitivity(name) for name, _, _ in events]
+    reached: dict[tuple[int, int, bool], float] = {}
+    for e in range(len(events) - 1, -1, -1):
+        _, own, refs = events[e]
+        for r in refs:
+            weights[r] = max(weights[r], weights[e])
+        for span in own if weights[e] else ():
+            reached[span] = max(reached.get(span, 0.0), weights[e])
     for m in URL.finditer(raw) if b"://" in raw else ():
         reached[(*m.span("value"), True)] = 1.0
     return sorted({(a, b) for (a, b, q), weight in reached.items() if weight * plausibility(raw[a:b], q) >= least})
