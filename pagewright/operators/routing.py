@@ -43,6 +43,8 @@ def signals(native: Column, coverage: Column | None = None, tables: Column | Non
     """A struct of a page's signals. A missing text counts as empty; a coverage that is no finite number as 0."""
     text = F.coalesce(native, F.lit(""))
     count = lambda p: F.regexp_count(text, F.lit(p)).cast("long")
+    # Characters of a class: what removing its runs takes away, which makes no list of matches.
+    of_class = lambda p: (F.length(text) - F.length(F.regexp_replace(text, f"{p}+", ""))).cast("long")
     solid = F.length(F.regexp_replace(text, f"{T.SPACE}+", "")).cast("long")
     size = F.length(text).cast("long")
     lengths = F.array_sort(F.transform(T.lines(text), lambda s: F.length(s)))
@@ -55,9 +57,9 @@ def signals(native: Column, coverage: Column | None = None, tables: Column | Non
         solid.alias("character_count"),
         count(T.WORDS).alias("word_count"),
         n.cast("long").alias("line_count"),
-        ratio(size - count(r"[\p{C}\p{Z}&&[^ \n\r\t]]"), size, 1.0).alias("printable_ratio"),
-        ratio(count(T.ALNUM), solid, 0.0).alias("alphanumeric_ratio"),
-        ratio(count(r"[\x{fffd}\x00]"), F.greatest(solid, F.lit(1)), 0.0).alias("replacement_character_ratio"),
+        ratio(size - of_class(r"[\p{C}\p{Z}&&[^ \n\r\t]]"), size, 1.0).alias("printable_ratio"),
+        ratio(of_class(T.ALNUM), solid, 0.0).alias("alphanumeric_ratio"),
+        ratio(of_class(r"[\x{fffd}\x00]"), F.greatest(solid, F.lit(1)), 0.0).alias("replacement_character_ratio"),
         F.when(n > 0, middle).otherwise(0.0).alias("median_line_length"),
         cover.alias("image_coverage"),
         (F.greatest(F.lit(0), F.coalesce(tables, F.lit(0))) if tables is not None else F.lit(0)).cast("int").alias("table_count"),
