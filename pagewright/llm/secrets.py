@@ -4,7 +4,8 @@ Base rules find fixed shapes (`assign`, `access`, `hex`). Beyond them, source an
 name-literal pairs: ``name = "x"``, ``"name": "x"``, ``name: x``, ``name := 'x'``, ``--name x``, ``<name>x</name>`` and
 ``scheme://user:x@host``. A literal bound to a name is carried along when that name is assigned to another one or joined with ``+``,
 and a literal is reported (`lit`) when one of the names that it reaches is a sensitive one and its own shape is
-plausible for a secret. What a base rule covers already is not reported again.
+plausible for a secret. Names and literals may have any length; a literal ends with its line. What is in a quoted literal is lexed too, with
+names of its own. What a base rule covers already is not reported again.
 """
 
 from __future__ import annotations
@@ -28,14 +29,15 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(rb"[0-9a-f]{24,}")
 NAMES = (b"passw", b"secret", b"token", b"apikey", b"api_key")
 
-_NAME = rb"[A-Za-z_$][A-Za-z0-9_$.-]{0,79}"
-_LITERAL = rb"\"(?:[^\"\\\r\n]|\\.){1,400}\"|'(?:[^'\\\r\n]|\\.){1,400}'|`[^`\r\n]{1,400}`"
+# No length is bounded: a class is repeated possessively up to the quote, tag or delimiter that it leaves out, so each kind of text is read once.
+_NAME = rb"[A-Za-z_$][A-Za-z0-9_$.-]*+"
+_LITERAL = rb"\"(?!\")[^\"\\\r\n]*+(?:\\.[^\"\\\r\n]*+)*+\"|'(?!')[^'\\\r\n]*+(?:\\.[^'\\\r\n]*+)*+'|`[^`\r\n]++`"
 PAIR = re.compile(
-    rb"(?P<q>[\"']?)(?P<name>" + _NAME + rb")(?P=q)[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*(?P<value>(?:[bru]{1,2}(?=[\"'])|)(?:" + _LITERAL + rb")(?:[\x20\t]*\+[\x20\t]*(?:" + _LITERAL + rb"|" + _NAME + rb"))*|[^\s\"'`,;(){}\[\]<>|]{1,400})"
+    rb"(?:(?P<q>[\"'])|(?<![A-Za-z0-9_$.-])[0-9.-]*+)(?P<name>" + _NAME + rb")(?(q)(?P=q))[\x20\t]*+(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*+(?P<value>(?:[bru]{1,2}(?=[\"'])|)(?:" + _LITERAL + rb")(?:[\x20\t]*+\+[\x20\t]*+(?:" + _LITERAL + rb"|" + _NAME + rb"))*+|[^\s\"'`,;(){}\[\]<>|]++)"
 )
-FLAG = re.compile(rb"(?<![\w-])--(?P<name>" + _NAME + rb")[\x20=](?P<value>" + _LITERAL + rb"|[^\s\"'`-][^\s\"'`]{5,400})")
-TAG = re.compile(rb"<(?P<name>" + _NAME + rb")>[\x20\t]*(?P<value>[^<>\s]{6,400})[\x20\t]*</(?P=name)>")
-URL = re.compile(rb"[a-z][a-z0-9+.-]{1,15}://[^\s:/@\"']{1,64}:(?P<value>[^\s:/@\"']{6,128})@")
+FLAG = re.compile(rb"(?<![\w-])--(?P<name>" + _NAME + rb")[\x20=](?P<value>" + _LITERAL + rb"|[^\s\"'`-][^\s\"'`]{5,}+)")
+TAG = re.compile(rb"<(?P<name>" + _NAME + rb")>[\x20\t]*+(?P<value>[^<>\s]{6,}+)[\x20\t]*+</(?P=name)>")
+URL = re.compile(rb"[a-z][a-z0-9+.-]{1,15}://[^\s:/@\"']++:(?P<value>[^\s:/@\"']{6,}+)@")
 PART = re.compile(_LITERAL + rb"|" + _NAME)
 _WORDS = re.compile(rb"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -73,31 +75,40 @@ def _unquoted(value: bytes, at: int) -> tuple[int, int, bool]:
     return at, at + len(value), False
 
 
-def literals(raw: bytes, least: float = 0.5) -> list[tuple[int, int]]:
-    """Byte spans of the literals that reach a sensitive name, in order."""
-    if b"=" not in raw and b":" not in raw and b"--" not in raw and b"</" not in raw:
-        return []
-    # Every assignment is an event; a name stands for the event that bound it last. Weights flow back from later events to those that they
-    # refer to, in one pass.
-    found = sorted((m for p in (PAIR, FLAG, TAG) for m in p.finditer(raw)), key=lambda m: m.start())
+def _bind(raw: bytes, found, events: list[tuple[bytes, list[tuple[int, int, bool]], list[int]]]) -> None:
+    """Adds the assignments ``found``: name, literals, and the events that it refers to. What is inside a pair's quotes follows, with names of its own."""
     bound: dict[bytes, int] = {}
-    events: list[tuple[bytes, list[tuple[int, int, bool]], list[int]]] = []
+    inside: list[tuple[int, int]] = []
     for m in found:
         value, at = m["value"], m.start("value")
         own: list[tuple[int, int, bool]] = []
         refs: list[int] = []
-        if value[:1] in b"\"'`" or b"+" in value:
-            for part in PART.finditer(value):
-                if part[0][:1] in b"\"'`":
-                    own.append(_unquoted(part[0], at + part.start()))
-                elif part[0] in bound:
-                    refs.append(bound[part[0]])
+        parts = list(PART.finditer(value)) if b'"' in value or b"'" in value or b"`" in value else []
+        quoted = [(at + x.start(), at + x.end()) for x in parts if x[0][:1] in b"\"'`"]
+        if m.re is PAIR:
+            inside += [(a + 1, b - 1) for a, b in quoted]
+        if value[:1] in b"\"'`":
+            own += [_unquoted(raw[a:b], a) for a, b in quoted]
+            refs += [bound[x[0]] for x in parts if x[0] in bound]
         elif value in bound:
             refs.append(bound[value])
         else:
-            own.append(_unquoted(value, at))
+            refs += [bound[x] for x in value.split(b"+") if x in bound] if b"+" in value else []
+            own += [] if refs else [_unquoted(value, at)]
         bound[m["name"]] = len(events)
         events.append((m["name"], own, refs))
+    for a, b in inside:
+        _bind(raw, PAIR.finditer(raw, a, b), events)
+
+
+def literals(raw: bytes, least: float = 0.5) -> list[tuple[int, int]]:
+    """Byte spans of the literals that reach a sensitive name, in order."""
+    if b"=" not in raw and b":" not in raw and b"--" not in raw and b"</" not in raw:
+        return []
+    # Every assignment is an event; a name stands for the event that bound it last. Weights flow back from later events to those that they
+    # refer to, in one pass.
+    events: list[tuple[bytes, list[tuple[int, int, bool]], list[int]]] = []
+    _bind(raw, sorted((m for p in (FLAG, TAG, PAIR) for m in p.finditer(raw)), key=lambda m: m.start("name")), events)
     weights = [sensitivity(name) for name, _, _ in events]
     reached: dict[tuple[int, int, bool], float] = {}
     for e in range(len(events) - 1, -1, -1):

@@ -237,6 +237,19 @@ def test_secrets(spark, none):
     assert secrets.scan_secrets(none).count() == 0
 
 
+@pytest.mark.parametrize("n", [401, 2_000, 100_000])
+def test_secrets_of_any_length(n):
+    long = ("Zx81qqLp77mmTTa9" * n)[:n]
+    pem = ("-----BEGIN KEY-----\\n" + long)[:n]
+    for text, secret in (
+        (f'{{"private_key": "{pem}"}}', pem), (f"bearer = '{long}'", long), (f"signing_key := `{long}`", long), (f"signing_key: {long}\n", long), (f"signing_key: {long[:-2]}+x\n", long[:-2] + "+x"),
+        (f"--auth-key {long}", long), (f"--auth-key '{long}'", long), (f"<authToken>{long}</authToken>", long), (f"db://{long}:{long}@host", long),
+        (f'base = "{long}"\ncredential = base', long), (f'"{long}_private_key": "{long}"', long),
+        (f"note = \"{'words, ' * n} pwd='q8W!z77tRk'\"", "q8W!z77tRk"), (f'base = "{long}"\nnote = "base = 1"\ncredential = base', long),
+    ):
+        assert [text[a:b] for a, b in secrets.literals(text.encode())] == [secret], text[:40]
+
+
 def test_language_model_is_exact():
     import math
 
