@@ -1,6 +1,7 @@
 """Dealt operators against brute force on small fixtures, with nulls, ties, repeated rows, long texts, empty tables and clashing columns."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -344,6 +345,38 @@ def test_url_model_tells_labelled_urls_apart(spark):
     assert right >= 90
 
 
+def test_url_scores_come_from_exact_counts(spark):
+    r = random.Random(8)
+    made = lambda ends: f"x://{''.join(r.choice('abcdefghijklmnopqrstuvwxyz0123456789é^😀') for _ in range(30))}.{ends}"
+    urls_ = [made(r.choice(["com/en/1", "net/de/2", "info/3"])) for _ in range(400)]
+    urls_ += ["x://" + "ab" * 2_000, "x://q", "x://", None, urls_[0], urls_[2]]
+    got = urls.filter_urls(spark.createDataFrame(list(enumerate(urls_)), "page_id long, url string")).collect()
+    runs = lambda u: ["^^^"] + [a + b + c + d for a, b, c, d in zip("^^^" + u[4:], "^^" + u[4:], "^" + u[4:], u[4:], strict=False)]
+    counts = {"allow": Counter(), "block": Counter()}
+    for u in urls_:
+        if u and any(x in u for x in (".com/en/", ".net/de/")) and zlib.crc32(u.encode()) % urls.FOLDS:
+            counts["block" if ".com/en/" in u else "allow"].update(x[-n:] for x in runs(u) for n in range(1, len(x) + 1))
+
+    total = {v: sum(c.values()) / 4 for v, c in counts.items()}
+
+    def chance(v, x):
+        c = counts[v]
+        p = (c[x[3]] + 1) / (total[v] + 256)
+        for n in range(1, 4):
+            p = min(1, (c[x[3 - n :]] + urls.WEIGHT * p) / (c[x[3 - n : 3]] + urls.WEIGHT))
+        return math.log(p)
+
+    assert len(got) == len(urls_) and len(counts["allow"] | counts["block"]) > 5_000
+    for row in got:
+        xs = runs(urls_[row.page_id] or "")[1:]
+        if not xs:
+            assert row.score is None and row.verdict == "allow"
+            continue
+        assert row.score == pytest.approx(sum(chance("allow", x) - chance("block", x) for x in xs) / len(xs), abs=1e-8)
+        if row.rule is None:
+            assert row.verdict == ("block" if row.score < row.threshold else "allow")
+
+
 def test_quality(spark, none):
     r = random.Random(4)
     words = [f"{a}{b}" for a in ("stone", "river", "cloud", "light") for b in ("", "s", "ing", "ed")] + ["the", "and", "of", "to", "in"]
