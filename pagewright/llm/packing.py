@@ -19,14 +19,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.llm import scratch
-from pagewright.llm.text import SPACED, Texts, U, Words, releasing, texts
+from pagewright.llm.text import SPACED, Texts, U, Words, releasing, same_bytes, texts
 
 CAPACITY = 2048
 SLACK = 16
 FANOUT = 8
 HANDED_ON = 512
 END = 0
-CACHED_UNITS = 1_000_000
+CACHED_UNITS = 500_000
+LEARNED = 4096
 
 _code = np.arange(256)
 #: 1 letter, 2 digit, 3 visible ASCII sign other than an apostrophe, 0 whatever must not be cut off from its neighbours.
@@ -66,27 +67,39 @@ class Encoder:
     def _reset(self) -> None:
         self.keys, self.at = np.zeros(0, U), np.zeros(0, np.int64)
         self.start, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.raw, self.begin = np.zeros(0, np.uint8), np.zeros(0, np.int64)
 
     def plain(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _learn(self, units: Units, keys: np.ndarray, first: np.ndarray) -> None:
-        found = self.tokenizer.encode_batch_fast([units.word(i).decode("utf-8", "replace") for i in first], add_special_tokens=False)
-        ids = [x.ids for x in found]
+        words = [units.word(i) for i in first.tolist()]
+        ids: list[list[int]] = []
+        for i in range(0, len(words), LEARNED):
+            ids += [x.ids for x in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words[i : i + LEARNED]], add_special_tokens=False)]
         size = np.array([len(x) for x in ids], np.int64)
-        start = len(self.flat) + np.cumsum(size) - size
-        self.flat = np.concatenate([self.flat, np.array([y for x in ids for y in x], np.uint32)])
+        begin = np.array([len(w) for w in words], np.int64)
         self.at = np.concatenate([self.at, len(self.start) + np.arange(len(keys))])
-        self.start, self.size = np.concatenate([self.start, start]), np.concatenate([self.size, size])
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.begin = np.concatenate([self.begin, len(self.raw) + np.cumsum(begin) - begin])
+        self.flat = np.concatenate([self.flat, np.array([y for x in ids for y in x], np.uint32)])
+        self.raw = np.concatenate([self.raw, np.frombuffer(b"".join(words), np.uint8)])
+        self.size = np.concatenate([self.size, size])
         self.keys = np.concatenate([self.keys, keys])
         order = np.argsort(self.keys, kind="stable")
         self.keys, self.at = self.keys[order], self.at[order]
 
+    def _one_by_one(self, part: Texts) -> tuple[np.ndarray, np.ndarray]:
+        each = [np.append(self.plain(part.bytes_of(i).decode("utf-8", "replace")), END).astype(np.uint32) for i in range(len(part.offs) - 1)]
+        return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
+
     def encode(self, part: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, with ``END`` after each text, and where each text's begin; the last entry is the end."""
+        """All ids, with ``END`` after each text, and where each text's begin; the last entry is the end.
+
+        Units are looked up by hash and compared byte by byte with what the cache holds; where two differ, the texts are encoded one by one.
+        """
         if self.marks and self.marks.search(part.buf.tobytes().lower()):
-            each = [np.append(self.plain(part.bytes_of(i).decode("utf-8", "replace")), END).astype(np.uint32) for i in range(len(part.offs) - 1)]
-            return np.concatenate(each), np.concatenate([[0], np.cumsum([len(x) for x in each])])
+            return self._one_by_one(part)
         units = Units(part)
         keys, first, back = np.unique(units.hashes(), return_index=True, return_inverse=True)
         if len(self.keys) > CACHED_UNITS:
@@ -97,6 +110,8 @@ class Encoder:
             self._learn(units, keys[new], first[new])
             j = np.searchsorted(self.keys, keys)
         at = self.at[j][back] if len(keys) else np.zeros(0, np.int64)
+        if not same_bytes(part.buf, units.starts, self.raw, self.begin[at], units.ends - units.starts):
+            return self._one_by_one(part)
         size = self.size[at]
         total = np.concatenate([[0], np.cumsum(size)])
         out = np.full(total[-1] + len(part.offs) - 1, END, np.uint32)
@@ -112,7 +127,7 @@ _PIECE = [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32`` and, if asked for, ``ids``. ``tokenizer`` is the file's content."""
     scratch.modest(docs.sparkSession)
-    spec = docs.sparkSession.sparkContext.broadcast(tokenizer)
+    spec = scratch.broadcast(docs.sparkSession, tokenizer)
     schema = pa.schema(_PIECE + [("ids", pa.list_(pa.int32()))] * with_ids)
 
     def cut(batches):

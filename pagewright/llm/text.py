@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -33,22 +34,38 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-class _Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, as many as have been asked for."""
+#: Odd multipliers and starting values of two independent families of hashes.
+_MULT = [(U(0x9E3779B97F4A7C15), U(0xD1342543DE82EF95)), (U(0x2545F4914F6CDD1D), U(0x5851F42D4C957F2D))]
+_START = [U(0x369DEA0F31A53F85), U(0x8CB92BA72F3D8DD7)]
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], U)
+#: Words of more bytes are hashed one by one.
+LONG = 64
 
-    def __init__(self, base: int):
-        self.base, self.n = base, 0
 
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > self.n:
-            self.n = max(n, 2 * self.n, 1 << 16)
-            self.up, self.down = (np.cumprod(np.concatenate([np.ones(1, U), np.full(self.n - 1, b, U)]), dtype=U) for b in (self.base, pow(self.base, -1, 1 << 64)))
-        return self.up[:n], self.down[:n]
+def _eight(packed: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number, from bytes held as 64-bit words."""
+    i, s = at >> 3, ((at & 7) << 3).astype(U)
+    return packed[i] >> s | packed[i + 1] << U(1) << (U(63) - s)
 
 
-_BYTES = [mix(np.arange(1, 257, dtype=U) * U(0x9E3779B97F4A7C15) + U(s)) for s in (11, 12)]
-_IN_WORD = [_Powers(0x2545F4914F6CDD1D), _Powers(0x5851F42D4C957F2D)]
-_IN_LINE = [_Powers(0x369DEA0F31A53F85), _Powers(0xD1342543DE82EF95)]
+def _paired(a: np.ndarray, b: np.ndarray, side: int) -> np.ndarray:
+    """The hash of two things one after the other from theirs. It is not linear, so no pattern of repeated letters or words makes two runs alike."""
+    x, y = _MULT[side]
+    return mix(a * x + b * y + _START[side])
+
+
+def _of_runs(of: np.ndarray, k: int, side: int) -> np.ndarray:
+    """The hash of every run of ``k`` of the words whose hashes are given: runs of powers of two are doubled, and those that make up ``k`` are paired."""
+    n, at, size, power, out = len(of) - k + 1, k, 1, of, None
+    while size <= k:
+        if k & size:
+            at -= size
+            piece = power[at : at + n]
+            out = piece if out is None else _paired(piece, out, side)
+        if 2 * size <= k:
+            power = _paired(power[:-size], power[size:], side)
+        size *= 2
+    return mix(out ^ U(k))
 
 
 @dataclass
@@ -95,13 +112,22 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def hashes(self, side: int = 0) -> np.ndarray:
-        buf = self.texts.buf
-        if not len(self):
-            return np.zeros(0, U)
-        up, down = _IN_WORD[side].upto(len(buf))
-        total = np.zeros(len(buf) + 1, U)
-        np.cumsum(_BYTES[side][buf] * up, out=total[1:])
-        return mix((total[self.ends] - total[self.starts]) * down[self.starts] + (self.ends - self.starts).astype(U))
+        """A 64-bit hash of each word: its length and its bytes, eight at a time, are folded in one after the other."""
+        buf, n = self.texts.buf, self.ends - self.starts
+        packed = np.zeros(len(buf) // 8 + 3, U)
+        packed.view(np.uint8)[: len(buf)] = buf
+        h = mix(n.astype(U) * _MULT[side][0] + _START[side])
+        h = mix(h ^ (_eight(packed, self.starts) & _KEEP[np.minimum(n, 8)]))
+        live = np.flatnonzero((n > 8) & (n <= LONG))
+        done = 8
+        while len(live):
+            block = _eight(packed, self.starts[live] + done) & _KEEP[np.minimum(n[live] - done, 8)]
+            h[live] = mix(h[live] * _MULT[side][1] ^ block)
+            done += 8
+            live = live[n[live] > done]
+        for i in np.flatnonzero(n > LONG).tolist():
+            h[i] = int.from_bytes(hashlib.blake2b(self.word(i), digest_size=8, salt=bytes([side])).digest(), "little")
+        return h
 
     def runs(self, k: int, of: np.ndarray, side: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Where each run of ``k`` words of one text begins, and its hash from the words' hashes ``of``."""
@@ -109,10 +135,7 @@ class Words:
         if n < k:
             return np.zeros(0, np.int64), np.zeros(0, U)
         at = np.flatnonzero(self.doc[: n - k + 1] == self.doc[k - 1 :])
-        up, down = _IN_LINE[side].upto(n)
-        total = np.zeros(n + 1, U)
-        np.cumsum(of * up, out=total[1:])
-        return at, mix((total[at + k] - total[at]) * down[at] + U(k))
+        return at, _of_runs(of, k, side)[at]
 
     def word(self, i: int) -> bytes:
         return self.texts.buf[self.starts[i] : self.ends[i]].tobytes()
@@ -120,8 +143,14 @@ class Words:
 
 def whole(of: np.ndarray, side: int = 0) -> np.ndarray:
     """The hash of the run of all the words whose hashes are given, as ``Words.runs`` has it."""
-    up, _ = _IN_LINE[side].upto(len(of))
-    return mix(np.array([(of * up).sum(dtype=U) + U(len(of))], U))
+    return _of_runs(of, len(of), side)
+
+
+def same_bytes(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, size: np.ndarray) -> bool:
+    """Whether the ranges of ``a`` that begin at ``at`` hold the same bytes as those of ``b`` that begin at ``bt``."""
+    before = np.cumsum(size) - size
+    place = np.arange(int(size.sum()))
+    return bool(np.array_equal(a[place + np.repeat(at - before, size)], b[place + np.repeat(bt - before, size)]))
 
 
 def texts(column: pa.Array | pa.ChunkedArray, lower: bool = False, most: int = SLICE) -> Iterator[Texts]:

@@ -68,7 +68,7 @@ def test_exact_groups(docs, rows, none):
     assert exact.exact_groups(none).count() == 0
 
 
-def test_substring(docs, rows, none):
+def brute_substring(rows):
     ws = sorted([(key(i), t or "", re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows], key=lambda x: x[:2])
     seen, want = set(), []
     for i, _, w in ws:
@@ -79,8 +79,12 @@ def test_substring(docs, rows, none):
                 gone[s : s + 20] = [True] * 20
             seen.add(run)
         want.append((i, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone, strict=True) if not g))))
+    return Counter(want)
+
+
+def test_substring(docs, rows, none):
     got = substring.remove_repeats(docs).collect()
-    assert Counter((key(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == Counter(want)
+    assert Counter((key(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_substring(rows)
     assert all(sum(s.end - s.start for s in r.removed) == r.n_removed for r in got)
     assert substring.remove_repeats(none).count() == 0
 
@@ -203,6 +207,29 @@ def test_packing(spark, docs, rows, none):
     assert packing.pack_documents(none, tokenizer_file()).count() == 0
 
 
+def thue_morse(n, a="a", b="b"):
+    return [b if bin(k).count("1") % 2 else a for k in range(n)]
+
+
+def test_patterns_that_defeat_polynomial_hashes(spark):
+    """Two sequences that collide under every polynomial modulo a power of two, as letters of a word and as words."""
+    from tokenizers import Tokenizer
+
+    from pagewright.llm.queries import tokenizer_file
+
+    one, two = "".join(thue_morse(2048)), "".join(thue_morse(2048, "b", "a"))
+    three, four = " ".join(thue_morse(2048, "aa", "ba")), " ".join(thue_morse(2048, "ba", "aa"))
+    rest = " ".join(f"w{k}" for k in range(18))
+    rows = [(1, f"{one} {rest} end"), (2, f"{two} {rest} end"), (3, three), (4, four), (5, f"{rest} {one}"), (6, f"{rest} {one}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring.remove_repeats(docs).collect()) == brute_substring(rows)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()) == links(rows)
+    spec = tokenizer_file()
+    t = Tokenizer.from_str(spec)
+    ids = {r.doc_id: list(r.ids) for r in packing.pieces(docs, spec, capacity=1 << 20, with_ids=True).collect()}
+    assert ids == {i: [*t.encode(x, add_special_tokens=False).ids, 0] for i, x in rows}
+
+
 def test_best_fit_takes_the_fullest_bin():
     bins, offsets, fill = packing.best_fit([6, 5, 4, 3, 2], 10)
     assert (bins, offsets, fill) == ([0, 1, 0, 1, 1], [0, 0, 6, 5, 8], [10, 10])
@@ -296,6 +323,31 @@ def test_language_id(spark, docs, none):
     assert lid.identify(docs, model).select("row.*").columns == docs.columns
 
 
+def test_language_model_in_blocks(spark):
+    """Forty languages, the model in many blocks: the same results as in one, repeated rows included."""
+    r = random.Random(3)
+    names = [f"l{k:02}" for k in range(40)]
+    words = {x: ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 6))) for _ in range(30)] for x in names}
+    text = lambda x, n: " ".join(r.choice(words[x]) for _ in range(n))
+    train = spark.createDataFrame([(k, text(x, 60), x) for k, x in enumerate(names * 3)], "doc_id long, text string, lang string")
+    asked = [(k, text(x, 12)) for k, x in enumerate(names)] + [(90, None), (91, ""), (92, "12"), (93, "é \u20ac abc"), (0, "same"), (0, "same")]
+    asked = spark.createDataFrame(asked, "doc_id long, text string")
+    whole, parts = lid.train(train), lid.train(train, block_cells=1 << 14)
+    assert whole.blocks == 1 and parts.blocks > 5
+    one, many = (sorted((r.row.doc_id, r.lang_pred, r.score, r.bits_per_byte) for r in lid.identify(asked, m).collect()) for m in (whole, parts))
+    assert one == many and len(one) == 46
+    assert sum(p == names[i] for i, p, _, _ in one if i < 40) >= 39
+
+
+def test_held_out_accuracy(spark):
+    from pagewright.llm import queries
+
+    path = "/root/testdata/sf0.01"
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "lang").collect()}
+    found = [r for r in queries.op1_language_id(spark, path).collect() if r.held_out and truth[r.doc_id] and r.lang_pred != "und"]
+    assert len(found) > 100 and sum(r.lang_pred == truth[r.doc_id] for r in found) >= 0.98 * len(found)
+
+
 def test_pii_round_trip(spark, none):
     text = "Card 4539 1488 0343 6467, 4539148803436467 and 4539148803436468; 10.0.0.1, 1.2.3.4.5; 2024-02-29 2023-02-29 31.01.2020; (017) 555-7713; 078-05-1120 000-05-1120; DE89370400440532013000 DE88370400440532013000; a.B9@mail7.example.com"
     df = spark.createDataFrame([(1, text), (2, text[:40]), (3, None), (4, ""), (4, "no data"), (5, "y " * 50_000 + "10.0.0.1")], "doc_id long, text string")
