@@ -164,11 +164,11 @@ def brute_contamination(rows, items):
     return Counter(out)
 
 
-@pytest.mark.parametrize("block", [8 << 20, 300])
-def test_decontamination(spark, docs, rows, none, block):
+@pytest.mark.parametrize("bits", [26, 6])
+def test_decontamination(spark, docs, rows, none, bits):
     items = [(1, rows[0][1]), (2, " ".join((rows[48][1] or "x").split()[5:30])), (3, "BA"), (4, None), (5, ""), (6, "ab ab ab"), (7, rows[33][1]), (7, "su, ne")]
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
-    got = decontam.decontaminate(docs, bench, block_bytes=block).collect()
+    got = decontam.decontaminate(docs, bench, sieve_bits=bits).collect()
     assert Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == brute_contamination(rows, items)
     assert all(sum(s.end - s.start for s in r.spans) == r.n_hit for r in got)
     assert decontam.decontaminate(docs, bench.limit(0)).where("n_hit > 0").count() == 0 and decontam.decontaminate(none, bench).count() == 0
