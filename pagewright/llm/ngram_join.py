@@ -2,13 +2,15 @@
 
 1. Packed exchange (see ``exchange``): chunks of documents ask how many documents have each of their shingles. A document links
    only if at least three quarters of its shingles occur elsewhere; all others are done.
-2. What remains is reduced to distinct sets. A set's shingles are ordered by how rare they are; sets that can reach the overlap share one of their
-   rarest shingles, so the components of that relation (found through stars, never pairs) hold every link.
-3. Components are dealt into groups of bounded size, a large one as pairs of blocks. Each group is searched on its own:
-   inverted lists of its shingles; for each set, DivideSkip merges the short lists, and probes the long ones by binary search only for
-   candidates that can still reach the overlap. Candidates already joined to the set are skipped, so a group of
-   near copies gives a tree, not all pairs.
-4. Components of the links found are the result.
+2. What remains is reduced to distinct sets. Sets that are likely to be near copies (one least hash of their shingles) meet in blocks first, so that a family of
+   copies is one class before anything is compared pair by pair.
+3. A set's shingles are ordered by how rare they are; sets that can reach the overlap share one of their rarest shingles, the prefix. Each prefix shingle whose
+   sets are not all of one class yet is searched. Those of few sets share tasks of bounded size; one of more is dealt into blocks by class and by step of
+   size, and only blocks that can hold a link between two classes meet.
+4. Every task searches with DivideSkip: a set's short inverted lists are merged as sorted runs, what reaches the overlap less the number of long lists is
+   looked up in those by binary search, one list after the other, and given up as soon as it can't reach the overlap. Sets of one class are not compared,
+   so a family gives a tree, not all pairs.
+5. Components of the links found are the result.
 """
 
 from __future__ import annotations
@@ -23,11 +25,13 @@ from pyspark.sql import functions as F
 from pagewright.llm import exchange as X
 from pagewright.llm import scratch
 from pagewright.llm.components import components
-from pagewright.llm.text import U, Words, texts, whole
+from pagewright.llm.text import U, Words, mix, texts, whole
 
 SHINGLE = 5
 PERCENT = 75
 BLOCK = 1024
+#: What merging an entry of a list costs against looking one up, as DivideSkip weighs them.
+MERGE_COST = 0.0085
 _SETS = "doc_id long, n long, s1 long, s2 long, tokens binary"
 _SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("tokens", pa.binary())])
 
@@ -127,87 +131,135 @@ class Index:
         cut = np.cumsum(self.size)[:-1] if len(sets) else []
         self.ranks = np.split(back, cut) if len(sets) else []
 
-    def search(self, x: int, wanted, percent: int = PERCENT):
-        """Places of sets that link with set ``x``, best first; ``wanted(places)`` tells which of them are still of interest."""
+    def search(self, x: int, wanted, percent: int = PERCENT) -> list[int]:
+        """Places of sets that link with set ``x``, in order; ``wanted(places)`` tells which of them are of interest."""
         n, ranks = len(self.sets[x]), self.ranks[x]
-        length = self.first[ranks + 1] - self.first[ranks]
-        order = np.argsort(length, kind="stable")
-        long_lists = least_overlap(n, percent) - 1
-        short, probed = ranks[order[: n - long_lists]], ranks[order[n - long_lists :]]
-        merged = np.concatenate([self.lists[self.first[r] : self.first[r + 1]] for r in short])
-        count = np.bincount(merged, minlength=len(self.sets))
-        found = np.flatnonzero(count)
-        found = found[found != x]
+        least = least_overlap(n, percent)
+        ranks = ranks[np.argsort(self.first[ranks + 1] - self.first[ranks], kind="stable")]
+        lists = [self.lists[self.first[r] : self.first[r + 1]] for r in ranks.tolist()]
+        long_lists = min(least - 1, int(least / (MERGE_COST * np.log2(len(lists[-1]) + 1) + 1)))
+        short, probed = lists[: n - long_lists], lists[n - long_lists :]
+        # A stable sort of sorted runs merges them.
+        merged = np.sort(np.concatenate(short), kind="stable")
+        edge = np.flatnonzero(np.diff(merged, prepend=-1))
+        found, count = merged[edge], np.diff(np.append(edge, len(merged)))
         m = self.size[found]
         need = -(-percent * (n + m) // (100 + percent))
-        ok = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (count[found] + len(probed) >= need)
-        found, need = found[ok], need[ok]
-        order = np.argsort(-count[found], kind="stable")
-        found, need = found[order], need[order]
-        own = np.sort(self.tokens[probed])
-        i, tried = 0, 0
-        live = wanted(found)
-        while i < len(found):
-            if live[i]:
-                tried += 1
-                if tried > 32:  # many candidates that fail: count all lists at once instead of probing for each of them
-                    rest = np.bincount(np.concatenate([self.lists[self.first[r] : self.first[r + 1]] for r in probed]), minlength=len(self.sets)) if len(probed) else count * 0
-                    for y in found[i:][live[i:] & (count[found[i:]] + rest[found[i:]] >= need[i:])].tolist():
-                        if wanted(np.array([y]))[0]:
-                            yield y
-                    return
-                y = int(found[i])
-                other = self.sorted[y]
-                at = np.minimum(np.searchsorted(other, own), len(other) - 1)
-                if count[y] + int((other[at] == own).sum()) >= need[i]:
-                    yield y
-                    live = wanted(found)
-            i += 1
-
-
-def links_within(sets: list[np.ndarray], side: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """A spanning forest of the links between sets; with ``side``, only of links between sets of different sides."""
-    index, label, found = Index(sets), np.arange(len(sets)), []
+        ok = (found != x) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (count + len(probed) >= need) & wanted(found)
+        found, count, need = found[ok], count[ok], need[ok]
+        for k, own in enumerate(probed):
+            if not len(found):
+                break
+            at = np.minimum(np.searchsorted(own, found), len(own) - 1)
+            count = count + (own[at] == found)
+            may = count + (len(probed) - k - 1) >= need
+            if not may.all():
+                found, count, need = found[may], count[may], need[may]
+        return found[count >= need].tolist()
+
+
+def links_within(sets: list[np.ndarray], label: np.ndarray | None = None, side: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links that join all that links join, but for what ``label`` has joined already; with ``side``, only links between sets of different sides."""
+    _, label = np.unique(np.arange(len(sets)) if label is None else label, return_inverse=True)
+    index, found, left = Index(sets), [], int(label.max()) if len(sets) else 0
     for x in range(len(sets)):
-        def wanted(y: np.ndarray, x: int = x) -> np.ndarray:
-            return (label[y] != label[x]) & (True if side is None else side[y] != side[x])
-
-        for y in index.search(x, wanted, percent):
+        if not left:
+            break
+        for y in index.search(x, lambda y, x=x: (label[y] != label[x]) & (True if side is None else side[y] != side[x]), percent):
             a, b = label[x], label[y]
-            label[label == max(a, b)] = min(a, b)
-            found.append((x, y))
+            if a != b:
+                label[label == max(a, b)] = min(a, b)
+                found.append((x, y))
+                left -= 1
     return found
 
 
 def _searching(percent: int):
-    def search(key, table):
-        if not table.num_rows:
-            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
-        table = table.sort_by([("doc_id", "ascending")])
+    def search(table):
+        table = table.sort_by([("doc_id", "ascending"), ("side", "ascending")])
         ids = table.column("doc_id").to_pylist()
         sets = [np.frombuffer(x, U) for x in table.column("tokens").to_pylist()]
-        i, j = key[1].as_py(), key[2].as_py()
-        side = None if i == j else table.column("block").to_numpy()
-        found = links_within(sets, side, percent)
+        side = table.column("side").to_numpy()
+        found = links_within(sets, table.column("label").to_numpy(), None if len(np.unique(side)) < 2 else side, percent)
         return pa.table({"u": pa.array([ids[x] for x, _ in found], pa.int64()), "v": pa.array([ids[y] for _, y in found], pa.int64())})
 
     return search
 
 
 def _prefixes(percent: int):
+    """``token, id, n``: the prefix shingles of each set, and its size."""
+
     def prefix(batches):
         for b in batches:
-            ids, tokens = [], []
-            for i, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                s = np.frombuffer(raw, np.int64)
-                own = s[: len(s) - least_overlap(len(s), percent) + 1]
-                ids.append(np.full(len(own), i, np.int64))
-                tokens.append(own)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)])), pa.array(np.concatenate([*ids, np.zeros(0, np.int64)]))], names=["token", "id"])
+            sets = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
+            n = np.array([len(x) for x in sets], np.int64)
+            own = n - np.array([least_overlap(k, percent) for k in n.tolist()], np.int64) + 1
+            token = np.concatenate([*(x[:k] for x, k in zip(sets, own.tolist(), strict=True)), np.zeros(0, np.int64)])
+            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.repeat(b.column(0).to_numpy(), own)), pa.array(np.repeat(n, own))], names=["token", "id", "n"])
 
     return prefix
 
 
+def _least(batches):
+    """``id, least``: the least of a set's shingles in an order of its own."""
+    for b in batches:
+        least = [int(mix(np.frombuffer(x, U)).min()) for x in b.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(least, U).view(np.int64))], names=["id", "least"])
+
+
+def _classes(held: DataFrame, links: DataFrame) -> DataFrame:
+    """``id, label`` of every set: the least of those that links join it to, or itself."""
+    joined = scratch.table(components(links), "joined")
+    return held.select(F.col("doc_id").alias("id")).join(joined, F.col("id") == joined["node"], "left").select("id", F.coalesce("component", "id").alias("label"))
+
+
+def _likely(held: DataFrame, percent: int) -> DataFrame:
+    """Links among sets of one least hash, in blocks of bounded size. They are only a start; the search by prefixes leaves none out."""
+    least = scratch.table(held.mapInArrow(_least, "id long, least long"), "least")
+    bins = max(1, -(-least.count() // (BLOCK // 2)))
+    least = least.withColumn("bin", F.pmod("least", F.lit(bins)))
+    large = scratch.table(least.groupBy("bin").count().where(F.col("count") > BLOCK).select("bin", F.ceil(2 * F.col("count") / BLOCK).alias("blocks")), "large")
+    placed = least.join(large, "bin", "left").select(F.col("id").alias("doc_id"), F.xxhash64("bin", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1)))).alias("group"))
+    tasks = held.join(placed, "doc_id").select("group", "doc_id", "tokens", F.col("doc_id").alias("label"), F.lit(0).alias("side"))
+    return scratch.table(tasks.groupBy("group").applyInArrow(_searching(percent), "u long, v long"), "likely")
+
+
+def _searched(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """All links between sets of different labels that no chain of the links returned replaces."""
+    prefix = held.mapInArrow(_prefixes(percent), "token long, id long, n long").join(labels, "id")
+    prefix = scratch.table(prefix, "prefix")
+    sizes = prefix.groupBy("token").agg(F.count("*").alias("sets"), F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("token", "sets")
+    sizes = scratch.table(sizes, "open")
+    rows = scratch.table(prefix.join(sizes, "token"), "candidates")
+    few, many = rows.where(F.col("sets") <= BLOCK // 2), rows.where(F.col("sets") > BLOCK // 2)
+    # Shingles of few sets share tasks.
+    total = sizes.where(F.col("sets") <= BLOCK // 2).agg(F.sum("sets")).first()[0] or 0
+    bins = max(1, -(-total // (BLOCK // 2)))
+    together = few.select(F.pmod(F.xxhash64("token"), F.lit(bins)).alias("group"), "id", "label", F.lit(0).alias("side")).distinct()
+    # A shingle of many sets: blocks by class, where it is a large one, and step of size; sets link only within a step or with the next.
+    step = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
+    many = many.withColumn("step", step)
+    big = many.groupBy("token", "label").count().where(F.col("count") >= BLOCK // 2).select("token", "label", F.col("label").alias("own"))
+    many = scratch.table(many.join(big, ["token", "label"], "left"), "many")
+    parts = scratch.table(many.groupBy("token", "own", "step").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "parts")
+    blocks = parts.select("token", "own", "step", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    name = F.concat_ws(":", F.coalesce(F.col("own").cast("string"), F.lit("mixed")), "step", "block")
+    blocks = blocks.withColumn("name", name)
+    a, b = blocks.alias("a"), blocks.alias("b")
+    meets = (F.col("a.token") == F.col("b.token")) & (F.col("a.name") <= F.col("b.name")) & (F.abs(F.col("a.step") - F.col("b.step")) <= 1) & ~F.coalesce(F.col("a.own") == F.col("b.own"), F.lit(False))
+    pairs = a.join(b, meets).select(F.col("a.token").alias("token"), F.xxhash64("a.token", "a.name", "b.name").alias("group"), F.col("a.name").alias("one"), F.col("b.name").alias("two"))
+    one, two = (F.struct(F.col(c).alias("name"), F.lit(k).alias("side")) for k, c in enumerate(("one", "two")))
+    sides = pairs.select("token", "group", F.explode(F.when(F.col("one") == F.col("two"), F.array(one)).otherwise(F.array(one, two))).alias("x"))
+    sides = scratch.table(sides.select("token", "group", "x.*"), "sides")
+    placed = many.join(parts, [many["token"] == parts["token"], many["own"].eqNullSafe(parts["own"]), many["step"] == parts["step"]]).select(
+        many["token"], many["own"], many["step"], many["id"], many["label"], F.pmod(F.xxhash64("id"), "blocks").alias("block")
+    )
+    apart = placed.withColumn("name", name).join(sides, ["token", "name"]).select("group", "id", "label", "side")
+    tasks = scratch.table(together.unionByName(apart), "tasks")
+    given = tasks.join(held, tasks["id"] == held["doc_id"]).select("group", "doc_id", "tokens", "label", "side")
+    return scratch.table(given.groupBy("group").applyInArrow(_searching(percent), "u long, v long"), "links")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id``.
 
@@ -239,22 +291,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     reps = linked.join(classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi").dropDuplicates(["doc_id", *same]).select("doc_id", "tokens")
 
     held = scratch.table(reps, "reps")
-    prefix = held.mapInArrow(_prefixes(percent), "token long, id long")
-    centres = scratch.table(prefix.groupBy("token").agg(F.min("id").alias("v"), F.max("id").alias("w")).where("v <> w").select("token", "v"), "centres")
-    near = components(prefix.join(centres, "token").select(F.col("id").alias("u"), "v"))
-    near = scratch.table(near, "near")
-
-    sizes = near.groupBy("component").agg(F.count("*").alias("size"))
-    bins = max(1, -(-near.count() // (BLOCK // 2)))
-    large = scratch.table(sizes.where(F.col("size") > BLOCK // 2).withColumn("blocks", F.ceil(F.col("size") / BLOCK)), "large")
-    placed = near.join(large, "component", "left").withColumn("block", F.pmod(F.xxhash64("node"), F.coalesce("blocks", F.lit(1))).cast("int"))
-    alone = F.col("blocks").isNull()
-    group = F.when(alone, -1 - F.pmod(F.xxhash64("component"), F.lit(bins))).otherwise(F.col("component"))
-    others = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks"), F.lit(1)).cast("int") - 1)).alias("other")
-    tasks = placed.select(F.col("node").alias("doc_id"), group.alias("group"), "block", others).select(
-        "doc_id", "group", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
-    links = held.join(tasks, "doc_id").groupBy("group", "i", "j").applyInArrow(_searching(percent), "u long, v long")
+    likely = _likely(held, percent)
+    labels = scratch.table(_classes(held, likely), "labels")
+    links = _searched(held, labels, percent).unionByName(likely)
     joined = scratch.table(components(links), "components")
 
     byclass = scratch.table(classes.join(joined, classes["rep"] == joined["node"], "left").where("uses > 1 or component is not null").select(*same, F.coalesce("component", "rep").alias("component")), "named")
