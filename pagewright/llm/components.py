@@ -63,8 +63,9 @@ def components(edges: DataFrame) -> DataFrame:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
         mark = tuple(seen)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = scratch.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = scratch.table(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        first = scratch.table(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = scratch.table(both.join(first, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         least = scratch.table(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = scratch.table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        before, now = now, scratch.table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        scratch.drop(before, first, large, least)

@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagewright.llm import scratch
 from pagewright.llm.text import U, release
 
 CHUNK_BYTES = 1 << 20
@@ -28,8 +29,29 @@ def sized(docs: DataFrame) -> tuple[int, int]:
     return max(64, -(-total // CHUNK_BYTES)), max(64, -(-total // BUCKET_BYTES))
 
 
+def singled(docs: DataFrame) -> DataFrame:
+    """``docs`` (``doc_id, text``) with one row of each set of repeated rows and ``more``, how many others it has.
+
+    Repeated rows would all go to one chunk, however many there are. Usually there are none, and then the rows are only counted, by their hashes.
+    """
+    key = ["doc_id", "h1", "h2"]
+    hashed = docs.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit("row"), "text")})
+    sets = scratch.table(hashed.groupBy(*key).agg((F.count("*") - 1).alias("more")).where("more > 0").select(F.col("doc_id").alias("id"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), "more"), "repeated")
+    none = F.lit(0).cast("long").alias("more")
+    if sets.isEmpty():
+        return docs.select("doc_id", "text", none)
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))
+    ones = hashed.join(sets, same).dropDuplicates(key).select("doc_id", "text", "more")
+    return hashed.join(sets, same, "left_anti").select("doc_id", "text", none).unionByName(ones)
+
+
+def again(found: DataFrame) -> DataFrame:
+    """Every result as often as its row was there, numbered from 0 by ``copy``."""
+    return found.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), "more"))).drop("more")
+
+
 def chunked(docs: DataFrame, chunks: int) -> DataFrame:
-    return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", "text")
+    return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", "text", "more")
 
 
 def placed(h: np.ndarray, buckets: int, bits: int = 32) -> np.ndarray:

@@ -32,8 +32,8 @@ PERCENT = 75
 BLOCK = 1024
 #: What merging an entry of a list costs against looking one up, as DivideSkip weighs them.
 MERGE_COST = 0.0085
-_SETS = "doc_id long, n long, s1 long, s2 long, tokens binary"
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("tokens", pa.binary())])
+_SETS = "doc_id long, more long, n long, s1 long, s2 long, tokens binary"
+_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("more", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("tokens", pa.binary())])
 
 
 def least_overlap(n: int, percent: int = PERCENT) -> int:
@@ -98,7 +98,7 @@ class Chunk:
                 found = (*name, h[np.lexsort((h, uses[a:b]))].tobytes())
             for c, v in zip(out, (n, *found), strict=True):
                 c.append(v)
-        return pa.Table.from_arrays([self.table.column("doc_id").combine_chunks(), *(pa.array(c, f.type) for c, f in zip(out, list(_SETS_ARROW)[1:], strict=True))], schema=_SETS_ARROW)
+        return pa.Table.from_arrays([*(self.table.column(c).combine_chunks() for c in ("doc_id", "more")), *(pa.array(c, f.type) for c, f in zip(out, list(_SETS_ARROW)[2:], strict=True))], schema=_SETS_ARROW)
 
 
 def _count(table: pa.Table) -> pa.Table:
@@ -272,7 +272,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     scratch.modest(docs.sparkSession)
     chunks, buckets = X.sized(docs)
-    dealt = X.chunked(docs, chunks)
+    dealt = X.chunked(X.singled(docs), chunks)
 
     @X.releasing
     def ask(table):
@@ -287,7 +287,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     same = ["s1", "s2"]
     linked = found.where("tokens is not null and doc_id is not null")
-    classes = scratch.table(linked.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count("*").alias("uses")), "classes")
+    classes = scratch.table(linked.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.sum(F.col("more") + 1).alias("uses")), "classes")
     reps = linked.join(classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi").dropDuplicates(["doc_id", *same]).select("doc_id", "tokens")
 
     held = scratch.table(reps, "reps")
@@ -298,5 +298,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     byclass = scratch.table(classes.join(joined, classes["rep"] == joined["node"], "left").where("uses > 1 or component is not null").select(*same, F.coalesce("component", "rep").alias("component")), "named")
     component = F.when(F.col("doc_id").isNotNull(), F.least(F.col("component"), F.col("doc_id"))).alias("component_id")
-    may = found.where("tokens is not null").join(byclass, same, "left").select("doc_id", F.col("n").alias("n_shingles"), component)
-    return may.unionByName(found.where("tokens is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    may = found.where("tokens is not null").join(byclass, same, "left").select("doc_id", "more", F.col("n").alias("n_shingles"), component)
+    return X.again(may.unionByName(found.where("tokens is null").select("doc_id", "more", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))).drop("copy")

@@ -24,9 +24,9 @@ from pagewright.llm import scratch
 from pagewright.llm.text import U, Texts, Words, texts
 
 WINDOW = 20
-OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:int,end:int>>"
+OUT = "doc_id long, more long, n_words long, n_removed long, kept_sha256 string, removed array<struct<start:int,end:int>>"
 _ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
+    [("doc_id", pa.int64()), ("more", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
 )
 PROBE, WHOLE = 1, 2
 
@@ -120,7 +120,7 @@ class Chunk:
             for c, v in zip(cols, kept(words, own), strict=True):
                 c += v
             base += len(words)
-        return pa.Table.from_arrays([self.table.column("doc_id").combine_chunks(), *(pa.array(c, f.type) for c, f in zip(cols, list(_ARROW)[1:], strict=True))], schema=_ARROW)
+        return pa.Table.from_arrays([*(self.table.column(c).combine_chunks() for c in ("doc_id", "more")), *(pa.array(c, f.type) for c, f in zip(cols, list(_ARROW)[2:], strict=True))], schema=_ARROW)
 
 
 def kept(words: Words, gone: np.ndarray) -> tuple[list, list, list, list]:
@@ -213,7 +213,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     scratch.modest(docs.sparkSession)
     chunks, buckets = X.sized(docs)
-    dealt = X.chunked(docs, chunks)
+    dealt = X.chunked(X.singled(docs), chunks)
 
     @X.releasing
     def ask(table):
@@ -236,4 +236,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     probes = dealt.groupBy("chunk").applyInArrow(ask, X.ROWS).groupBy("bucket").applyInArrow(_answer_probes, X.ROWS)
     wholes = dealt.groupBy("chunk").cogroup(probes.groupBy("chunk")).applyInArrow(ask_whole, X.ROWS).groupBy("bucket").applyInArrow(_answer_wholes, X.ROWS)
-    return dealt.groupBy("chunk").cogroup(probes.unionByName(wholes).groupBy("chunk")).applyInArrow(finish, OUT)
+    found = X.again(dealt.groupBy("chunk").cogroup(probes.unionByName(wholes).groupBy("chunk")).applyInArrow(finish, OUT))
+    # A repeated row starts nothing earlier than its first one, so all its words go where it has a window at all.
+    empty = (F.col("copy") > 0) & (F.col("n_words") >= window)
+    every = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
+    return found.select(
+        "doc_id", "n_words", F.when(empty, F.col("n_words")).otherwise(F.col("n_removed")).alias("n_removed"),
+        F.when(empty, F.sha2(F.lit(""), 256)).otherwise(F.col("kept_sha256")).alias("kept_sha256"), F.when(empty, every).otherwise(F.col("removed")).alias("removed"),
+    )

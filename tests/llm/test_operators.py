@@ -89,6 +89,19 @@ def test_substring(docs, rows, none):
     assert substring.remove_repeats(none).count() == 0
 
 
+def test_repeated_rows_do_not_share_a_task_by_number(spark):
+    """Rows of one id and one text: the first keeps its words, all others lose them; each has its own result."""
+    long, short = " ".join(f"w{k}" for k in range(30)), "too short"
+    rows = [(1, long)] * 300 + [(None, long)] * 3 + [(2, short)] * 200 + [(3, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = substring.remove_repeats(docs).collect()
+    assert Counter((key(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_substring(rows)
+    assert all(sum(s.end - s.start for s in r.removed) == r.n_removed for r in got)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs).collect()) == Counter(
+        [(1, 26, 1)] * 300 + [(None, 26, None)] * 3 + [(2, 1, 2)] * 200 + [(3, 0, 3)] * 2
+    )
+
+
 def links(rows, k=5):
     sets = []
     for i, t in rows:

@@ -99,7 +99,8 @@ def test_run(spark, tmp_path):
     from tokenizers import Tokenizer
 
     rows, items = corpus()
-    spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
+    odd = ("own_sha", "kept", "row", "gone_id", "h1")
+    spark.createDataFrame([(i, t, lang, "s", len(t or ""), *odd) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in odd)).repartition(2).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     want = brute(rows, items)
     gone = {i for i, _, _ in rows} - {i for i, _ in want}
@@ -112,5 +113,21 @@ def test_run(spark, tmp_path):
             pieces[(i, k, s, len(ids[s : s + 2048]), zlib.crc32(ids[s : s + 2048].tobytes()))] += 1
     got = corpus_pipeline.run(spark, f"file://{tmp_path}").collect()
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == pieces
-    for name, stage in corpus_pipeline.STAGES:
-        assert callable(stage) and isinstance(name, str)
+    docs = spark.read.parquet(f"file://{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, docs, f"file://{tmp_path}")
+        assert left.schema.simpleString() == docs.schema.simpleString()
+        assert {tuple(r)[-5:] for r in left.collect()} == {odd}
+
+
+def test_no_documents(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 0
+
+
+def test_rows_of_one_id_keep_the_first_by_other_columns(spark):
+    rows = [(1, "a b", "z"), (1, "a  b", "y"), (1, "a c", "x"), (2, "a b", "a"), (None, "a b", "b"), (None, None, "c"), (None, "", "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    left = {tuple(r) for r in corpus_pipeline.exact_dedup(spark, docs, "").collect()}
+    assert left == {(1, "a  b", "y"), (1, "a c", "x"), (None, None, "c")}
