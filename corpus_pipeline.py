@@ -5,8 +5,9 @@ Every stage works on all rows that its predecessor kept. All but the last return
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pagewright.llm import scratch
 from pagewright.llm.decontam import decontaminate
@@ -17,39 +18,70 @@ from pagewright.llm.packing import pack_documents
 from pagewright.llm.queries import tokenizer_file
 
 
+def _kept(docs: DataFrame, found: DataFrame, stays: Column) -> DataFrame:
+    """The documents of the rows of ``found`` (with ``row``, a struct of a document's columns) that stay."""
+    return found.where(stays).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are in one of the languages learned from the rows that are not held out; see ``lid.accepted``."""
+    """Documents that are in one of the languages learned from the rows that are not held out; see ``lid.accepted``.
+
+    A null or empty text, and one without a letter, goes. Rows are judged one by one, so repeated ones stay or go together; of no documents, none stay.
+    """
+    scratch.settle()
     found = identify(docs, train_on(docs))
-    return found.where(accepted(found)).select("row.*")
+    return _kept(docs, found, accepted(found))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, that of the smallest id; of rows repeated with one id and text, one."""
-    found = exact_groups(docs)
-    kept = found.where("kept").select(F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_sha"))
-    named = docs.withColumn("own_sha", F.unhex(F.sha2(normalised(F.col("text")), 256)))
-    left = named.join(kept, named["doc_id"].eqNullSafe(kept["kept_id"]) & (named["own_sha"] == kept["kept_sha"]), "left_semi")
-    repeated = found.where("not kept").where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    """One document of each group of equal texts, that of the smallest id, a null one last; null counts as empty.
+
+    Only identifiers are moved: rows that go are told by id and a digest of their text, and are few enough to be sent to the tasks or else joined. Of rows
+    repeated with one id and text, the one whose other columns sort first as JSON stays.
+    """
+    scratch.settle()
+    found = scratch.table(exact_groups(docs), "exact")
+    own = F.sha2(normalised(F.col("row").getField("text")), 256)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).withColumns({"own_id": F.col("row").getField("doc_id"), "own_sha": own})
+    same = F.col("own_id").eqNullSafe(F.col("told_id")) & (F.col("own_sha") == F.col("told_sha"))
+    told = [F.col("doc_id").alias("told_id"), F.col("text_sha256").alias("told_sha")]
+    # Whatever of an id and text has no row that is kept goes; of what has both kinds, one row stays.
+    each = found.groupBy("doc_id", "text_sha256").agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("others"))
+    each = scratch.table(each.where("others > 0").select(*told, "kept"), "gone")
+    left = rows.join(each.where("kept = 0"), same, "left_anti")
+    repeated = each.where("kept > 0").drop("kept")
     if not repeated.isEmpty():
-        left = left.dropDuplicates(["doc_id", "own_sha"])
-    return left.select(*docs.columns)
+        order = Window.partitionBy("own_id", "own_sha").orderBy(F.to_json("row"))
+        one = left.join(repeated, same, "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
+        left = left.join(repeated, same, "left_anti").unionByName(one)
+    return _kept(docs, left, F.lit(True))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest id; a document without an id stays."""
+    """One document of each group of near duplicates, that of the smallest id; a document without an id or without words stays, and so do all rows of an id that stays.
+
+    Only the ids of the rows that go are joined.
+    """
+    scratch.settle()
     found = near_duplicates(docs)
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    gone = scratch.table(found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct(), "near")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return _kept(docs, rows.join(gone, F.col("row").getField("doc_id") == F.col("gone_id"), "left_anti"), F.lit(True))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth of the words are part of a benchmark window."""
+    """Documents of which less than a twentieth of the words are part of a benchmark window; a null or empty text has none and stays.
+
+    Rows are judged one by one, so repeated ones stay or go together; without a benchmark all stay.
+    """
+    scratch.settle()
     found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), carry=True)
-    return found.where("not contaminated").select("row.*")
+    return _kept(docs, found, ~F.col("contaminated"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents that are left, packed into sequences."""
+    """The pieces of all documents that are left, packed into sequences; repeated rows each on their own, a null or empty text as the end token alone."""
+    scratch.settle()
     return pack_documents(docs, tokenizer_file())
 
 
@@ -60,7 +92,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of ``documents``. A stage's tables are deleted when its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mark = scratch.written()
     for name, stage in STAGES:
         docs = scratch.table(stage(spark, docs, sf_dir), name)
+        scratch.clear(spark, mark, but=docs)
     return docs
