@@ -5,8 +5,9 @@
 2. What remains is reduced to distinct sets. Sets that are likely to be near copies (one least hash of their shingles) meet in blocks first, so that a family of
    copies is one class before anything is compared pair by pair.
 3. A set's shingles are ordered by how rare they are; sets that can reach the overlap share one of their rarest shingles, the prefix. Each prefix shingle whose
-   sets are not all of one class yet is searched. Those of few sets share tasks of bounded size; one of more is dealt into blocks by class and by step of
-   size, and only blocks that can hold a link between two classes meet.
+   sets are not all of one class yet is searched. Sets that such shingles join to few others are searched with them in one task. Where they join many, a shingle of
+   few sets shares tasks of bounded size with others, and one of more sets is dealt into blocks by class and by step of size, of which only those meet that can hold a
+   link between two classes.
 4. Every task searches with DivideSkip: a set's short inverted lists are merged as sorted runs, what reaches the overlap less the number of long lists is
    looked up in those by binary search, one list after the other, and given up as soon as it can't reach the overlap. Sets of one class are not compared,
    so a family gives a tree, not all pairs.
@@ -32,8 +33,10 @@ PERCENT = 75
 BLOCK = 1024
 #: What merging an entry of a list costs against looking one up, as DivideSkip weighs them.
 MERGE_COST = 0.0085
-_SETS = "doc_id long, more long, n long, s1 long, s2 long, tokens binary"
-_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("more", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("tokens", pa.binary())])
+#: How many long lists are looked up at once.
+PROBED = 64
+_SETS = "doc_id long, more long, n long, s1 long, s2 long, alone int, tokens binary"
+_SETS_ARROW = pa.schema([("doc_id", pa.int64()), ("more", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("alone", pa.int32()), ("tokens", pa.binary())])
 
 
 def least_overlap(n: int, percent: int = PERCENT) -> int:
@@ -77,7 +80,7 @@ class Chunk:
         return [(k, chunk, b - a, prints[a:b].tobytes() + np.minimum(uses[a:b], 255).astype(np.uint8).tobytes()) for k, a, b in X.bucket_bounds(key >> U(32), buckets)]
 
     def sets(self, answers: pa.Table, buckets: int, percent: int) -> pa.Table:
-        """Every document with its number of shingles; those that may link with their shingles too, the rarest first."""
+        """Every document with its number of shingles; those that may link with their shingles too, the rarest first, and how many of them no other has."""
         key, back = np.unique(X.placed(self.hash, buckets), return_inverse=True)
         uses, told = np.ones(len(key), np.int64), dict(zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist(), strict=True))
         for k, a, b in X.bucket_bounds(key >> U(32), buckets):
@@ -89,13 +92,13 @@ class Chunk:
         uses = uses[back]
         first = np.searchsorted(self.doc, np.arange(self.table.num_rows + 1))
         again = np.concatenate([[0], np.cumsum(uses > 1)])[first]
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[] for _ in range(5)]
         for n, a, b, shared in zip(np.diff(first).tolist(), first[:-1].tolist(), first[1:].tolist(), np.diff(again).tolist(), strict=True):
-            found = (None, None, None)
+            found = (None, None, None, None)
             if n and shared >= least_overlap(n, percent):
                 h = self.hash[a:b]
                 name = np.frombuffer(hashlib.sha256(h.tobytes()).digest()[:16], np.int64).tolist()
-                found = (*name, h[np.lexsort((h, uses[a:b]))].tobytes())
+                found = (*name, n - shared, h[np.lexsort((h, uses[a:b]))].tobytes())
             for c, v in zip(out, (n, *found), strict=True):
                 c.append(v)
         return pa.Table.from_arrays([*(self.table.column(c).combine_chunks() for c in ("doc_id", "more")), *(pa.array(c, f.type) for c, f in zip(out, list(_SETS_ARROW)[2:], strict=True))], schema=_SETS_ARROW)
@@ -122,12 +125,13 @@ class Index:
 
     def __init__(self, sets: list[np.ndarray]):
         self.sets, self.size = sets, np.array([len(s) for s in sets])
-        self.sorted = [np.sort(s) for s in sets]
         token = np.concatenate([*sets, np.zeros(0, U)])
         owner = np.repeat(np.arange(len(sets)), self.size)
         self.tokens, back = np.unique(token, return_inverse=True)
         order = np.argsort(back, kind="stable")
         self.lists, self.first = owner[order], np.concatenate([[0], np.cumsum(np.bincount(back, minlength=len(self.tokens)))])
+        #: Every list's entries with the list's number before them: one sorted array to look up in.
+        self.entries = back[order] * len(sets) + self.lists
         cut = np.cumsum(self.size)[:-1] if len(sets) else []
         self.ranks = np.split(back, cut) if len(sets) else []
 
@@ -135,26 +139,29 @@ class Index:
         """Places of sets that link with set ``x``, in order; ``wanted(places)`` tells which of them are of interest."""
         n, ranks = len(self.sets[x]), self.ranks[x]
         least = least_overlap(n, percent)
-        ranks = ranks[np.argsort(self.first[ranks + 1] - self.first[ranks], kind="stable")]
-        lists = [self.lists[self.first[r] : self.first[r + 1]] for r in ranks.tolist()]
-        long_lists = min(least - 1, int(least / (MERGE_COST * np.log2(len(lists[-1]) + 1) + 1)))
-        short, probed = lists[: n - long_lists], lists[n - long_lists :]
+        length = self.first[ranks + 1] - self.first[ranks]
+        order = np.argsort(length, kind="stable")
+        ranks, length = ranks[order], length[order]
+        long_lists = min(least - 1, int(least / (MERGE_COST * np.log2(int(length[-1]) + 1) + 1)))
+        short, size, probed = ranks[: n - long_lists], length[: n - long_lists], ranks[n - long_lists :]
         # A stable sort of sorted runs merges them.
-        merged = np.sort(np.concatenate(short), kind="stable")
+        merged = np.sort(self.lists[np.arange(int(size.sum())) + np.repeat(self.first[short] - np.cumsum(size) + size, size)], kind="stable")
         edge = np.flatnonzero(np.diff(merged, prepend=-1))
         found, count = merged[edge], np.diff(np.append(edge, len(merged)))
         m = self.size[found]
         need = -(-percent * (n + m) // (100 + percent))
-        ok = (found != x) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (count + len(probed) >= need) & wanted(found)
+        ok = (found != x) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (count + len(probed) >= need)
         found, count, need = found[ok], count[ok], need[ok]
-        for k, own in enumerate(probed):
+        ok = wanted(found)
+        found, count, need = found[ok], count[ok], need[ok]
+        for k in range(0, len(probed), PROBED):
             if not len(found):
                 break
-            at = np.minimum(np.searchsorted(own, found), len(own) - 1)
-            count = count + (own[at] == found)
-            may = count + (len(probed) - k - 1) >= need
-            if not may.all():
-                found, count, need = found[may], count[may], need[may]
+            asked = probed[k : k + PROBED, None] * len(self.sets) + found
+            at = np.minimum(np.searchsorted(self.entries, asked), len(self.entries) - 1)
+            count = count + (self.entries[at] == asked).sum(0)
+            may = count + max(0, len(probed) - k - PROBED) >= need
+            found, count, need = found[may], count[may], need[may]
         return found[count >= need].tolist()
 
 
@@ -187,14 +194,16 @@ def _searching(percent: int):
 
 
 def _prefixes(percent: int):
-    """``token, id, n``: the prefix shingles of each set, and its size."""
+    """``token, id, n``: the prefix shingles of each set that another document has too, and its size."""
 
     def prefix(batches):
         for b in batches:
             sets = [np.frombuffer(x, np.int64) for x in b.column(1).to_pylist()]
             n = np.array([len(x) for x in sets], np.int64)
+            alone = b.column(2).to_numpy()
             own = n - np.array([least_overlap(k, percent) for k in n.tolist()], np.int64) + 1
-            token = np.concatenate([*(x[:k] for x, k in zip(sets, own.tolist(), strict=True)), np.zeros(0, np.int64)])
+            token = np.concatenate([*(x[a:k] for x, a, k in zip(sets, alone.tolist(), own.tolist(), strict=True)), np.zeros(0, np.int64)])
+            own = np.maximum(own - alone, 0)
             yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.repeat(b.column(0).to_numpy(), own)), pa.array(np.repeat(n, own))], names=["token", "id", "n"])
 
     return prefix
@@ -215,7 +224,7 @@ def _classes(held: DataFrame, links: DataFrame) -> DataFrame:
 
 def _likely(held: DataFrame, percent: int) -> DataFrame:
     """Links among sets of one least hash, in blocks of bounded size. They are only a start; the search by prefixes leaves none out."""
-    least = scratch.table(held.mapInArrow(_least, "id long, least long"), "least")
+    least = scratch.table(held.select("doc_id", "tokens").mapInArrow(_least, "id long, least long"), "least")
     bins = max(1, -(-least.count() // (BLOCK // 2)))
     least = least.withColumn("bin", F.pmod("least", F.lit(bins)))
     large = scratch.table(least.groupBy("bin").count().where(F.col("count") > BLOCK).select("bin", F.ceil(2 * F.col("count") / BLOCK).alias("blocks")), "large")
@@ -226,16 +235,24 @@ def _likely(held: DataFrame, percent: int) -> DataFrame:
 
 def _searched(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """All links between sets of different labels that no chain of the links returned replaces."""
-    prefix = held.mapInArrow(_prefixes(percent), "token long, id long, n long").join(labels, "id")
+    prefix = held.select("doc_id", "tokens", "alone").mapInArrow(_prefixes(percent), "token long, id long, n long").join(labels, "id")
     prefix = scratch.table(prefix, "prefix")
-    sizes = prefix.groupBy("token").agg(F.count("*").alias("sets"), F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b").select("token", "sets")
-    sizes = scratch.table(sizes, "open")
+    # The shingles of one passage are in the same sets, told by the number and 128 bits of them: one of those shingles stands for all.
+    members = [F.bit_xor(F.xxhash64("id")).alias("m1"), F.bit_xor(F.xxhash64(F.lit("set"), "id")).alias("m2")]
+    sizes = prefix.groupBy("token").agg(F.count("*").alias("sets"), F.min("label").alias("a"), F.max("label").alias("b"), F.min("id").alias("lead"), *members).where("a <> b")
+    sizes = scratch.table(sizes.groupBy("sets", "m1", "m2").agg(F.min("token").alias("token"), F.min("lead").alias("lead")).select("token", "sets", "lead"), "open")
     rows = scratch.table(prefix.join(sizes, "token"), "candidates")
+    # Sets that such shingles join to few others are searched once, with all of them.
+    near = scratch.table(components(rows.select(F.col("id").alias("u"), F.col("lead").alias("v"))), "near")
+    bins = max(1, -(-near.count() // (BLOCK // 2)))
+    small = scratch.table(near.groupBy("component").count().where(F.col("count") <= BLOCK // 2).select("component"), "small")
+    whole = scratch.table(near.join(small, "component").select(F.col("node").alias("id"), F.pmod(F.xxhash64("component"), F.lit(bins)).alias("group")), "whole")
+    together = whole.join(labels, "id").select("group", "id", "label", F.lit(0).alias("side"))
+    rows = scratch.table(rows.join(whole, "id", "left_anti"), "rest")
+    # Of the others, shingles of few sets share tasks: a set goes to as many as its shingles are dealt to.
     few, many = rows.where(F.col("sets") <= BLOCK // 2), rows.where(F.col("sets") > BLOCK // 2)
-    # Shingles of few sets share tasks.
-    total = sizes.where(F.col("sets") <= BLOCK // 2).agg(F.sum("sets")).first()[0] or 0
-    bins = max(1, -(-total // (BLOCK // 2)))
-    together = few.select(F.pmod(F.xxhash64("token"), F.lit(bins)).alias("group"), "id", "label", F.lit(0).alias("side")).distinct()
+    bins = max(1, -(-few.count() // (BLOCK // 2)))
+    dealt = few.select((-1 - F.pmod(F.xxhash64("token"), F.lit(bins))).alias("group"), "id", "label", F.lit(0).alias("side")).distinct()
     # A shingle of many sets: blocks by class, where it is a large one, and step of size; sets link only within a step or with the next.
     step = F.floor(F.log("n") / F.log(F.lit(100 / percent))).cast("int")
     many = many.withColumn("step", step)
@@ -255,7 +272,7 @@ def _searched(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
         many["token"], many["own"], many["step"], many["id"], many["label"], F.pmod(F.xxhash64("id"), "blocks").alias("block")
     )
     apart = placed.withColumn("name", name).join(sides, ["token", "name"]).select("group", "id", "label", "side")
-    tasks = scratch.table(together.unionByName(apart), "tasks")
+    tasks = scratch.table(together.unionByName(dealt).unionByName(apart), "tasks")
     given = tasks.join(held, tasks["id"] == held["doc_id"]).select("group", "doc_id", "tokens", "label", "side")
     return scratch.table(given.groupBy("group").applyInArrow(_searching(percent), "u long, v long"), "links")
 
@@ -288,7 +305,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     same = ["s1", "s2"]
     linked = found.where("tokens is not null and doc_id is not null")
     classes = scratch.table(linked.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.sum(F.col("more") + 1).alias("uses")), "classes")
-    reps = linked.join(classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi").dropDuplicates(["doc_id", *same]).select("doc_id", "tokens")
+    reps = linked.join(classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi").dropDuplicates(["doc_id", *same]).select("doc_id", "tokens", "alone")
 
     held = scratch.table(reps, "reps")
     likely = _likely(held, percent)

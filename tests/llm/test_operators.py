@@ -143,6 +143,21 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in ngram_join.near_duplicates(df).collect()) == links(rows)
 
 
+def test_near_duplicates_among_shared_passages(spark, monkeypatch):
+    """Sets that share passages but few links: one component of the candidates, shingles of many sets, all of them searched by shingle."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 6)
+    r = random.Random(4)
+    passages = [" ".join(f"p{k}x{r.randrange(10**6)}" for _ in range(20)) for k in range(7)]
+    rows = []
+    for i in range(90):
+        own = r.sample(passages, r.choice([2, 3, 4, 5]))
+        rows.append((i, " ".join(own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = links(rows)
+    assert len({c for _, _, c in want}) > 20
+    assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in ngram_join.near_duplicates(df).collect()) == want
+
+
 def test_divide_skip_finds_all_links():
     import numpy as np
 
