@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagewright.llm import scratch
 from pagewright.llm.text import ALNUM, U, Words, releasing, texts, whole
@@ -26,8 +27,6 @@ SHINGLE = 5
 SIEVE_BITS = 26
 #: Distinct shingles that a task holds before it passes its counts on.
 HELD = 1 << 20
-#: A word, with A-Z not yet lower-cased.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 SPANS = "array<struct<start:int,end:int>>"
 
 
@@ -175,6 +174,19 @@ def _occurrences(docs: DataFrame, items: DataFrame, window: int, shingle: int, b
     return scratch.table(found.join(named, ["h1", "h2"]).mapInArrow(releasing(_summed), schema), "contamination")
 
 
+def _counting(docs: DataFrame, carry: bool) -> DataFrame:
+    """``doc_id, h1, h2, n_words`` of every row, and its ``row``, from which the text is taken then."""
+
+    def count(batches):
+        for b in batches:
+            text = b.column(3).field("text") if carry else b.column(3)
+            n = [part.words(ALNUM).counts for part in texts(text, lower=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(np.concatenate([*n, np.zeros(0, np.int64)])), *b.columns[3:][:carry]], names=["doc_id", "h1", "h2", "n_words", "row"][: 4 + carry])
+
+    columns = [T.StructField(c, T.LongType()) for c in ("doc_id", "h1", "h2", "n_words")]
+    return docs.mapInArrow(releasing(count), T.StructType(columns + ([docs.schema["row"]] if carry else [])))
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, shingle: int = SHINGLE, carry: bool = False, sieve_bits: int = SIEVE_BITS) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, item_ids, spans``.
 
@@ -191,9 +203,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, shingle:
     keyed = docs.where("text is not null").select("text", *hashes)
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
     hit = _occurrences(keyed, items, window, shingle, sieve_bits)
-    n_words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     # Only a text's hashes and the number of its words go on, and its row where it is asked for.
-    read = docs.select("doc_id", n_words.alias("n_words"), *hashes, *(["row"] if carry else []))
+    read = _counting(docs.select("doc_id", *hashes, "row" if carry else "text"), carry)
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return read.join(hit, ["h1", "h2"], "left").select(
         "doc_id",

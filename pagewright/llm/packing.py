@@ -1,14 +1,18 @@
 """Best-fit packing of tokenised documents into sequences, by hierarchical residual packing.
 
-Every partition packs its own pieces by best fit, longest first. Bins that are nearly full are emitted; the rest go on as single
-items to a node that takes those of ``FANOUT`` partitions, is packed by best fit again, and so on up to one root. A node hands
-on at most ``HANDED_ON`` bins, those with the most room, and emits the others, so that no node, the root included, grows with the input.
+Every task packs its own pieces by best fit, longest first, at most ``LOCAL`` at a time. Bins that are nearly full are emitted. The others become items of a node that
+takes those of ``FANOUT`` such leaves, packs them by best fit again, emits what is nearly full now, and so on up to one root.
+
+Bins of one fill are alike, so a node needs only to know how many bins of each fill it gets: at most ``capacity`` numbers a child, however many bins there are. It packs
+runs of equal bins at once and tells which ranks of which fill go where; the pieces follow by a join. So every bin is handed on until it is nearly full or the root is
+done, and no node grows with the input.
 
 Tokens: every distinct run of characters that the tokenizer certainly treats on its own is encoded once for each worker and looked up after that.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
@@ -17,16 +21,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pagewright.llm import scratch
-from pagewright.llm.text import SPACED, Texts, U, Words, releasing, same_bytes, texts
+from pagewright.llm.text import SPACED, Texts, U, Words, held, releasing, same_bytes, texts
 
 CAPACITY = 2048
 SLACK = 16
 FANOUT = 8
-HANDED_ON = 512
+LOCAL = 1 << 17
 END = 0
-CACHED_UNITS = 500_000
+CACHED_UNITS = 800_000
 LEARNED = 4096
 
 _code = np.arange(256)
@@ -73,16 +78,19 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _learn(self, units: Units, keys: np.ndarray, first: np.ndarray) -> None:
-        words = [units.word(i) for i in first.tolist()]
-        ids: list[list[int]] = []
+        raw = units.texts.buf.tobytes()
+        words = [raw[a:b] for a, b in zip(units.starts[first].tolist(), units.ends[first].tolist(), strict=True)]
+        sizes, flat = [], [self.flat]
         for i in range(0, len(words), LEARNED):
-            ids += [x.ids for x in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words[i : i + LEARNED]], add_special_tokens=False)]
-        size = np.array([len(x) for x in ids], np.int64)
-        begin = np.array([len(w) for w in words], np.int64)
+            ids = [x.ids for x in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words[i : i + LEARNED]], add_special_tokens=False)]
+            sizes += map(len, ids)
+            flat.append(np.fromiter(itertools.chain.from_iterable(ids), np.uint32))
+        size = np.array(sizes, np.int64)
+        begin = units.ends[first] - units.starts[first]
         self.at = np.concatenate([self.at, len(self.start) + np.arange(len(keys))])
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
         self.begin = np.concatenate([self.begin, len(self.raw) + np.cumsum(begin) - begin])
-        self.flat = np.concatenate([self.flat, np.array([y for x in ids for y in x], np.uint32)])
+        self.flat = np.concatenate(flat)
         self.raw = np.concatenate([self.raw, np.frombuffer(b"".join(words), np.uint8)])
         self.size = np.concatenate([self.size, size])
         self.keys = np.concatenate([self.keys, keys])
@@ -130,8 +138,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     spec = scratch.broadcast(docs.sparkSession, tokenizer)
     schema = pa.schema(_PIECE + [("ids", pa.list_(pa.int32()))] * with_ids)
 
+    name = f"encoder {zlib.crc32(tokenizer.encode())}"
+
     def cut(batches):
-        encoder = Encoder(spec.value)
+        encoder = held(name, lambda: Encoder(spec.value))
         for b in batches:
             names = b.column(0).to_pylist()
             for part in texts(b.column(1)):
@@ -144,7 +154,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                         rows.append((names[part.first + i], k, s - a, len(own), zlib.crc32(own.tobytes()), *([own.tolist()] * with_ids)))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(cut), "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(cut, keeps=name), "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], list[int]]:
@@ -174,69 +184,134 @@ def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], lis
     return bins, offsets, fill
 
 
-_PACKED = "doc_id long, piece int, start long, length long, ids_crc32 long, node long, bin long, offset long, fill long, done boolean"
-_STATE = [("node", pa.int64()), ("bin", pa.int64()), ("offset", pa.int64()), ("fill", pa.int64()), ("done", pa.bool_())]
+def best_fit_counts(counts: list[tuple[int, int]], capacity: int) -> list[tuple[int, int, list[tuple[int, int, int, int]]]]:
+    """Best fit of many equal items at once: ``counts`` are (size, how many). Gives runs of equal bins: how many, their fill, and their parts.
 
-
-def _round(table: pa.Table, node: int, level: int, capacity: int, slack: int, last: bool) -> pa.Table:
-    """Packs the bins of one node: rows are pieces, and those with one (node, bin) move together."""
-    schema = pa.schema(_PIECE + _STATE)
-    n = table.num_rows
-    col = {c: table.column(c).to_numpy() if n else np.zeros(0, np.int64) for c in ("node", "bin", "offset", "length")}
-    _, item, at = np.unique(np.stack([col["node"], col["bin"]], 1), axis=0, return_index=True, return_inverse=True) if n else (None, np.zeros(0, np.int64), np.zeros(0, np.int64))
-    at = at.reshape(-1)
-    size = np.bincount(at, col["length"], minlength=len(item)).astype(np.int64)
+    A part (size, rank, m, offset) says that the run's first bin has the items of that size from this rank on, ``m`` of them from this offset on, the next bin the ``m``
+    items after these, and so on. Every item goes to the fullest bin that still has room for it, longest items first.
+    """
+    by_room: list[list[tuple[int, int, list]]] = [[] for _ in range(capacity + 1)]
+    rooms, full = 0, []
+    for size, left in sorted(counts, reverse=True):
+        rank = 0
+        while left:
+            fits = rooms >> size
+            room = size + (fits & -fits).bit_length() - 1 if fits else capacity
+            n, fill, parts = by_room[room].pop() if fits else (left, 0, [])
+            if fits and not by_room[room]:
+                rooms ^= 1 << room
+            m = min(left, room // size)
+            used = min(n, left // m)
+            if fits and used < n:
+                by_room[room].append((n - used, fill, [(s, r + used * k, k, o) for s, r, k, o in parts]))
+                rooms |= 1 << room
+            run = (used, fill + m * size, [*parts, (size, rank, m, fill)])
+            rank, left, room = rank + used * m, left - used * m, room - m * size
+            if room:
+                by_room[room].append(run)
+                rooms |= 1 << room
+            else:
+                full.append(run)
+    return full + [run for runs in by_room for run in runs]
+
+
+_OF_PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, "
+_PACKED = _OF_PIECE + "node long, fill long, rank long, offset long, done boolean"
+_STATE = [("node", pa.int64()), ("fill", pa.int64()), ("rank", pa.int64()), ("offset", pa.int64()), ("done", pa.bool_())]
+_MOVES = "parent long, fill long, a long, b long, m long, at long, new_fill long, new_rank long, done boolean"
+
+
+def _named(level: int, node: int, bins):
+    """Numbers of emitted bins tell level, node and place, so they are unique."""
+    return (level << 58) | (node << 28) | bins
+
+
+def _leaf(table: pa.Table, node: int, capacity: int, slack: int) -> pa.Table:
+    """Packs pieces by best fit. A bin that stays open is known by its node, fill and rank among those of this fill."""
+    size = table.column("length").to_numpy()
     order = np.argsort(-size, kind="stable")
-    bins, offsets, fill = best_fit(size[order].tolist(), capacity)
-    of, off = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64)
-    of[order], off[order] = bins, offsets
+    of, offset = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+    of[order], offset[order], fill = best_fit(size[order].tolist(), capacity)
     fill = np.array(fill, np.int64)
     done = fill >= capacity - slack
-    if last:
-        done[:] = True
-    elif (~done).sum() > HANDED_ON:
-        done[np.argsort(fill, kind="stable")[HANDED_ON:]] = True
-    b = of[at] if n else at
-    # The numbers of emitted bins tell level, node and place, so they are unique.
-    name = (np.int64(level) << 58) | (np.int64(node) << 26) | b
-    state = [pa.array(np.full(n, node)), pa.array(np.where(done[b], name, b) if n else b), pa.array(col["offset"] + off[at] if n else b), pa.array(fill[b] if n else b), pa.array(done[b] if n else np.zeros(0, bool))]
-    return pa.Table.from_arrays([*(table.column(c).combine_chunks() for c, _ in _PIECE), *state], schema=schema)
+    by_fill = np.argsort(fill, kind="stable")
+    rank = np.zeros(len(fill), np.int64)
+    rank[by_fill] = np.arange(len(fill)) - np.searchsorted(fill[by_fill], fill[by_fill])
+    rank = np.where(done, _named(0, node, np.arange(len(fill))), rank)
+    state = [np.full(len(size), node), fill[of], rank[of], offset, done[of]]
+    return pa.Table.from_arrays([*(table.column(c).combine_chunks() for c, _ in _PIECE), *map(pa.array, state)], schema=pa.schema(_PIECE + _STATE))
 
 
 def _merging(level: int, capacity: int, slack: int, last: bool):
+    """What a node does with the bins of its children: runs of ranks of one fill, and the fill and ranks of the bins that they go to."""
+
     def merge(key, table):
-        return _round(table, key[0].as_py(), level, capacity, slack, last)
+        parent = key[0].as_py()
+        runs = best_fit_counts(list(zip(table.column("fill").to_pylist(), table.column("n").to_pylist(), strict=True)), capacity)
+        ranks: dict[int, int] = {}
+        rows, emitted = [], 0
+        for n, fill, parts in runs:
+            done = last or fill >= capacity - slack
+            rank = _named(level, parent, emitted) if done else ranks.get(fill, 0)
+            if done:
+                emitted += n
+            else:
+                ranks[fill] = rank + n
+            rows += [(parent, size, at, at + n * m, m, offset, fill, rank, done) for size, at, m, offset in parts]
+        cols = list(zip(*rows, strict=True))
+        names = [c.split()[0] for c in _MOVES.split(", ")]
+        return pa.table({c: pa.array(v, pa.bool_() if c == "done" else pa.int64()) for c, v in zip(names, cols, strict=True)})
 
     return merge
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, fanout: int = FANOUT) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, slack: int = SLACK, fanout: int = FANOUT, local: int = LOCAL) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of at most ``capacity`` tokens (``doc_id, piece, start, length, ids_crc32``).
 
-    A sequence's pieces lie one after the other from 0. Repeated rows are packed each on its own; a null id is packed as any other.
+    A sequence's pieces lie one after the other from 0. Repeated rows are packed each on its own; a null id is packed as any other; no rows give none.
     """
-    state = {"node": F.lit(0).cast("long"), "bin": F.lit(0).cast("long"), "offset": F.lit(0).cast("long"), "fill": F.lit(0).cast("long"), "done": F.lit(False)}
-    nodes = max(1, items.rdd.getNumPartitions())
+    partitions = max(1, items.rdd.getNumPartitions())
 
-    def local(batches):
+    def leaves(batches):
         from pyspark import TaskContext
 
-        held = [pa.Table.from_batches([b]) for b in batches]
+        held, rows, node = [], 0, TaskContext.get().partitionId()
+        for b in batches:
+            for i in range(0, b.num_rows, local):
+                part = b.slice(i, local)
+                if held and rows + part.num_rows > local:
+                    yield from _leaf(pa.concat_tables(held).combine_chunks(), node, capacity, slack).to_batches()
+                    held, rows, node = [], 0, node + partitions
+                held.append(pa.Table.from_batches([part]))
+                rows += part.num_rows
         if held:
-            table = pa.concat_tables(held).combine_chunks()
-            table = table.set_column(table.schema.get_field_index("bin"), "bin", pa.array(np.arange(table.num_rows)))
-            yield from _round(table, TaskContext.get().partitionId(), 0, capacity, slack, nodes == 1).to_batches()
-
-    packed = scratch.table(items.withColumns(state).mapInArrow(releasing(local), _PACKED), "packed-0")
-    done, level = packed.where("done"), 0
-    while nodes > 1:
-        level, nodes = level + 1, -(-nodes // fanout)
-        last = nodes == 1
-
-        left = packed.where("not done").withColumn("up", F.floor(F.col("node") / fanout))
-        packed = scratch.table(left.groupBy("up").applyInArrow(_merging(level, capacity, slack, last), _PACKED), f"packed-{level}")
-        done = done.unionByName(packed.where("done"))
-    return done.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset")
+            yield from _leaf(pa.concat_tables(held).combine_chunks(), node, capacity, slack).to_batches()
+
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    packed = scratch.table(items.select(*columns).mapInArrow(releasing(leaves), _PACKED), "packed-0")
+    done, left = packed.where("done"), packed.where("not done")
+    counts = left.groupBy("node", "fill").agg((F.max("rank") + 1).alias("n"))
+    nodes, level = (packed.agg(F.max("node")).first()[0] or 0) + 1, 0
+    while True:
+        level, last = level + 1, nodes <= fanout
+        counts = counts.withColumn("parent", F.floor(F.col("node") / fanout))
+        before = Window.partitionBy("parent", "fill").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
+        counts = scratch.table(counts.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))), f"fills-{level}")
+        sums = counts.groupBy("parent", "fill").agg(F.sum("n").alias("n"))
+        moves = scratch.table(sums.groupBy("parent").applyInArrow(_merging(level, capacity, slack, last), _MOVES), f"moves-{level}")
+        placed = left.join(counts.select("node", "fill", "before", "parent"), ["node", "fill"]).withColumn("rank", F.col("rank") + F.col("before"))
+        moved = placed.join(moves.withColumnsRenamed({"done": "ready"}), ["parent", "fill"]).where("rank >= a and rank < b").withColumn("k", F.col("rank") - F.col("a"))
+        moved = moved.select(
+            *columns, F.col("parent").alias("node"), F.col("new_fill").alias("fill"), (F.col("new_rank") + F.floor(F.col("k") / F.col("m"))).alias("rank"),
+            (F.col("offset") + F.col("at") + F.col("k") % F.col("m") * F.col("fill")).alias("offset"), F.col("ready").alias("done"),
+        )
+        packed = scratch.table(moved, f"packed-{level}")
+        done, left = done.unionByName(packed.where("done")), packed.where("not done")
+        if last:
+            break
+        counts = left.groupBy("node", "fill").agg((F.max("rank") + 1).alias("n"))
+        nodes = -(-nodes // fanout)
+    return done.select(*columns, F.col("rank").alias("sequence_id"), "offset")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:

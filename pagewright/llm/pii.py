@@ -1,10 +1,20 @@
 """Format-preserving pseudonyms for personal data (DataFrame functions only).
 
-Numbers and dates that pass their validation are permuted by a keyed Feistel network within their own format: card numbers keep
-their length and a right Luhn digit, IBANs their country and right check digits, dates stay dates of the same window, IPv4
-addresses, phone and social security numbers keep their signs. One value has one pseudonym for one key, so equal values stay linked across documents,
-and whoever holds the key can undo it (``reveal``). The local part of an e-mail address is replaced by
-keyed characters of the same classes, which links equal values but can't be undone.
+Numbers and dates that pass their validation are permuted by a keyed Feistel network within their own format, and within what is valid of it, so a pseudonym is found
+again and whoever holds the key can undo it (``reveal``). One value has one pseudonym for one key, so equal values stay linked across documents. The local part
+of an e-mail address is replaced by keyed characters of the same classes, which links equal values but can't be undone.
+
+What is covered, and what its validation is:
+
+* ``card``: 13 to 19 digits, or groups of 4-4-4-4 or 4-6-5 with spaces or hyphens; a right Luhn digit. Length and signs stay.
+* ``iban``: a country's letters, check digits and up to 30 characters, also in groups of four; right check digits, and the country's length where ``IBAN_LENGTHS`` has it.
+  Country and letters stay.
+* ``date``: year-month-day with hyphens, or day, month and year with dots or slashes; days that exist, from 1800 to the middle of 2158. Dates with the month first are not covered.
+* ``ip``: four numbers up to 255 that no letter, digit or dot touches, so no versions such as v1.2.3.4. IPv6 is not covered.
+* ``ssn``: 3-2-4 digits with hyphens; neither area 000, 666 or above 899, nor group 00 or serial 0000.
+* ``phone``: ten digits as 3-3-4 with brackets, hyphens or dots, or a plus sign and 9 to 15 digits with single signs in between. Numbering plans are not checked. Ten digits in a row or with
+  spaces alone are not covered, as too much else looks so. The digits before the last ten stay, or the first two after a plus sign.
+* ``email``: a local part, and a domain of at least two labels.
 """
 
 from __future__ import annotations
@@ -17,15 +27,22 @@ from pyspark.sql import functions as F
 #: Kinds in the order in which a match is assigned to them.
 PATTERNS = {
     "email": r"[A-Za-z0-9._+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{2,63}){1,8}",
-    "iban": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b",
     "date": r"\b(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})\b",
-    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
+    "ip": r"(?<![0-9A-Za-z.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9A-Za-z]|\.[0-9])",
     "ssn": r"\b(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}\b",
-    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}\b|\b[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}\b",
-    "card": r"\b(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4})\b",
+    "phone": r"\+[1-9][0-9](?:[ .-]?[0-9]{1,4}){2,5}\b(?![-.]?[0-9])|(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}\b|\b[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}\b",
+    "card": r"\b(?:[0-9]{13,19}|[0-9]{4}([ -])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{6}\1[0-9]{5}))\b",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-FIRST_DAY, DAYS = date(1900, 1, 1), (256, 288)
+FIRST_DAY, DAYS = date(1800, 1, 1), (256, 512)
+#: The characters of an IBAN by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20,
+    "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IS": 26, "IT": 27, "JO": 30,
+    "KW": 30, "KZ": 20, "LB": 28, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28,
+    "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VA": 22,
+}
 ROUNDS = 8
 
 
@@ -103,9 +120,16 @@ def valid(kind: str, value: Column) -> Column:
         d = _only(value)
         return luhn(F.substring(d, F.lit(1), F.length(d) - 1)) == F.right(d, F.lit(1))
     if kind == "iban":
-        return mod97(F.concat(F.substring(value, F.lit(5), F.length(value)), F.left(value, F.lit(4)))) == 1
+        plain = F.replace(value, F.lit(" "), F.lit(""))
+        lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+        known = F.try_element_at(lengths, F.left(plain, F.lit(2)))
+        size = F.length(plain)
+        right = mod97(F.concat(F.substring(plain, F.lit(5), size), F.left(plain, F.lit(4)))) == 1
+        return right & F.coalesce(known == size, size.between(15, 34)) & F.substring(plain, 3, 2).between("02", "98")
     if kind == "date":
         return F.coalesce((_day(value) >= 0) & (_day(value) < DAYS[0] * DAYS[1]), F.lit(False))
+    if kind == "phone":
+        return ~value.startswith("+") | value.contains("(") | F.length(_only(value)).between(9, 15)
     return F.lit(True)
 
 
@@ -134,8 +158,15 @@ def pseudonym(kind: str, value: Column, key: str, undo: bool = False) -> Column:
         country, body = F.left(value, F.lit(2)), F.substring(value, F.lit(5), F.length(value))
         own = _only(body)
         body = F.when(F.length(own) > 1, _refilled(body, _digits(key, kind, own, undo))).otherwise(body)
-        check = F.lpad((98 - mod97(F.concat(body, country, F.lit("00")))).cast("string"), 2, "0")
+        check = F.lpad((98 - mod97(F.concat(F.replace(body, F.lit(" "), F.lit("")), country, F.lit("00")))).cast("string"), 2, "0")
         return F.concat(country, check, body)
+    if kind == "ssn":
+        # Areas without the two that are left out, groups and serials, each counted from 0.
+        area, group, serial = F.substring(d, 1, 3).cast("long"), F.substring(d, 4, 2).cast("long"), F.substring(d, 6, 4).cast("long")
+        pair = _feistel(key, kind, (area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999), F.lit(0), undo)
+        area = F.floor(pair["a"] / 99) + 1
+        area = F.when(area >= 666, area + 1).otherwise(area)
+        return F.format_string("%03d-%02d-%04d", area, pair["a"] % 99 + 1, pair["b"] + 1)
     if kind == "date":
         n = _day(value)
         pair = _feistel(key, kind, F.floor(n / DAYS[1]), F.pmod(n, F.lit(DAYS[1])), F.lit(DAYS[0]), F.lit(DAYS[1]), F.lit(0), undo)
@@ -148,7 +179,8 @@ def pseudonym(kind: str, value: Column, key: str, undo: bool = False) -> Column:
         pair = _feistel(key, kind, part(1) * 256 + part(2), part(3) * 256 + part(4), F.lit(65536), F.lit(65536), F.lit(0), undo)
         return F.concat_ws(".", *[x.cast("string") for s in "ab" for x in (F.floor(pair[s] / 256), pair[s] % 256)])
     if kind == "phone":
-        return _refilled(value, F.concat(F.substring(d, F.lit(1), F.length(d) - 10), _digits(key, kind, F.right(d, F.lit(10)), undo)))
+        stays = F.when(value.startswith("+") & ~value.contains("("), 2).otherwise(F.length(d) - 10)
+        return _refilled(value, F.concat(F.substring(d, F.lit(1), stays), _digits(key, kind, F.substring(d, stays + 1, F.length(d)), undo)))
     return _refilled(value, _digits(key, kind, d, undo))
 
 
@@ -166,7 +198,7 @@ def mask(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "tex
     """One row per input row: ``doc_id, text`` with pseudonyms for what was found, ``n_pii`` and ``n_<kind>``.
 
     A null text stays null and an empty one empty, both without findings. What only looks like one of the kinds (a card number with a wrong
-    check digit, the 31st of June) stays as it is. Rows are treated one by one; other columns are ignored.
+    check digit, the 31st of June) stays as it is. Rows are treated one by one, repeated ones alike; a table without rows gives none; other columns are ignored.
     """
     text = F.col("text")
     read = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))

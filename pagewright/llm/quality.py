@@ -2,7 +2,7 @@
 
 Overlapping heuristics vote good, bad or nothing on every document. How often each combination of votes occurs (at most 3**labellers
 numbers, however many documents) is all that expectation-maximisation needs to estimate each labeller's accuracy and each
-combination's posterior. Posteriors of a bounded sample of documents (about ``SAMPLE`` rows chosen by a hash of id and text, never more than twice as many) train a linear scorer over hashed words, word endings and
+combination's posterior. Posteriors of a bounded sample of documents (the ``SAMPLE`` distinct rows with the least hashes of id and text) train a linear scorer over hashed words, word endings and
 shape features, which then scores the whole text of every document.
 """
 
@@ -185,17 +185,19 @@ def classify(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text
                     cut = np.searchsorted(key, np.arange(len(shape.values) + 1))
                     some = np.flatnonzero(shape.words.counts > 0)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(code(shape.votes())[some], pa.int32()), pa.array([np.unique(own[cut[i] : cut[i + 1]]).astype(np.int32) for i in some], pa.list_(pa.int32()))], names=["code", "places"]
+                        [pa.array(code(shape.votes())[some], pa.int32()), pa.array([np.unique(own[cut[i] : cut[i + 1]]).astype(np.int32) for i in some], pa.list_(pa.int32())), b.column(1).take(pa.array(some + part.first))], names=["code", "places", "hash"]
                     )
 
-        share = min(1.0, sample / int(counts.sum()))
-        chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(share * (1 << 30)))
-        got = chosen.select("text").mapInArrow(releasing(featured), "code int, places array<int>").limit(2 * sample).toArrow()
+        # The same rows whatever the order they come in; only their hashes meet in one place.
+        hashed = docs.withColumn("hash", F.xxhash64("doc_id", "text")).where("text is not null")
+        cut = hashed.select("hash").distinct().orderBy("hash").limit(sample).agg(F.max("hash")).first()[0]
+        chosen = hashed.where(F.col("hash") <= F.lit(cut)).dropDuplicates(["hash"])
+        got = chosen.select("text", "hash").mapInArrow(releasing(featured), "code int, places array<int>, hash long").toArrow().sort_by("hash")
         places = [np.array(x, np.int64) for x in got["places"].to_pylist()]
         target = posterior[got["code"].to_numpy()]
         if len(target):
             weights = fit_linear(np.repeat(np.arange(len(places)), [len(x) for x in places]), np.concatenate(places), target)
-    model = spark.sparkContext.broadcast((posterior, weights))
+    model = scratch.broadcast(spark, (posterior, weights))
     schema = pa.schema([("doc_id", pa.int64()), ("quality_score", pa.float64()), ("kept", pa.bool_()), ("weak_posterior", pa.float64())])
 
     def score(batches):

@@ -178,11 +178,25 @@ def release() -> None:
         pass
 
 
-def releasing(over_partition: Callable) -> Callable:
-    """A function over a partition's batches that releases memory when the partition is done."""
+#: What a worker keeps from one partition to the next of the same operator, by name.
+_HELD: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """What an earlier partition of the operator of this name made in this worker, or what ``make`` makes now."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def releasing(over_partition: Callable, keeps: str | None = None) -> Callable:
+    """A function over a partition's batches that releases memory when the partition is done, and whatever other operators have left in the worker."""
 
     @functools.wraps(over_partition)
     def run(batches):
+        for name in [n for n in _HELD if n != keeps]:
+            del _HELD[name]
         try:
             yield from over_partition(batches)
         finally:

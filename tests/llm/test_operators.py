@@ -258,6 +258,41 @@ def test_patterns_that_defeat_polynomial_hashes(spark):
     assert ids == {i: [*t.encode(x, add_special_tokens=False).ids, 0] for i, x in rows}
 
 
+def test_no_bin_is_closed_early(spark):
+    """Thousands of bins that stay open until the tree brings them what they have room for."""
+    big = [(i, 0, 0, 150, 0) for i in range(3000)]
+    small = [(10_000 + i, 0, 0, 100, 0) for i in range(3000)]
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    items = spark.createDataFrame(big, schema).repartition(5).unionByName(spark.createDataFrame(small, schema).repartition(6))
+    bins: dict = {}
+    for r in packing.pack(items, capacity=256, slack=4, fanout=3, local=300).collect():
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length, r.doc_id))
+    assert len({d for parts in bins.values() for _, _, d in parts}) == 6000 and sum(map(len, bins.values())) == 6000
+    for parts in bins.values():
+        at = 0
+        for offset, length, _ in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 256
+    # 150 and 100 share a bin at best; leaves that hold only one kind of them pair two of 100.
+    assert len(bins) == 3000 + sum(1 for parts in bins.values() if all(n == 100 for _, n, _ in parts))
+
+
+def test_best_fit_of_equal_items_is_best_fit():
+    r = random.Random(1)
+    for _ in range(200):
+        capacity = r.choice([10, 37, 100])
+        sizes = sorted((r.randint(1, capacity) for _ in range(r.randint(0, 60))), reverse=True)
+        runs = packing.best_fit_counts(list(Counter(sizes).items()), capacity)
+        assert Counter(f for n, f, _ in runs for _ in range(n)) == Counter(packing.best_fit(sizes, capacity)[2])
+        seen = Counter()
+        for n, fill, parts in runs:
+            assert sum(s * m for s, _, m, _ in parts) == fill <= capacity
+            for s, rank, m, offset in parts:
+                seen.update((s, rank + k) for k in range(n * m))
+        assert seen == Counter((s, k) for s, c in Counter(sizes).items() for k in range(c))
+
+
 def test_best_fit_takes_the_fullest_bin():
     bins, offsets, fill = packing.best_fit([6, 5, 4, 3, 2], 10)
     assert (bins, offsets, fill) == ([0, 1, 0, 1, 1], [0, 0, 6, 5, 8], [10, 10])
@@ -395,6 +430,59 @@ def test_pii_round_trip(spark, none):
     assert got[(3, 0)].text is None and got[(4, 0)] is not None and pii.mask(none, "key").count() == 0
 
 
+def test_every_pseudonym_is_valid_and_comes_back(spark):
+    """Ten thousand values of each reversible kind against plain Python: one to one, of the same format, valid, and undone by the key."""
+    from datetime import date, timedelta
+
+    r = random.Random(8)
+    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+
+    def luhn(p):
+        total = sum(sum(divmod(2 * int(c), 10)) if i % 2 == 0 else int(c) for i, c in enumerate(reversed(p)))
+        return p + str(-total % 10)
+
+    def iban(country, body):
+        number = "".join(str(int(c, 36)) for c in f"{body}{country}00")
+        return f"{country}{98 - int(number) % 97:02d}{body}"
+
+    def valid_iban(v):
+        v = v.replace(" ", "")
+        return int("".join(str(int(c, 36)) for c in v[4:] + v[:4])) % 97 == 1
+
+    group = lambda v, sizes, sign: sign.join(v[sum(sizes[:k]) : sum(sizes[: k + 1])] for k in range(len(sizes)))
+    day = lambda: date(1800, 1, 1) + timedelta(r.randrange(256 * 512))
+    is_ssn = lambda v: 0 < int(v[:3]) < 900 and int(v[:3]) != 666 and v[4:6] != "00" and v[7:] != "0000"
+    makes = {
+        "card": (lambda: r.choice([lambda: luhn(digits(15)), lambda: luhn(digits(12)), lambda: group(luhn(digits(15)), [4] * 4, " "), lambda: group(luhn(digits(14)), [4, 6, 5], "-")])(), lambda v: luhn(re.sub(r"\D", "", v)[:-1]) == re.sub(r"\D", "", v)),
+        "iban": (lambda: r.choice([lambda: iban("DE", digits(18)), lambda: iban("GB", "WEST" + digits(14)), lambda: group(iban("FR", digits(23)), [4] * 6 + [3], " "), lambda: iban("XZ", digits(12))])(), valid_iban),
+        "date": (lambda: r.choice([lambda d: d.isoformat(), lambda d: d.strftime("%d.%m.%Y"), lambda d: d.strftime("%d/%m/%Y")])(day()), lambda v: date.fromisoformat(v if "-" in v else "-".join(reversed(re.split(r"[./]", v))))),
+        "ip": (lambda: ".".join(str(r.randrange(256)) for _ in range(4)), lambda v: all(0 <= int(x) < 256 for x in v.split("."))),
+        "ssn": (lambda: next(v for v in iter(lambda: f"{digits(3)}-{digits(2)}-{digits(4)}", None) if is_ssn(v)), is_ssn),
+        "phone": (lambda: r.choice([lambda: f"({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"+1 ({digits(3)}) {digits(3)}-{digits(4)}", lambda: f"{digits(3)}-{digits(3)}-{digits(4)}", lambda: f"+44 {digits(2)} {digits(4)} {digits(4)}"])(), lambda v: True),
+    }
+    values = [(k, v) for k, (make, _) in makes.items() for v in sorted({make() for _ in range(10_000)})]
+    df = spark.createDataFrame([(i, v) for i, (_, v) in enumerate(values)], "doc_id long, text string").repartition(4)
+    masked = pii.mask(df, "key").persist()
+    got = {x.doc_id: x for x in masked.collect()}
+    back = {x.doc_id: x.text for x in pii.reveal(masked.select("doc_id", "text"), "key").collect()}
+    masked.unpersist()
+    for i, (kind, v) in enumerate(values):
+        assert got[i].n_pii == 1 and got[i][f"n_{kind}"] == 1, (kind, v, got[i])
+        assert re.sub(r"\d", "0", got[i].text) == re.sub(r"\d", "0", v) or kind == "ip"
+        assert makes[kind][1](got[i].text) and back[i] == v, (kind, v, got[i].text, back[i])
+    assert len({x.text for x in got.values()}) == len(values)
+
+
+def test_pii_edges(spark):
+    """What is not covered stays; repeated rows and columns with clashing names change nothing."""
+    same = "v1.2.3.4 1.2.3.4.5 31.06.2020 5551234567 666-12-3456 DE89370400440532013001 GB82 1234 03/14/2024 10.0.0.1x"
+    rows = [(1, same, "x", 1), (2, "+44 20 7946 0958", "y", 2), (2, "+44 20 7946 0958", "y", 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, hits string, n_pii int")
+    got = pii.mask(df, "key").collect()
+    assert [(r.text, r.n_pii) for r in got if r.doc_id == 1] == [(same, 0)]
+    assert len({r.text for r in got if r.doc_id == 2}) == 1 and sum(r.n_phone for r in got) == 2 and len(got) == 3
+
+
 def test_feistel_is_a_permutation(spark):
     df = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     got = [r[0] for r in df.select(pii._digits("k", "card", F.col("d"), False)).collect()]
@@ -469,6 +557,21 @@ def test_quality(spark, none):
     assert quality.classify(none).count() == 0
 
 
+def test_quality_against_labels(spark):
+    """Scores against the labels of some documents, which no part of the method sees."""
+    import numpy as np
+
+    from pagewright.llm import queries
+
+    path = "/root/testdata/sf0.01"
+    found = queries.op2_quality(spark, path).join(spark.read.parquet(f"{path}/labels.parquet"), "doc_id").select("doc_id", "quality_score", "kept", "quality").collect()
+    score, good = np.array([r.quality_score for r in found]), np.array([r.quality for r in found]) == 1
+    auc = (score[good][:, None] > score[~good]).mean() + 0.5 * (score[good][:, None] == score[~good]).mean()
+    assert auc >= 0.9 and np.mean(np.array([r.kept for r in found]) == good) >= 0.9
+    again = {r.doc_id: r.quality_score for r in quality.classify(spark.read.parquet(f"{path}/documents.parquet").repartition(7)).collect()}
+    assert all(again[r.doc_id] == r.quality_score for r in found)
+
+
 def test_expectation_maximisation_recovers_accuracies():
     import numpy as np
 
