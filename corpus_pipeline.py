@@ -36,24 +36,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that of the smallest id, a null one last; null counts as empty.
 
-    Only identifiers are moved: rows that go are told by id and a digest of their text, and are few enough to be sent to the tasks or else joined. Of rows
-    repeated with one id and text, the one whose other columns sort first as JSON stays.
+    Documents are joined with the ids of those that go. Only rows of an id that has both kinds are told apart by a digest of their text; of rows repeated with one id and
+    text, the one whose other columns sort first as JSON stays.
     """
     scratch.settle()
-    found = scratch.table(exact_groups(docs), "exact")
-    own = F.sha2(normalised(F.col("row").getField("text")), 256)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).withColumns({"own_id": F.col("row").getField("doc_id"), "own_sha": own})
-    same = F.col("own_id").eqNullSafe(F.col("told_id")) & (F.col("own_sha") == F.col("told_sha"))
-    told = [F.col("doc_id").alias("told_id"), F.col("text_sha256").alias("told_sha")]
-    # Whatever of an id and text has no row that is kept goes; of what has both kinds, one row stays.
-    each = found.groupBy("doc_id", "text_sha256").agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("others"))
-    each = scratch.table(each.where("others > 0").select(*told, "kept"), "gone")
-    left = rows.join(each.where("kept = 0"), same, "left_anti")
-    repeated = each.where("kept > 0").drop("kept")
-    if not repeated.isEmpty():
+    found = scratch.table(exact_groups(docs).select("doc_id", "text_sha256", "kept"), "exact")
+    by_id = found.groupBy(F.col("doc_id").alias("told_id")).agg(F.bool_or("kept").alias("some"), F.bool_and("kept").alias("all")).where("not all")
+    by_id = scratch.table(by_id, "by-id")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    same_id = F.col("row").getField("doc_id").eqNullSafe(F.col("told_id"))
+    left = rows.join(by_id.where("not some").select("told_id"), same_id, "left_anti")
+    mixed = by_id.where("some").select("told_id")
+    if not mixed.isEmpty():
+        kept = found.where("kept").join(mixed, F.col("doc_id").eqNullSafe(F.col("told_id")), "left_semi").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+        own = F.sha2(normalised(F.col("row").getField("text")), 256)
+        some = left.join(mixed, same_id, "left_semi").withColumns({"own_id": F.col("row").getField("doc_id"), "own_sha": own})
+        some = some.join(kept, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_sha") == F.col("kept_sha")), "left_semi")
         order = Window.partitionBy("own_id", "own_sha").orderBy(F.to_json("row"))
-        one = left.join(repeated, same, "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1").drop("place")
-        left = left.join(repeated, same, "left_anti").unionByName(one)
+        one = some.withColumn("place", F.row_number().over(order)).where("place = 1").select("row")
+        left = left.join(mixed, same_id, "left_anti").unionByName(one)
     return _kept(docs, left, F.lit(True))
 
 
