@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,6 +14,11 @@ from pyspark.sql.types import StringType
 SPACE = r"[\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 WORD = r"[\p{L}\p{N}_]"
 ALNUM = r"[\p{L}\p{N}]"
+_SOLID = r"[^\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_IN_LINE = r"[^\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
+#: What a line that is not blank has from its first to its last visible character, and such a line as a whole. All line ends are white space.
+STRIPPED_LINE = f"{_SOLID}(?:{_IN_LINE}*{_SOLID})?"
+WHOLE_LINE = f"{_IN_LINE}*{_SOLID}{_IN_LINE}*"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 #: A word starts with a word character and goes on over dots, slashes, plus and minus signs.
 WORDS = r"[\p{L}\p{N}_][\p{L}\p{N}_./+\-]*"
@@ -54,7 +60,12 @@ def collapse(x: Column | str) -> Column:
 
 def lines(x: Column | str) -> Column:
     """Stripped lines that are not blank."""
-    return F.filter(F.transform(F.split(_col(x), LINE_END), strip), lambda s: s != "")
+    return F.regexp_extract_all(_col(x), F.lit(STRIPPED_LINE), F.lit(0))
+
+
+def once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)`` with ``x`` worked out once, however often ``f`` uses it: a column's expression is repeated at each use, a lambda's parameter is not."""
+    return F.element_at(F.transform(F.array(x), f), 1)
 
 
 def contains_folded(x: Column | str, query: str) -> Column:

@@ -131,6 +131,64 @@ def find_by_part_number(products: DataFrame, value: str, columns: tuple[str, ...
     return products.where(hit).orderBy(*(order or [F.desc("updated_at"), "record_id"]))
 
 
+def replace_children(old: DataFrame, new: DataFrame, owners: DataFrame, owner: str) -> DataFrame:
+    """The rows of a child table after its owners were stored again: none of theirs that they no longer have stays."""
+    return replace_scope(old, new, [owner], owners.select(F.col("record_id").alias(owner)))
+
+
+def get_product(products: DataFrame, record_id: str, key: str = "record_id") -> DataFrame:
+    """The product of that id, if there is one."""
+    return products.where(F.col(key) == record_id)
+
+
+def iter_products(products: DataFrame, key: str = "record_id") -> DataFrame:
+    """All products in the order of their ids; range partitions keep it without gathering the rows in one task."""
+    return products.orderBy(key)
+
+
+def get_evidence(cited: DataFrame, record_id: str, field_path: str | None = None) -> DataFrame:
+    """The evidence of a product, or of one of its fields, by page and ordinal."""
+    found = cited.where(F.col("product_record_id") == record_id)
+    return (found if field_path is None else found.where(F.col("field_path") == field_path)).orderBy("page_number", "ordinal", "field_path")
+
+
+def get_batch(batches: DataFrame, batch_id: str) -> DataFrame:
+    """The audit of a batch, with its JSON as a variant."""
+    found = batches.where(F.col("batch_id") == batch_id)
+    return found.withColumn("audit", F.try_parse_json("audit")) if "audit" in found.columns else found
+
+
+def candidates_with(rows: DataFrame, others: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Rows that have a partner; each once, however many partners there are."""
+    return rows.join(others, reduce(lambda a, b: a & b, [rows[a] == others[b] for a, b in on.items()]), "left_semi")
+
+
+def missing_from(rows: DataFrame, others: DataFrame, on: dict[str, str]) -> DataFrame:
+    """Rows that have no partner."""
+    return rows.join(others, reduce(lambda a, b: a & b, [rows[a] == others[b] for a, b in on.items()]), "left_anti")
+
+
+def id_sets(rows: DataFrame, group: list[str], ident: str, side: str, first: str, second: str) -> DataFrame:
+    """For each group what two sides of its ids have in common, how many ids either has, and how many only the first has."""
+    per = rows.select(*group, F.col(ident).alias("_id"), (F.col(side) == first).alias("_a"), (F.col(side) == second).alias("_b")).where("_a or _b").groupBy(*group, "_id").agg(F.bool_or("_a").alias("_a"), F.bool_or("_b").alias("_b"))
+    both = F.col("_a") & F.col("_b")
+    return per.groupBy(*group).agg(
+        F.array_sort(F.collect_list(F.when(both, F.col("_id")))).alias("both"), F.count("*").alias("either"), F.count_if(F.col("_a") & ~F.col("_b")).alias("only_first"),
+        F.bool_or("_a").alias("has_first"), F.bool_or("_b").alias("has_second"),
+    ).where("has_first and has_second").drop("has_first", "has_second")
+
+
+def first_of(rows: DataFrame, key: list[Column], order: list[str]) -> DataFrame:
+    """Of rows with one key the first in order."""
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
+
+
+def occurrence_names(rows: DataFrame, group: list[str], name: str, order: list[str], out: str = "label") -> DataFrame:
+    """Names made distinct within their groups: the first as it is, others with their number in brackets."""
+    n = F.row_number().over(Window.partitionBy(*group, name).orderBy(*order))
+    return rows.withColumn("_n", n).withColumn(out, F.when(F.col("_n") == 1, F.col(name)).otherwise(F.format_string("%s (%d)", name, "_n"))).drop("_n")
+
+
 def violations(child: DataFrame, parent: DataFrame, keys: dict[str, str]) -> DataFrame:
     """Rows of a child table whose reference is not null and has no parent."""
     on = reduce(lambda a, b: a & b, [child[c] == parent[p] for c, p in keys.items()])

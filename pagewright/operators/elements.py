@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import math
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types
 
 from pagewright.functions import text as T
 from pagewright.operators import routing
@@ -71,38 +76,103 @@ def line_elements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return completed(rows.withColumn("confidence", F.lit(1.0)))
 
 
-def tagged_elements(responses: DataFrame, method: str = "document_vlm") -> DataFrame:
-    """Elements of answers in tagged form (corners, text, class), with normalised boxes; ``document_id, page_number, content, model``."""
-    whole = F.regexp_extract_all("content", F.lit(TAGGED), F.lit(0))
-    part = lambda k: F.regexp_extract("t", TAGGED, k)
-    rows = responses.select("document_id", "page_number", "model", F.posexplode(whole).alias("k", "t"))
-    box = F.struct(*[part(k).cast("double").alias(c) for k, c in ((1, "x0"), (2, "y0"), (4, "x1"), (5, "y1"))], F.lit("normalized").alias("coordinate_space"))
-    rows = rows.withColumns({"text": T.strip(part(3)), "bbox": box, "element_type": part(6)}).where("text <> ''")
-    order = Window.partitionBy("document_id", "page_number").orderBy("k")
-    return completed(rows.withColumns({"sequence_number": F.row_number().over(order) - 1, "extraction_method": F.lit(method)}))
-
-
-def json_elements(responses: DataFrame, method: str = "document_vlm") -> DataFrame:
-    """Elements of answers in JSON form, whose lists may be named ``elements, items, blocks`` or stand alone; text may be any of five fields."""
-    item = "struct<text:string,content:string,markdown:string,html:string,value:string,type:string,element_type:string,bbox:array<double>,confidence:string>"
-    named = F.from_json("content", f"struct<elements:array<{item}>,items:array<{item}>,blocks:array<{item}>>")
-    found = F.coalesce(named["elements"], named["items"], named["blocks"], F.from_json("content", f"array<{item}>"), F.array().cast(f"array<{item}>"))
-    rows = responses.select("document_id", "page_number", "model", F.posexplode(found).alias("k", "e"))
-    text = T.strip(F.coalesce("e.text", "e.content", "e.markdown", "e.html", "e.value"))
-    b = F.col("e.bbox")
-    box = F.when(F.size(b) == 4, F.struct(*[F.element_at(b, k + 1).alias(c) for k, c in enumerate(("x0", "y0", "x1", "y1"))], F.lit("pixel").alias("coordinate_space")))
-    rows = rows.withColumns({"text": text, "element_type": F.coalesce("e.type", "e.element_type", F.lit("text")), "bbox": box.cast(BOX), "confidence": T.finite("e.confidence")}).where("text <> ''")
-    order = Window.partitionBy("document_id", "page_number").orderBy("k")
-    return completed(rows.withColumns({"sequence_number": F.row_number().over(order) - 1, "extraction_method": F.lit(method)}))
+#: An element of an answer, as the model boundary reads it.
+ANSWER = types.ArrayType(
+    types.StructType(
+        [types.StructField("text", types.StringType()), types.StructField("element_type", types.StringType())]
+        + [types.StructField("bbox", types.StructType([types.StructField(c, types.DoubleType()) for c in ("x0", "y0", "x1", "y1")] + [types.StructField("coordinate_space", types.StringType())]))]
+        + [types.StructField("confidence", types.DoubleType())]
+    )
+)
+#: Where an element's text may be, the first that is there; what lists of elements are called; the names of a box's sides.
+TEXTS = ("text", "content", "markdown", "html", "value")
+LISTS = ("elements", "items", "blocks")
+SIDES = (("left", "top", "right", "bottom"), ("x0", "y0", "x1", "y1"))
+
+
+def box_of(value) -> tuple[float, float, float, float] | None:
+    """A box from four numbers, from its sides by either set of names, or from a corner with width and height; None from anything else."""
+    try:
+        if isinstance(value, dict):
+            named = next((names for names in SIDES if all(n in value for n in names)), None)
+            if named:
+                return tuple(float(value[n]) for n in named)
+            x, y, w, h = (float(value[n]) for n in ("x", "y", "width", "height"))
+            return x, y, x + w, y + h
+        a, b, c, d = value if isinstance(value, list | tuple) else ()
+        return float(a), float(b), float(c), float(d)
+    except (KeyError, TypeError, ValueError):
+        return None
+
+
+def text_of(item: dict) -> str:
+    """An element's text without white space around it; a map or list as JSON."""
+    found = next((item[k] for k in TEXTS if item.get(k) not in (None, "")), "")
+    return (json.dumps(found, sort_keys=True, ensure_ascii=False) if isinstance(found, dict | list) else str(found)).strip()
+
+
+def walk(tree, inside: tuple[str, ...] = ("pages", "elements")) -> Iterator[dict]:
+    """The elements of a tree of documents, pages and lists: every map that has an ``element_id``, in order."""
+    if isinstance(tree, dict):
+        if "element_id" in tree:
+            yield tree
+        else:
+            yield from walk(next((tree[k] for k in inside if isinstance(tree.get(k), list)), list(tree.values()) if not inside else []), inside)
+    elif isinstance(tree, list | tuple):
+        for x in tree:
+            yield from walk(x, inside)
+
+
+def listed(value) -> list[dict]:
+    """The elements of an answer's JSON value: a list, a map that holds one, or a single element; lists in lists and in elements are read in order."""
+    if isinstance(value, dict):
+        own = next((value[k] for k in LISTS if isinstance(value.get(k), list)), None)
+        here = [value] if text_of(value) else []
+        return here + (listed(own) if own is not None else [])
+    return [e for x in value for e in listed(x)] if isinstance(value, list) else []
+
+
+@F.pandas_udf(ANSWER)
+def _answered(content: pd.Series) -> pd.Series:
+    from pagewright.plans.models import NotJson, parse_json
+
+    def one(raw):
+        try:
+            value = parse_json(raw)
+        except NotJson:
+            return None
+        out = []
+        for e in listed(value):
+            kind, box = e.get("type") or e.get("element_type") or "text", box_of(e.get("bbox", e.get("bounding_box")))
+            space = str((e.get("bbox") or {}).get("coordinate_space") or "pixel") if isinstance(e.get("bbox"), dict) else "pixel"
+            try:
+                confidence = float(e["confidence"])
+            except (KeyError, TypeError, ValueError):
+                confidence = float("nan")
+            out.append({"text": text_of(e), "element_type": str(kind), "bbox": None if box is None else dict(zip(("x0", "y0", "x1", "y1", "coordinate_space"), (*box, space), strict=True)), "confidence": confidence if math.isfinite(confidence) else None})
+        return out
+
+    return content.map(one, na_action="ignore")
 
 
 def response_elements(responses: DataFrame, method: str = "document_vlm") -> DataFrame:
-    """Elements of model answers: JSON first, then tagged text, else the whole answer as one ``document`` element. Blank ones are left out."""
-    is_json = F.try_parse_json(F.col("content")).isNotNull()
-    is_tagged = F.col("content").rlike(TAGGED)
-    plain = responses.where(~is_json & ~is_tagged & (T.strip("content") != ""))
-    rest = completed(plain.select("document_id", "page_number", "model", T.strip("content").alias("text"), F.lit(0).alias("sequence_number"), F.lit("document").alias("element_type"), F.lit(method).alias("extraction_method")))
-    return json_elements(responses.where(is_json), method).unionByName(tagged_elements(responses.where(~is_json & is_tagged), method)).unionByName(rest)
+    """Elements of model answers (``document_id, page_number, content, model``, and ``after``: how many elements the page has already, where it has).
+
+    JSON first, then text tagged with corners and a class, else the whole answer as one ``document`` element. Blank ones are left out, and the others numbered.
+    """
+    part = lambda t, k: F.regexp_extract(t, TAGGED, k)
+    corners = lambda t: F.struct(*[part(t, k).cast("double").alias(c) for k, c in ((1, "x0"), (2, "y0"), (4, "x1"), (5, "y1"))], F.lit("normalized").alias("coordinate_space"))
+    none = F.lit(None).cast("double")
+    tagged = F.transform(
+        F.regexp_extract_all("content", F.lit(TAGGED), F.lit(0)),
+        lambda t: F.struct(T.strip(part(t, 3)).alias("text"), part(t, 6).alias("element_type"), corners(t).alias("bbox"), none.alias("confidence")),
+    )
+    whole = F.array(F.struct(T.strip("content").alias("text"), F.lit("document").alias("element_type"), F.lit(None).cast(BOX).alias("bbox"), none.alias("confidence")))
+    found = F.coalesce("answered", F.when(F.col("content").rlike(TAGGED), tagged.cast(ANSWER)).otherwise(whole.cast(ANSWER)))
+    solid = F.filter(found, lambda e: F.coalesce(e["text"], F.lit("")) != "")
+    after = F.coalesce(F.col("after"), F.lit(0)) if "after" in responses.columns else F.lit(0)
+    rows = responses.withColumn("answered", _answered("content")).select("document_id", "page_number", "model", after.alias("after"), F.posexplode(solid).alias("k", "e"))
+    return completed(rows.select("document_id", "page_number", "model", (F.col("k") + F.col("after")).cast("int").alias("sequence_number"), "e.*", F.lit(method).alias("extraction_method")))
 
 
 def fingerprint(pages: DataFrame, parser: str = "", ocr: str = "") -> DataFrame:
@@ -112,17 +182,22 @@ def fingerprint(pages: DataFrame, parser: str = "", ocr: str = "") -> DataFrame:
         parts.append(F.coalesce(F.to_json("native_blocks"), F.lit("")))
     if "image" in pages.columns:
         parts.append(F.coalesce(F.sha2("image", 256), F.lit("")))
-    return pages.withColumn("fingerprint", T.prefixed_hash(*parts))
+    # Never null, and seen to be so: a join by it adds no filter that would work it out once more.
+    return pages.withColumn("fingerprint", F.coalesce(T.prefixed_hash(*parts), F.lit("")))
 
 
 def pending(pages: DataFrame, earlier: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pages that still have to be extracted, and earlier extractions that hold for their page's present fingerprint."""
+    """Pages that still have to be extracted, and earlier extractions that hold for their page's present fingerprint; one that failed never does."""
     key = ["document_id", "page_number", "fingerprint"]
+    if "error" in earlier.columns:
+        earlier = earlier.where("error is null")
     return pages.join(earlier, key, "left_anti"), earlier.join(pages.select(*key), key, "left_semi")
 
 
-def meaningful_native(pages: DataFrame) -> Column:
+def meaningful_native(pages: DataFrame, thresholds: routing.Thresholds = routing.Thresholds()) -> Column:
     """Whether a page's text or its joined blocks would pass the router if layout did not count."""
-    passes = lambda c: routing.decide(routing.signals(c))["route"] == routing.NATIVE
+    passes = lambda c: routing.decide(routing.signals(c), thresholds)["route"] == routing.NATIVE
+    if "native_blocks" not in pages.columns:
+        return passes(F.col("native_text"))
     joined = F.array_join(F.transform("native_blocks", lambda b: F.coalesce(b["text"], F.lit(""))), "\n")
-    return passes(F.col("native_text")) | passes(joined)
+    return passes(F.col("native_text")) | passes(F.coalesce(joined, F.lit("")))

@@ -9,6 +9,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 LIMITS = {"specifications": 48, "other_details": 24}
 PRODUCT_LIMIT = 32
@@ -18,8 +19,11 @@ def resolve(refs: DataFrame, elements: DataFrame, document_col: str = "document_
     """References (``ref_id, document_id, element_id, page_number, text``) with the element each resolves to and how.
 
     By id first; else by page and exact text within the document, where exactly one element fits. ``resolution`` is ``by_id``, ``by_text``,
-    ``cross_document`` or ``unknown``.
+    ``cross_document`` or ``unknown``. Of elements with one id the last counts, by page and sequence where they have these; every reference stays one row.
     """
+    order = [F.desc_nulls_last(c) for c in ("page_number", "sequence_number", "text") if c in elements.columns]
+    last = Window.partitionBy("element_id").orderBy(*order)
+    elements = elements.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
     e = elements.select(F.col("element_id").alias("e_id"), F.col("document_id").alias("e_document"), F.col("page_number").alias("e_page"), F.col("text").alias("e_text"))
     by_id = refs.join(e, refs["element_id"] == e["e_id"], "left")
     only = e.groupBy("e_document", "e_page", "e_text").agg(F.count("*").alias("n"), F.min("e_id").alias("t_id")).where("n = 1").drop("n")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -17,10 +17,9 @@ KNOWN = ("pending", "running", "succeeded", "failed", "review", "cancelled", "un
 
 
 def duplicate_groups(files: DataFrame, content: str, path: str) -> DataFrame:
-    """Groups of equal content (by SHA-256) with their number and their sorted paths."""
+    """Groups of equal content (by SHA-256) with their number and their sorted paths, in one aggregation over digests and paths."""
     found = files.select(F.sha2(F.coalesce(F.col(content), F.lit("").cast(files.schema[content].dataType)), 256).alias("sha256"), path)
-    many = found.groupBy("sha256").agg(F.count("*").alias("copies")).where("copies > 1")
-    return found.join(many, "sha256").groupBy("sha256").agg(F.first("copies").alias("copies"), F.array_sort(F.collect_list(path)).alias("paths"))
+    return found.groupBy("sha256").agg(F.count("*").alias("copies"), F.array_sort(F.collect_list(path)).alias("paths")).where("copies > 1")
 
 
 def inventory_metrics(files: DataFrame, content: str, size: str) -> DataFrame:
@@ -40,11 +39,16 @@ def page_chunks(pages: DataFrame, size: int, key: list[str], order: list[str]) -
     return pages.withColumn("chunk", F.floor((place - 1) / size) + 1)
 
 
-def page_budget(docs: DataFrame, pages: str, order: str, budget: int, per_document: int, group: list[str]) -> DataFrame:
-    """How many pages of each document are taken when documents of a group draw on one budget in order."""
+def page_budget(docs: DataFrame, pages: str, order: str, budget: int, per_document: int, group: list[str], status: str | None = None) -> DataFrame:
+    """How many pages of each document are taken when documents of a group draw on one budget in order.
+
+    With ``status`` only documents that succeeded or are in review spend what they take; failed ones report no pages and spend none. What a document takes is
+    bounded by the budget that is left, so what it spends is that or nothing, and the sum of what came before is all that it depends on.
+    """
     capped = docs.withColumn("wanted", F.least(F.col(pages), F.lit(per_document)))
+    spends = F.col("wanted") if status is None else F.when(F.col(status).isin("succeeded", "review"), F.col("wanted")).otherwise(0)
     before = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    spent = F.coalesce(F.sum("wanted").over(before), F.lit(0))
+    spent = F.coalesce(F.sum(spends).over(before), F.lit(0))
     return capped.withColumn("taken", F.greatest(F.lit(0), F.least(F.col("wanted"), F.lit(budget) - spent)).cast("long"))
 
 
@@ -70,6 +74,14 @@ def job_states(rows: DataFrame, state: str) -> DataFrame:
     return rows.withColumn("state", F.when(own.isin(*KNOWN), own).otherwise("unknown"))
 
 
+def is_status_payload(payload: Column) -> Column:
+    """Whether a JSON text is the status of a run or job: by its kind, else by a state together with an identity."""
+    get = lambda k: F.get_json_object(payload, f"$.{k}")
+    kind = F.lower(F.coalesce(get("kind"), get("type"), F.lit("")))
+    named = F.coalesce(*[get(k) for k in ("run_id", "job_id", "id", "document_id")]).isNotNull()
+    return F.coalesce(kind.isin("run", "job", "run_status", "job_status") | (F.coalesce(get("state"), get("status")).isNotNull() & named), F.lit(False))
+
+
 def run_summary(documents: DataFrame, status: str, metrics: dict[str, str]) -> DataFrame:
     """Documents by status and sums of metrics, in one row."""
     by = [F.count_if(F.col(status) == s).alias(f"documents_{s.lower()}") for s in ("succeeded", "review", "failed")]

@@ -45,28 +45,39 @@ def signals(native: Column, coverage: Column | None = None, tables: Column | Non
     count = lambda p: F.regexp_count(text, F.lit(p)).cast("long")
     # Characters of a class: what removing its runs takes away, which makes no list of matches.
     of_class = lambda p: (F.length(text) - F.length(F.regexp_replace(text, f"{p}+", ""))).cast("long")
-    solid = F.length(F.regexp_replace(text, f"{T.SPACE}+", "")).cast("long")
-    size = F.length(text).cast("long")
-    lengths = F.array_sort(F.transform(T.lines(text), lambda s: F.length(s)))
-    n = F.size(lengths)
-    middle = (F.element_at(lengths, F.floor((n + 1) / 2).cast("int")) + F.element_at(lengths, F.floor(n / 2).cast("int") + 1)) / 2.0
+
+    def measured(lengths: Column) -> Column:
+        n = F.size(lengths)
+        middle = (F.element_at(lengths, F.floor((n + 1) / 2).cast("int")) + F.element_at(lengths, F.floor(n / 2).cast("int") + 1)) / 2.0
+        return F.struct(n.cast("long").alias("n"), F.when(n > 0, middle).otherwise(0.0).alias("median"))
+
     ratio = lambda a, b, empty: F.when(b > 0, F.least(F.lit(1.0), a / b)).otherwise(F.lit(empty))
     cover = F.coalesce(coverage, F.lit(0.0)) if coverage is not None else F.lit(0.0)
     cover = F.when(F.isnan(cover) | (F.abs(cover) == float("inf")), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cover)))
-    return F.struct(
-        solid.alias("character_count"),
-        count(T.WORDS).alias("word_count"),
-        n.cast("long").alias("line_count"),
-        ratio(size - of_class(r"[\p{C}\p{Z}&&[^ \n\r\t]]"), size, 1.0).alias("printable_ratio"),
-        ratio(of_class(T.ALNUM), solid, 0.0).alias("alphanumeric_ratio"),
-        ratio(of_class(r"[\x{fffd}\x00]"), F.greatest(solid, F.lit(1)), 0.0).alias("replacement_character_ratio"),
-        F.when(n > 0, middle).otherwise(0.0).alias("median_line_length"),
-        cover.alias("image_coverage"),
-        (F.greatest(F.lit(0), F.coalesce(tables, F.lit(0))) if tables is not None else F.lit(0)).cast("int").alias("table_count"),
-        (F.coalesce(columns, F.lit(False)) if columns is not None else F.lit(False)).alias("is_multi_column"),
-        count(T.IDENTIFIERS).alias("identifier_count"),
+    # What is used more than once is worked out once for each text.
+    counted = F.struct(
+        T.once(F.sort_array(F.transform(T.lines(text), lambda s: F.length(s))), measured).alias("line"),
+        F.length(F.regexp_replace(text, f"{T.SPACE}+", "")).cast("long").alias("solid"),
+        F.length(text).cast("long").alias("size"),
     )
 
+    def told(c: Column) -> Column:
+        return F.struct(
+            c["solid"].alias("character_count"),
+            count(T.WORDS).alias("word_count"),
+            c["line"]["n"].alias("line_count"),
+            ratio(c["size"] - of_class(r"[\p{C}\p{Z}&&[^ \n\r\t]]"), c["size"], 1.0).alias("printable_ratio"),
+            ratio(of_class(T.ALNUM), c["solid"], 0.0).alias("alphanumeric_ratio"),
+            ratio(of_class(r"[\x{fffd}\x00]"), F.greatest(c["solid"], F.lit(1)), 0.0).alias("replacement_character_ratio"),
+            c["line"]["median"].alias("median_line_length"),
+            cover.alias("image_coverage"),
+            (F.greatest(F.lit(0), F.coalesce(tables, F.lit(0))) if tables is not None else F.lit(0)).cast("int").alias("table_count"),
+            (F.coalesce(columns, F.lit(False)) if columns is not None else F.lit(False)).alias("is_multi_column"),
+            count(T.IDENTIFIERS).alias("identifier_count"),
+        )
+
+    return T.once(counted, told)
+
 
 def decide(s: Column, t: Thresholds = Thresholds()) -> Column:
     """Route, whether OCR has to verify it, and the reasons, from a struct of signals."""
@@ -90,9 +101,14 @@ def route_pages(pages: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
 
 def table_count(text: Column) -> Column:
     """1 where at least three lines, and a fifth of all that are not blank, look tabular."""
-    rows = F.filter(F.split(F.coalesce(text, F.lit("")), T.LINE_END), lambda s: T.strip(s) != "")
-    n = F.size(F.filter(rows, lambda s: s.contains("\t") | s.rlike(rf"[^\s]{T.SPACE}{{2,}}[^\s]{T.SPACE}{{2,}}[^\s]")))
-    return F.when((F.size(rows) >= 3) & (n >= 3) & (n / F.greatest(F.size(rows), F.lit(1)) >= 0.2), 1).otherwise(0)
+    lines = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(T.WHOLE_LINE), F.lit(0))
+
+    def judged(rows: Column) -> Column:
+        tabular = F.size(F.filter(rows, lambda s: s.contains("\t") | s.rlike(rf"[^\s]{T.SPACE}{{2,}}[^\s]{T.SPACE}{{2,}}[^\s]")))
+        enough = lambda n: (F.size(rows) >= 3) & (n >= 3) & (n / F.greatest(F.size(rows), F.lit(1)) >= 0.2)
+        return F.when(T.once(tabular, enough), 1).otherwise(0)
+
+    return T.once(lines, judged)
 
 
 def image_coverage(boxes: Column, width: Column, height: Column) -> Column:

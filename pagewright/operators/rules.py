@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types
 
 from pagewright.functions import text as T
 from pagewright.operators.chunks import EVIDENCE, IDENTITY, VALUE
@@ -26,22 +30,45 @@ def normalised(value: Column, kind: str, ascii_only: bool) -> Column:
 
 
 def normalize(products: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """Fills in the normal forms and ``record_confidence``. Beyond ASCII the normal forms of listed values need one row per value, so
-    specifications are normalised in the JVM for ASCII text only; ``ascii_only`` says so for all of a table.
+    """Fills in the normal forms and ``record_confidence``.
+
+    The values of listed specifications go through the same functions as the fields: all texts of a record are one array, which is normalised in one pass.
+    ``ascii_only`` vouches that all texts are ASCII, and then everything stays in the JVM; it is checked, and a text that is not raises.
     """
-    out = products.withColumns({c: normalised(F.col(c), c, ascii_only) for c in IDENTITY})
     if ascii_only:
-        each = lambda s: F.struct(*[normalised(s[c], c, True).alias(c) for c in PARTS])
+        out = products.withColumns({c: normalised(_ascii(F.col(c)), c, True) for c in IDENTITY})
+        each = lambda s: F.struct(*[normalised(_ascii(s[c]), c, True).alias(c) for c in PARTS])
         out = out.withColumns({c: F.transform(c, each) for c in LISTS})
-    else:
-        for c in LISTS:
-            rows = out.select("record_id", F.posexplode(c).alias("i", "s"))
-            fixed = rows.select("record_id", "i", F.struct(*[normalised(F.col(f"s.{p}"), p, False).alias(p) for p in PARTS]).alias("s"))
-            again = fixed.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x["s"]).alias("_s"))
-            out = out.join(again, "record_id", "left").withColumn(c, F.coalesce("_s", F.col(c))).drop("_s")
+        return out.withColumn("record_confidence", confidence())
+    out = products.withColumns({c: normalised(F.col(c), c, False) for c in IDENTITY})
+    for c in LISTS:
+        source = F.flatten(F.transform(c, lambda s: F.array(*[F.struct(F.coalesce(s[p]["normalized"], s[p]["raw"]).alias("text"), F.lit(p).alias("kind")) for p in PARTS])))
+        out = out.withColumn("_done", _normal_forms(F.transform(source, lambda x: x["text"]), F.transform(source, lambda x: x["kind"])))
+        part = lambda s, i, k, p: F.when(F.coalesce(s[p]["normalized"], s[p]["raw"]).isNotNull(), s[p].withField("normalized", F.get(F.col("_done"), i * len(PARTS) + k)).withField("normalization_method", F.coalesce(s[p]["normalization_method"], F.lit(METHODS.get(p, "unicode_nfkc_whitespace_v1"))))).otherwise(s[p])
+        out = out.withColumn(c, F.transform(c, lambda s, i: F.struct(*[part(s, i, k, p).alias(p) for k, p in enumerate(PARTS)]))).drop("_done")
     return out.withColumn("record_confidence", confidence())
 
 
+def _ascii(value: Column) -> Column:
+    """The value; reading it raises if its text is not ASCII."""
+    beyond = F.coalesce(value["normalized"], value["raw"], F.lit("")).rlike(r"[^\x00-\x7F]")
+    return F.when(~beyond, value).otherwise(F.raise_error(F.lit("a text is not ASCII")).cast(VALUE))
+
+
+@F.pandas_udf(types.ArrayType(types.StringType()))
+def _normal_forms(texts: pd.Series, kinds: pd.Series) -> pd.Series:
+    def one(text, kind):
+        if text is None:
+            return None
+        plain = " ".join(unicodedata.normalize("NFKC", text).split())
+        if kind != "unit":
+            return plain
+        plain = plain.replace("μ", "µ")
+        return T.UNITS.get(plain.casefold(), plain)
+
+    return pd.Series([None if ts is None else [one(t, k) for t, k in zip(ts, ks, strict=True)] for ts, ks in zip(texts, kinds, strict=True)])
+
+
 def effective(value: Column) -> Column:
     """A value's own confidence, else the best of its evidence."""
     return F.coalesce(value["confidence"], F.array_max(F.transform(value["evidence"], lambda e: e["confidence"])))
@@ -103,19 +130,35 @@ def validate(products: DataFrame, strict: bool = False, require_evidence: bool =
     return out.withColumn("accepted", ~F.exists("issues", lambda i: i["severity"] == "error"))
 
 
+@F.pandas_udf(types.ArrayType(types.StructType([types.StructField(c, types.StringType()) for c in ("code", "path", "severity")])))
+def _repeats(keys: pd.Series, values: pd.Series) -> pd.Series:
+    def one(names, shown):
+        first: dict[str, str | None] = {}
+        out = []
+        for i, (k, v) in enumerate(zip(names, shown, strict=True)):
+            k = k.casefold()
+            if k in first:
+                code = "duplicate_specification" if first[k] == v else "conflicting_specification"
+                out.append({"code": code, "path": f"specifications.{i}", "severity": "warning"})
+            first.setdefault(k, v)
+        return out
+
+    return pd.Series([one(k, v) for k, v in zip(keys, values, strict=True)])
+
+
 def repeated_specifications() -> Column:
-    """Specifications whose name and unit came before: duplicates if the value is the same as the first one's, else conflicts."""
+    """Specifications whose name and unit, case folded, came before: duplicates if the value is the same as the first one's, else conflicts. One pass over a record's."""
     shown = lambda v: F.coalesce(v["normalized"], v["raw"], F.lit(""))
-    key = lambda s: F.concat_ws("\0", F.lower(shown(s["name"])), F.lower(shown(s["unit"])))
     specs = F.coalesce(F.col("specifications"), F.array())
-    keys = F.transform(specs, key)
+    return _repeats(F.transform(specs, lambda s: F.concat_ws("\0", shown(s["name"]), shown(s["unit"]))), F.transform(specs, lambda s: shown(s["value"])))
 
-    def judged(s: Column, i: Column) -> Column:
-        first = F.array_position(keys, key(s)).cast("int")
-        code = F.when(shown(F.element_at(specs, first)["value"]).eqNullSafe(shown(s["value"])), "duplicate_specification").otherwise("conflicting_specification")
-        return F.when(first < i + 1, F.struct(code.alias("code"), F.concat(F.lit("specifications."), i.cast("string")).alias("path"), F.lit("warning").alias("severity")))
 
-    return F.array_compact(F.transform(specs, judged))
+def reviewed(validated: DataFrame) -> DataFrame:
+    """Adds ``validation_warnings`` (code and path of every issue that is more than information) and ``review_status``, which such an issue turns from ``unreviewed`` to ``needs_review``."""
+    told = F.transform(F.filter("issues", lambda i: i["severity"] != "info"), lambda i: F.concat_ws(":", i["code"], i["path"]))
+    status = F.coalesce(F.col("review_status") if "review_status" in validated.columns else F.lit(None).cast("string"), F.lit("unreviewed"))
+    out = validated.withColumns({"validation_warnings": told, "review_status": status})
+    return out.withColumn("review_status", F.when((F.col("review_status") == "unreviewed") & (F.size("validation_warnings") > 0), "needs_review").otherwise(F.col("review_status")))
 
 
 def require_valid(validated: DataFrame) -> DataFrame:

@@ -122,7 +122,7 @@ def route_histogram(documents):
     GROUP BY reason
 """)
 def route_reason_counts(documents):
-    return _routed(documents).select(F.explode("routing.reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+    return _routed(documents).select(F.explode_outer("routing.reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 @query(r"""
@@ -248,8 +248,8 @@ def html_cell_stats(pages):
         SELECT doc_id, [r FOR r IN [[trim(regexp_replace(c, '{_SPACE}+', ' ', 'g')) FOR c IN string_split(regexp_replace(s, '^\\|+|\\|+$', '', 'g'), '|')] FOR s IN {_lines('text')} IF contains(s, '|')] IF len(r) >= 2] AS rs FROM documents)
 """)
 def bar_table_rows(documents):
-    rows = T.bar_rows("text")
-    return documents.select("doc_id", F.size(rows).cast("long").alias("n_rows"), F.sha2(F.array_join(F.transform(rows, lambda r: F.array_join(r, "|")), "\n"), 256).alias("rows_sha256"))
+    told = lambda rows: F.struct(F.size(rows).cast("long").alias("n_rows"), F.sha2(F.array_join(F.transform(rows, lambda r: F.array_join(r, "|")), "\n"), 256).alias("rows_sha256"))
+    return documents.select("doc_id", T.once(T.bar_rows("text"), told).alias("x")).select("doc_id", "x.*")
 
 
 @query("SELECT p_partkey, upper(trim(regexp_replace(replace('  ' || p_brand || ' –' || p_name || '−' || p_partkey, '–', '-').replace('−', '-'), '\\s+', ' ', 'g'))) AS part_number FROM part")
@@ -318,12 +318,12 @@ def find_by_part_number(part):
 
 @query("SELECT p_partkey, p_name FROM part ORDER BY p_partkey")
 def iter_products(part):
-    return part.orderBy("p_partkey").select("p_partkey", "p_name")
+    return catalog.iter_products(part, "p_partkey").select("p_partkey", "p_name")
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE p_partkey = 17")
 def get_product(part):
-    return part.where(F.col("p_partkey") == 17).select("p_partkey", "p_name")
+    return catalog.get_product(part, 17, "p_partkey").select("p_partkey", "p_name")
 
 
 @query(f"SELECT doc_id, sha256(text) AS text_sha256 FROM documents WHERE contains({_fold('text')}, 'the ed') ORDER BY doc_id LIMIT 100")
@@ -331,10 +331,9 @@ def search_text_documents(documents):
     return retrieval.search_text(documents, "The ED", 100, order=["doc_id"]).select("doc_id", F.sha2("text", 256).alias("text_sha256"))
 
 
-@query(f"SELECT conv_id, turn, role FROM conversations WHERE role = 'user' AND contains({_fold('text')}, 'an') ORDER BY conv_id, turn LIMIT 200")
+@query(f"SELECT conv_id, turn, role FROM conversations WHERE contains({_fold('text')}, 'an') ORDER BY conv_id, turn LIMIT 200")
 def search_text_conversations(conversations):
-    users = conversations.where(F.col("role") == "user")
-    return retrieval.search_text(users, "AN", 200, order=["conv_id", "turn"]).select("conv_id", "turn", "role")
+    return retrieval.search_text(conversations, "AN", 200, order=["conv_id", "turn"]).select("conv_id", "turn", "role")
 
 
 _QUERY = [round(((7 * i) % 11 - 5) / 10, 1) or 0.1 for i in range(64)]
@@ -434,14 +433,12 @@ def sequence_gaps(lineitem):
 
 @query(f"SELECT p_name, p_partkey, p_brand FROM (SELECT *, row_number() OVER (PARTITION BY {_fold('p_name')} ORDER BY p_size, p_partkey) AS r FROM part) WHERE r = 1")
 def first_wins_dedupe(part):
-    first = Window.partitionBy(T.fold("p_name")).orderBy("p_size", "p_partkey")
-    return part.withColumn("r", F.row_number().over(first)).where("r = 1").select("p_name", "p_partkey", "p_brand")
+    return catalog.first_of(part, [T.fold("p_name")], ["p_size", "p_partkey"]).select("p_name", "p_partkey", "p_brand")
 
 
 @query("SELECT p_partkey, CASE WHEN r = 1 THEN p_name ELSE p_name || ' (' || r || ')' END AS label FROM (SELECT *, row_number() OVER (PARTITION BY p_brand, p_name ORDER BY p_partkey) AS r FROM part)")
 def name_occurrence(part):
-    n = F.row_number().over(Window.partitionBy("p_brand", "p_name").orderBy("p_partkey"))
-    return part.withColumn("n", n).select("p_partkey", F.when(F.col("n") == 1, F.col("p_name")).otherwise(F.format_string("%s (%d)", "p_name", "n")).alias("label"))
+    return catalog.occurrence_names(part, ["p_brand"], "p_name", ["p_partkey"]).select("p_partkey", "label")
 
 
 @query("""
@@ -454,7 +451,7 @@ def spec_conflicts(part):
     return seen.select("p_partkey", F.when(F.col("p_size") == F.col("f"), "duplicate_specification").otherwise("conflicting_specification").alias("code"))
 
 
-@query(f"""
+_ISSUES = f"""
     WITH p AS ({_PRODUCTS}), i AS (
         SELECT record_id, 'missing_manufacturer' AS code, 'manufacturer' AS path FROM p WHERE manufacturer IS NULL
         UNION ALL SELECT record_id, 'missing_part_number', 'part_number' FROM p WHERE part_number IS NULL
@@ -467,19 +464,28 @@ def spec_conflicts(part):
             SELECT record_id, unnest([CASE WHEN size IS NOT NULL THEN 0 END, CASE WHEN p_size % 10 = 1 THEN (size IS NOT NULL)::INT + (type IS NOT NULL)::INT END]) AS k FROM p WHERE conf = 0.5) WHERE k IS NOT NULL
         UNION ALL SELECT record_id, CASE WHEN size = p_partkey::VARCHAR THEN 'duplicate_specification' ELSE 'conflicting_specification' END, 'specifications.' || (1 + (type IS NOT NULL)::INT)
             FROM p WHERE p_size % 10 = 1 AND size IS NOT NULL
-    ) SELECT record_id, code, path FROM i
-""")
+    )
+"""
+
+
+@query(f"{_ISSUES} SELECT record_id, code, path FROM i")
 def validation_issues(part):
     return rules.validate(products_of(part)).select("record_id", F.explode("issues").alias("i")).select("record_id", "i.code", "i.path")
 
 
-@query(f"""
-    WITH p AS ({_PRODUCTS}) SELECT 'missing_manufacturer' AS code, 'warning' AS severity, count(*) AS n FROM p WHERE manufacturer IS NULL HAVING count(*) > 0
-    UNION ALL SELECT 'missing_part_number', 'warning', count(*) FROM p WHERE part_number IS NULL HAVING count(*) > 0
-""")
+@query(f"{_ISSUES} SELECT code, 'warning' AS severity, count(*) AS n FROM i GROUP BY 1")
 def issue_counts(part):
     found = rules.validate(products_of(part)).select(F.explode("issues").alias("i"))
-    return found.where(F.col("i.code").isin("missing_manufacturer", "missing_part_number")).groupBy("i.code", "i.severity").agg(F.count("*").alias("n"))
+    return found.groupBy("i.code", "i.severity").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+    {_ISSUES}, told AS (SELECT record_id, count(*) AS warnings FROM i GROUP BY 1)
+    SELECT p.record_id, coalesce(warnings, 0) AS warnings, CASE WHEN warnings > 0 THEN 'needs_review' ELSE 'unreviewed' END AS review_status FROM p LEFT JOIN told USING (record_id)
+""")
+def review_states(part):
+    done = rules.reviewed(rules.validate(products_of(part)))
+    return done.select("record_id", F.size("validation_warnings").cast("long").alias("warnings"), "review_status")
 
 
 @query(f"""
@@ -497,17 +503,17 @@ def normalize_products(part):
 
 @query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
 def semi_candidates(customer, orders):
-    return customer.join(orders.where(F.col("o_orderstatus") == "F"), customer["c_custkey"] == orders["o_custkey"], "left_semi").select("c_custkey")
+    return catalog.candidates_with(customer, orders.where(F.col("o_orderstatus") == "F"), {"c_custkey": "o_custkey"}).select("c_custkey")
 
 
 @query("SELECT doc_id FROM documents WHERE NOT EXISTS (SELECT 1 FROM labels WHERE labels.doc_id = documents.doc_id)")
 def anti_missing(documents, labels):
-    return documents.join(labels, "doc_id", "left_anti").select("doc_id")
+    return catalog.missing_from(documents, labels, {"doc_id": "doc_id"}).select("doc_id")
 
 
 @query("SELECT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
 def anti_unexpected(orders, customer):
-    return orders.join(customer.where("c_acctbal > 0"), orders["o_custkey"] == customer["c_custkey"], "left_anti").select("o_custkey")
+    return catalog.missing_from(orders, customer.where("c_acctbal > 0"), {"o_custkey": "c_custkey"}).select("o_custkey")
 
 
 _REFS = """
@@ -556,6 +562,11 @@ def upsert_latest(orders):
     return catalog.latest(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_orderkey", "o_orderstatus")
 
 
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
+def delete_scope_rest(orders):
+    return catalog.delete_scope(orders, {"o_orderstatus": "P"})[0].select("o_orderkey", "o_orderstatus")
+
+
 @query("SELECT count(*) AS deleted FROM orders WHERE o_orderstatus = 'P'")
 def delete_scope(orders):
     return catalog.delete_scope(orders, {"o_orderstatus": "P"})[1]
@@ -571,13 +582,28 @@ def specification_projection(part):
     return s.select("record_id", F.col("name_raw").alias("name"), F.col("value_raw").alias("value"), "ordinal")
 
 
+_SPECS = "list_filter([CASE WHEN size IS NOT NULL THEN 'size' END, CASE WHEN type IS NOT NULL THEN 'type' END, CASE WHEN p_size % 10 = 1 THEN 'size' END], lambda x: x IS NOT NULL)"
+
+
 @query(f"""
-    WITH p AS ({_PRODUCTS}) SELECT record_id, f.path AS field_path, 0 AS ordinal, 'el_' || p_partkey AS element_id FROM p, (VALUES ('manufacturer'), ('part_name'), ('part_number')) f(path)
-    WHERE CASE f.path WHEN 'manufacturer' THEN manufacturer WHEN 'part_number' THEN part_number ELSE part_name END IS NOT NULL
+    WITH p AS ({_PRODUCTS}), s AS (SELECT record_id, p_partkey, k - 1 AS i, l[k] AS name FROM (SELECT record_id, p_partkey, l, unnest(range(1, len(l) + 1)) AS k FROM (SELECT *, {_SPECS} AS l FROM p))), e AS (
+        SELECT record_id, p_partkey, f.path AS field_path FROM p, (VALUES ('manufacturer'), ('part_name'), ('part_number')) f(path)
+        WHERE CASE f.path WHEN 'manufacturer' THEN manufacturer WHEN 'part_number' THEN part_number ELSE part_name END IS NOT NULL
+        UNION ALL SELECT record_id, p_partkey, 'specifications.' || i || '.' || f.part FROM s, (VALUES ('name'), ('value'), ('unit')) f(part) WHERE f.part <> 'unit' OR name = 'size')
+    SELECT record_id, field_path, 0 AS ordinal, 'el_' || p_partkey AS element_id FROM e
 """)
 def evidence_projection(part):
-    e = catalog.evidence(products_of(part)).where(~F.col("field_path").startswith("specifications"))
-    return e.select(F.col("product_record_id").alias("record_id"), "field_path", "ordinal", "element_id")
+    return catalog.evidence(products_of(part)).select(F.col("product_record_id").alias("record_id"), "field_path", "ordinal", "element_id")
+
+
+@query(f"""
+    WITH p AS ({_PRODUCTS}) SELECT f.path AS field_path, 0 AS ordinal, greatest(p_size, 1)::INT AS page_number, part_name AS text FROM p, (VALUES ('manufacturer'), ('part_name'), ('part_number')) f(path)
+    WHERE p_partkey = 17 AND CASE f.path WHEN 'manufacturer' THEN manufacturer WHEN 'part_number' THEN part_number ELSE part_name END IS NOT NULL
+    UNION ALL SELECT 'specifications.' || (k - 1) || '.' || f.part, 0, greatest(p_size, 1)::INT, part_name FROM (SELECT p_size, part_name, l, unnest(range(1, len(l) + 1)) AS k FROM (SELECT *, {_SPECS} AS l FROM p WHERE p_partkey = 17)),
+        (VALUES ('name'), ('value'), ('unit')) f(part) WHERE f.part <> 'unit' OR l[k] = 'size'
+""")
+def get_evidence(part):
+    return catalog.get_evidence(catalog.evidence(products_of(part)), "p17").select("field_path", "ordinal", "page_number", "text")
 
 
 @query("""
@@ -586,19 +612,40 @@ def evidence_projection(part):
            CASE WHEN count(*) FILTER (WHERE ok) > 0 AND count(*) FILTER (WHERE NOT ok) > 0 THEN 'partial' WHEN count(*) FILTER (WHERE NOT ok) > 0 THEN 'failed' ELSE 'succeeded' END AS status FROM p GROUP BY 1
 """)
 def batch_persistence(lineitem, supplier):
+    return _batches(lineitem, supplier)["ingestion_batches"].select("batch_id", "accepted_count", "rejected_count", "status")
+
+
+def _batches(lineitem: DataFrame, supplier: DataFrame) -> dict[str, DataFrame]:
     rows = lineitem.select(F.concat(F.lit("b"), F.col("l_suppkey") % 50).alias("batch_id"), F.col("l_orderkey").alias("ordinal"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("record_id"), F.lit("{}").alias("payload"), F.array().cast("array<string>").alias("issues"), (F.col("l_quantity") > 5).alias("accepted"))
     batches = rows.select("batch_id").union(supplier.where("s_suppkey >= 50 and s_suppkey < 60").select(F.concat(F.lit("b"), "s_suppkey"))).distinct()
-    return catalog.persist_batch(rows, batches)["ingestion_batches"].select("batch_id", "accepted_count", "rejected_count", "status")
+    return catalog.persist_batch(rows, batches)
+
+
+@query("SELECT DISTINCT 'b' || (l_suppkey % 50) AS batch_id, l_orderkey AS ordinal, l_orderkey || '-' || l_linenumber || '-' || l_partkey AS product_record_id FROM lineitem WHERE l_quantity > 5")
+def batch_products(lineitem, supplier):
+    return _batches(lineitem, supplier)["batch_products"]
+
+
+@query("SELECT record_id, max(batch_id || ':' || lpad(ordinal::VARCHAR, 12, '0')) AS latest FROM (SELECT 'b' || (l_suppkey % 50) AS batch_id, l_orderkey AS ordinal, l_orderkey || '-' || l_linenumber || '-' || l_partkey AS record_id FROM lineitem WHERE l_quantity > 5) GROUP BY 1")
+def batch_accepted(lineitem, supplier):
+    return _batches(lineitem, supplier)["products"].select("record_id", F.concat_ws(":", "batch_id", F.lpad(F.col("ordinal").cast("string"), 12, "0")).alias("latest"))
+
+
+@query("""
+    SELECT DISTINCT 'reject_' || left(sha256(batch_id || chr(0) || ordinal), 32) AS rejection_id, batch_id, ordinal, '{}' AS payload
+    FROM (SELECT 'b' || (l_suppkey % 50) AS batch_id, l_orderkey AS ordinal FROM lineitem WHERE l_quantity <= 5)
+""")
+def batch_rejected(lineitem, supplier):
+    return _batches(lineitem, supplier)["rejected_products"].select("rejection_id", "batch_id", "ordinal", "payload")
 
 
 @query("""
     SELECT a.source, array_to_string(list_sort(list_intersect(a.l, b.l)), ',') AS both_, len(list_distinct(list_concat(a.l, b.l)))::BIGINT AS either, len(list_filter(a.l, lambda x: NOT list_contains(b.l, x)))::BIGINT AS only_first
-    FROM (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE lang = 'en' GROUP BY 1) a JOIN (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE lang = 'fr' GROUP BY 1) b USING (source)
+    FROM (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE doc_id % 2 = 0 GROUP BY 1) a JOIN (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE doc_id % 2 = 1 GROUP BY 1) b USING (source)
 """)
 def id_set_operations(documents):
-    ids = lambda lang: documents.where(F.col("lang") == lang).groupBy("source").agg(F.collect_set(F.col("doc_id") % 97).alias(lang))
-    both = ids("en").join(ids("fr"), "source")
-    return both.select("source", F.array_join(F.array_sort(F.array_intersect("en", "fr")), ",").alias("both_"), F.size(F.array_union("en", "fr")).cast("long").alias("either"), F.size(F.array_except("en", "fr")).cast("long").alias("only_first"))
+    rows = documents.select("source", (F.col("doc_id") % 97).alias("id"), F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd").alias("side"))
+    return catalog.id_sets(rows, ["source"], "id", "side", "even", "odd").select("source", F.array_join("both", ",").alias("both_"), "either", "only_first")
 
 
 # ---------------------------------------------------------------- what SQL cannot express
@@ -618,40 +665,90 @@ def _brand_tables(part: DataFrame) -> DataFrame:
     return elements.completed(rows.unionByName(label))
 
 
-@query("SELECT p_brand AS document_id, CASE WHEN count(*) > 1 THEN 'multi_product_rows' ELSE 'single_family' END AS mode, count(*) AS identifiers FROM part GROUP BY 1 HAVING count(*) > 1")
+_PART_ID = "replace(p_brand, '#', '') || '-' || p_partkey"
+_PART_ROW = f"'| ' || {_PART_ID} || ' | ' || p_name || ' |'"
+_MAKER = "regexp_extract(p_brand, '[0-9]+') || ' Works Ltd'"
+
+
+@query(f"""
+    SELECT p_brand AS document_id, CASE WHEN count(*) > 1 THEN 'multi_product_rows' ELSE 'single_family' END AS mode, CASE WHEN count(*) > 1 THEN string_agg({_PART_ID}, ',' ORDER BY {_PART_ROW}) ELSE '' END AS identifiers,
+           CASE WHEN count(*) > 1 THEN 1 ELSE 0 END::BIGINT AS evidence
+    FROM part GROUP BY 1
+""")
 def product_cardinality(part):
     found = hints.cardinality(_brand_tables(part))
-    return found.select("document_id", "mode", F.size("identifiers").cast("long").alias("identifiers"))
+    return found.select("document_id", "mode", F.array_join("identifiers", ",").alias("identifiers"), F.size("evidence_element_ids").cast("long").alias("evidence"))
 
 
-@query()
+@query(f"SELECT DISTINCT p_brand AS document_id, {_MAKER} AS raw, 'manufacturer_label' AS basis, 0 AS priority, 1 AS rank FROM part")
+def manufacturer_hints(part):
+    return hints.manufacturer_candidates(_brand_tables(part)).select("document_id", "raw", "basis", "priority", "rank")
+
+
+def _answers(part: DataFrame, found: DataFrame) -> DataFrame:
+    """An answer for each brand: as it should be, or with one of the faults that the guard knows, by the brand's number."""
+    label, table = (found.where(F.col("sequence_number") == k).select("document_id", F.col("element_id").alias(name)) for k, name in ((0, "label"), (1, "table")))
+    k = F.regexp_extract("p_brand", "[0-9]+", 0).cast("int") % 5
+    ident = F.concat_ws("-", F.regexp_replace("p_brand", "#", ""), F.col("p_partkey").cast("string"))
+    rows = part.withColumn("document_id", F.col("p_brand")).join(label, "document_id").join(table, "document_id").withColumns({"k": k, "ident": ident})
+    maker = F.concat(F.regexp_extract("p_brand", "[0-9]+", 0), F.lit(" Works Ltd"))
+    first = F.min("ident").over(Window.partitionBy("document_id"))
+    rows = rows.withColumns({"maker": F.when(F.col("k") == 1, "Unknown Ltd").otherwise(maker), "own": maker, "number": F.when(F.col("k") == 3, first).otherwise(F.col("ident"))})
+    cite = lambda c: F.array(F.struct(F.col(c).alias("element_id")))
+    value = lambda raw, c: F.struct(F.col(raw).alias("raw"), cite(c).alias("evidence"))
+    name = F.when(F.col("k") != 2, value("own", "label"))
+    product = F.when(F.col("k") == 4, F.lit('"x"')).otherwise(F.to_json(F.struct(value("maker", "label").alias("manufacturer"), name.alias("part_name"), value("number", "table").alias("part_number"))))
+    return rows.groupBy("document_id").agg(F.concat(F.lit('{"products":['), F.array_join(F.array_sort(F.collect_list(product)), ","), F.lit("]}")).alias("payload"))
+
+
+@query(f"""
+    SELECT p_brand AS document_id, CASE WHEN k IN (0, 3) AND n > 1 THEN n WHEN k IN (0, 3) THEN 1 ELSE 0 END::BIGINT AS products, CASE WHEN n = 1 AND k IN (0, 3) THEN 0 WHEN k IN (0, 3) THEN 0 ELSE n END::BIGINT AS dropped,
+           CASE k WHEN 1 THEN 'manufacturer_not_in_source_candidates' WHEN 2 THEN 'missing_part_name_identity' WHEN 4 THEN 'product_is_not_an_object' END AS reason, (k = 3 AND n > 1) AS repaired
+    FROM (SELECT p_brand, regexp_extract(p_brand, '[0-9]+')::INT % 5 AS k, count(*) AS n FROM part GROUP BY 1)
+""")
 def guarded_products(part):
     found = _brand_tables(part)
-    hint = hints.source_hints(found)
-    answers = models.generate(hint).select("document_id", "payload")
-    return guard.enforce(answers, hint, found).select("document_id", "guarded", "audit", "error")
+    done = guard.enforce(_answers(part, found), hints.source_hints(found), found)
+    get = lambda path: F.get_json_object("audit", path)
+    return done.select(
+        "document_id", get("$.final_product_count").cast("long").alias("products"), get("$.dropped_product_count").cast("long").alias("dropped"),
+        get("$.dropped_products[0].reason").alias("reason"), F.coalesce(get("$.identity_row_repair.applied").cast("boolean"), F.lit(False)).alias("repaired"),
+    )
 
 
-@query()
+@query("SELECT DISTINCT p_brand AS document_id, 0 AS ordinal, 'Manufacturer: ' || p_brand || ' Works Ltd' AS cited, 0::BIGINT AS part_name_evidence, 'unknown_evidence_reference' AS codes FROM part")
 def hydrated_products(part):
     found = _brand_tables(part)
     label = found.where("sequence_number = 0").select("document_id", "element_id", "text")
     cite = F.array(F.struct("element_id"))
     payload = F.to_json(F.struct(F.array(F.struct(F.struct(F.col("text").alias("raw"), cite.alias("evidence")).alias("manufacturer"), F.struct(F.lit("x").alias("raw"), F.array(F.struct(F.lit("el_none").alias("element_id"))).alias("evidence")).alias("part_name"))).alias("products")))
     done = hydrate.hydrate(label.select("document_id", payload.alias("payload")), found)
-    return done.select("document_id", "ordinal", "payload", F.transform("issues", lambda i: i["code"]).alias("codes"))
-
-
-@query()
-def embedded_chunks(conversations):
-    rows = conversations.where(F.col("role") == "user").select("conv_id", "turn", "text")
-    return models.embed(rows).select("conv_id", "turn", F.round(retrieval.norm(F.col("embedding")), 6).alias("norm"))
+    return done.select(
+        "document_id", "ordinal", F.get_json_object("payload", "$.manufacturer.evidence[0].text").alias("cited"),
+        F.coalesce(F.json_array_length(F.get_json_object("payload", "$.part_name.evidence")), F.lit(0)).cast("long").alias("part_name_evidence"), F.array_join(F.transform("issues", lambda i: i["code"]), ",").alias("codes"),
+    )
 
 
-@query()
+@query("SELECT doc_id::VARCHAR AS document_id, CASE WHEN doc_id % 2 = 0 AND doc_id % 10 NOT IN (0, 2) THEN 'restore' ELSE 'extract' END AS action FROM documents")
 def resumed_pages(documents):
-    pages = _routed(documents).select(F.col("doc_id").cast("string").alias("document_id"), F.lit(1).alias("page_number"), "native_text", "routing")
-    named = elements.fingerprint(pages)
-    done = named.where(F.crc32(F.col("document_id").cast("binary")) % 2 == 0).select("document_id", "page_number", "fingerprint")
-    todo, held = elements.pending(named, done)
+    """Every second page was extracted earlier; of these every tenth failed, and another tenth had other text."""
+    pages = _routed(documents).select("doc_id", F.col("doc_id").cast("string").alias("document_id"), F.lit(1).alias("page_number"), "native_text", "routing")
+    before = pages.withColumn("native_text", F.when(F.col("doc_id") % 10 == 2, F.concat("native_text", F.lit(" before"))).otherwise(F.col("native_text")))
+    done = elements.fingerprint(before).where(F.col("doc_id") % 2 == 0).select("document_id", "page_number", "fingerprint", F.when(F.col("doc_id") % 10 == 0, "no service").alias("error"))
+    todo, held = elements.pending(elements.fingerprint(pages), done)
     return todo.select("document_id", F.lit("extract").alias("action")).unionByName(held.select("document_id", F.lit("restore").alias("action")))
+
+
+@query("""
+    SELECT doc_id::VARCHAR AS document_id, CASE WHEN doc_id % 7 = 0 THEN 2 ELSE 1 END::BIGINT AS elements, CASE WHEN doc_id % 7 = 0 THEN 'document_vlm,ocr_verification' ELSE 'document_vlm' END AS methods, CASE WHEN doc_id % 7 = 0 THEN '0,1' ELSE '0' END AS sequence
+    FROM documents WHERE doc_id % 3 = 0
+""")
+def ocr_sequence(documents):
+    """What OCR reads on a page comes after what the page model read on it, with numbers that go on."""
+    answers = documents.where("doc_id % 3 = 0").select(F.col("doc_id").cast("string").alias("document_id"), F.lit(1).alias("page_number"), F.concat(F.lit("read "), F.col("doc_id").cast("string")).alias("content"), F.lit("m").alias("model"))
+    base = elements.response_elements(answers)
+    after = base.groupBy("document_id", "page_number").agg(F.count("*").cast("int").alias("after"))
+    more = elements.response_elements(answers.where(F.col("document_id").cast("long") % 7 == 0).join(after, ["document_id", "page_number"]), "ocr_verification")
+    per = base.unionByName(more).groupBy("document_id").agg(F.array_sort(F.collect_list(F.struct("sequence_number", "extraction_method"))).alias("e"))
+    listed = lambda c: F.array_join(F.transform("e", lambda x: x[c].cast("string")), ",")
+    return per.select("document_id", F.size("e").cast("long").alias("elements"), listed("extraction_method").alias("methods"), listed("sequence_number").alias("sequence"))

@@ -44,10 +44,13 @@ class Config:
     mode: str = "offline"
     pages_per_parse: int = 2
     strict: bool = False
+    fail_fast: bool = False
+    embed: bool = True
     low_confidence: float = 0.65
     routing: Thresholds = field(default_factory=Thresholds)
     limits: Limits = field(default_factory=Limits)
     page_model: Endpoint = field(default_factory=Endpoint)
+    ocr_model: Endpoint = field(default_factory=Endpoint)
     structured_model: Endpoint = field(default_factory=Endpoint)
     embedding_model: Endpoint = field(default_factory=Endpoint)
 

@@ -6,11 +6,14 @@ retried task calls again.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import json
 import math
 import re
 import time
+import urllib.error
+import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any, Protocol
@@ -28,7 +31,8 @@ class PageModel(Protocol):
 
 
 class StructuredModel(Protocol):
-    def generate(self, schema: dict, prompt: str) -> str: ...
+    #: What it takes: a JSON schema, what the source allows, and the evidence in order.
+    def generate(self, schema: dict, prompt: str, evidence: list[dict]) -> str: ...
 
 
 class EmbeddingModel(Protocol):
@@ -39,6 +43,37 @@ class Transport(Protocol):
     def post(self, url: str, headers: dict, payload: dict, timeout: float) -> tuple[int, dict]: ...
 
 
+class HttpTransport:
+    """JSON over HTTP with the standard library."""
+
+    def post(self, url: str, headers: dict, payload: dict, timeout: float) -> tuple[int, dict]:
+        body = json.dumps(payload).encode()
+        request = urllib.request.Request(url, body, {"Content-Type": "application/json", "Accept": "application/json", **headers}, method="POST")
+        try:
+            with urllib.request.urlopen(request, timeout=timeout) as answer:
+                return answer.status, _object(answer.read())
+        except urllib.error.HTTPError as e:
+            return e.code, _object(e.read())
+
+
+def _object(raw: bytes) -> dict:
+    try:
+        found = json.loads(raw)
+    except ValueError:
+        return {"error": excerpt(raw.decode("utf-8", "replace"))}
+    return found if isinstance(found, dict) else {"value": found}
+
+
+def excerpt(value, tail: bool = False, limit: int = 240) -> str:
+    """The head or tail of a text, or of a value as JSON, for an audit; NUL characters are shown."""
+    text = (value if isinstance(value, str) else json.dumps(value, sort_keys=True, ensure_ascii=False, default=str)).replace("\0", "\\0")
+    return text.rstrip()[-limit:] if tail else text[:limit]
+
+
+def data_url(image: bytes, mime: str = "image/png") -> str:
+    return f"data:{mime};base64,{base64.b64encode(image).decode()}"
+
+
 @dataclass(frozen=True)
 class Retry:
     attempts: int = 4
@@ -204,13 +239,133 @@ def offline_value(schema: dict) -> Any:
     return {"array": [], "string": "", "integer": 0, "number": 0.0, "boolean": False}.get(kind)
 
 
+def usable_text(answer: dict) -> str:
+    """The first content of an answer, as text."""
+    if any(c.get("finish_reason") not in WHOLE for c in answer.get("choices") or []):
+        raise ValueError("the answer was cut off")
+    found = next(contents(answer), None)
+    if found is None:
+        raise ValueError("an answer without content")
+    return found if isinstance(found, str) else json.dumps(found, sort_keys=True, ensure_ascii=False)
+
+
+@dataclass
+class ImagePages:
+    """A model that reads a page's image: one for documents, or one for OCR, by what it is told to do."""
+
+    client: ChatClient
+    instruction: str
+    body: dict = field(default_factory=dict)
+    attempts: list[dict] = field(default_factory=list)
+
+    def read(self, page: dict) -> str:
+        if not page.get("image"):
+            raise ValueError("the page has no image")
+        shown = {"type": "image_url", "image_url": {"url": data_url(bytes(page["image"]), page.get("image_mime_type") or "image/png")}}
+        text, self.attempts = self.client.complete([{"role": "user", "content": [{"type": "text", "text": self.instruction}, shown]}], usable_text, **self.body)
+        return text
+
+
+#: How a schema is sent: by a field of its own, as a response format, or both.
+GUIDED = ("field", "response_format", "both")
+
+
+@dataclass
+class GuidedStructured:
+    """A model that answers in JSON of a schema, which also gets the evidence. What is no JSON is asked for again by ``generate``; every attempt is kept."""
+
+    client: ChatClient
+    system: str = "Answer with one JSON object that fits the schema. Use only what the evidence says, and cite element ids."
+    mode: str = "response_format"
+    field_name: str = "guided_json"
+    max_tokens: int = 8192
+    attempts: list[dict] = field(default_factory=list)
+
+    def __post_init__(self):
+        if self.mode not in GUIDED:
+            raise ValueError(f"the mode is one of {', '.join(GUIDED)}")
+
+    def generate(self, schema: dict, prompt: str, evidence: list[dict]) -> str:
+        listed = "\n".join(json.dumps(e, ensure_ascii=False) for e in evidence)
+        body: dict = {"max_tokens": self.max_tokens, "temperature": 0}
+        if self.mode in ("field", "both"):
+            body[self.field_name] = schema
+        if self.mode in ("response_format", "both"):
+            body["response_format"] = {"type": "json_schema", "json_schema": {"name": "answer", "schema": schema, "strict": True}}
+        messages = [{"role": "system", "content": self.system}, {"role": "user", "content": f"{prompt}\n\nEvidence, one element a line:\n{listed}"}]
+        text, self.attempts = self.client.complete(messages, usable_text, **body)
+        return text
+
+
+@dataclass
+class HttpEmbeddings:
+    """Embeddings of a service; passages and queries have prefixes of their own."""
+
+    transport: Transport
+    url: str
+    model: str
+    headers: dict = field(default_factory=dict)
+    retry: Retry = field(default_factory=Retry)
+    timeout: float = 60.0
+    passage: str = "passage: "
+    query: str = "query: "
+    sleep: Callable[[float], None] = time.sleep
+
+    def embed(self, texts: list[str], query: bool = False) -> list[list[float]]:
+        prefix = self.query if query else self.passage
+        attempts: list[dict] = []
+        for n in range(1, self.retry.attempts + 1):
+            self.sleep(self.retry.delay(n))
+            try:
+                status, answer = self.transport.post(self.url, self.headers, {"model": self.model, "input": [prefix + t for t in texts]}, self.timeout)
+            except OSError as e:
+                attempts.append({"attempt": n, "outcome": "transport_error", "detail": str(e)})
+                continue
+            if status == 200:
+                return reordered(answer.get("data") or [], len(texts))
+            attempts.append({"attempt": n, "outcome": "status", "status": status, "detail": excerpt(answer)})
+            if status not in RETRIED:
+                break
+        raise CallFailed(attempts)
+
+
+@dataclass(frozen=True)
+class Clients:
+    """What makes the models of a run, once for each partition; None where OCR is not configured."""
+
+    page: Callable[[], PageModel]
+    ocr: Callable[[], PageModel] | None
+    structured: Callable[[], StructuredModel]
+    embedding: Callable[[], EmbeddingModel]
+
+
+def clients(config, transport: Callable[[], Transport] = HttpTransport) -> Clients:
+    """The models that a configuration names; offline ones unless its mode is live."""
+    if config.mode != "live":
+        return Clients(OfflinePages, None, OfflineStructured, HashedEmbeddings)
+
+    def chat(e) -> ChatClient:
+        return ChatClient(transport(), e.url, e.model, headers=_key(e), timeout=e.timeout)
+
+    def _key(e) -> dict:
+        return {"Authorization": f"Bearer {e.api_key}"} if e.api_key else {}
+
+    page, ocr, structured, embedding = config.page_model, config.ocr_model, config.structured_model, config.embedding_model
+    return Clients(
+        lambda: ImagePages(chat(page), "Give the elements of this page in reading order as JSON, each with its text, type and box."),
+        (lambda: ImagePages(chat(ocr), "Give every line of text on this page as JSON, each with its text and box.")) if ocr.url else None,
+        lambda: GuidedStructured(chat(structured)),
+        (lambda: HttpEmbeddings(transport(), embedding.url, embedding.model, _key(embedding), timeout=embedding.timeout)) if embedding.url else HashedEmbeddings,
+    )
+
+
 class OfflinePages:
     def read(self, page: dict) -> str:
         return "{}"
 
 
 class OfflineStructured:
-    def generate(self, schema: dict, prompt: str) -> str:
+    def generate(self, schema: dict, prompt: str, evidence: list[dict]) -> str:
         return json.dumps(offline_value(schema), sort_keys=True)
 
 
@@ -263,28 +418,47 @@ def embed(rows: DataFrame, model: Callable[[], EmbeddingModel] = HashedEmbedding
 
 
 def read_pages(pages: DataFrame, model: Callable[[], PageModel] = OfflinePages, name: str = "offline") -> DataFrame:
-    """Answers of a page model: ``document_id, page_number, content, model, error``. A page that fails is a row, not the end of the run."""
+    """Answers of a page model: ``document_id, page_number, content, model, error, unsupported, attempts``. A page that fails is a row, not the end of the run.
+
+    The model gets all of a page's columns, its image among them. ``unsupported`` tells that every attempt was answered, but never with anything usable.
+    """
+    columns = ["document_id", "page_number", "content", "model", "error", "unsupported", "attempts"]
 
     def run(frames):
         client = model()
         for frame in frames:
             out = []
             for page in frame.to_dict("records"):
+                content, error, unsupported, attempts = None, None, False, []
                 try:
-                    content, error = client.read(page), None
-                except (CallFailed, OSError, ValueError) as e:
-                    content, error = None, str(e)
-                out.append((page["document_id"], page["page_number"], content, name, error))
-            yield pd.DataFrame(out, columns=["document_id", "page_number", "content", "model", "error"])
+                    content = client.read(page)
+                    attempts = getattr(client, "attempts", [])
+                except CallFailed as e:
+                    error, unsupported, attempts = str(e), unsupported_content(e), e.attempts
+                except (OSError, ValueError) as e:
+                    error = str(e)
+                out.append((page["document_id"], page["page_number"], content, getattr(getattr(client, "client", None), "model", name), error, unsupported, json.dumps(attempts, sort_keys=True)))
+            yield pd.DataFrame(out, columns=columns)
+
+    return pages.mapInPandas(run, "document_id string, page_number int, content string, model string, error string, unsupported boolean, attempts string")
+
 
-    return pages.mapInPandas(run, "document_id string, page_number int, content string, model string, error string")
+def generate(
+    hints: DataFrame, model: Callable[[], StructuredModel] = OfflineStructured, chunk: tuple[str, ...] = ("document_id",), regenerate: int = 1, evidence: DataFrame | None = None
+) -> DataFrame:
+    """A structured answer for each chunk of hints: ``payload``, ``attempts``, ``error``, ``audit``. An answer that is no JSON is asked for once more.
 
+    ``evidence`` are the chunks' elements; a model gets those of its chunk in order of page and sequence.
+    """
+    from pyspark.sql import functions as F
 
-def generate(hints: DataFrame, model: Callable[[], StructuredModel] = OfflineStructured, chunk: tuple[str, ...] = ("document_id",), regenerate: int = 1) -> DataFrame:
-    """A structured answer for each chunk of hints: ``payload``, ``attempts``, ``error``. An answer that is no JSON is asked for once more."""
     from pagewright.operators.hints import batch_schema, prompt
 
     keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in hints.select(*chunk).schema)
+    item = ["page_number", "sequence_number", "element_id", "element_type", "text"]
+    if evidence is not None:
+        own = evidence.groupBy(*chunk).agg(F.array_sort(F.collect_list(F.struct(*item))).alias("evidence"))
+        hints = hints.join(own, list(chunk), "left")
 
     def run(frames):
         client = model()
@@ -292,14 +466,22 @@ def generate(hints: DataFrame, model: Callable[[], StructuredModel] = OfflineStr
             out = []
             for row in frame.to_dict("records"):
                 hint = {"mode": row["mode"], "reason": row["reason"], "identifiers": list(row["identifiers"]), "evidence_element_ids": list(row["evidence_element_ids"]), "manufacturers": list(row["manufacturers"])}
-                payload, error, attempts = None, None, 0
+                cited = row.get("evidence")
+                cited = [{k: e[k] for k in item if k != "sequence_number"} for e in cited] if cited is not None and not isinstance(cited, float) else []
+                payload, error, attempts, audit = None, None, 0, []
                 while payload is None and attempts <= regenerate:
                     attempts += 1
                     try:
-                        payload = json.dumps(parse_json(client.generate(batch_schema(hint), prompt(hint))), sort_keys=True)
-                    except (CallFailed, OSError, ValueError) as e:
+                        answer = client.generate(batch_schema(hint), prompt(hint), cited)
+                        audit += getattr(client, "attempts", [])
+                        payload = json.dumps(parse_json(answer), sort_keys=True)
+                    except CallFailed as e:
+                        error, audit = str(e), audit + e.attempts
+                    except NotJson as e:
+                        error, audit = str(e), [*audit, {"generation": attempts, "outcome": e.kind, "head": excerpt(answer), "tail": excerpt(answer, tail=True)}]
+                    except (OSError, ValueError) as e:
                         error = str(e)
-                out.append([*(row[c] for c in chunk), payload, attempts, None if payload is not None else error])
-            yield pd.DataFrame(out, columns=[*chunk, "payload", "attempts", "error"])
+                out.append([*(row[c] for c in chunk), payload, attempts, None if payload is not None else error, json.dumps(audit, sort_keys=True)])
+            yield pd.DataFrame(out, columns=[*chunk, "payload", "attempts", "error", "audit"])
 
-    return hints.mapInPandas(run, f"{keys}, payload string, attempts int, error string")
+    return hints.mapInPandas(run, f"{keys}, payload string, attempts int, error string, audit string")

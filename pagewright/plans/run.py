@@ -5,33 +5,47 @@ Tier one (page evidence) is stored before any product is admitted. What fails is
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from pagewright.operators import catalog, chunks, elements, guard, hints, hydrate, ops, routing, rules
+from pagewright.operators import catalog, chunks, elements, extraction, guard, hints, hydrate, ops, rules
 from pagewright.plans import models
 from pagewright.plans.config import Config
-from pagewright.sources.store import Table
+from pagewright.sources.store import Table, write_json
 
 ELEMENT = (
     "element_id string, document_id string, page_number int, sequence_number int, element_type string, text string, extraction_method string, "
     "bbox struct<x0:double,y0:double,x1:double,y1:double,coordinate_space:string>, confidence double, model string, source_path string, raw_payload string, metadata map<string,string>"
 )
 CITATION = "struct<source_document_id:string,source_path:string,page_number:int,element_id:string,excerpt:string,confidence:double,field_paths:array<string>>"
+CITED = "source_document_id string, source_path string, page_number int, element_id string, text string, confidence double"
 TABLES = {
-    "extractions": "document_id string, page_number int, fingerprint string, route string, reasons array<string>, error string",
+    "documents": "document_id string, source_path string, pages long, page_errors long, status string, finished_at timestamp, elapsed_seconds double",
+    "extractions": "document_id string, page_number int, fingerprint string, route string, requires_ocr boolean, reasons array<string>, routing string",
+    "page_errors": "document_id string, page_number int, error string",
+    "page_audits": extraction.AUDIT,
     "elements": ELEMENT,
-    "knowledge_chunks": f"chunk_id string, content_sha256 string, chunk_kind string, product_record_id string, source_document_id string, source_path string, page_number int, chunk_type string, ordinal int, text string, citations array<{CITATION}>",
-    "products": chunks.PRODUCT + ", record_confidence double, issues array<struct<code:string,path:string,severity:string>>, batch_id string, ordinal int",
+    "knowledge_chunks": f"chunk_id string, content_sha256 string, chunk_kind string, product_record_id string, source_document_id string, source_path string, page_number int, chunk_type string, ordinal int, text string, citations array<{CITATION}>, embedding array<double>",
+    "products": chunks.PRODUCT + ", record_confidence double, issues array<struct<code:string,path:string,severity:string>>, validation_warnings array<string>, review_status string, batch_id string, ordinal int",
+    "product_specifications": "record_id string, collection_name string, ordinal int, name_raw string, name_normalized string, value_raw string, value_normalized string, unit_raw string, unit_normalized string",
+    "product_evidence": f"product_record_id string, field_path string, ordinal int, {CITED}",
     "ingestion_batches": "batch_id string, document_id string, chunk long, audit string, accepted_count long, rejected_count long, status string, issues array<string>",
+    "batch_products": "batch_id string, ordinal int, product_record_id string",
     "rejected_products": "rejection_id string, batch_id string, ordinal int, payload string, issues array<struct<code:string,path:string,severity:string>>",
 }
 CHUNK = ("document_id", "chunk")
 
 
+class RunFailed(RuntimeError):
+    pass
+
+
 def tables(spark: SparkSession, root: str) -> dict[str, Table]:
     return {name: Table(spark, f"{root}/{name}", schema) for name, schema in TABLES.items()}
 
@@ -50,26 +64,6 @@ def limited(pages: DataFrame, config: Config) -> DataFrame:
     return pages
 
 
-def extract(pages: DataFrame, earlier: DataFrame, config: Config, page_model: Callable[[], models.PageModel]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """New extractions and their elements, and earlier extractions that still hold.
-
-    Pages without content have no elements; native pages give their own text; the others are read by the model. Where that fails, a page whose text is good apart from
-    its layout falls back on it.
-    """
-    routed = elements.fingerprint(routing.route_pages(pages, config.routing))
-    todo, held = elements.pending(routed, earlier)
-    is_native = (F.col("routing.route") == routing.NATIVE) & (F.trim(F.coalesce("native_text", F.lit(""))) != "")
-    is_vision = (F.col("routing.route") == routing.VISION) & ~(routing.is_blank(todo) if "inventory" in todo.columns else F.lit(False))
-    answers = models.read_pages(todo.where(is_vision).select("document_id", "page_number", "native_text"), page_model)
-    failed = answers.where("error is not null").select("document_id", "page_number", "error")
-    fallback = todo.join(failed, ["document_id", "page_number"], "left_semi").where(routing.decide(routing.signals(F.col("native_text")), config.routing)["route"] == routing.NATIVE)
-    found = elements.native_elements(todo.where(is_native)).unionByName(elements.response_elements(answers.where("error is null"))).unionByName(
-        elements.native_elements(fallback).withColumn("metadata", F.create_map(F.lit("fallback"), F.lit("native_text")))
-    )
-    extractions = todo.join(failed, ["document_id", "page_number"], "left").select("document_id", "page_number", "fingerprint", "routing.route", "routing.reasons", "error")
-    return extractions, found, held
-
-
 def parked(spark: SparkSession, root: str) -> Callable[[DataFrame, str], DataFrame]:
     """Writes a frame below the run's folder and reads it back, so that what it took (model calls included) is done once."""
 
@@ -81,24 +75,35 @@ def parked(spark: SparkSession, root: str) -> Callable[[DataFrame, str], DataFra
     return park
 
 
-def admit(found: DataFrame, pages: DataFrame, config: Config, structured: Callable[[], models.StructuredModel], park: Callable[[DataFrame, str], DataFrame]) -> dict[str, DataFrame]:
-    """Products of chunks of pages: hinted, generated, guarded, hydrated, normalised, validated, and split into accepted and rejected."""
+def admit(
+    found: DataFrame, pages: DataFrame, config: Config, structured: Callable[[], models.StructuredModel], park: Callable[[DataFrame, str], DataFrame], blank: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Products of chunks of pages: hinted, generated, guarded, hydrated, normalised, validated, and split into accepted and rejected.
+
+    Chunks of which all pages are certainly blank (``blank``) are skipped.
+    """
     placed = ops.page_chunks(pages.select("document_id", "page_number").distinct(), config.pages_per_parse, ["document_id"], ["page_number"])
     own = found.join(placed, ["document_id", "page_number"])
+    if blank is not None:
+        own = own.join(extraction.blank_chunks(placed, blank), list(CHUNK), "left_anti")
     hint = park(hints.source_hints(own, CHUNK), "hints")
-    answers = models.generate(hint, structured, CHUNK)
+    answers = park(models.generate(hint, structured, CHUNK, evidence=own), "structured")
     guarded = guard.enforce(answers.where("payload is not null").select(*CHUNK, "payload"), hint, own, CHUNK)
     name = catalog.batch_id(F.col("document_id"), F.col("chunk").cast("string"), F.lit(elements.PIPELINE_VERSION), F.coalesce("guarded", F.lit("")))
     batches = park(guarded.select(name.alias("batch_id"), "document_id", "chunk", "audit", "guarded"), "batches")
     done = hydrate.hydrate(batches.select("document_id", F.col("batch_id").alias("batch"), F.col("guarded").alias("payload")), found).where("ordinal >= 0")
+    early = F.transform("issues", lambda i: F.struct(i["code"].alias("code"), i["path"].alias("path"), i["severity"].alias("severity")))
     typed = done.withColumn("p", F.from_json("payload", chunks.PRODUCT)).select(
-        "batch", "ordinal", "payload", F.transform("issues", lambda i: F.struct(i["code"].alias("code"), i["path"].alias("path"), i["severity"].alias("severity"))).alias("early"),
+        "batch", "ordinal", "payload", early.alias("early"),
         catalog.record_id(F.col("document_id"), F.col("ordinal"), F.col("payload")).alias("record_id"), F.col("document_id").alias("source_document_id"), *[F.col(f"p.{c}").alias(c) for c in _fields() if c not in ("record_id", "source_document_id")],
     )
     checked = rules.validate(rules.normalize(typed), config.strict, config.mode == "live", config.low_confidence)
-    checked = checked.withColumn("issues", F.concat("early", "issues")).withColumn("accepted", ~F.exists("issues", lambda i: i["severity"] == "error")).withColumnRenamed("batch", "batch_id")
+    checked = rules.reviewed(checked.withColumn("issues", F.concat("early", "issues")))
+    checked = checked.withColumn("accepted", ~F.exists("issues", lambda i: i["severity"] == "error")).withColumnRenamed("batch", "batch_id")
     split = catalog.persist_batch(park(checked, "products"), batches.drop("guarded"))
-    return split | {"products": split["products"].drop("early", "payload"), "product_chunks": chunks.product_chunks(split["products"])}
+    good = split["products"].drop("early", "payload")
+    children = {"product_specifications": catalog.specifications(good), "product_evidence": catalog.evidence(good), "product_chunks": chunks.product_chunks(good)}
+    return split | {"products": good} | children | {"failed": answers.where("payload is null").select(*CHUNK, "error", "audit")}
 
 
 def _fields() -> list[str]:
@@ -108,41 +113,79 @@ def _fields() -> list[str]:
 
 
 def run(
-    spark: SparkSession, pages: DataFrame, root: str, config: Config = Config(), page_model: Callable[[], models.PageModel] = models.OfflinePages,
-    structured: Callable[[], models.StructuredModel] = models.OfflineStructured,
+    spark: SparkSession, pages: DataFrame, root: str, config: Config = Config(), page_model: Callable[[], models.PageModel] | None = None,
+    structured: Callable[[], models.StructuredModel] | None = None, ocr_model: Callable[[], models.PageModel] | None = None, embedding: Callable[[], models.EmbeddingModel] | None = None,
 ) -> DataFrame:
-    """Runs over pages (``document_id, page_number, native_text`` and whatever else of ``readers.PAGE``) and returns the summary row."""
+    """Runs over pages (``document_id, page_number, native_text`` and whatever else of ``readers.PAGE``) and returns the summary row.
+
+    Models that are not given are those of the configuration (``models.clients``). OCR takes part where there is a model for it. With ``fail_fast`` the first step with
+    a failed page ends the run, when what went well has been stored.
+    """
+    began = time.time()
+    made = models.clients(config)
+    page_model, structured, ocr_model, embedding = page_model or made.page, structured or made.structured, ocr_model or made.ocr, embedding or made.embedding
     store = tables(spark, root)
     pages = limited(pages, config)
+    twice = chunks.duplicate_pages(pages).first()
+    if twice is not None:
+        raise ValueError(f"page {twice['page_number']} of {twice['document_id']} is there more than once")
     scope = ["document_id", "page_number"]
     processed = pages.select(*scope).distinct()
+    thresholds = config.routing
+    if ocr_model is None:
+        thresholds = replace(thresholds, verify_vision=False, verify_native=False)
 
-    extractions, found, held = extract(pages, store["extractions"].read(), config, page_model)
-    hits = held.count()
-    todo = pages.join(held, scope, "left_anti").select(*scope).distinct()
     # Models must not be called again by what follows: their results are written first.
     park = parked(spark, root)
-    found, extractions = park(found, "elements"), park(extractions, "extractions")
-    store["elements"].write(catalog.replace_scope(store["elements"].read(), found, scope, todo), sort=scope)
-    evidence = chunks.page_chunks(found)
-    kept = store["knowledge_chunks"].read()
-    scoped = extractions.select(F.col("document_id").alias("source_document_id"), "page_number").distinct()
-    store["knowledge_chunks"].write(catalog.replace_scope(kept, evidence, ["source_document_id", "page_number"], scoped), sort=["chunk_kind", "source_document_id", "page_number"])
-    store["extractions"].write(catalog.replace_scope(store["extractions"].read(), extractions, scope))
+    got = extraction.extract(pages, store["extractions"].read(), thresholds, page_model, ocr_model, park)
+    hits = got.held.count()
+    done = got.extractions.select(*scope)
+    for name, rows in (("elements", got.elements), ("page_audits", got.audits), ("extractions", got.extractions)):
+        columns = store[name].read().columns
+        store[name].write(catalog.replace_scope(store[name].read(), rows.select(*columns), scope, done), sort=scope)
+    errors = got.errors
+    store["page_errors"].write(catalog.replace_scope(store["page_errors"].read(), errors, scope, processed))
+    evidence = _embedded(chunks.page_chunks(got.elements), config, embedding)
+    scoped = done.select(F.col("document_id").alias("source_document_id"), "page_number").distinct()
+    store["knowledge_chunks"].write(catalog.replace_scope(store["knowledge_chunks"].read(), evidence, ["source_document_id", "page_number"], scoped), sort=["chunk_kind", "source_document_id", "page_number"])
+    if config.fail_fast and not errors.isEmpty():
+        first = errors.orderBy(*scope).first()
+        raise RunFailed(f"page {first['page_number']} of {first['document_id']}: {first['error']}")
 
     whole = store["elements"].read().join(processed, scope, "left_semi")
-    admitted = admit(whole, park(processed, "scope"), config, structured, park)
-    names = {"ingestion_batches": ["batch_id"], "products": ["record_id"], "rejected_products": ["rejection_id"]}
+    blank = extraction.certified_blank(store["extractions"].read(), store["elements"].read(), store["page_audits"].read())
+    admitted = admit(whole, park(processed, "scope"), config, structured, park, blank)
+    names = {"ingestion_batches": ["batch_id"], "products": ["record_id"], "batch_products": ["batch_id", "ordinal", "product_record_id"], "rejected_products": ["rejection_id"]}
     for name, key in names.items():
         columns = store[name].read().columns
         store[name].write(catalog.upsert(store[name].read(), admitted[name].select(*columns), key))
-    products = admitted["product_chunks"]
+    for name, owner in (("product_specifications", "record_id"), ("product_evidence", "product_record_id")):
+        columns = store[name].read().columns
+        store[name].write(catalog.replace_children(store[name].read(), admitted[name].select(*columns), admitted["products"], owner), sort=[owner])
+    products = _embedded(admitted["product_chunks"], config, embedding)
     store["knowledge_chunks"].write(catalog.replace_scope(store["knowledge_chunks"].read(), products, ["product_record_id"]), sort=["chunk_kind", "source_document_id", "page_number"])
 
-    per_page = store["extractions"].read().join(processed, scope, "left_semi")
-    by_document = per_page.groupBy("document_id").agg(F.count("*").alias("pages"), F.count_if(F.col("error").isNotNull()).alias("page_errors"))
+    failed = admitted["failed"].groupBy("document_id").agg(F.count("*").alias("failed_chunks"))
+    bad = store["page_errors"].read().join(processed, scope, "left_semi").groupBy("document_id").agg(F.count("*").alias("page_errors"))
+    source = F.max("source_path") if "source_path" in pages.columns else F.max(F.lit(None).cast("string"))
+    by_document = pages.groupBy("document_id").agg(F.count_distinct("page_number").alias("pages"), source.alias("source_path")).join(bad, "document_id", "left").join(failed, "document_id", "left")
     status = store["ingestion_batches"].read().groupBy("document_id").agg(F.max(F.when(F.col("status") != "succeeded", 1).otherwise(0)).alias("odd"))
-    told = by_document.join(status, "document_id", "left").withColumn("status", F.when(F.col("page_errors") == F.col("pages"), "failed").when((F.col("page_errors") > 0) | (F.col("odd") == 1), "review").otherwise("succeeded"))
-    summary = ops.run_summary(told, "status", {"pages": "pages", "page_errors": "page_errors"})
-    totals = {"elements": whole.count(), "products": store["products"].read().count(), "rejected": store["rejected_products"].read().count(), "chunks": store["knowledge_chunks"].read().count(), "checkpoint_hits": hits}
-    return summary.withColumns({k: F.lit(v) for k, v in totals.items()})
+    told = by_document.join(status, "document_id", "left").fillna(0, ["page_errors", "failed_chunks"])
+    odd = (F.col("page_errors") > 0) | (F.col("odd") == 1) | (F.col("failed_chunks") > 0)
+    told = told.withColumns({"status": F.when(F.col("page_errors") == F.col("pages"), "failed").when(odd, "review").otherwise("succeeded"), "finished_at": F.current_timestamp(), "elapsed_seconds": F.lit(time.time() - began)})
+    documents = park(told.select(*store["documents"].read().columns), "documents")
+    store["documents"].write(catalog.upsert(store["documents"].read(), documents, ["document_id"]))
+    summary = ops.run_summary(documents, "status", {"pages": "pages", "page_errors": "page_errors"})
+    totals = {
+        "elements": whole.count(), "products": store["products"].read().count(), "rejected": store["rejected_products"].read().count(), "chunks": store["knowledge_chunks"].read().count(),
+        "needs_review": store["products"].read().where("review_status = 'needs_review'").count(), "ocr_pages": store["extractions"].read().join(processed, scope, "left_semi").where("requires_ocr").count(),
+        "blank_pages": blank.join(processed, scope, "left_semi").count(), "checkpoint_hits": hits,
+    }
+    told = summary.withColumns({k: F.lit(v) for k, v in totals.items()})
+    write_json(spark, f"{root}/summary.json", told.first().asDict() | {"finished_at": datetime.now(UTC).isoformat(), "elapsed_seconds": round(time.time() - began, 3)})
+    return told
+
+
+def _embedded(rows: DataFrame, config: Config, embedding: Callable[[], models.EmbeddingModel]) -> DataFrame:
+    """Chunks with their vectors, so that queries need not make them."""
+    return models.embed(rows, embedding) if config.embed else rows.withColumn("embedding", F.lit(None).cast("array<double>"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagewright.functions import text as T
+from pagewright.operators.ops import is_status_payload
 
 FILE = "path string, modificationTime timestamp, length long"
 
@@ -23,13 +25,61 @@ def discover_pdfs(spark: SparkSession, roots: list[str], content: bool = False)
     return files.select(*columns).withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n").orderBy(F.lower("path"))
 
 
-def inventory(spark: SparkSession, root: str, extensions: list[str], count_pages: Callable[[bytes], int | None] | None = None) -> DataFrame:
-    """One row per file with one of the extensions: relative path, size, SHA-256, page count and how it was found. Page errors are data."""
+@dataclass(frozen=True)
+class Walk:
+    """Files below a root with one of the extensions, by path without case, and how many others were passed over."""
+
+    paths: list[str]
+    ignored: int
+    symlinks: int
+
+
+def walk(spark: SparkSession, root: str, extensions: list[str], excluded: str | None = None) -> Walk:
+    """Lists files without following links; what lies at or below ``excluded`` (a run's own output) is not looked at. Names only: the files are read by tasks."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(conf)
+    wanted = tuple("." + e.strip().lstrip(".").lower() for e in extensions)
+    skipped = None if excluded is None else fs.makeQualified(jvm.org.apache.hadoop.fs.Path(excluded)).toString()
+    link = jvm.java.nio.file.Files.isSymbolicLink
+    found, ignored, links, todo = [], 0, 0, [fs.makeQualified(top)]
+    while todo:
+        for status in fs.listStatus(todo.pop()):
+            path = status.getPath()
+            name = path.toString()
+            uri = path.toUri()
+            if skipped is not None and (name == skipped or name.startswith(skipped + "/")):
+                continue
+            if status.isSymlink() or uri.getScheme() == "file" and link(jvm.java.nio.file.Path.of(jvm.java.net.URI(uri.toString()))):
+                links += 1
+            elif status.isDirectory():
+                todo.append(path)
+            elif name.lower().endswith(wanted):
+                found.append(name)
+            else:
+                ignored += 1
+    return Walk(sorted(found, key=lambda x: (x.casefold(), x)), ignored, links)
+
+
+def count_page_objects(raw: bytes) -> int:
+    """How many page objects a PDF has in the clear; a file that keeps them compressed needs a parser."""
+    n = len(re.findall(rb"/Type\s*/Page(?![A-Za-z])", raw))
+    if not raw.startswith(b"%PDF") or not n:
+        raise ValueError("no page objects in the clear")
+    return n
+
+
+def inventory(spark: SparkSession, root: str, extensions: list[str], count_pages: Callable[[bytes], int | None] | None = count_page_objects) -> DataFrame:
+    """One row per file with one of the extensions: relative path, size, SHA-256, page count and how it was found, and whether it changed between listing and reading.
+
+    Page errors are data; without ``count_pages`` pages are not counted.
+    """
     wanted = [("." + e.strip().lstrip(".")).lower() for e in extensions]
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     files = files.withColumn("extension", F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1))).where(F.col("extension").isin(*wanted))
     relative = F.regexp_replace("path", "^.*?" + re.escape(root.rstrip("/")) + "/", "")
-    out = files.select(relative.alias("relative_path"), "extension", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), "content")
+    changed = (F.octet_length("content") != F.col("length")).alias("changed_during_read")
+    out = files.select(relative.alias("relative_path"), "extension", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), changed, F.sha2("content", 256).alias("sha256"), "content")
     if count_pages is None:
         out = out.withColumns({"page_count": F.lit(None).cast("int"), "page_count_method": F.lit("unavailable")})
     else:
@@ -38,7 +88,7 @@ def inventory(spark: SparkSession, root: str, extensions: list[str], count_pages
         def pages(content: pd.Series) -> pd.DataFrame:
             def one(raw):
                 try:
-                    return count_pages(raw), "parser"
+                    return count_pages(bytes(raw)), "parser"
                 except Exception as e:  # noqa: BLE001  an unreadable file is a finding, not a failure of the run
                     return None, f"error: {e}"
 
@@ -49,8 +99,6 @@ def inventory(spark: SparkSession, root: str, extensions: list[str], count_pages
     return out.drop("content").orderBy(F.lower("relative_path"))
 
 
-
-
 PAGE = (
     "document_id string, page_number int, native_text string, "
     "native_blocks array<struct<text:string,bbox:struct<x0:double,y0:double,x1:double,y1:double,coordinate_space:string>,element_type:string,metadata:map<string,string>>>, "
@@ -87,10 +135,12 @@ def read_json(spark: SparkSession, path: str, schema: str, lines: bool = True) -
 
 
 def read_status_files(spark: SparkSession, root: str, limit: int) -> tuple[DataFrame, bool]:
-    """Status files by path, at most ``limit`` of them, and whether there were more."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root).select(F.input_file_name().alias("path"), F.col("value").alias("payload"))
-    found = files.orderBy("path").limit(limit + 1)
-    return found.limit(limit), found.count() > limit
+    """Status files by path, at most ``limit`` of them, with ``is_status`` (see ``ops.is_status_payload``), and whether there were more. Links are not followed."""
+    paths = walk(spark, root, ["json"]).paths
+    if not paths[:limit]:
+        return spark.createDataFrame([], "path string, payload string, is_status boolean"), bool(paths)
+    files = spark.read.option("wholetext", "true").text(paths[:limit]).select(F.input_file_name().alias("path"), F.col("value").alias("payload"))
+    return files.withColumn("is_status", is_status_payload(F.col("payload"))), len(paths) > limit
 
 
 def contents(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,25 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
+def _replace(spark: SparkSession, name: str, text: str) -> None:
+    """Writes a small file beside its place and moves it there, so that readers see the old text or the new one."""
+    fs, path = _fs(spark, name)
+    new = path(f"{name}.{uuid.uuid4().hex}")
+    stream = fs.create(new, True)
+    stream.write(bytearray(text.encode()))
+    stream.hsync()
+    stream.close()
+    context = spark.sparkContext._jvm.org.apache.hadoop.fs
+    options = spark.sparkContext._gateway.new_array(context.Options.Rename, 1)
+    options[0] = context.Options.Rename.OVERWRITE
+    context.FileContext.getFileContext(fs.getUri()).rename(new, path(name), options)
+
+
+def write_json(spark: SparkSession, path: str, payload: dict) -> None:
+    """Writes a JSON document, with its fields in alphabetical order, all at once."""
+    _replace(spark, path, json.dumps(payload, sort_keys=True, ensure_ascii=False, default=str, indent=2) + "\n")
+
+
 class Table:
     """A table in a folder of versions. A write makes a new version and then moves the pointer, so readers see the old rows or the new ones."""
 
@@ -37,15 +57,7 @@ class Table:
         out = rows.sortWithinPartitions(*sort) if sort else rows
         writer = out.write.partitionBy(*partition) if partition else out.write
         writer.parquet(f"{self.path}/{version}")
-        fs, path = _fs(self.spark, self.path)
-        new = path(f"{self.path}/CURRENT.{version}")
-        stream = fs.create(new, True)
-        stream.write(bytearray(version.encode()))
-        stream.close()
-        context = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        options = self.spark.sparkContext._gateway.new_array(context.Options.Rename, 1)
-        options[0] = context.Options.Rename.OVERWRITE
-        context.FileContext.getFileContext(fs.getUri()).rename(new, path(f"{self.path}/CURRENT"), options)
+        _replace(self.spark, f"{self.path}/CURRENT", version)
         return version
 
 

@@ -184,3 +184,41 @@ def test_resume(spark):
     old = named.where("page_number = 1").unionByName(named.where("page_number = 2").withColumn("fingerprint", F.lit("stale"))).select("document_id", "page_number", "fingerprint")
     todo, held = elements.pending(named, old)
     assert [r.page_number for r in todo.collect()] == [2] and [r.page_number for r in held.collect()] == [1]
+
+
+def test_walk_and_status_files(spark, tmp_path):
+    (tmp_path / "b.JSON").write_text(json.dumps({"kind": "run", "state": "done"}))
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "A.json").write_text(json.dumps({"state": "queued", "job_id": 7}))
+    (tmp_path / "c.json").write_text(json.dumps({"state": "x"}))
+    (tmp_path / "note.txt").write_text("x")
+    (tmp_path / "link.json").symlink_to(tmp_path / "c.json")
+    (tmp_path / "out").mkdir()
+    (tmp_path / "out" / "own.json").write_text("{}")
+    w = readers.walk(spark, f"file://{tmp_path}", ["json"], f"file://{tmp_path}/out")
+    assert [p.rsplit("/", 1)[1] for p in w.paths] == ["b.JSON", "c.json", "A.json"] and (w.ignored, w.symlinks) == (1, 1)
+    found, more = readers.read_status_files(spark, f"file://{tmp_path}", 3)
+    assert more and {r.path.rsplit("/", 1)[1]: r.is_status for r in found.collect()} == {"b.JSON": True, "c.json": False, "own.json": False}
+    assert readers.read_status_files(spark, f"file://{tmp_path}/sub", 3)[1] is False
+
+
+def test_page_objects_and_changes(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"%PDF-1.4 /Type /Pages /Type /Page /Type/Page >>")
+    (tmp_path / "b.pdf").write_bytes(b"none")
+    got = readers.inventory(spark, str(tmp_path), ["pdf"]).collect()
+    assert [(r.page_count, r.page_count_method[:5], r.changed_during_read) for r in got] == [(2, "parse", False), (None, "error", False)]
+
+
+def test_json_document(spark, tmp_path):
+    store.write_json(spark, f"file://{tmp_path}/x.json", {"b": 1, "a": "é"})
+    store.write_json(spark, f"file://{tmp_path}/x.json", {"b": 2})
+    assert json.loads((tmp_path / "x.json").read_text()) == {"b": 2}
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["x.json"]
+
+
+def test_boxes_texts_and_trees():
+    assert elements.box_of([1, "2", 3, 4]) == (1.0, 2.0, 3.0, 4.0) == elements.box_of({"left": 1, "top": 2, "right": 3, "bottom": 4}) == elements.box_of({"x": 1, "y": 2, "width": 2, "height": 2})
+    assert elements.box_of({"x0": 1, "y0": 2, "x1": 3}) is None and elements.box_of("1234") is None and elements.box_of([1, 2, 3]) is None
+    assert elements.text_of({"text": "", "content": ["a"], "value": "b"}) == '["a"]' and elements.text_of({}) == ""
+    tree = {"pages": [{"elements": [{"element_id": "a"}, [{"element_id": "b"}]]}, {"elements": []}], "x": {"element_id": "no"}}
+    assert [e["element_id"] for e in elements.walk(tree)] == ["a", "b"]
