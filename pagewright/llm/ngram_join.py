@@ -245,7 +245,7 @@ def _searched(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     # Sets that such shingles join to few others are searched once, with all of them.
     near = scratch.table(components(rows.select(F.col("id").alias("u"), F.col("lead").alias("v"))), "near")
     bins = max(1, -(-near.count() // (BLOCK // 2)))
-    small = scratch.table(near.groupBy("component").count().where(F.col("count") <= BLOCK // 2).select("component"), "small")
+    small = scratch.table(near.groupBy("component").count().where(F.col("count") <= 2 * BLOCK).select("component"), "small")
     whole = scratch.table(near.join(small, "component").select(F.col("node").alias("id"), F.pmod(F.xxhash64("component"), F.lit(bins)).alias("group")), "whole")
     together = whole.join(labels, "id").select("group", "id", "label", F.lit(0).alias("side"))
     rows = scratch.table(rows.join(whole, "id", "left_anti"), "rest")
