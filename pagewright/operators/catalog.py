@@ -39,6 +39,11 @@ def replace_scope(old: DataFrame, new: DataFrame, scope: list[str], owners: Data
     return old.join(named, scope, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def replace_document(old: DataFrame, new: DataFrame, documents: DataFrame, key: str = "source_document_id") -> DataFrame:
+    """Replaces all that belongs to whole documents; a document of which only some pages are given loses the others."""
+    return replace_scope(old, new, [key], documents)
+
+
 def delete_scope(old: DataFrame, scope: dict) -> tuple[DataFrame, DataFrame]:
     """What is left without the rows of a scope, and how many go."""
     hit = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(v) for k, v in scope.items()])

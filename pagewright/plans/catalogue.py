@@ -190,29 +190,38 @@ def products_of(part: DataFrame) -> DataFrame:
 
 
 @query(f"""
-    WITH p AS ({_PRODUCTS})
-    SELECT record_id, 'identity' AS chunk_type, 0 AS ordinal, concat_ws(chr(10), 'Industrial catalog product', 'Manufacturer: ' || manufacturer, 'Part name: ' || part_name, 'Part number: ' || part_number) AS text FROM p
+    WITH p AS ({_PRODUCTS}), q AS (
+        SELECT *, list_filter(['size = ' || size || ' millimeters', 'type = ' || type, CASE WHEN p_size % 10 = 1 THEN 'size = ' || p_partkey || ' millimeters' END], lambda x: x IS NOT NULL) AS ls,
+               list_filter([CASE WHEN size IS NOT NULL THEN 'size' END, CASE WHEN type IS NOT NULL THEN 'type' END, CASE WHEN p_size % 10 = 1 THEN 'size' END], lambda x: x IS NOT NULL) AS names,
+               list_filter([CASE WHEN manufacturer IS NOT NULL THEN 'manufacturer' END, 'part_name', CASE WHEN part_number IS NOT NULL THEN 'part_number' END], lambda x: x IS NOT NULL) AS paths FROM p)
+    SELECT record_id, 'identity' AS chunk_type, 0 AS ordinal, concat_ws(chr(10), 'Industrial catalog product', 'Manufacturer: ' || manufacturer, 'Part name: ' || part_name, 'Part number: ' || part_number) AS text,
+           1::BIGINT AS citations, 'el_' || p_partkey AS element_id, array_to_string(paths, ',') AS field_paths FROM q
     UNION ALL
-    SELECT record_id, 'specification', unnest(range(len(ls)))::INT, 'Product: ' || concat_ws(' | ', manufacturer, part_name, part_number) || chr(10) || 'Specification: ' || unnest(ls)
-    FROM (SELECT *, list_filter(['size = ' || size || ' millimeters', 'type = ' || type, CASE WHEN p_size % 10 = 1 THEN 'size = ' || p_partkey || ' millimeters' END], lambda x: x IS NOT NULL) AS ls FROM p)
+    SELECT record_id, 'specification', (k - 1)::INT, 'Product: ' || concat_ws(' | ', manufacturer, part_name, part_number) || chr(10) || 'Specification: ' || ls[k], 1, 'el_' || p_partkey,
+           array_to_string(list_sort(list_concat(paths, list_filter(['specifications.' || (k - 1) || '.name', CASE WHEN names[k] = 'size' THEN 'specifications.' || (k - 1) || '.unit' END, 'specifications.' || (k - 1) || '.value'], lambda x: x IS NOT NULL))), ',')
+    FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS k FROM q)
 """)
 def product_chunks(part):
     c = chunks.product_chunks(products_of(part))
-    return c.select(F.col("product_record_id").alias("record_id"), "chunk_type", "ordinal", "text")
+    first = F.col("citations")[0]
+    return c.select(
+        F.col("product_record_id").alias("record_id"), "chunk_type", "ordinal", "text", F.size("citations").cast("long").alias("citations"), first["element_id"].alias("element_id"),
+        F.array_join(first["field_paths"], ",").alias("field_paths"),
+    )
 
 
 @query("""
     SELECT l_orderkey AS order_key, l_suppkey AS element, l_returnflag AS excerpt, string_agg(DISTINCT l_linestatus || l_linenumber, ',' ORDER BY l_linestatus || l_linenumber) AS field_paths,
-           arg_min(l_discount, l_linenumber * 1e9 + l_partkey) AS confidence
-    FROM lineitem GROUP BY ALL
+           arg_min(l_discount, l_linenumber * 1e9 + l_partkey) AS confidence, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_suppkey::VARCHAR, l_returnflag) - 1 AS ordinal
+    FROM lineitem GROUP BY l_orderkey, l_suppkey, l_returnflag
 """)
 def citation_merge(lineitem):
     cited = lineitem.select(
         F.col("l_orderkey").alias("order_key"), (F.col("l_linenumber") * 1e9 + F.col("l_partkey")).alias("pos"), F.concat("l_linestatus", "l_linenumber").alias("field_path"), F.lit("d").alias("source_document_id"),
-        F.lit(None).cast("string").alias("source_path"), F.lit(1).alias("page_number"), F.col("l_suppkey").alias("element_id"), F.col("l_returnflag").alias("text"), F.col("l_discount").alias("confidence"),
+        F.lit(None).cast("string").alias("source_path"), F.lit(1).alias("page_number"), F.col("l_suppkey").cast("string").alias("element_id"), F.col("l_returnflag").alias("text"), F.col("l_discount").alias("confidence"),
     )
     merged = chunks.merge_citations(cited, ("order_key",))
-    return merged.select("order_key", F.col("element_id").alias("element"), F.col("text").alias("excerpt"), F.array_join("field_paths", ",").alias("field_paths"), "confidence")
+    return merged.select("order_key", F.col("element_id").cast("long").alias("element"), F.col("text").alias("excerpt"), F.array_join("field_paths", ",").alias("field_paths"), "confidence", F.col("ordinal").cast("long").alias("ordinal"))
 
 
 @query("""
@@ -488,14 +497,26 @@ def review_states(part):
     return done.select("record_id", F.size("validation_warnings").cast("long").alias("warnings"), "review_status")
 
 
-@query(f"""
-    SELECT record_id, CASE WHEN conf IS NOT NULL THEN round_even(conf, 6) END AS record_confidence, upper(part_number) AS part_number, CASE WHEN size <> p_partkey::VARCHAR THEN 'mm' END AS unit FROM ({_PRODUCTS})
-""")
+_NORMALIZED = f"""
+    SELECT record_id, CASE WHEN conf IS NOT NULL THEN round_even(conf, 6) END AS record_confidence, upper(part_number) AS part_number, manufacturer,
+           coalesce(array_to_string(list_filter([CASE WHEN size IS NOT NULL THEN 'size=' || size || ' mm' END, CASE WHEN type IS NOT NULL THEN 'type=' || regexp_replace(trim(type), ' +', ' ', 'g') END, CASE WHEN p_size % 10 = 1 THEN 'size=' || p_partkey || ' mm' END], lambda x: x IS NOT NULL), ';'), '') AS specifications
+    FROM ({_PRODUCTS})
+"""
+
+
+def _normalized(done: DataFrame) -> DataFrame:
+    shown = F.transform("specifications", lambda s: F.concat_ws(" ", F.concat_ws("=", s["name"]["normalized"], s["value"]["normalized"]), s["unit"]["normalized"]))
+    return done.select("record_id", "record_confidence", F.col("part_number.normalized").alias("part_number"), F.col("manufacturer.normalized").alias("manufacturer"), F.array_join(shown, ";").alias("specifications"))
+
+
+@query(_NORMALIZED)
 def normalize_products(part):
-    done = rules.normalize(products_of(part), ascii_only=True)
-    unit = F.filter("specifications", lambda s: (s["name"]["normalized"] == "size") & (F.coalesce(s["value"]["raw"], F.lit("")) != F.substring("record_id", 2, 99)))
-    first = F.when(F.size(unit) > 0, F.try_element_at(unit, F.lit(1))["unit"]["normalized"])
-    return done.select("record_id", "record_confidence", F.col("part_number.normalized").alias("part_number"), first.alias("unit"))
+    return _normalized(rules.normalize(products_of(part)))
+
+
+@query(_NORMALIZED)
+def normalize_products_ascii(part):
+    return _normalized(rules.normalize(products_of(part), ascii_only=True))
 
 
 # ---------------------------------------------------------------- joins, tables and DML
