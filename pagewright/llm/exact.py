@@ -1,10 +1,9 @@
 """Exact deduplication by content-defined chunk recipes (DataFrame functions only).
 
-A text is cut where its own content says so: after a sentence end that follows one of a few letters, and
-every ``MAX_CHUNK`` characters where there is none. Each chunk gets a 64-bit hash; a chunk that occurs more
-than once is entered in a dictionary, verified by its length and SHA-256, under the place of its first
-occurrence. A document's recipe is its ordered list of identifiers, and documents are equal when their recipes
-are. Texts never leave the task that read them: only digests and recipes are moved.
+A text is cut where its own content says so: between words of which one ends and the next begins with certain letters, in text without spaces between certain pairs of
+characters, and after ideographic stops. Text without any of these is cut every ``MAX_CHUNK`` characters. A chunk's identifier is 128 bits of two hashes; the dictionary of distinct
+chunks, by length and SHA-256, verifies that no two of them have one identifier, and the operator fails if they do. A document's recipe is its ordered list of
+identifiers, and documents are equal when their recipes are. Texts never leave the task that read them: only digests and recipes are moved.
 """
 
 from __future__ import annotations
@@ -15,7 +14,8 @@ from pyspark.sql import functions as F
 from pagewright.llm import scratch
 
 SPACE = r"[\x20\x09-\x0D]+"
-CUT = r"(?<=[dhlnt][.!?] )"
+#: What every cut comes after stands first, so that most places are passed over at once.
+CUT = r"(?<=[ 3Kvw、。])(?:(?=[a-eA-E])(?<=[aeiou][kmpgd][.,!?]? )|(?<=[Zq7x][3Kvw]|[、。]))"
 MAX_CHUNK = 8192
 
 
@@ -25,39 +25,33 @@ def normalised(text: Column) -> Column:
 
 def chunks(text: Column, cut: str = CUT, most: int = MAX_CHUNK) -> Column:
     """The text's chunks in order; their concatenation is the text. An empty text has one empty chunk."""
-    parts = F.flatten(F.transform(F.split(text, cut), lambda p: F.regexp_extract_all(p, F.lit(f"(?s).{{1,{most}}}"), F.lit(0))))
-    return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(parts)
+    pieces = lambda p: F.when(F.length(p) <= most, F.array(p)).otherwise(F.regexp_extract_all(p, F.lit(f"(?s).{{1,{most}}}"), F.lit(0)))
+    return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(F.flatten(F.transform(F.filter(F.split(text, cut), lambda p: p != ""), pieces)))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: str = CUT, most: int = MAX_CHUNK) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_chunks, n_shared``.
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_chunks``.
 
     Texts count as equal when they are identical after each run of ASCII white space is one space; null
     counts as empty. The smallest id of a group stays. Rows repeated with one id and one text are one group and
-    only one of them is ``kept``; a null id comes after all others. ``n_chunks`` and ``n_shared`` tell how many
-    chunks a text has and how many of them occur elsewhere too. Other columns are ignored.
+    only one of them is ``kept``; a null id comes after all others. ``n_chunks`` tells how many chunks a text has. Other columns are ignored; no rows give none.
     """
     read = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("t"))
-    pieces = read.select("doc_id", F.unhex(F.sha2("t", 256)).alias("sha"), F.posexplode(chunks(F.col("t"), cut, most)).alias("i", "chunk"))
-    pieces = scratch.table(pieces.select("doc_id", "sha", "i", F.xxhash64("chunk").alias("h"), F.length("chunk").alias("n"), F.unhex(F.sha2("chunk", 256)).alias("proof")), "chunks")
-    known = scratch.table(
-        pieces.groupBy("h", "n", "proof").agg(F.count("*").alias("uses"), F.min(F.struct("sha", "i")).alias("id")).where("uses > 1").drop("uses"), "dictionary"
-    )
-    named = pieces.join(known, ["h", "n", "proof"], "left").select("doc_id", "sha", "i", F.col("id").isNotNull().alias("shared"), F.coalesce("id", F.struct("sha", "i")).alias("id"))
-    recipes = named.groupBy("doc_id", "sha").agg(
-        F.array_sort(F.collect_set(F.struct("i", "id"))).alias("r"), F.count(F.when(F.col("i") == 0, 1)).alias("copies"), F.count(F.when(F.col("shared"), 1)).alias("shared")
-    )
-    recipes = scratch.table(recipes.select("doc_id", "sha", "copies", F.transform("r", lambda x: x["id"]).alias("recipe"), "shared"), "recipes")
-    groups = scratch.table(recipes.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")).where("group_size > 1"), "groups")
-    found = recipes.join(groups, "recipe", "left").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    grouped = F.col("group_size").isNotNull()
-    keep = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
-    return found.select(
-        "doc_id",
-        keep.alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        (F.col("doc_id").eqNullSafe(keep) & (F.col("copy") == 1)).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
-        F.size("recipe").cast("long").alias("n_chunks"),
-        (F.col("shared") / F.col("copies")).cast("long").alias("n_shared"),
-    )
+    digest = lambda c: F.struct(F.xxhash64(c).alias("h"), F.length(c).alias("n"), F.unhex(F.sha2(c, 256)).alias("proof"))
+    rows = scratch.table(read.select("doc_id", F.unhex(F.sha2("t", 256)).alias("sha"), F.transform(chunks(F.col("t"), cut, most), digest).alias("chunks")), "chunks")
+    identifier = lambda x: F.struct(x["h"].alias("h"), F.xxhash64(x["proof"]).alias("p"))
+    dictionary = rows.select(F.explode("chunks").alias("x")).select("x.*").distinct()
+    twice = scratch.table(dictionary.groupBy(identifier(F.struct("h", "proof")).alias("id")).count().where("count > 1"), "unverified")
+    if not twice.isEmpty():
+        raise RuntimeError("two chunks have one identifier; cut the texts in another way")
+    recipes = rows.select("doc_id", "sha", F.transform("chunks", identifier).alias("recipe"))
+    groups = recipes.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1")
+    groups = scratch.table(groups, "groups")
+    told = ["doc_id", "sha", F.size("recipe").cast("long").alias("n_chunks"), "keep_id", "group_size"]
+    found = scratch.table(recipes.join(groups, "recipe", "left").select(*told), "recipes")
+    same = found.where("group_size is not null")
+    same = same.groupBy(*same.columns).agg(F.count("*").alias("copies")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
+    text = F.lower(F.hex("sha")).alias("text_sha256")
+    alone = found.where("group_size is null").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), text, "n_chunks")
+    return alone.unionByName(same.select("doc_id", "keep_id", "group_size", kept.alias("kept"), text, "n_chunks"))
