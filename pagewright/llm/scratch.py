@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 BATCH = "8m"
 _WRITTEN: list[str] = []
 _SENT: list[Broadcast] = []
+#: Folders of local sessions that name none.
+_LOCAL: dict[str, str] = {}
 
 
 def folder(spark: SparkSession) -> str:
@@ -21,9 +23,10 @@ def folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-    named = "file://" + tempfile.mkdtemp(prefix="pagewright-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = "file://" + tempfile.mkdtemp(prefix="pagewright-")
+    return _LOCAL[app]
 
 
 def table(df: DataFrame, name: str) -> DataFrame:

@@ -1,11 +1,10 @@
 """Substring deduplication by fixed-block anchors.
 
-Blocks of ten words that start at every tenth word of a document are the reference index; every run of ten words is a
-probe. A window of twenty words that also occurs elsewhere holds one of its document's blocks whole, and each of its runs of
-ten occurs elsewhere too. So windows with a block hit and without a run that is unique are all that can repeat.
-They are extended to their full length: equal windows (96-bit digests of the words) meet in their bucket, which keeps the
-first occurrence, by document and place; every other occurrence is removed. Neighbouring windows make up
-maximal repeats.
+Blocks of half a window (ten words) that start at every tenth word of a document are the reference index; every run of ten words is a
+probe. A hit is extended to the left and to the right, word by word, as long as the runs of ten words keep occurring elsewhere. A stretch that comes out shorter than a window is
+dropped. A window of twenty words that also occurs elsewhere holds one of its document's blocks whole, and each of its runs of ten occurs elsewhere too,
+so the stretches hold all that can repeat. Their windows are then compared as a whole: equal ones (96-bit digests of the words) meet in their bucket, which keeps the
+first occurrence, by document and place; every other occurrence is removed. Neighbouring windows make up the maximal repeats, which are the result's ``removed`` runs.
 
 Both exchanges are packed (see ``exchange``): a chunk of documents asks about its distinct runs and gets bits back.
 """
@@ -63,19 +62,33 @@ class Chunk:
         chunk = self.table.column("chunk")[0].as_py()
         return [(k, chunk, PROBE, prints[a:b].tobytes() + X.bits(index[a:b]) + X.bits(uses[a:b] > 1)) for k, a, b in X.bucket_bounds(key >> U(32), buckets)]
 
+    def stretches(self, again: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last run (places of words) of every stretch of runs that all occur ``again``, one after the other in one document, with an anchor's ``hit`` among them."""
+        good = np.flatnonzero(again)
+        if not len(good):
+            return good, good
+        place = self.block_at[good]
+        new = np.concatenate([[True], (np.diff(good) > 1) | (np.diff(place) > 1)])
+        edge = np.flatnonzero(new)
+        last = np.append(edge[1:], len(good)) - 1
+        anchored = np.add.reduceat(hit[good].astype(np.int64), edge) > 0
+        return place[edge][anchored], place[last][anchored]
+
     def candidates(self, answers: dict[int, bytes], buckets: int) -> np.ndarray:
-        """Which of the windows can occur elsewhere too: indices into ``at``."""
+        """Which of the windows lie in a stretch: indices into ``at``."""
         key, back = np.unique(X.placed(self.block_hash, buckets), return_inverse=True)
         again, hit = np.zeros(len(key), bool), np.zeros(len(key), bool)
         for k, a, b in X.bucket_bounds(key >> U(32), buckets):
             if k in answers:
                 m = (b - a + 7) // 8
                 again[a:b], hit[a:b] = X.unbits(answers[k][:m], b - a), X.unbits(answers[k][m:], b - a)
-        total = np.zeros((2, self.n + 1), np.int64)
-        total[0, self.block_at + 1], total[1, self.block_at + 1] = again[back], hit[back]
-        total = total.cumsum(1)
-        last = self.at + self.window - self.block + 1
-        return np.flatnonzero((total[0, last] - total[0, self.at] == self.window - self.block + 1) & (total[1, last] > total[1, self.at]))
+        first, last = self.stretches(again[back], hit[back])
+        end = last + self.block - self.window + 1
+        long = end > first
+        step = np.zeros(self.n + 1, np.int32)
+        np.add.at(step, first[long], 1)
+        np.add.at(step, end[long], -1)
+        return np.flatnonzero(step.cumsum()[self.at] > 0)
 
     def distinct(self, which: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The first of each distinct candidate window, in the order of bucket and digest; the bucket of each; and the number of each candidate's window."""
