@@ -123,6 +123,7 @@ def contains_identifier(text: Column | str, identifier: Column | str) -> Column:
 
 
 def display(raw: Column, normalized: Column) -> Column:
+    """What is shown of a value: its normal form, else its raw one. Maps and lists are JSON text by then, as the boundary reads them into columns of text."""
     return strip(F.coalesce(normalized, raw, F.lit("")))
 
 

@@ -74,12 +74,18 @@ def job_states(rows: DataFrame, state: str) -> DataFrame:
     return rows.withColumn("state", F.when(own.isin(*KNOWN), own).otherwise("unknown"))
 
 
-def is_status_payload(payload: Column) -> Column:
-    """Whether a JSON text is the status of a run or job: by its kind, else by a state together with an identity."""
+#: What statuses of runs and jobs call their kind, alone or after a prefix of their own, and their files' names.
+STATUS_KINDS = ("benchmark-run", "job", "job-status", "run-status")
+STATUS_FILES = ("job_status.json", "run_status.json")
+
+
+def is_status_payload(payload: Column, path: Column) -> Column:
+    """Whether a JSON text is the status of a run or job: by its kind where it has one, else by a state together with an identity or its file's name."""
     get = lambda k: F.get_json_object(payload, f"$.{k}")
-    kind = F.lower(F.coalesce(get("kind"), get("type"), F.lit("")))
-    named = F.coalesce(*[get(k) for k in ("run_id", "job_id", "id", "document_id")]).isNotNull()
-    return F.coalesce(kind.isin("run", "job", "run_status", "job_status") | (F.coalesce(get("state"), get("status")).isNotNull() & named), F.lit(False))
+    kind = F.lower(F.trim(get("kind")))
+    named = F.coalesce(get("run_id"), get("job_id")).isNotNull() | F.lower(F.substring_index(path, "/", -1)).isin(*STATUS_FILES)
+    by_kind = kind.rlike(rf"^(?:.*-)?(?:{'|'.join(STATUS_KINDS)})$")
+    return F.coalesce(F.when(kind != "", by_kind).otherwise(F.coalesce(get("state"), get("status")).isNotNull() & named), F.lit(False))
 
 
 def run_summary(documents: DataFrame, status: str, metrics: dict[str, str]) -> DataFrame:

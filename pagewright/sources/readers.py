@@ -140,7 +140,7 @@ def read_status_files(spark: SparkSession, root: str, limit: int) -> tuple[DataF
     if not paths[:limit]:
         return spark.createDataFrame([], "path string, payload string, is_status boolean"), bool(paths)
     files = spark.read.option("wholetext", "true").text(paths[:limit]).select(F.input_file_name().alias("path"), F.col("value").alias("payload"))
-    return files.withColumn("is_status", is_status_payload(F.col("payload"))), len(paths) > limit
+    return files.withColumn("is_status", is_status_payload(F.col("payload"), F.col("path"))), len(paths) > limit
 
 
 def contents(docs: DataFrame, text_col: str = "text") -> DataFrame:

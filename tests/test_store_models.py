@@ -187,7 +187,7 @@ def test_resume(spark):
 
 
 def test_walk_and_status_files(spark, tmp_path):
-    (tmp_path / "b.JSON").write_text(json.dumps({"kind": "run", "state": "done"}))
+    (tmp_path / "b.JSON").write_text(json.dumps({"kind": " Own-Job-Status ", "state": "done"}))
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "A.json").write_text(json.dumps({"state": "queued", "job_id": 7}))
     (tmp_path / "c.json").write_text(json.dumps({"state": "x"}))
