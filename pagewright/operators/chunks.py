@@ -41,6 +41,23 @@ def mismatches(elements: DataFrame, pages: DataFrame) -> DataFrame:
     return elements.join(pages.select("document_id", "page_number").distinct(), ["document_id", "page_number"], "left_anti")
 
 
+def inconsistent(chunks: DataFrame) -> DataFrame:
+    """``chunk_id, problem`` of chunks that contradict themselves: kind and type, kind and owner, page, ordinal, text, or a vector that is empty or not finite."""
+    page, product = F.col("chunk_kind") == "page_evidence", F.col("chunk_kind") == "product"
+    vector = F.col("embedding") if "embedding" in chunks.columns else F.lit(None).cast("array<double>")
+    types = F.when(page, F.col("chunk_type") == "page_element").when(product, F.col("chunk_type").isin("identity", "specification", "operating_condition")).otherwise(False)
+    rules = {
+        "chunk_type": ~types,
+        "owner": (page & (F.col("product_record_id").isNotNull() | F.col("source_document_id").isNull())) | (product & F.col("product_record_id").isNull()),
+        "page_number": (page & F.coalesce(F.col("page_number") < 1, F.lit(True))) | (product & F.col("page_number").isNotNull()),
+        "ordinal": F.coalesce(F.col("ordinal") < 0, F.lit(True)),
+        "text": F.coalesce(T.strip("text") == "", F.lit(True)),
+        "embedding": F.coalesce((F.size(vector) == 0) | F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(False)),
+    }
+    found = F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in rules.items()]))
+    return chunks.select("chunk_id", F.explode(found).alias("problem"))
+
+
 def duplicate_pages(pages: DataFrame) -> DataFrame:
     return pages.groupBy("document_id", "page_number").agg(F.count("*").alias("copies")).where("copies > 1")
 

@@ -201,7 +201,10 @@ def hydrate(batches: DataFrame, elements: DataFrame) -> DataFrame:
             hydrator = Hydrator(row["document_id"], known)
             for i, p in enumerate(found):
                 if isinstance(p, dict):
-                    body, issues = hydrator.product(p)
+                    try:
+                        body, issues = hydrator.product(p)
+                    except Exception as e:  # noqa: BLE001  one product must not take its siblings with it
+                        body, issues = p, [_issue("product_preparation_failure", f"products.{i}", "error", f"{type(e).__name__}: {e}")]
                 else:
                     body, issues = {"value": p}, [_issue("invalid_product_payload", "", "error", "a product is an object")]
                 out.append((row["document_id"], row["batch"], i, json.dumps(body, sort_keys=True, ensure_ascii=False), shape + issues))

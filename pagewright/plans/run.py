@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from pagewright.operators import catalog, chunks, elements, extraction, guard, hints, hydrate, ops, rules
 from pagewright.plans import models
 from pagewright.plans.config import Config
-from pagewright.sources.store import Table, write_json
+from pagewright.sources.store import Table, try_append, write_json
 
 ELEMENT = (
     "element_id string, document_id string, page_number int, sequence_number int, element_type string, text string, extraction_method string, "
@@ -165,6 +165,8 @@ def run(
     products = _embedded(admitted["product_chunks"], config, embedding)
     store["knowledge_chunks"].write(catalog.replace_scope(store["knowledge_chunks"].read(), products, ["product_record_id"]), sort=["chunk_kind", "source_document_id", "page_number"])
 
+    issues = try_append(admitted["products"], f"{root}/products.jsonl", "products_jsonl_write_failed") + try_append(admitted["ingestion_batches"], f"{root}/batches.jsonl", "batch_jsonl_write_failed")
+
     failed = admitted["failed"].groupBy("document_id").agg(F.count("*").alias("failed_chunks"))
     bad = store["page_errors"].read().join(processed, scope, "left_semi").groupBy("document_id").agg(F.count("*").alias("page_errors"))
     source = F.max("source_path") if "source_path" in pages.columns else F.max(F.lit(None).cast("string"))
@@ -182,7 +184,7 @@ def run(
         "blank_pages": blank.join(processed, scope, "left_semi").count(), "checkpoint_hits": hits,
     }
     told = summary.withColumns({k: F.lit(v) for k, v in totals.items()})
-    write_json(spark, f"{root}/summary.json", told.first().asDict() | {"finished_at": datetime.now(UTC).isoformat(), "elapsed_seconds": round(time.time() - began, 3)})
+    write_json(spark, f"{root}/summary.json", told.first().asDict() | {"finished_at": datetime.now(UTC).isoformat(), "elapsed_seconds": round(time.time() - began, 3), "issues": issues})
     return told
 
 

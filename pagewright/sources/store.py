@@ -71,6 +71,15 @@ def append_events(rows: DataFrame, path: str) -> None:
     rows.select(*sorted(rows.columns)).write.mode("append").json(path)
 
 
+def try_append(rows: DataFrame, path: str, code: str) -> list[str]:
+    """Appends rows as JSON lines beside their table. That this fails is an issue, not the end of a run: the table has the rows."""
+    try:
+        append_jsonl(rows, path)
+    except Exception as e:  # noqa: BLE001
+        return [f"{code}: {type(e).__name__}"]
+    return []
+
+
 def overwrite_jsonl(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 

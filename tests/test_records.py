@@ -83,6 +83,13 @@ def found(spark, strict=False, **changes):
     return {(i.code, i.severity) for i in r.issues}, r.accepted
 
 
+def test_schema_rules(spark):
+    error = ("schema_error", "error")
+    assert found(spark, part_name=value("x", confidence=1.5)) == ({error}, False)
+    assert error in found(spark, record_id=" ")[0] and error in found(spark, category=value(None))[0]
+    assert error in found(spark, part_name=value("x", element=" "))[0]
+
+
 def test_rules(spark):
     assert found(spark) == (set(), True)
     assert found(spark, part_name=None, part_number=None) == ({("missing_product_identity", "error"), ("missing_part_number", "warning")}, False)

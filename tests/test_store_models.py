@@ -222,3 +222,20 @@ def test_boxes_texts_and_trees():
     assert elements.text_of({"text": "", "content": ["a"], "value": "b"}) == '["a"]' and elements.text_of({}) == ""
     tree = {"pages": [{"elements": [{"element_id": "a"}, [{"element_id": "b"}]]}, {"elements": []}], "x": {"element_id": "no"}}
     assert [e["element_id"] for e in elements.walk(tree)] == ["a", "b"]
+
+
+def test_chunks_that_contradict_themselves(spark):
+    page = ("a", None, "page_evidence", None, "d", None, 1, "page_element", 0, "t", None)
+    rows = [page, ("b", None, "page_evidence", "p", "d", None, 0, "identity", -1, " ", None), ("c", None, "product", None, "d", None, 2, "identity", 0, "t", None)]
+    got = {}
+    for r in chunks.inconsistent(spark.createDataFrame(rows, CHUNK)).collect():
+        got.setdefault(r.chunk_id, set()).add(r.problem)
+    assert got == {"b": {"chunk_type", "owner", "page_number", "ordinal", "text"}, "c": {"owner", "page_number"}}
+    vectors = spark.createDataFrame([page, ("z", *page[1:])], CHUNK).withColumn("embedding", F.when(F.col("chunk_id") == "a", F.array(F.lit(1.0), F.lit(float("nan")))).otherwise(F.array(F.lit(1.0))))
+    assert [tuple(r) for r in chunks.inconsistent(vectors).collect()] == [("a", "embedding")]
+
+
+def test_a_copy_that_cannot_be_written_is_an_issue(spark, tmp_path):
+    (tmp_path / "file").write_text("x")
+    assert store.try_append(spark.range(1), f"file://{tmp_path}/file/x.jsonl", "products_jsonl_write_failed")[0].startswith("products_jsonl_write_failed")
+    assert store.try_append(spark.range(1), f"file://{tmp_path}/y.jsonl", "c") == []
