@@ -209,11 +209,15 @@ def _prefixes(percent: int):
     return prefix
 
 
-def _least(batches):
-    """``id, least``: the least of a set's shingles in an order of its own."""
-    for b in batches:
-        least = [int(mix(np.frombuffer(x, U)).min()) for x in b.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(least, U).view(np.int64))], names=["id", "least"])
+def _least(turn: int):
+    """``id, least``: the least of a set's shingles in an order of the turn's own."""
+
+    def least(batches):
+        for b in batches:
+            found = [int(mix(np.frombuffer(x, U) + U(turn)).min()) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(found, U).view(np.int64))], names=["id", "least"])
+
+    return least
 
 
 def _classes(held: DataFrame, links: DataFrame) -> DataFrame:
@@ -222,15 +226,33 @@ def _classes(held: DataFrame, links: DataFrame) -> DataFrame:
     return held.select(F.col("doc_id").alias("id")).join(joined, F.col("id") == joined["node"], "left").select("id", F.coalesce("component", "id").alias("label"))
 
 
-def _likely(held: DataFrame, percent: int) -> DataFrame:
-    """Links among sets of one least hash, in blocks of bounded size. They are only a start; the search by prefixes leaves none out."""
-    least = scratch.table(held.select("doc_id", "tokens").mapInArrow(_least, "id long, least long"), "least")
+def _likely(held: DataFrame, percent: int, turn: int) -> tuple[DataFrame, bool]:
+    """Links among sets of one least hash, in blocks of bounded size, and whether sets of one hash were too many for one block."""
+    least = scratch.table(held.select("doc_id", "tokens").mapInArrow(_least(turn), "id long, least long"), "least")
     bins = max(1, -(-least.count() // (BLOCK // 2)))
     least = least.withColumn("bin", F.pmod("least", F.lit(bins)))
     large = scratch.table(least.groupBy("bin").count().where(F.col("count") > BLOCK).select("bin", F.ceil(2 * F.col("count") / BLOCK).alias("blocks")), "large")
     placed = least.join(large, "bin", "left").select(F.col("id").alias("doc_id"), F.xxhash64("bin", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1)))).alias("group"))
     tasks = held.join(placed, "doc_id").select("group", "doc_id", "tokens", F.col("doc_id").alias("label"), F.lit(0).alias("side"))
-    return scratch.table(tasks.groupBy("group").applyInArrow(_searching(percent), "u long, v long"), "likely")
+    return scratch.table(tasks.groupBy("group").applyInArrow(_searching(percent), "u long, v long"), "likely"), not large.isEmpty()
+
+
+def _families(held: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Classes of sets that are likely near copies (``id, label``), and the links that make them.
+
+    They are only a start; the search by prefixes leaves none out. Where a family takes more than one block, one set of each class goes on to another turn, so a family of
+    any size becomes one class, or few, in as many turns as its size has powers of a block's.
+    """
+    left, links, turn, before = held, None, 0, None
+    while True:
+        found, more = _likely(left, percent, turn)
+        links = found if links is None else links.unionByName(found)
+        labels = scratch.table(_classes(held, links), "labels")
+        firsts = labels.where("id = label").select(F.col("id").alias("first"))
+        now = firsts.count()
+        if not more or now == before:
+            return labels, links
+        left, turn, before = scratch.table(held.join(firsts, held["doc_id"] == firsts["first"], "left_semi"), "firsts"), turn + 1, now
 
 
 def _searched(held: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -308,8 +330,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     reps = linked.join(classes.select(*same, F.col("rep").alias("doc_id")), [*same, "doc_id"], "left_semi").dropDuplicates(["doc_id", *same]).select("doc_id", "tokens", "alone")
 
     held = scratch.table(reps, "reps")
-    likely = _likely(held, percent)
-    labels = scratch.table(_classes(held, likely), "labels")
+    labels, likely = _families(held, percent)
     links = _searched(held, labels, percent).unionByName(likely)
     joined = scratch.table(components(links), "components")
 

@@ -157,6 +157,30 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert Counter((x.doc_id, x.n_shingles, x.component_id) for x in ngram_join.near_duplicates(df).collect()) == links(rows)
 
 
+def test_a_family_of_copies_makes_no_pairs_of_blocks(spark, monkeypatch):
+    """Hundreds of different near copies, many blocks of them: one class, and nothing left to search by shingle."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    written: dict = {}
+    table = ngram_join.scratch.table
+
+    def told(df, name):
+        out = table(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join.scratch, "table", told)
+    r = random.Random(11)
+    base = [f"w{k}x{r.randrange(10**6)}" for k in range(240)]
+    rows = []
+    for i in range(500):
+        near = list(base)
+        near[r.randrange(240)] = f"v{i}"
+        rows.append((i, " ".join(near)))
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.component_id for x in got} == {0} and len(got) == 500
+    assert written["sides"] < 500 // 16 and written["tasks"] < 500
+
+
 def test_near_duplicates_among_shared_passages(spark, monkeypatch):
     """Sets that share passages but few links: one component of the candidates, shingles of many sets, all of them searched by shingle."""
     monkeypatch.setattr(ngram_join, "BLOCK", 6)
