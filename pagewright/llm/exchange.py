@@ -18,7 +18,7 @@ from pagewright.llm.text import U, release
 
 CHUNK_BYTES = 1 << 20
 BUCKET_BYTES = 4 << 20
-EVERY = 4
+EVERY = 2
 ROWS = "bucket int, chunk int, kind int, payload binary"
 SCHEMA = pa.schema([("bucket", pa.int32()), ("chunk", pa.int32()), ("kind", pa.int32()), ("payload", pa.binary())])
 

@@ -30,7 +30,7 @@ ORDER = 3
 BLOCK_CELLS = 1 << 24
 BITS = 1 << 16
 UNKNOWN = "und"
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Distinct runs that a task holds before it passes its counts on.
 HELD_RUNS = 1 << 21
 

@@ -31,8 +31,10 @@ SLACK = 16
 FANOUT = 8
 LOCAL = 1 << 17
 END = 0
-CACHED_UNITS = 800_000
+CACHED_UNITS = 600_000
 LEARNED = 4096
+#: Bytes of text that are encoded at once, which bounds the arrays that place and compare their units.
+SLICE = 1 << 19
 
 _code = np.arange(256)
 #: 1 letter, 2 digit, 3 visible ASCII sign other than an apostrophe, 0 whatever must not be cut off from its neighbours.
@@ -144,7 +146,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
         encoder = held(name, lambda: Encoder(spec.value))
         for b in batches:
             names = b.column(0).to_pylist()
-            for part in texts(b.column(1)):
+            for part in texts(b.column(1), most=SLICE):
                 ids, offs = encoder.encode(part)
                 ids = ids.astype("<u4")
                 rows = []

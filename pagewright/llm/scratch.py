@@ -9,7 +9,7 @@ from typing import Any
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
-BATCH = "8m"
+BATCH = "4m"
 _WRITTEN: list[str] = []
 _SENT: list[Broadcast] = []
 #: Folders of local sessions that name none.

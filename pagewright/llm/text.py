@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -171,6 +172,7 @@ def texts(column: pa.Array | pa.ChunkedArray, lower: bool = False, most: int = S
 
 def release() -> None:
     """Hands memory that this process no longer uses back to the system; workers are reused by later stages."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
