@@ -31,10 +31,10 @@ SLACK = 16
 FANOUT = 8
 LOCAL = 1 << 17
 END = 0
-CACHED_UNITS = 600_000
+CACHED_UNITS = 800_000
 LEARNED = 4096
 #: Bytes of text that are encoded at once, which bounds the arrays that place and compare their units.
-SLICE = 1 << 19
+SLICE = 1 << 21
 
 _code = np.arange(256)
 #: 1 letter, 2 digit, 3 visible ASCII sign other than an apostrophe, 0 whatever must not be cut off from its neighbours.
