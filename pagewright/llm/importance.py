@@ -26,11 +26,12 @@ MOST_BUCKETS = 1 << 20
 
 def _runs(words: Column, low: int, high: int) -> Column:
     """All runs of ``low`` to ``high`` consecutive words, joined by one space."""
-    each = []
-    for n in range(low, high + 1):
+
+    def of(n: int) -> Column:
         starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1))).otherwise(F.array().cast("array<int>"))
-        each.append(words if n == 1 else F.transform(starts, lambda i, n=n: F.array_join(F.slice(words, i, n), " ")))
-    return F.concat(*each)
+        return F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+    return F.concat(*[words if n == 1 else of(n) for n in range(low, high + 1)])
 
 
 def _exploded(texts: DataFrame, keys: list[str], low: int, high: int, buckets: int) -> DataFrame:
@@ -67,11 +68,11 @@ def numbered(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
     placed = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     # The lower 33 bits of Spark's row number count a partition's rows.
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = scratch.table(placed.select("*", F.spark_partition_id().alias("part"), place.alias("place")), "sorted")
+    placed = scratch.table(placed.select(F.struct("*").alias("row"), F.spark_partition_id().alias("part"), place.alias("place")), "sorted")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each partition of the sort.
     offsets = placed.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    return placed.join(F.broadcast(offsets), "part").withColumn(name, F.col("offset") + F.col("place") + 1).drop("part", "place", "offset")
+    return placed.join(F.broadcast(offsets), "part").select("row.*", (F.col("offset") + F.col("place") + 1).alias(name))
 
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = 10, least: int = 20, low: int = 1, high: int = 1, buckets: int = BUCKETS, seed: int = 2024) -> DataFrame:

@@ -2,8 +2,8 @@
 
 A source whose target is r times its size takes floor(r) whole copies of each of its documents for certain. The fraction that is left is each document's inclusion probability p in one
 further copy, unequal from source to source. Documents are ranked by Pareto's variable, the odds of a uniform number of their own divided by their inclusion odds, and those of the
-lowest ranks are taken: a sample of fixed size, which is counted in words here, so that a source comes as near to its target as its documents allow. The words that the last of
-them leaves open go to the one document that was not taken whose size is nearest to them, if that brings the source nearer.
+lowest ranks are taken: a sample of fixed size, which is counted in words here. The document at which a source's quota ends gives only the words that are still open, so that every source meets its target
+to the word however long its documents are.
 
 No source is ever sorted as a whole. A rank is a number of ``BITS`` bits, and where a source's quota ends is found like the digits of a number: the sums of ``SLOTS`` slots tell in which slot it ends,
 whose rows are looked at again, and only those that share all ``LEVELS`` digits with the end are put in order.
@@ -30,7 +30,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
 
     Sources in the order of their code points, null last, have the weights in turn and share all words by them; a target stops at ``most`` times its source's size, and the
     excess goes to the others by weight until none is above: those that stop are the first ones by size over weight. ``whole`` copies are certain, ``chance`` is the inclusion
-    probability of one more, and ``quota`` its words. An empty source has a target of 0.
+    probability of one more, and ``quota`` the words that all of these are to have. An empty source has a target of 0.
     """
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*map(F.lit, weights)), (place % len(weights) + 1).cast("int")).cast("long")
@@ -49,7 +49,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     target = F.when(F.col("stops"), (F.col("source_size") * most).cast("double")).otherwise((F.col("weight") * (F.col("words") - F.col("held"))).cast("double") / F.col("left").cast("double"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(F.lit(0.0))
     rows = rows.withColumn("target", target).withColumn("ratio", ratio).withColumn("whole", F.floor("ratio"))
-    return rows.select("source", "source_size", "target", "whole", (F.col("ratio") - F.col("whole")).alias("chance"), (F.col("target") - F.col("whole") * F.col("source_size")).alias("quota"))
+    return rows.select("source", "source_size", "target", "whole", (F.col("ratio") - F.col("whole")).alias("chance"), F.floor(F.col("target") - F.col("whole") * F.col("source_size") + 0.5).alias("quota"))
 
 
 def _rank(chance: Column, doc_id: Column, copy: Column, seed: int) -> Column:
@@ -61,9 +61,9 @@ def _rank(chance: Column, doc_id: Column, copy: Column, seed: int) -> Column:
 
 
 def _ends(units: DataFrame, sources: DataFrame) -> DataFrame:
-    """``source, slot, last, open``: the slot in which a source's quota ends, the last unit of it that is taken (null: none), and the words that stay open.
+    """``of, slot, last, open``: of each source the slot in which its quota ends, the unit at which it ends, and the words that this one gives.
 
-    A source that does not reach its quota has no row.
+    A source that does not go beyond its quota has no row.
     """
     same = lambda name: F.col("source").eqNullSafe(F.col(name))
     found = sources.select(F.col("source").alias("of"), "quota", F.lit(0).cast("long").alias("slot"), F.lit(0).cast("long").alias("before"))
@@ -79,19 +79,17 @@ def _ends(units: DataFrame, sources: DataFrame) -> DataFrame:
     here = units.join(found, same("of") & (F.shiftright("rank", BITS - DIGIT * LEVELS) == F.col("slot")))
     unit = F.struct("rank", "doc_id", "copy", "size")
     here = here.withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("of").orderBy(unit).rowsBetween(Window.unboundedPreceding, 0)))
-    taken = F.col("upto") <= F.col("quota")
-    ends = here.groupBy("of", "quota", "before", "slot").agg(F.max(F.when(taken, unit)).alias("last"), F.max(F.when(taken, F.col("upto"))).alias("upto"))
-    return ends.select(F.col("of").alias("source"), "slot", "last", (F.col("quota") - F.coalesce("upto", "before")).alias("open"))
+    ends = here.where("upto > quota").groupBy("of", "slot").agg(F.min(F.struct(unit.alias("unit"), (F.col("quota") - F.col("upto") + F.col("size")).alias("open"))).alias("x"))
+    return ends.select("of", "slot", F.col("x.unit").alias("last"), "x.open")
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, seed: int = 2024) -> DataFrame:
     """One row per input row: ``doc_id, size, source_size, target, taken, source``.
 
     ``docs`` has ``doc_id``, ``text`` and ``source``; other columns are ignored. ``size`` is the number of words between ASCII white space, ``source_size`` that of the whole source, ``target`` its share (see
-    ``targets``) and ``taken`` the words that the mix takes of the document: its size times a whole number of at most ``most``. The same rows and seed give the same mix, in whatever order
-    they come. A null or empty text has no words and nothing is taken of it; null is a source of its own, the last one. Rows of one id are ranked by their number among rows of the same id, source and
-    size, so repeated rows are documents of their own. A source whose words are all in few documents misses its target by no more than half the least of them that could fill it. Of no documents
-    nothing is taken.
+    ``targets``) and ``taken`` the words that the mix takes of the document: whole copies, at most ``most``, and of one document of a source its first words besides. A source's taken words are its target,
+    rounded. The same rows and seed give the same mix, in whatever order they come. A null or empty text has no words and nothing is taken of it; null is a source of its own, the last one. Rows of one id are ranked by their number among rows of the same id, source and
+    size, so repeated rows are documents of their own. Of no documents nothing is taken.
     """
     words = F.size(F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD), F.lit(0))).cast("long")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), words.alias("size"))
@@ -102,17 +100,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, s
     each = counted.select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1).cast("long"), "rows")).alias("copy"))
     units = each.join(named, F.col("source").eqNullSafe(F.col("of"))).drop("of", "quota").withColumn("rank", _rank(F.col("chance"), F.col("doc_id"), F.col("copy"), seed))
     units = scratch.table(units, "units")
-    ends = scratch.table(_ends(units.where("size > 0 and rank is not null").select("source", "doc_id", "copy", "size", "rank"), sources.where("chance > 0")).withColumnRenamed("source", "of"), "ends")
-    same = F.col("source").eqNullSafe(F.col("of"))
-    unit = F.struct("rank", "doc_id", "copy", "size")
-    slot = F.shiftright("rank", BITS - DIGIT * LEVELS)
-    below = F.coalesce((slot < F.col("slot")) | ((slot == F.col("slot")) & (unit <= F.col("last"))), F.col("slot").isNull() & F.col("rank").isNotNull())
-    ranked = units.join(ends, same, "left").withColumn("further", below)
-    # Of those that are not taken, the one that fills best what is open.
-    off = F.abs(F.col("size") - F.col("open"))
-    filling = ranked.where("not further and size > 0 and open is not null").where(off < F.col("open"))
-    fill = filling.groupBy("of").agg(F.min(F.struct(off.alias("off"), "rank", "doc_id", "copy", "size")).alias("x"))
-    fill = scratch.table(fill.select(F.col("of").alias("filled"), F.struct("x.rank", "x.doc_id", "x.copy", "x.size").alias("unit")), "fill")
-    final = ranked.join(fill, F.col("source").eqNullSafe(F.col("filled")), "left")
-    copies = F.col("whole") + F.when(F.col("further") | F.coalesce(unit.eqNullSafe(F.col("unit")), F.lit(False)), 1).otherwise(0)
-    return final.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).cast("long").alias("taken"), "source")
+    able = units.where("size > 0 and rank is not null").select("source", "doc_id", "copy", "size", "rank")
+    ends = scratch.table(_ends(able, sources.where("chance > 0")), "ends")
+    unit, slot = F.struct("rank", "doc_id", "copy", "size"), F.shiftright("rank", BITS - DIGIT * LEVELS)
+    before = F.col("slot").isNull() | (slot < F.col("slot")) | ((slot == F.col("slot")) & (unit < F.col("last")))
+    at_end = (slot == F.col("slot")) & unit.eqNullSafe(F.col("last"))
+    further = F.when(F.col("rank").isNull(), 0).when(before, F.col("size")).when(at_end, F.col("open")).otherwise(0)
+    ranked = units.join(ends, F.col("source").eqNullSafe(F.col("of")), "left")
+    return ranked.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("whole") + further).cast("long").alias("taken"), "source")

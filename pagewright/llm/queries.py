@@ -155,21 +155,15 @@ ORACLES = {
             FROM stops
         ), shares AS (
             SELECT *, CASE WHEN z > 0 THEN target / z::DOUBLE ELSE 0 END AS ratio FROM targets
-        ), quotas AS (SELECT *, floor(ratio) AS whole, ratio - floor(ratio) AS chance, target - floor(ratio) * z AS quota FROM shares),
+        ), quotas AS (SELECT *, floor(ratio) AS whole, ratio - floor(ratio) AS chance, floor(target - floor(ratio) * z + 0.5)::BIGINT AS quota FROM shares),
         copies AS (SELECT *, row_number() OVER (PARTITION BY doc_id, source, size) AS copy FROM d),
         uniform AS (SELECT *, (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '') || ':' || copy), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496 AS u FROM copies),
         odds AS (
             SELECT u.*, z, target, whole, chance, quota, CASE WHEN chance > 0 THEN (u / (1 - u)) / (chance / (1 - chance)) END AS q
             FROM uniform u JOIN quotas t ON u.source IS NOT DISTINCT FROM t.source
         ), ranks AS (SELECT *, least(floor(q / (1 + q) * 281474976710656)::BIGINT, 281474976710655) AS rank FROM odds),
-        runs AS (SELECT *, CASE WHEN rank IS NOT NULL AND size > 0 THEN sum(size) OVER (PARTITION BY source, rank IS NOT NULL AND size > 0 ORDER BY rank, doc_id NULLS FIRST, copy, size) END AS upto FROM ranks),
-        opened AS (SELECT *, quota - coalesce(max(upto) FILTER (upto <= quota) OVER (PARTITION BY source), 0) AS open FROM runs),
-        fills AS (
-            SELECT *, row_number() OVER (PARTITION BY source, upto > quota AND abs(size - open) < open ORDER BY abs(size - open), rank, doc_id NULLS FIRST, copy, size) AS f FROM opened
-        )
-        SELECT doc_id, size, z AS source_size, target, source,
-               (size * (whole + CASE WHEN upto <= quota OR (upto > quota AND abs(size - open) < open AND f = 1) THEN 1 ELSE 0 END))::BIGINT AS taken
-        FROM fills
+        runs AS (SELECT *, CASE WHEN rank IS NOT NULL AND size > 0 THEN sum(size) OVER (PARTITION BY source, rank IS NOT NULL AND size > 0 ORDER BY rank, doc_id NULLS FIRST, copy, size) END AS upto FROM ranks)
+        SELECT doc_id, size, z AS source_size, target, source, (size * whole + CASE WHEN upto IS NULL THEN 0 ELSE greatest(0, least(size, quota - upto + size)) END)::BIGINT AS taken FROM runs
     """,
     "op13_periodic_runs": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
