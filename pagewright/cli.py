@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pagewright.operators import retrieval
 from pagewright.plans import config, models
 from pagewright.plans import run as runs
+from pagewright.sources import readers
 from pagewright.sources.store import Table, lines
 
 
@@ -33,7 +34,9 @@ def _query(spark: SparkSession, args: argparse.Namespace) -> int:
 
 def _run(spark: SparkSession, args: argparse.Namespace) -> int:
     chosen = config.from_yaml(args.config) if args.config else config.Config()
-    summary = runs.run(spark, spark.read.parquet(args.pages), args.root, chosen).first().asDict()
+    # Files are parsed once: their pages are written before the run reads them again and again.
+    pages = runs.parked(spark, args.root)(readers.pdf_pages(spark, args.pages), "source_pages") if args.pdf else spark.read.parquet(args.pages)
+    summary = runs.run(spark, pages, args.root, chosen).first().asDict()
     print(json.dumps(summary, sort_keys=True, default=str))
     return 1 if summary["documents_failed"] else 0
 
@@ -48,7 +51,8 @@ def main(argv: list[str] | None = None) -> int:
     query.add_argument("--kind", choices=["page_evidence", "product"])
     query.add_argument("--limit", type=int, default=10)
     run = commands.add_parser("run")
-    run.add_argument("pages", help="a Parquet table of pages")
+    run.add_argument("pages", help="a Parquet table of pages, or a folder of PDF files")
+    run.add_argument("--pdf", action="store_true", help="the pages are those of PDF files")
     run.add_argument("root", help="the folder of the run")
     for each in (query, run):
         each.add_argument("--config", help="a YAML file")

@@ -119,10 +119,27 @@ def image_coverage(boxes: Column, width: Column, height: Column) -> Column:
 
 
 def multi_column(boxes: Column, width: Column) -> Column:
-    """Whether two blocks on the left and two on the right of a page stand side by side somewhere."""
-    left, right = F.filter(boxes, lambda b: b["x1"] <= width * 0.58), F.filter(boxes, lambda b: b["x0"] >= width * 0.42)
-    overlap = F.exists(left, lambda a: F.exists(right, lambda b: F.least(a["y1"], b["y1"]) - F.greatest(a["y0"], b["y0"]) > 0))
-    return F.coalesce((width > 0) & (F.size(boxes) >= 4) & (F.size(left) >= 2) & (F.size(right) >= 2) & overlap, F.lit(False))
+    """Whether two blocks on the left and two on the right of a page stand side by side somewhere: one sweep over the blocks from the top, which knows how far down either side reaches."""
+    is_left, is_right = lambda b: b["x1"] <= width * 0.58, lambda b: b["x0"] >= width * 0.42
+    sides = F.array_sort(F.transform(boxes, lambda b: F.struct(b["y0"].cast("double").alias("top"), b["y1"].cast("double").alias("end"), is_left(b).alias("left"), is_right(b).alias("right"))))
+    none = F.lit(float("-inf"))
+    start = F.struct(none.alias("left"), none.alias("right"), F.lit(False).alias("found"))
+
+    def step(s: Column, b: Column) -> Column:
+        meets = (b["left"] & (s["right"] > b["top"])) | (b["right"] & (s["left"] > b["top"])) | (b["left"] & b["right"])
+        reach = lambda side: F.when(b[side], F.greatest(s[side], b["end"])).otherwise(s[side])
+        return F.struct(reach("left").alias("left"), reach("right").alias("right"), (s["found"] | (meets & (b["end"] > b["top"]))).alias("found"))
+
+    enough = lambda test: F.size(F.filter(boxes, test)) >= 2
+    return F.coalesce((width > 0) & (F.size(boxes) >= 4) & enough(is_left) & enough(is_right) & F.aggregate(sides, start, step, lambda s: s["found"]), F.lit(False))
+
+
+def layout(pages: DataFrame) -> DataFrame:
+    """Pages with ``table_count`` and ``is_multi_column`` from their text and blocks, and ``image_coverage`` from blocks of images, where a page does not say itself."""
+    boxed = F.filter(F.coalesce("native_blocks", F.array().cast(pages.schema["native_blocks"].dataType)), lambda b: b["bbox"].isNotNull())
+    boxes = F.transform(boxed, lambda b: F.struct(*[b["bbox"][c].alias(c) for c in ("x0", "y0", "x1", "y1")], (b["element_type"] == "image").alias("is_image")))
+    told = {"table_count": table_count(F.col("native_text")), "is_multi_column": multi_column(boxes, F.col("width")), "image_coverage": image_coverage(boxes, F.col("width"), F.col("height"))}
+    return pages.withColumns({c: F.coalesce(F.col(c), x) if c in pages.columns else x for c, x in told.items()})
 
 
 def is_blank(p: DataFrame) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,6 +12,7 @@ from pyspark.sql.window import Window
 from pagewright.functions import text as T
 from pagewright.operators import catalog, chunks, elements, guard, hints, hydrate, ops, retrieval, routing, rules
 from pagewright.plans import models
+from pagewright.sources import pdf_text, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -662,13 +664,39 @@ def batch_rejected(lineitem, supplier):
 
 @query("""
     SELECT a.source, array_to_string(list_sort(list_intersect(a.l, b.l)), ',') AS both_, len(list_distinct(list_concat(a.l, b.l)))::BIGINT AS either, len(list_filter(a.l, lambda x: NOT list_contains(b.l, x)))::BIGINT AS only_first
-    FROM (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE doc_id % 2 = 0 GROUP BY 1) a JOIN (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE doc_id % 2 = 1 GROUP BY 1) b USING (source)
+    FROM (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE doc_id // 20 % 2 = 0 GROUP BY 1) a JOIN (SELECT source, list(DISTINCT doc_id % 97) AS l FROM documents WHERE doc_id // 20 % 2 = 1 GROUP BY 1) b USING (source)
 """)
 def id_set_operations(documents):
-    rows = documents.select("source", (F.col("doc_id") % 97).alias("id"), F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd").alias("side"))
+    rows = documents.select("source", (F.col("doc_id") % 97).alias("id"), F.when(F.expr("doc_id div 20") % 2 == 0, "even").otherwise("odd").alias("side"))
     return catalog.id_sets(rows, ["source"], "id", "side", "even", "odd").select("source", F.array_join("both", ",").alias("both_"), "either", "only_first")
 
 
+# ---------------------------------------------------------------- files
+
+
+def _printed(documents: DataFrame) -> DataFrame:
+    """Every document as a PDF file of its lines, every other one with compressed objects."""
+    lines = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.trim(F.regexp_replace(x, r"[\x20\x09-\x0D]+", " "))), lambda x: x != "")
+
+    @F.pandas_udf("binary")
+    def printed(own: pd.Series, packed: pd.Series) -> pd.Series:
+        cut = lambda x: [x[k : k + pdf_text.LINES] for k in range(0, max(1, len(x)), pdf_text.LINES)]
+        return pd.Series([pdf_text.text_pdf(cut(x), p) for x, p in zip(own, packed, strict=True)], dtype=object)
+
+    return documents.select(F.col("doc_id").cast("string").alias("path"), printed(lines, F.col("doc_id") % 2 == 1).alias("content"))
+
+
+@query(f"""
+    WITH t AS (SELECT doc_id, list_filter([trim(regexp_replace(x, '[\\x20\\x09-\\x0D]+', ' ', 'g')) FOR x IN string_split(coalesce(text, ''), chr(10))], lambda x: x <> '') AS ls FROM documents),
+    p AS (SELECT doc_id, page, ls[{pdf_text.LINES} * page + 1 : {pdf_text.LINES} * (page + 1)] AS ls FROM (SELECT *, unnest(range(greatest(1, (len(ls) + {pdf_text.LINES - 1}) // {pdf_text.LINES}))) AS page FROM t))
+    SELECT doc_id, (page + 1)::INT AS page_number, len(ls)::BIGINT AS n_lines, least(1, len(ls))::BIGINT AS n_blocks, sha256(array_to_string(ls, chr(10))) AS text_sha256, {pdf_text.WIDTH}::DOUBLE AS width FROM p
+""")
+def pdf_pages(documents):
+    pages = routing.layout(readers.read_pages(_printed(documents)))
+    n_lines = F.when(F.col("native_text") == "", 0).otherwise(F.size(F.split("native_text", "\n"))).cast("long")
+    return pages.where("error is null").select(F.col("source_path").cast("long").alias("doc_id"), "page_number", n_lines.alias("n_lines"), F.size("native_blocks").cast("long").alias("n_blocks"), F.sha2("native_text", 256).alias("text_sha256"), "width")
+
+
 # ---------------------------------------------------------------- what SQL cannot express
 
 

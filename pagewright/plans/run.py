@@ -116,7 +116,7 @@ def run(
     spark: SparkSession, pages: DataFrame, root: str, config: Config = Config(), page_model: Callable[[], models.PageModel] | None = None,
     structured: Callable[[], models.StructuredModel] | None = None, ocr_model: Callable[[], models.PageModel] | None = None, embedding: Callable[[], models.EmbeddingModel] | None = None,
 ) -> DataFrame:
-    """Runs over pages (``document_id, page_number, native_text`` and whatever else of ``readers.PAGE``) and returns the summary row.
+    """Runs over pages (``document_id, page_number, native_text`` and whatever else of ``readers.PAGE_ROW``) and returns the summary row.
 
     Models that are not given are those of the configuration (``models.clients``). OCR takes part where there is a model for it. With ``fail_fast`` the first step with
     a failed page ends the run, when what went well has been stored.
@@ -126,11 +126,15 @@ def run(
     page_model, structured, ocr_model, embedding = page_model or made.page, structured or made.structured, ocr_model or made.ocr, embedding or made.embedding
     store = tables(spark, root)
     pages = limited(pages, config)
+    # What its source could not read has an error already; a file without pages stands as page 0.
+    read = pages.withColumns({"page_number": F.coalesce("page_number", F.lit(0)), "error": F.col("error") if "error" in pages.columns else F.lit(None).cast("string")})
+    unread = read.where("error is not null").select("document_id", "page_number", "error")
+    every, pages = read.drop("error"), read.where("error is null").drop("error")
     twice = chunks.duplicate_pages(pages).first()
     if twice is not None:
         raise ValueError(f"page {twice['page_number']} of {twice['document_id']} is there more than once")
     scope = ["document_id", "page_number"]
-    processed = pages.select(*scope).distinct()
+    processed = every.select(*scope).distinct()
     thresholds = config.routing
     if ocr_model is None:
         thresholds = replace(thresholds, verify_vision=False, verify_native=False)
@@ -143,7 +147,7 @@ def run(
     for name, rows in (("elements", got.elements), ("page_audits", got.audits), ("extractions", got.extractions)):
         columns = store[name].read().columns
         store[name].write(catalog.replace_scope(store[name].read(), rows.select(*columns), scope, done), sort=scope)
-    errors = got.errors
+    errors = got.errors.unionByName(unread)
     store["page_errors"].write(catalog.replace_scope(store["page_errors"].read(), errors, scope, processed))
     evidence = _embedded(chunks.page_chunks(got.elements), config, embedding)
     scoped = done.select(F.col("document_id").alias("source_document_id"), "page_number").distinct()
@@ -169,8 +173,8 @@ def run(
 
     failed = admitted["failed"].groupBy("document_id").agg(F.count("*").alias("failed_chunks"))
     bad = store["page_errors"].read().join(processed, scope, "left_semi").groupBy("document_id").agg(F.count("*").alias("page_errors"))
-    source = F.max("source_path") if "source_path" in pages.columns else F.max(F.lit(None).cast("string"))
-    by_document = pages.groupBy("document_id").agg(F.count_distinct("page_number").alias("pages"), source.alias("source_path")).join(bad, "document_id", "left").join(failed, "document_id", "left")
+    source = F.max("source_path") if "source_path" in every.columns else F.max(F.lit(None).cast("string"))
+    by_document = every.groupBy("document_id").agg(F.count_distinct("page_number").alias("pages"), source.alias("source_path")).join(bad, "document_id", "left").join(failed, "document_id", "left")
     status = store["ingestion_batches"].read().groupBy("document_id").agg(F.max(F.when(F.col("status") != "succeeded", 1).otherwise(0)).alias("odd"))
     told = by_document.join(status, "document_id", "left").fillna(0, ["page_errors", "failed_chunks"])
     odd = (F.col("page_errors") > 0) | (F.col("odd") == 1) | (F.col("failed_chunks") > 0)

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagewright.functions import text as T
+from pagewright.operators import routing
 from pagewright.operators.ops import is_status_payload
+from pagewright.sources import pdf
 
 FILE = "path string, modificationTime timestamp, length long"
 
@@ -61,15 +63,7 @@ def walk(spark: SparkSession, root: str, extensions: list[str], excluded: str |
     return Walk(sorted(found, key=lambda x: (x.casefold(), x)), ignored, links)
 
 
-def count_page_objects(raw: bytes) -> int:
-    """How many page objects a PDF has in the clear; a file that keeps them compressed needs a parser."""
-    n = len(re.findall(rb"/Type\s*/Page(?![A-Za-z])", raw))
-    if not raw.startswith(b"%PDF") or not n:
-        raise ValueError("no page objects in the clear")
-    return n
-
-
-def inventory(spark: SparkSession, root: str, extensions: list[str], count_pages: Callable[[bytes], int | None] | None = count_page_objects) -> DataFrame:
+def inventory(spark: SparkSession, root: str, extensions: list[str], count_pages: Callable[[bytes], int | None] | None = pdf.page_count) -> DataFrame:
     """One row per file with one of the extensions: relative path, size, SHA-256, page count and how it was found, and whether it changed between listing and reading.
 
     Page errors are data; without ``count_pages`` pages are not counted.
@@ -107,19 +101,41 @@ PAGE = (
 )
 
 
-def read_pages(files: DataFrame, parser: Callable[[bytes], Iterator[dict]]) -> DataFrame:
-    """Pages of files (``content``) by a parser that yields a dict per page with the fields of ``PAGE``; the document's id is its content's."""
-    columns = _fields(PAGE)
+PAGE_ROW = f"{PAGE}, source_path string, error string"
+
+
+def read_pages(files: DataFrame, parser: Callable[[bytes], Iterator[dict]] = pdf.pages) -> DataFrame:
+    """Pages of files (``content``, and ``path`` where there is one) by a parser that yields a dict per page with the fields of ``PAGE``; the document's id is its content's.
+
+    ``source_path`` and ``error`` follow. A parser that fails is a row with ``error`` and no page number, after the pages that it gave.
+    """
+    columns = _fields(PAGE_ROW)
+
+    def parsed(raw: bytes) -> Iterator[dict]:
+        try:
+            yield from parser(raw)
+        except Exception as e:  # noqa: BLE001  a file that cannot be read is a finding
+            yield {"error": f"{type(e).__name__}: {e}"}
 
     def parse(frames):
         for frame in frames:
-            for doc, raw in zip(frame["document_id"], frame["content"], strict=True):
-                rows = [[({"document_id": doc} | page).get(c) for c in columns] for page in parser(bytes(raw))]
+            for doc, path, raw in zip(frame["document_id"], frame["path"], frame["content"], strict=True):
+                rows = [[({"document_id": doc, "source_path": path} | page).get(c) for c in columns] for page in parsed(bytes(raw))]
                 if rows:
                     yield pd.DataFrame(rows, columns=columns, dtype=object)
 
-    named = files.select(F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("document_id"), "content")
-    return named.mapInPandas(parse, PAGE)
+    path = F.col("path") if "path" in files.columns else F.lit(None).cast("string")
+    named = files.select(F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("document_id"), path.alias("path"), "content")
+    return named.mapInPandas(parse, PAGE_ROW)
+
+
+def pdf_pages(spark: SparkSession, root: str, bytes_per_task: int = 16 << 20) -> DataFrame:
+    """Pages of the PDF files below a root, with their layout (``routing.layout``); what could not be read is a row with ``error``.
+
+    Files are opened in the tasks, several of which share a long file. For stores that only Spark reads, ``read_pages(discover_pdfs(spark, [root], content=True))`` has the same rows.
+    """
+    spark.dataSource.register(pdf.PdfPages)
+    return routing.layout(spark.read.format("pdf_pages").option("bytesPerTask", bytes_per_task).load(root))
 
 
 def _fields(ddl: str) -> list[str]:
