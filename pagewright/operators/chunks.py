@@ -12,13 +12,18 @@ KB_VERSION = "1.1"
 #: Fixed value: the first line of an identity chunk.
 HEADING = "Industrial catalog product"
 IDENTITY = {"manufacturer": "Manufacturer", "part_name": "Part name", "part_number": "Part number", "category": "Category", "description": "Description"}
-EVIDENCE = "struct<source_document_id:string,source_path:string,page_number:int,element_id:string,text:string,confidence:double>"
+BOX = "struct<x0:double,y0:double,x1:double,y1:double,coordinate_space:string>"
+EVIDENCE = f"struct<source_document_id:string,source_path:string,page_number:int,element_id:string,text:string,confidence:double,bbox:{BOX},method:string>"
 VALUE = f"struct<raw:string,normalized:string,confidence:double,normalization_method:string,evidence:array<{EVIDENCE}>>"
 SPEC = "struct<" + ",".join(f"{c}:{VALUE}" for c in ("name", "value", "unit", "category", "qualifier")) + ">"
+#: Lists of plain values.
+TEXTS = ("materials", "certifications", "compatible_parts", "aliases_and_cross_references")
 PRODUCT = (
     "record_id string, source_document_id string, source_path string, "
     + ", ".join(f"{c} {VALUE}" for c in IDENTITY)
-    + f", specifications array<{SPEC}>, operating_conditions array<{SPEC}>"
+    + f", specifications array<{SPEC}>, operating_conditions array<{SPEC}>, "
+    + ", ".join(f"{c} array<{VALUE}>" for c in TEXTS)
+    + f", other_details map<string,{VALUE}>"
 )
 
 

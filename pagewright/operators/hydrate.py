@@ -1,58 +1,86 @@
-"""Evidence hydration: references in a model's products become canonical evidence of the elements they name."""
+"""Evidence hydration: references in a model's products become canonical evidence of the elements they name.
+
+References are rows. A walk over each answer tells what it refers to, in order; the rows are joined to the elements by id, and what that leaves open by page and text; a second walk over the answer, the same as
+the first, gets what each reference has found. So a task holds one answer with the elements that it cites, and never a document's.
+"""
 
 from __future__ import annotations
 
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pagewright.functions.untrusted import NotJson, loads
+
 LIMITS = {"specifications": 48, "other_details": 24}
 PRODUCT_LIMIT = 32
 
 
-def resolve(refs: DataFrame, elements: DataFrame, document_col: str = "document_id") -> DataFrame:
+def resolve(refs: DataFrame, elements: DataFrame, document_col: str = "document_id", carry: tuple[str, ...] = ()) -> DataFrame:
     """References (``ref_id, document_id, element_id, page_number, text``) with the element each resolves to and how.
 
     By id first; else by page and exact text within the document, where exactly one element fits. ``resolution`` is ``by_id``, ``by_text``,
-    ``cross_document`` or ``unknown``. Of elements with one id the last counts, by page and sequence where they have these; every reference stays one row.
+    ``cross_document`` or ``unknown``. Of elements with one id the last counts, by page and sequence where they have these; every reference stays one row. With ``carry`` these columns of the element
+    that was found, one of another document included, come along as the struct ``element``. Both joins are by keys that spread a document's references over all tasks; a reference without an id goes by its own.
     """
     order = [F.desc_nulls_last(c) for c in ("page_number", "sequence_number", "text") if c in elements.columns]
     last = Window.partitionBy("element_id").orderBy(*order)
     elements = elements.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
-    e = elements.select(F.col("element_id").alias("e_id"), F.col("document_id").alias("e_document"), F.col("page_number").alias("e_page"), F.col("text").alias("e_text"))
-    by_id = refs.join(e, refs["element_id"] == e["e_id"], "left")
-    only = e.groupBy("e_document", "e_page", "e_text").agg(F.count("*").alias("n"), F.min("e_id").alias("t_id")).where("n = 1").drop("n")
-    missing = by_id["e_id"].isNull()
-    both = by_id.join(
-        only.select(F.col("e_document").alias("t_document"), F.col("e_page").alias("t_page"), F.col("e_text").alias("t_text"), "t_id"),
-        missing & (F.col(document_col) == F.col("t_document")) & (F.col("page_number") == F.col("t_page")) & (F.col("text") == F.col("t_text")), "left",
+    whole = [F.struct(*carry).alias("e_row")] if carry else []
+    e = elements.select(F.col("element_id").alias("e_id"), F.col("document_id").alias("e_document"), F.col("page_number").alias("e_page"), F.coalesce("text", F.lit("")).alias("e_text"), *whole)
+    named = refs.withColumn("_named", F.coalesce("element_id", F.concat(F.lit("\0"), F.col("ref_id").cast("string"))))
+    by_id = named.join(e, F.col("_named") == F.col("e_id"), "left")
+    first = [F.first("e_row").alias("t_row")] if carry else []
+    only = e.groupBy("e_document", "e_page", "e_text").agg(F.count("*").alias("n"), F.min("e_id").alias("t_id"), *first).where("n = 1").drop("n")
+    open_text = F.when(F.col("e_id").isNull(), F.col("text")).otherwise(F.concat(F.lit("\0"), F.col("_named")))
+    both = by_id.withColumn("_text", open_text).join(
+        only.select(F.col("e_document").alias("t_document"), F.col("e_page").alias("t_page"), F.col("e_text").alias("t_text"), "t_id", *(["t_row"] if carry else [])),
+        F.col("e_id").isNull() & (F.col(document_col) == F.col("t_document")) & (F.col("page_number") == F.col("t_page")) & (F.col("_text") == F.col("t_text")), "left",
     )
     how = (
         F.when(F.col("e_id").isNotNull() & (F.col("e_document") != F.col(document_col)), "cross_document")
         .when(F.col("e_id").isNotNull(), "by_id").when(F.col("t_id").isNotNull(), "by_text").otherwise("unknown")
     )
     resolved = F.when(how.isin("by_id", "by_text"), F.coalesce("e_id", "t_id"))
-    return both.select(*[refs[c] for c in refs.columns], resolved.alias("resolved_id"), how.alias("resolution"))
+    rows = [F.coalesce("e_row", "t_row").alias("element")] if carry else []
+    return both.select(*refs.columns, resolved.alias("resolved_id"), how.alias("resolution"), *rows)
 
 
 def _issue(code: str, path: str, severity: str, message: str) -> dict:
     return {"code": code, "path": path, "severity": severity, "message": message}
 
 
+#: Finds an element by a reference's id, page and text.
+Find = Callable[[str | None, int | None, str], dict | None]
+
+
+def index(document: str, elements: list[dict]) -> Find:
+    """Finds among elements in memory: by id, else by page and text if exactly one of the document fits."""
+    by_id = {e["element_id"]: e for e in elements}
+    by_place: dict[tuple, list[dict]] = {}
+    for e in by_id.values():
+        if e.get("document_id") in (None, document):
+            by_place.setdefault((e.get("page_number"), e.get("text") or ""), []).append(e)
+
+    def find(name: str | None, page: int | None, text: str) -> dict | None:
+        fits = by_place.get((page, text), []) if page is not None else []
+        return by_id.get(name) or (fits[0] if len(fits) == 1 else None)
+
+    return find
+
+
 class Hydrator:
-    """Hydrates the products of one document against its elements; None for elements means that no source was supplied."""
+    """Hydrates products of one document. ``find`` is asked once for every reference, in order; None means that no source was supplied."""
 
-    def __init__(self, document: str, elements: list[dict] | None, source_path: str | None = None):
-        self.document, self.supplied, self.source_path = document, elements is not None, source_path
-        self.by_id = {e["element_id"]: e for e in elements or []}
-        self.by_place: dict[tuple, list[dict]] = {}
-        for e in self.by_id.values():
-            self.by_place.setdefault((e.get("page_number"), e.get("text") or ""), []).append(e)
+    def __init__(self, document: str, find: Find | None, source_path: str | None = None):
+        self.document, self.supplied, self.source_path = document, find is not None, source_path
+        self.find = find or (lambda name, page, text: None)
 
     def product(self, payload: dict) -> tuple[dict, list[dict]]:
         self.issues: list[dict] = []
@@ -96,13 +124,11 @@ class Hydrator:
             self._tell("invalid_evidence_reference", path, "error", "evidence is an element's id or an object")
             return None
         name = None if ref.get("element_id") is None else str(ref["element_id"])
-        element = self.by_id.get(name)
-        if element is None:
-            try:
-                fits = self.by_place.get((int(ref.get("page_number")), str(ref.get("text") or ref.get("excerpt") or "")), [])
-            except (TypeError, ValueError):
-                fits = []
-            element = fits[0] if len(fits) == 1 else None
+        try:
+            page = int(ref.get("page_number"))
+        except (OverflowError, TypeError, ValueError):
+            page = None
+        element = self.find(name, page, str(ref.get("text") or ref.get("excerpt") or ""))
         return self._given(ref, name, path) if element is None else self._canonical(ref, element, path)
 
     def _canonical(self, ref: dict, e: dict, path: str) -> dict | None:
@@ -179,39 +205,75 @@ def product_entries(data) -> tuple[list, list[dict]]:
 
 
 OUT = "document_id string, batch string, ordinal int, payload string, issues array<struct<code:string,path:string,severity:string,message:string>>"
+#: What evidence takes over from its element.
+CARRIED = ("element_id", "document_id", "page_number", "text", "extraction_method", "confidence", "bbox", "source_path")
+_REFS = "document_id string, batch string, ordinal int, place int, element_id string, page_number long, text string"
 
 
-def hydrate(batches: DataFrame, elements: DataFrame) -> DataFrame:
-    """One row per product of each answer (``document_id, payload`` and, where a document has several, ``batch``), hydrated against the document's elements.
+def _entries(payload) -> tuple[list, list[dict]]:
+    """The products of an answer as text, and issues about its shape."""
+    try:
+        return product_entries(loads(payload))
+    except (NotJson, TypeError):
+        return product_entries(None)
 
-    Both sides meet by document; a document's elements are what one task has to hold.
-    """
 
-    def of_document(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        known = [{k: (None if v is None or v != v else v) for k, v in e.items()} for e in right.to_dict("records")]
-        for e in known:
-            e["page_number"] = None if e["page_number"] is None else int(e["page_number"])
-        for row in left.to_dict("records"):
-            try:
-                data = json.loads(row["payload"])
-            except (TypeError, ValueError):
-                data = None
-            found, shape = product_entries(data)
-            hydrator = Hydrator(row["document_id"], known)
-            for i, p in enumerate(found):
-                if isinstance(p, dict):
+def references(answers: DataFrame) -> DataFrame:
+    """What the products of answers (``document_id, batch, payload``) refer to: one row for each reference, by the product's ``ordinal`` and the reference's ``place`` in the walk."""
+
+    def told(frames):
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                for ordinal, p in enumerate(_entries(row["payload"])[0]):
+                    seen: list[tuple] = []
                     try:
-                        body, issues = hydrator.product(p)
-                    except Exception as e:  # noqa: BLE001  one product must not take its siblings with it
-                        body, issues = p, [_issue("product_preparation_failure", f"products.{i}", "error", f"{type(e).__name__}: {e}")]
-                else:
-                    body, issues = {"value": p}, [_issue("invalid_product_payload", "", "error", "a product is an object")]
-                out.append((row["document_id"], row["batch"], i, json.dumps(body, sort_keys=True, ensure_ascii=False), shape + issues))
-            if not found:
-                out.append((row["document_id"], row["batch"], -1, None, shape or [_issue("empty_product_batch", "products", "warning", "no products")]))
-        return pd.DataFrame(out, columns=["document_id", "batch", "ordinal", "payload", "issues"])
-
-    fields = ["document_id", "page_number", "element_id", "text", "extraction_method", "confidence"]
+                        Hydrator(row["document_id"], lambda *ref, seen=seen: seen.append(ref)).product(p)
+                    except Exception:  # noqa: BLE001, S110  the second walk meets it again and tells
+                        pass
+                    out += [(row["document_id"], row["batch"], ordinal, k, name, page if page is None or abs(page) < 1 << 62 else None, text) for k, (name, page, text) in enumerate(seen)]
+            yield pd.DataFrame(out, columns=["document_id", "batch", "ordinal", "place", "element_id", "page_number", "text"]).astype({"page_number": "Int64"})
+
+    return answers.mapInPandas(told, _REFS)
+
+
+def hydrate(batches: DataFrame, elements: DataFrame) -> DataFrame:
+    """One row per product of each answer (``document_id, payload`` and, where a document has several, ``batch``), hydrated against the elements.
+
+    An answer without products is a row of ordinal -1 with issues. A product that cannot be prepared is a row with an issue, beside its siblings.
+    """
     named = batches if "batch" in batches.columns else batches.withColumn("batch", F.lit(None).cast("string"))
-    return named.select("document_id", "batch", "payload").groupBy("document_id").cogroup(elements.select(*fields).groupBy("document_id")).applyInPandas(of_document, OUT)
+    answers = named.select("document_id", "batch", "payload")
+    missing = [c for c in CARRIED if c not in elements.columns]
+    known = elements.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else elements
+    refs = references(answers).withColumn("ref_id", F.concat_ws("\0", "document_id", F.coalesce("batch", F.lit("")), "ordinal", "place"))
+    found = resolve(refs, known, carry=CARRIED).where("element is not null")
+    cited = found.groupBy("document_id", "batch").agg(F.collect_list(F.struct("ordinal", "place", "element")).alias("cited"))
+    cited = cited.withColumnsRenamed({"document_id": "c_document", "batch": "c_batch"})
+    both = answers.join(cited, F.col("document_id").eqNullSafe(F.col("c_document")) & F.col("batch").eqNullSafe(F.col("c_batch")), "left")
+
+    def rebuilt(frames):
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                by_place = {(c["ordinal"], c["place"]): dict(c["element"]) for c in row["cited"]} if row["cited"] is not None and not isinstance(row["cited"], float) else {}
+                products, shape = _entries(row["payload"])
+                for i, p in enumerate(products):
+                    body, issues = _prepared(row["document_id"], p, i, by_place)
+                    out.append((row["document_id"], row["batch"], i, json.dumps(body, sort_keys=True, ensure_ascii=False), shape + issues))
+                if not products:
+                    out.append((row["document_id"], row["batch"], -1, None, shape or [_issue("empty_product_batch", "products", "warning", "no products")]))
+            yield pd.DataFrame(out, columns=["document_id", "batch", "ordinal", "payload", "issues"])
+
+    return both.select("document_id", "batch", "payload", "cited").mapInPandas(rebuilt, OUT)
+
+
+def _prepared(document: str, product, ordinal: int, by_place: dict[tuple[int, int], dict]) -> tuple[dict, list[dict]]:
+    """A product with its evidence, from what each of its references has found."""
+    if not isinstance(product, dict):
+        return {"value": product}, [_issue("invalid_product_payload", "", "error", "a product is an object")]
+    asked = iter(range(1 << 31))
+    try:
+        return Hydrator(document, lambda name, page, text: by_place.get((ordinal, next(asked)))).product(product)
+    except Exception as e:  # noqa: BLE001  one product must not take its siblings with it
+        return product, [_issue("product_preparation_failure", f"products.{ordinal}", "error", f"{type(e).__name__}: {e}")]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types
 
 from pagewright.functions import text as T
-from pagewright.operators.chunks import EVIDENCE, IDENTITY, VALUE
+from pagewright.operators.chunks import EVIDENCE, IDENTITY, TEXTS, VALUE
 
 ISSUE = "struct<code:string,path:string,severity:string>"
 #: What each field's confidence counts for in a record's.
@@ -35,18 +35,51 @@ def normalize(products: DataFrame, ascii_only: bool = False) -> DataFrame:
     The values of listed specifications go through the same functions as the fields: all texts of a record are one array, which is normalised in one pass.
     ``ascii_only`` vouches that all texts are ASCII, and then everything stays in the JVM; it is checked, and a text that is not raises.
     """
+    texts = lambda v: F.coalesce(v["normalized"], v["raw"])
+    entries = F.map_entries(F.coalesce("other_details", F.create_map().cast(f"map<string,{VALUE}>")))
     if ascii_only:
         out = products.withColumns({c: normalised(_ascii(F.col(c)), c, True) for c in IDENTITY})
         each = lambda s: F.struct(*[normalised(_ascii(s[c]), c, True).alias(c) for c in PARTS])
-        out = out.withColumns({c: F.transform(c, each) for c in LISTS})
+        out = out.withColumns({c: F.transform(c, each) for c in LISTS} | {c: F.transform(c, lambda v: normalised(_ascii(v), "", True)) for c in TEXTS})
+        plain_key = lambda k: F.when(~k.rlike(r"[^\x00-\x7F]"), T.whitespace(k, True)).otherwise(F.raise_error(F.lit("a text is not ASCII")).cast("string"))
+        out = out.withColumn("other_details", F.when(F.col("other_details").isNotNull(), _last_wins(F.transform(entries, lambda e: plain_key(e["key"])), F.transform(entries, lambda e: normalised(_ascii(e["value"]), "", True)))))
         return out.withColumn("record_confidence", confidence())
     out = products.withColumns({c: normalised(F.col(c), c, False) for c in IDENTITY})
+    # All texts of a record, one list after the other; where a list begins is the number of texts before it.
+    pair = lambda text, kind: F.struct(text.alias("text"), F.lit(kind).alias("kind"))
+    values = {c: F.flatten(F.transform(F.coalesce(F.col(c), F.array().cast(products.schema[c].dataType)), lambda s: F.array(*[pair(texts(s[p]), p) for p in PARTS]))) for c in LISTS}
+    values |= {c: F.transform(F.coalesce(F.col(c), F.array().cast(f"array<{VALUE}>")), lambda v: pair(texts(v), "")) for c in TEXTS}
+    values |= {"keys": F.transform(entries, lambda e: pair(e["key"], "")), "values": F.transform(entries, lambda e: pair(texts(e["value"]), ""))}
+    start, begins = F.lit(0), {}
+    for c, own in values.items():
+        begins[c], start = start, start + F.size(own)
+    every = F.concat(*values.values())
+    out = out.withColumn("_done", _normal_forms(F.transform(every, lambda x: x["text"]), F.transform(every, lambda x: x["kind"]))).withColumn("_begins", F.struct(*[v.alias(c) for c, v in begins.items()]))
+
+    def done(v: Column, place: Column, kind: str) -> Column:
+        method = F.coalesce(v["normalization_method"], F.lit(METHODS.get(kind, "unicode_nfkc_whitespace_v1")))
+        return F.when(texts(v).isNotNull(), v.withField("normalized", F.get(F.col("_done"), place)).withField("normalization_method", method)).otherwise(v)
+
+    at = lambda c: F.col("_begins")[c]
+    listed: dict[str, Column] = {}
     for c in LISTS:
-        source = F.flatten(F.transform(c, lambda s: F.array(*[F.struct(F.coalesce(s[p]["normalized"], s[p]["raw"]).alias("text"), F.lit(p).alias("kind")) for p in PARTS])))
-        out = out.withColumn("_done", _normal_forms(F.transform(source, lambda x: x["text"]), F.transform(source, lambda x: x["kind"])))
-        part = lambda s, i, k, p: F.when(F.coalesce(s[p]["normalized"], s[p]["raw"]).isNotNull(), s[p].withField("normalized", F.get(F.col("_done"), i * len(PARTS) + k)).withField("normalization_method", F.coalesce(s[p]["normalization_method"], F.lit(METHODS.get(p, "unicode_nfkc_whitespace_v1"))))).otherwise(s[p])
-        out = out.withColumn(c, F.transform(c, lambda s, i: F.struct(*[part(s, i, k, p).alias(p) for k, p in enumerate(PARTS)]))).drop("_done")
-    return out.withColumn("record_confidence", confidence())
+        listed[c] = _with_place(c, lambda s, i, c=c: F.struct(*[done(s[p], at(c) + i * len(PARTS) + k, p).alias(p) for k, p in enumerate(PARTS)]))
+    for c in TEXTS:
+        listed[c] = _with_place(c, lambda v, i, c=c: done(v, at(c) + i, ""))
+    keys = F.transform(entries, lambda e, i: F.get(F.col("_done"), at("keys") + i))
+    listed["other_details"] = F.when(F.col("other_details").isNotNull(), _last_wins(keys, F.transform(entries, lambda e, i: done(e["value"], at("values") + i, ""))))
+    return out.withColumns(listed).drop("_done", "_begins").withColumn("record_confidence", confidence())
+
+
+def _with_place(name: str, make) -> Column:
+    return F.transform(name, lambda x, i: make(x, i))
+
+
+def _last_wins(keys: Column, values: Column) -> Column:
+    """A map of keys, of which some may have become alike; the last value of a key stays."""
+    own = F.array_distinct(keys)
+    last = lambda k: F.element_at(values, (F.size(keys) - F.array_position(F.reverse(keys), k) + 1).cast("int"))
+    return F.map_from_arrays(own, F.transform(own, last))
 
 
 def _ascii(value: Column) -> Column:
@@ -135,7 +168,12 @@ def validate(products: DataFrame, strict: bool = False, require_evidence: bool =
     def each(c: str) -> Column:
         return F.flatten(F.transform(F.coalesce(F.col(c), F.array()), lambda s, i: F.concat(*[value_issues(s[p], path(c, i, p), F.col("source_document_id"), require_evidence, strict, low) for p in PARTS])))
 
-    many = [each(c) for c in LISTS]
+    def plain(c: str) -> Column:
+        return F.flatten(F.transform(F.coalesce(F.col(c), F.array()), lambda v, i: value_issues(v, F.concat(F.lit(f"{c}."), i.cast("string")), F.col("source_document_id"), require_evidence, strict, low)))
+
+    entries = F.map_entries(F.coalesce("other_details", F.create_map().cast(f"map<string,{VALUE}>")))
+    details = F.flatten(F.transform(entries, lambda e: value_issues(e["value"], F.concat(F.lit("other_details."), e["key"]), F.col("source_document_id"), require_evidence, strict, low)))
+    many = [*map(plain, TEXTS), *map(each, LISTS), details]
     out = products.withColumn("issues", F.concat(record, *one, *many, repeated_specifications()))
     return out.withColumn("accepted", ~F.exists("issues", lambda i: i["severity"] == "error"))
 

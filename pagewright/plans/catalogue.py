@@ -177,6 +177,7 @@ def products_of(part: DataFrame) -> DataFrame:
     element = F.struct(
         F.lit("part").alias("source_document_id"), F.lit(None).cast("string").alias("source_path"), F.greatest(F.col("p_size"), F.lit(1)).cast("int").alias("page_number"),
         F.concat(F.lit("el_"), F.col("p_partkey")).alias("element_id"), F.col("p_name").alias("text"), F.lit(None).cast("double").alias("confidence"),
+        F.lit(None).cast(chunks.BOX).alias("bbox"), F.lit("native_text").alias("method"),
     )
     rate = F.when(F.col("p_size") % 4 == 0, 0.5).when(F.col("p_size") % 4 == 1, None).otherwise(0.9)
     value = lambda raw: F.when(raw.isNotNull(), F.struct(raw.alias("raw"), F.lit(None).cast("string").alias("normalized"), rate.alias("confidence"), F.lit(None).cast("string").alias("normalization_method"), F.array(element).alias("evidence"))).cast(chunks.VALUE)
@@ -187,7 +188,8 @@ def products_of(part: DataFrame) -> DataFrame:
         F.concat(F.lit("p"), F.col("p_partkey")).alias("record_id"), F.lit("part").alias("source_document_id"), F.lit(None).cast("string").alias("source_path"),
         value(F.when(F.col("p_size") % 7 != 0, F.col("p_brand"))).alias("manufacturer"), value(F.col("p_name")).alias("part_name"),
         value(F.when(F.col("p_size") % 5 != 0, F.concat_ws("-", "p_brand", F.col("p_partkey").cast("string")))).alias("part_number"), none.alias("category"), none.alias("description"),
-        specs.cast(f"array<{chunks.SPEC}>").alias("specifications"), F.array().cast(f"array<{chunks.SPEC}>").alias("operating_conditions"),
+        specs.cast(f"array<{chunks.SPEC}>").alias("specifications"), F.array().cast(f"array<{chunks.SPEC}>").alias("operating_conditions"), *[F.array().cast(f"array<{chunks.VALUE}>").alias(c) for c in chunks.TEXTS if c != "materials"],
+        F.when(F.col("p_size") % 9 == 0, F.array(value(F.col("p_type")))).alias("materials"), F.when(F.col("p_size") % 11 == 3, F.create_map(F.lit("retail  price"), value(F.col("p_retailprice").cast("decimal(12,2)").cast("string")))).alias("other_details"),
     )
 
 
@@ -473,6 +475,8 @@ _ISSUES = f"""
             SELECT record_id, list_filter([CASE WHEN size IS NOT NULL THEN 3 END, CASE WHEN type IS NOT NULL THEN 2 END, CASE WHEN p_size % 10 = 1 THEN 3 END], lambda x: x IS NOT NULL) AS fs FROM p WHERE conf = 0.5) s, (VALUES ('name'), ('value')) v(f)
         UNION ALL SELECT record_id, 'low_confidence', 'specifications.' || k || '.unit' FROM (
             SELECT record_id, unnest([CASE WHEN size IS NOT NULL THEN 0 END, CASE WHEN p_size % 10 = 1 THEN (size IS NOT NULL)::INT + (type IS NOT NULL)::INT END]) AS k FROM p WHERE conf = 0.5) WHERE k IS NOT NULL
+        UNION ALL SELECT record_id, 'low_confidence', 'materials.0' FROM p WHERE conf = 0.5 AND p_size % 9 = 0
+        UNION ALL SELECT record_id, 'low_confidence', 'other_details.retail  price' FROM p WHERE conf = 0.5 AND p_size % 11 = 3
         UNION ALL SELECT record_id, CASE WHEN size = p_partkey::VARCHAR THEN 'duplicate_specification' ELSE 'conflicting_specification' END, 'specifications.' || (1 + (type IS NOT NULL)::INT)
             FROM p WHERE p_size % 10 = 1 AND size IS NOT NULL
     )
@@ -612,11 +616,13 @@ _SPECS = "list_filter([CASE WHEN size IS NOT NULL THEN 'size' END, CASE WHEN typ
     WITH p AS ({_PRODUCTS}), s AS (SELECT record_id, p_partkey, k - 1 AS i, l[k] AS name FROM (SELECT record_id, p_partkey, l, unnest(range(1, len(l) + 1)) AS k FROM (SELECT *, {_SPECS} AS l FROM p))), e AS (
         SELECT record_id, p_partkey, f.path AS field_path FROM p, (VALUES ('manufacturer'), ('part_name'), ('part_number')) f(path)
         WHERE CASE f.path WHEN 'manufacturer' THEN manufacturer WHEN 'part_number' THEN part_number ELSE part_name END IS NOT NULL
-        UNION ALL SELECT record_id, p_partkey, 'specifications.' || i || '.' || f.part FROM s, (VALUES ('name'), ('value'), ('unit')) f(part) WHERE f.part <> 'unit' OR name = 'size')
-    SELECT record_id, field_path, 0 AS ordinal, 'el_' || p_partkey AS element_id FROM e
+        UNION ALL SELECT record_id, p_partkey, 'specifications.' || i || '.' || f.part FROM s, (VALUES ('name'), ('value'), ('unit')) f(part) WHERE f.part <> 'unit' OR name = 'size'
+        UNION ALL SELECT record_id, p_partkey, 'materials.0' FROM p WHERE p_size % 9 = 0
+        UNION ALL SELECT record_id, p_partkey, 'other_details.retail  price' FROM p WHERE p_size % 11 = 3)
+    SELECT record_id, field_path, 0 AS ordinal, 'el_' || p_partkey AS element_id, 'native_text' AS method FROM e
 """)
 def evidence_projection(part):
-    return catalog.evidence(products_of(part)).select(F.col("product_record_id").alias("record_id"), "field_path", "ordinal", "element_id")
+    return catalog.evidence(products_of(part)).select(F.col("product_record_id").alias("record_id"), "field_path", "ordinal", "element_id", "method")
 
 
 @query(f"""

@@ -21,6 +21,8 @@ from typing import Any, Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from pagewright.functions.untrusted import NotJson, loads, structure, within
+
 #: Statuses after which a call is made again, and reasons to stop that leave an answer whole.
 RETRIED = (408, 409, 425, 429, 500, 502, 503, 504)
 WHOLE = (None, "stop", "tool_calls", "function_call")
@@ -57,10 +59,11 @@ class HttpTransport:
 
 
 def _object(raw: bytes) -> dict:
+    text = raw.decode("utf-8", "replace")
     try:
-        found = json.loads(raw)
-    except ValueError:
-        return {"error": excerpt(raw.decode("utf-8", "replace"))}
+        found = loads(text)
+    except NotJson:
+        return {"error": excerpt(text)}
     return found if isinstance(found, dict) else {"value": found}
 
 
@@ -164,28 +167,6 @@ def contents(answer: dict) -> Iterator[Any]:
             yield x
 
 
-class NotJson(ValueError):
-    def __init__(self, kind: str):
-        super().__init__(f"{kind} JSON")
-        self.kind = kind
-
-
-def structure(text: str) -> str:
-    """``empty``, ``truncated`` (a string or bracket is still open) or ``malformed``."""
-    if not text.strip():
-        return "empty"
-    depth, inside = 0, False
-    for m in re.finditer(r'\\.|["{}\[\]]', text, re.S):
-        c = m[0]
-        if c == '"':
-            inside = not inside
-        elif not inside and c in "{[":
-            depth += 1
-        elif not inside and c in "}]":
-            depth -= 1
-    return "truncated" if inside or depth > 0 else "malformed"
-
-
 def parse_json(content) -> Any:
     """The JSON value of an answer: whole, fenced, after thinking, or alone within prose. Nothing is ever repaired."""
     if isinstance(content, dict | list):
@@ -194,19 +175,7 @@ def parse_json(content) -> Any:
     text = re.sub(r"<\|[a-z_]+\|>", "", text).strip()
     if m := re.fullmatch(r"(?s)```[A-Za-z]*\s*(.*?)\s*```", text):
         text = m[1]
-    try:
-        return json.loads(text)
-    except ValueError:
-        pass
-    start = re.search(r"[{\[]", text)
-    if start:
-        try:
-            value, end = json.JSONDecoder().raw_decode(text, start.start())
-        except ValueError:
-            raise NotJson(structure(text[start.start() :])) from None
-        if not re.search(r"[{\[]", text[end:]):
-            return value
-    raise NotJson(structure(text))
+    return within(text)
 
 
 def decode(answer: dict) -> Any:
@@ -435,8 +404,8 @@ def read_pages(pages: DataFrame, model: Callable[[], PageModel] = OfflinePages,
                     attempts = getattr(client, "attempts", [])
                 except CallFailed as e:
                     error, unsupported, attempts = str(e), unsupported_content(e), e.attempts
-                except (OSError, ValueError) as e:
-                    error = str(e)
+                except Exception as e:  # noqa: BLE001  a model that breaks on one page must not end the others
+                    error = str(e) or type(e).__name__
                 out.append((page["document_id"], page["page_number"], content, getattr(getattr(client, "client", None), "model", name), error, unsupported, json.dumps(attempts, sort_keys=True)))
             yield pd.DataFrame(out, columns=columns)
 
@@ -447,6 +416,7 @@ def generate(
     hints: DataFrame, model: Callable[[], StructuredModel] = OfflineStructured, chunk: tuple[str, ...] = ("document_id",), regenerate: int = 1, evidence: DataFrame | None = None
 ) -> DataFrame:
     """A structured answer for each chunk of hints: ``payload``, ``attempts``, ``error``, ``audit``. An answer that is no JSON is asked for once more.
+    A chunk whose hints have an ``error`` keeps it and is not asked for.
 
     ``evidence`` are the chunks' elements; a model gets those of its chunk in order of page and sequence.
     """
@@ -456,6 +426,8 @@ def generate(
 
     keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in hints.select(*chunk).schema)
     item = ["page_number", "sequence_number", "element_id", "element_type", "text"]
+    if "error" not in hints.columns:
+        hints = hints.withColumn("error", F.lit(None).cast("string"))
     if evidence is not None:
         own = evidence.groupBy(*chunk).agg(F.array_sort(F.collect_list(F.struct(*item))).alias("evidence"))
         hints = hints.join(own, list(chunk), "left")
@@ -468,8 +440,8 @@ def generate(
                 hint = {"mode": row["mode"], "reason": row["reason"], "identifiers": list(row["identifiers"]), "evidence_element_ids": list(row["evidence_element_ids"]), "manufacturers": list(row["manufacturers"])}
                 cited = row.get("evidence")
                 cited = [{k: e[k] for k in item if k != "sequence_number"} for e in cited] if cited is not None and not isinstance(cited, float) else []
-                payload, error, attempts, audit = None, None, 0, []
-                while payload is None and attempts <= regenerate:
+                payload, error, attempts, audit = None, row.get("error"), 0, []
+                while payload is None and attempts <= regenerate and not isinstance(row.get("error"), str):
                     attempts += 1
                     try:
                         answer = client.generate(batch_schema(hint), prompt(hint), cited)
@@ -479,8 +451,8 @@ def generate(
                         error, audit = str(e), audit + e.attempts
                     except NotJson as e:
                         error, audit = str(e), [*audit, {"generation": attempts, "outcome": e.kind, "head": excerpt(answer), "tail": excerpt(answer, tail=True)}]
-                    except (OSError, ValueError) as e:
-                        error = str(e)
+                    except Exception as e:  # noqa: BLE001  a model that breaks on one chunk must not end the others
+                        error = str(e) or type(e).__name__
                 out.append([*(row[c] for c in chunk), payload, attempts, None if payload is not None else error, json.dumps(audit, sort_keys=True)])
             yield pd.DataFrame(out, columns=[*chunk, "payload", "attempts", "error", "audit"])
 

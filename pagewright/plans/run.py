@@ -24,7 +24,7 @@ ELEMENT = (
     "bbox struct<x0:double,y0:double,x1:double,y1:double,coordinate_space:string>, confidence double, model string, source_path string, raw_payload string, metadata map<string,string>"
 )
 CITATION = "struct<source_document_id:string,source_path:string,page_number:int,element_id:string,excerpt:string,confidence:double,field_paths:array<string>>"
-CITED = "source_document_id string, source_path string, page_number int, element_id string, text string, confidence double"
+CITED = f"source_document_id string, source_path string, page_number int, element_id string, text string, confidence double, bbox {chunks.BOX}, method string"
 TABLES = {
     "documents": "document_id string, source_path string, pages long, page_errors long, status string, finished_at timestamp, elapsed_seconds double",
     "extractions": "document_id string, page_number int, fingerprint string, route string, requires_ocr boolean, reasons array<string>, routing string",
@@ -32,11 +32,12 @@ TABLES = {
     "page_audits": extraction.AUDIT,
     "elements": ELEMENT,
     "knowledge_chunks": f"chunk_id string, content_sha256 string, chunk_kind string, product_record_id string, source_document_id string, source_path string, page_number int, chunk_type string, ordinal int, text string, citations array<{CITATION}>, embedding array<double>",
-    "products": chunks.PRODUCT + ", record_confidence double, issues array<struct<code:string,path:string,severity:string>>, validation_warnings array<string>, review_status string, batch_id string, ordinal int",
+    "products": chunks.PRODUCT + ", record_confidence double, issues array<struct<code:string,path:string,severity:string>>, validation_warnings array<string>, review_status string, batch_id string, ordinal int, payload string",
     "product_specifications": "record_id string, collection_name string, ordinal int, name_raw string, name_normalized string, value_raw string, value_normalized string, unit_raw string, unit_normalized string",
     "product_evidence": f"product_record_id string, field_path string, ordinal int, {CITED}",
     "ingestion_batches": "batch_id string, document_id string, chunk long, audit string, accepted_count long, rejected_count long, status string, issues array<string>",
     "batch_products": "batch_id string, ordinal int, product_record_id string",
+    "failed_chunks": "document_id string, chunk long, stage string, error string, audit string",
     "rejected_products": "rejection_id string, batch_id string, ordinal int, payload string, issues array<struct<code:string,path:string,severity:string>>",
 }
 CHUNK = ("document_id", "chunk")
@@ -88,7 +89,11 @@ def admit(
         own = own.join(extraction.blank_chunks(placed, blank), list(CHUNK), "left_anti")
     hint = park(hints.source_hints(own, CHUNK), "hints")
     answers = park(models.generate(hint, structured, CHUNK, evidence=own), "structured")
-    guarded = guard.enforce(answers.where("payload is not null").select(*CHUNK, "payload"), hint, own, CHUNK)
+    judged = park(guard.enforce(answers.where("payload is not null").select(*CHUNK, "payload"), hint.drop("error"), own, CHUNK), "guarded")
+    guarded = judged.where("error is null")
+    # What fails in a chunk, and in which step, is a row; the other chunks go on.
+    step = F.when(F.col("error").startswith("hints:"), "hints").otherwise("generation")
+    failed = answers.where("payload is null").select(*CHUNK, step.alias("stage"), "error", "audit").unionByName(judged.where("error is not null").select(*CHUNK, F.lit("guard").alias("stage"), "error", "audit"))
     name = catalog.batch_id(F.col("document_id"), F.col("chunk").cast("string"), F.lit(elements.PIPELINE_VERSION), F.coalesce("guarded", F.lit("")))
     batches = park(guarded.select(name.alias("batch_id"), "document_id", "chunk", "audit", "guarded"), "batches")
     done = hydrate.hydrate(batches.select("document_id", F.col("batch_id").alias("batch"), F.col("guarded").alias("payload")), found).where("ordinal >= 0")
@@ -101,9 +106,9 @@ def admit(
     checked = rules.reviewed(checked.withColumn("issues", F.concat("early", "issues")))
     checked = checked.withColumn("accepted", ~F.exists("issues", lambda i: i["severity"] == "error")).withColumnRenamed("batch", "batch_id")
     split = catalog.persist_batch(park(checked, "products"), batches.drop("guarded"))
-    good = split["products"].drop("early", "payload")
+    good = split["products"].drop("early")
     children = {"product_specifications": catalog.specifications(good), "product_evidence": catalog.evidence(good), "product_chunks": chunks.product_chunks(good)}
-    return split | {"products": good} | children | {"failed": answers.where("payload is null").select(*CHUNK, "error", "audit")}
+    return split | {"products": good} | children | {"failed": park(failed, "failed")}
 
 
 def _fields() -> list[str]:
@@ -166,6 +171,8 @@ def run(
     for name, owner in (("product_specifications", "record_id"), ("product_evidence", "product_record_id")):
         columns = store[name].read().columns
         store[name].write(catalog.replace_children(store[name].read(), admitted[name].select(*columns), admitted["products"], owner), sort=[owner])
+    tried = processed.select("document_id").distinct()
+    store["failed_chunks"].write(catalog.replace_scope(store["failed_chunks"].read(), admitted["failed"].select(*store["failed_chunks"].read().columns), ["document_id"], tried))
     products = _embedded(admitted["product_chunks"], config, embedding)
     store["knowledge_chunks"].write(catalog.replace_scope(store["knowledge_chunks"].read(), products, ["product_record_id"]), sort=["chunk_kind", "source_document_id", "page_number"])
 

@@ -8,7 +8,7 @@ EL = {"element_id": "el_1", "document_id": "d1", "page_number": 2, "text": "Bore
 
 
 def codes(payload, elements=(EL,), document="d1"):
-    out, issues = hydrate.Hydrator(document, None if elements is None else list(elements)).product(payload)
+    out, issues = hydrate.Hydrator(document, None if elements is None else hydrate.index(document, list(elements))).product(payload)
     return out, [(i["code"], i["severity"]) for i in issues]
 
 
