@@ -16,11 +16,11 @@ from pagewright.operators import retrieval
 from pagewright.plans import config, models
 from pagewright.plans import run as runs
 from pagewright.sources import readers
-from pagewright.sources.store import Table, lines
+from pagewright.sources.store import lines
 
 
 def _query(spark: SparkSession, args: argparse.Namespace) -> int:
-    rows = Table(spark, f"{args.root}/knowledge_chunks", runs.TABLES["knowledge_chunks"]).read()
+    rows = runs.tables(spark, args.root)["knowledge_chunks"].read()
     if args.vector:
         # Vectors are stored with the chunks; only the query is embedded.
         made = models.clients(config.from_yaml(args.config) if args.config else config.Config())

@@ -62,22 +62,10 @@ def specifications(products: DataFrame) -> DataFrame:
 
 def evidence(products: DataFrame) -> DataFrame:
     """One row per field path and evidence, duplicates included, with ordinals in the order of traversal."""
-    from pagewright.operators.chunks import IDENTITY, TEXTS
+    from pagewright.operators.chunks import values
 
-    def cite(path: Column, value: Column) -> Column:
-        return F.transform(F.coalesce(value["evidence"], F.array()), lambda e: F.struct(path.alias("field_path"), e.alias("e")))
-
-    def listed(name: str) -> Column:
-        path = lambda i, c: F.concat(F.lit(f"{name}."), i.cast("string"), F.lit(f".{c}"))
-        each = lambda s, i: F.concat(*[cite(path(i, c), s[c]) for c in ("name", "value", "unit", "category", "qualifier")])
-        return F.flatten(F.transform(F.coalesce(F.col(name), F.array()), each))
-
-    def plain(name: str) -> Column:
-        return F.flatten(F.transform(F.coalesce(F.col(name), F.array()), lambda v, i: cite(F.concat(F.lit(f"{name}."), i.cast("string")), v)))
-
-    details = F.flatten(F.transform(F.map_entries(F.coalesce("other_details", F.create_map())), lambda e: cite(F.concat(F.lit("other_details."), e["key"]), e["value"])))
-    every = F.concat(*[cite(F.lit(c), F.col(c)) for c in IDENTITY], *map(plain, TEXTS), listed("specifications"), listed("operating_conditions"), details)
-    rows = products.select(F.col("record_id").alias("product_record_id"), F.posexplode(every).alias("pos", "c"))
+    cited = lambda x: F.transform(F.coalesce(x["value"]["evidence"], F.array()), lambda e: F.struct(x["path"].alias("field_path"), e.alias("e")))
+    rows = products.select(F.col("record_id").alias("product_record_id"), F.posexplode(F.flatten(F.transform(values(), cited))).alias("pos", "c"))
     order = Window.partitionBy("product_record_id", "c.field_path").orderBy("pos")
     return rows.select("product_record_id", "c.field_path", (F.row_number().over(order) - 1).alias("ordinal"), "c.e.*")
 

@@ -15,7 +15,9 @@ IDENTITY = {"manufacturer": "Manufacturer", "part_name": "Part name", "part_numb
 BOX = "struct<x0:double,y0:double,x1:double,y1:double,coordinate_space:string>"
 EVIDENCE = f"struct<source_document_id:string,source_path:string,page_number:int,element_id:string,text:string,confidence:double,bbox:{BOX},method:string>"
 VALUE = f"struct<raw:string,normalized:string,confidence:double,normalization_method:string,evidence:array<{EVIDENCE}>>"
-SPEC = "struct<" + ",".join(f"{c}:{VALUE}" for c in ("name", "value", "unit", "category", "qualifier")) + ">"
+PARTS = ("name", "value", "unit", "category", "qualifier")
+SPEC = "struct<" + ",".join(f"{c}:{VALUE}" for c in PARTS) + ">"
+LISTS = ("specifications", "operating_conditions")
 #: Lists of plain values.
 TEXTS = ("materials", "certifications", "compatible_parts", "aliases_and_cross_references")
 PRODUCT = (
@@ -27,6 +29,17 @@ PRODUCT = (
 )
 
 
+def values() -> Column:
+    """All values of a product that are there, each with its path, in the order of traversal: identity, plain lists, specifications and conditions, details."""
+    at = lambda path, v: F.struct(path.alias("path"), v.alias("value"))
+    some = lambda c, kind: F.coalesce(F.col(c), F.array().cast(f"array<{kind}>"))
+    plain = [F.transform(some(c, VALUE), lambda v, i: at(F.concat(F.lit(f"{c}."), i.cast("string")), v)) for c in TEXTS]  # noqa: B023
+    parts = lambda c, s, i: F.array(*[at(F.concat(F.lit(f"{c}."), i.cast("string"), F.lit(f".{p}")), s[p]) for p in PARTS])
+    listed = [F.flatten(F.transform(some(c, SPEC), lambda s, i: parts(c, s, i))) for c in LISTS]  # noqa: B023
+    details = F.transform(F.map_entries(F.coalesce("other_details", F.create_map().cast(f"map<string,{VALUE}>"))), lambda e: at(F.concat(F.lit("other_details."), e["key"]), e["value"]))
+    return F.filter(F.concat(F.array(*[at(F.lit(c), F.col(c)) for c in IDENTITY]), *plain, *listed, details), lambda x: x["value"].isNotNull())
+
+
 def page_chunks(elements: DataFrame, pipeline_version: str | None = None) -> DataFrame:
     """One chunk per element that is not blank, in order of sequence and id, with ordinals from 0 on each page and one citation."""
     order = Window.partitionBy("document_id", "page_number").orderBy("sequence_number", "element_id")

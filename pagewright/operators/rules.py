@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types
 
 from pagewright.functions import text as T
-from pagewright.operators.chunks import EVIDENCE, IDENTITY, TEXTS, VALUE
+from pagewright.operators.chunks import EVIDENCE, IDENTITY, LISTS, PARTS, TEXTS, VALUE, values
 
 ISSUE = "struct<code:string,path:string,severity:string>"
 #: What each field's confidence counts for in a record's.
 WEIGHTS = {"manufacturer": 2.0, "part_name": 2.0, "part_number": 3.0, "category": 1.0, "description": 1.0}
 METHODS = {"part_number": "part_number_exact_match_v1", "unit": "engineering_unit_aliases_v1", "manufacturer": "manufacturer_whitespace_v1"}
 _FUNCTIONS = {"part_number": T.part_number, "unit": T.unit}
-LISTS = ("specifications", "operating_conditions")
-PARTS = ("name", "value", "unit", "category", "qualifier")
 
 
 def normalised(value: Column, kind: str, ascii_only: bool) -> Column:
@@ -162,19 +160,8 @@ def validate(products: DataFrame, strict: bool = False, require_evidence: bool =
         F.when(F.length(number) > 160, _issue("suspicious_part_number_length", F.lit("part_number"), "warning")),
         F.when(number.contains("�"), _issue("replacement_character", F.lit("part_number"), "error")),
     ))
-    one = [value_issues(F.col(c), F.lit(c), F.col("source_document_id"), require_evidence, strict, low) for c in IDENTITY]
-    path = lambda c, i, p: F.concat(F.lit(f"{c}."), i.cast("string"), F.lit(f".{p}"))
-
-    def each(c: str) -> Column:
-        return F.flatten(F.transform(F.coalesce(F.col(c), F.array()), lambda s, i: F.concat(*[value_issues(s[p], path(c, i, p), F.col("source_document_id"), require_evidence, strict, low) for p in PARTS])))
-
-    def plain(c: str) -> Column:
-        return F.flatten(F.transform(F.coalesce(F.col(c), F.array()), lambda v, i: value_issues(v, F.concat(F.lit(f"{c}."), i.cast("string")), F.col("source_document_id"), require_evidence, strict, low)))
-
-    entries = F.map_entries(F.coalesce("other_details", F.create_map().cast(f"map<string,{VALUE}>")))
-    details = F.flatten(F.transform(entries, lambda e: value_issues(e["value"], F.concat(F.lit("other_details."), e["key"]), F.col("source_document_id"), require_evidence, strict, low)))
-    many = [*map(plain, TEXTS), *map(each, LISTS), details]
-    out = products.withColumn("issues", F.concat(record, *one, *many, repeated_specifications()))
+    each = F.flatten(F.transform(values(), lambda x: value_issues(x["value"], x["path"], F.col("source_document_id"), require_evidence, strict, low)))
+    out = products.withColumn("issues", F.concat(record, each, repeated_specifications()))
     return out.withColumn("accepted", ~F.exists("issues", lambda i: i["severity"] == "error"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from pagewright.functions import text as T
 from pagewright.operators import catalog, chunks, elements, guard, hints, hydrate, ops, retrieval, routing, rules
 from pagewright.plans import models
-from pagewright.sources import pdf_text, readers
+from pagewright.sources import pdf_text, readers, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -703,6 +703,20 @@ def pdf_pages(documents):
     return pages.where("error is null").select(F.col("source_path").cast("long").alias("doc_id"), "page_number", n_lines.alias("n_lines"), F.size("native_blocks").cast("long").alias("n_blocks"), F.sha2("native_text", 256).alias("text_sha256"), "width")
 
 
+@query("""
+    SELECT 1 AS version, o_orderkey, o_custkey, o_totalprice::DOUBLE AS price FROM orders
+    UNION ALL SELECT 2, o_orderkey, o_custkey, CASE WHEN o_custkey % 7 = 0 THEN 2 * o_totalprice::DOUBLE ELSE o_totalprice::DOUBLE END FROM orders WHERE o_custkey % 7 <> 0 OR o_orderstatus = 'F'
+""")
+def table_versions(orders):
+    """Orders as a table of buckets of which some customers' orders are then replaced; both versions."""
+    rows = orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double").alias("price"), "o_orderstatus")
+    table = store.Table(orders.sparkSession, store.work_folder(orders.sparkSession), "o_orderkey long, o_custkey long, price double", ["o_custkey"], 16)
+    first = table.write(rows.drop("o_orderstatus"))
+    seventh = rows.where("o_custkey % 7 = 0")
+    second = table.replace(seventh.where("o_orderstatus = 'F'").withColumn("price", 2 * F.col("price")), ["o_custkey"], seventh)
+    return table.read(first).withColumn("version", F.lit(1)).unionByName(table.read(second).withColumn("version", F.lit(2)))
+
+
 # ---------------------------------------------------------------- what SQL cannot express
 
 

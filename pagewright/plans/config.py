@@ -43,6 +43,9 @@ class Endpoint:
 class Config:
     mode: str = "offline"
     pages_per_parse: int = 2
+    #: Buckets of each table, and how many of its versions stay.
+    buckets: int = 64
+    versions: int = 2
     strict: bool = False
     fail_fast: bool = False
     embed: bool = True
@@ -59,6 +62,8 @@ class Config:
             raise ValueError("the mode is offline or live")
         if not 1 <= self.pages_per_parse <= 100 or not 0 <= self.low_confidence <= 1:
             raise ValueError("1 to 100 pages per parse, and a confidence between 0 and 1")
+        if self.buckets < 1 or self.versions < 1:
+            raise ValueError("at least one bucket and one version")
         if self.mode == "live" and not (self.page_model.url and self.structured_model.url):
             raise ValueError("a live run needs its models' addresses")
 

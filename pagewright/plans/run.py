@@ -40,6 +40,14 @@ TABLES = {
     "failed_chunks": "document_id string, chunk long, stage string, error string, audit string",
     "rejected_products": "rejection_id string, batch_id string, ordinal int, payload string, issues array<struct<code:string,path:string,severity:string>>",
 }
+#: What each table's buckets go by.
+KEYS = {
+    "documents": ["document_id"], "extractions": ["document_id", "page_number"], "page_errors": ["document_id", "page_number"], "page_audits": ["document_id", "page_number"], "elements": ["document_id", "page_number"],
+    "knowledge_chunks": ["source_document_id"], "products": ["record_id"], "product_specifications": ["record_id"], "product_evidence": ["product_record_id"], "ingestion_batches": ["batch_id"],
+    "batch_products": ["batch_id"], "failed_chunks": ["document_id"], "rejected_products": ["rejection_id"],
+}
+#: Steps from earlier forms of tables. The first one of chunks had neither a kind nor a page of its own.
+UPGRADES = {"knowledge_chunks": [{"chunk_kind": "case when product_record_id is null then 'page_evidence' else 'product' end", "page_number": "case when product_record_id is null then citations[0].page_number end"}]}
 CHUNK = ("document_id", "chunk")
 
 
@@ -47,8 +55,8 @@ class RunFailed(RuntimeError):
     pass
 
 
-def tables(spark: SparkSession, root: str) -> dict[str, Table]:
-    return {name: Table(spark, f"{root}/{name}", schema) for name, schema in TABLES.items()}
+def tables(spark: SparkSession, root: str, buckets: int = 64) -> dict[str, Table]:
+    return {name: Table(spark, f"{root}/{name}", schema, KEYS[name], buckets, UPGRADES.get(name, ())) for name, schema in TABLES.items()}
 
 
 def limited(pages: DataFrame, config: Config) -> DataFrame:
@@ -70,8 +78,9 @@ def parked(spark: SparkSession, root: str) -> Callable[[DataFrame, str], DataFra
 
     def park(rows: DataFrame, name: str) -> DataFrame:
         table = Table(spark, f"{root}/_{name}", rows.schema)
-        table.write(rows)
-        return table.read()
+        found = table.read(table.write(rows))
+        table.expire()
+        return found
 
     return park
 
@@ -129,7 +138,7 @@ def run(
     began = time.time()
     made = models.clients(config)
     page_model, structured, ocr_model, embedding = page_model or made.page, structured or made.structured, ocr_model or made.ocr, embedding or made.embedding
-    store = tables(spark, root)
+    store = tables(spark, root, config.buckets)
     pages = limited(pages, config)
     # What its source could not read has an error already; a file without pages stands as page 0.
     read = pages.withColumns({"page_number": F.coalesce("page_number", F.lit(0)), "error": F.col("error") if "error" in pages.columns else F.lit(None).cast("string")})
@@ -146,40 +155,37 @@ def run(
 
     # Models must not be called again by what follows: their results are written first.
     park = parked(spark, root)
-    got = extraction.extract(pages, store["extractions"].read(), thresholds, page_model, ocr_model, park)
+    owners = park(processed, "scope")
+    got = extraction.extract(pages, store["extractions"].scoped(owners, scope), thresholds, page_model, ocr_model, park)
     hits = got.held.count()
     done = got.extractions.select(*scope)
     for name, rows in (("elements", got.elements), ("page_audits", got.audits), ("extractions", got.extractions)):
-        columns = store[name].read().columns
-        store[name].write(catalog.replace_scope(store[name].read(), rows.select(*columns), scope, done), sort=scope)
+        store[name].replace(rows, scope, done, sort=scope)
     errors = got.errors.unionByName(unread)
-    store["page_errors"].write(catalog.replace_scope(store["page_errors"].read(), errors, scope, processed))
+    store["page_errors"].replace(errors, scope, owners)
     evidence = _embedded(chunks.page_chunks(got.elements), config, embedding)
     scoped = done.select(F.col("document_id").alias("source_document_id"), "page_number").distinct()
-    store["knowledge_chunks"].write(catalog.replace_scope(store["knowledge_chunks"].read(), evidence, ["source_document_id", "page_number"], scoped), sort=["chunk_kind", "source_document_id", "page_number"])
+    store["knowledge_chunks"].replace(evidence, ["source_document_id", "page_number"], scoped, sort=["chunk_kind", "source_document_id", "page_number"])
     if config.fail_fast and not errors.isEmpty():
         first = errors.orderBy(*scope).first()
         raise RunFailed(f"page {first['page_number']} of {first['document_id']}: {first['error']}")
 
-    whole = store["elements"].read().join(processed, scope, "left_semi")
-    blank = extraction.certified_blank(store["extractions"].read(), store["elements"].read(), store["page_audits"].read())
-    admitted = admit(whole, park(processed, "scope"), config, structured, park, blank)
+    whole = store["elements"].scoped(owners, scope)
+    blank = extraction.certified_blank(store["extractions"].scoped(owners, scope), whole, store["page_audits"].scoped(owners, scope))
+    admitted = admit(whole, owners, config, structured, park, blank)
     names = {"ingestion_batches": ["batch_id"], "products": ["record_id"], "batch_products": ["batch_id", "ordinal", "product_record_id"], "rejected_products": ["rejection_id"]}
     for name, key in names.items():
-        columns = store[name].read().columns
-        store[name].write(catalog.upsert(store[name].read(), admitted[name].select(*columns), key))
+        store[name].replace(admitted[name], key)
     for name, owner in (("product_specifications", "record_id"), ("product_evidence", "product_record_id")):
-        columns = store[name].read().columns
-        store[name].write(catalog.replace_children(store[name].read(), admitted[name].select(*columns), admitted["products"], owner), sort=[owner])
-    tried = processed.select("document_id").distinct()
-    store["failed_chunks"].write(catalog.replace_scope(store["failed_chunks"].read(), admitted["failed"].select(*store["failed_chunks"].read().columns), ["document_id"], tried))
+        store[name].replace(admitted[name], [owner], admitted["products"].select(F.col("record_id").alias(owner)), sort=[owner])
+    store["failed_chunks"].replace(admitted["failed"], ["document_id"], owners.select("document_id").distinct())
     products = _embedded(admitted["product_chunks"], config, embedding)
-    store["knowledge_chunks"].write(catalog.replace_scope(store["knowledge_chunks"].read(), products, ["product_record_id"]), sort=["chunk_kind", "source_document_id", "page_number"])
+    store["knowledge_chunks"].replace(products, ["source_document_id", "product_record_id"], sort=["chunk_kind", "source_document_id", "page_number"])
 
     issues = try_append(admitted["products"], f"{root}/products.jsonl", "products_jsonl_write_failed") + try_append(admitted["ingestion_batches"], f"{root}/batches.jsonl", "batch_jsonl_write_failed")
 
     failed = admitted["failed"].groupBy("document_id").agg(F.count("*").alias("failed_chunks"))
-    bad = store["page_errors"].read().join(processed, scope, "left_semi").groupBy("document_id").agg(F.count("*").alias("page_errors"))
+    bad = store["page_errors"].scoped(owners, scope).groupBy("document_id").agg(F.count("*").alias("page_errors"))
     source = F.max("source_path") if "source_path" in every.columns else F.max(F.lit(None).cast("string"))
     by_document = every.groupBy("document_id").agg(F.count_distinct("page_number").alias("pages"), source.alias("source_path")).join(bad, "document_id", "left").join(failed, "document_id", "left")
     status = store["ingestion_batches"].read().groupBy("document_id").agg(F.max(F.when(F.col("status") != "succeeded", 1).otherwise(0)).alias("odd"))
@@ -187,14 +193,16 @@ def run(
     odd = (F.col("page_errors") > 0) | (F.col("odd") == 1) | (F.col("failed_chunks") > 0)
     told = told.withColumns({"status": F.when(F.col("page_errors") == F.col("pages"), "failed").when(odd, "review").otherwise("succeeded"), "finished_at": F.current_timestamp(), "elapsed_seconds": F.lit(time.time() - began)})
     documents = park(told.select(*store["documents"].read().columns), "documents")
-    store["documents"].write(catalog.upsert(store["documents"].read(), documents, ["document_id"]))
+    store["documents"].replace(documents, ["document_id"])
     summary = ops.run_summary(documents, "status", {"pages": "pages", "page_errors": "page_errors"})
     totals = {
         "elements": whole.count(), "products": store["products"].read().count(), "rejected": store["rejected_products"].read().count(), "chunks": store["knowledge_chunks"].read().count(),
-        "needs_review": store["products"].read().where("review_status = 'needs_review'").count(), "ocr_pages": store["extractions"].read().join(processed, scope, "left_semi").where("requires_ocr").count(),
+        "needs_review": store["products"].read().where("review_status = 'needs_review'").count(), "ocr_pages": store["extractions"].scoped(owners, scope).where("requires_ocr").count(),
         "blank_pages": blank.join(processed, scope, "left_semi").count(), "checkpoint_hits": hits,
     }
     told = summary.withColumns({k: F.lit(v) for k, v in totals.items()})
+    for table in store.values():
+        table.expire(config.versions)
     write_json(spark, f"{root}/summary.json", told.first().asDict() | {"finished_at": datetime.now(UTC).isoformat(), "elapsed_seconds": round(time.time() - began, 3), "issues": issues})
     return told
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from pagewright.operators import catalog, chunks, elements
+from pagewright.operators import chunks, elements
 from pagewright.sources.store import Table
 
 
@@ -15,7 +16,7 @@ def index_pages(table: Table, evidence: DataFrame, pages: DataFrame) -> None:
     """Replaces the evidence chunks of exactly the pages that were processed, pages that are now empty included."""
     scope = pages.selectExpr("document_id as source_document_id", "page_number").distinct()
     new = chunks.page_chunks(evidence)
-    table.write(catalog.replace_scope(table.read(), new, ["source_document_id", "page_number"], scope), sort=["source_document_id", "page_number", "ordinal"])
+    table.replace(new.withColumns({c: F.lit(None) for c in table.read().columns if c not in new.columns}), ["source_document_id", "page_number"], scope, sort=["source_document_id", "page_number", "ordinal"])
 
 
 def follow(spark: SparkSession, path: str, schema: str, table: Table, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, once: bool = True) -> StreamingQuery:

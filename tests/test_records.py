@@ -50,7 +50,7 @@ def test_hydration_over_frames(spark):
     elements = spark.createDataFrame([tuple(EL.values())], "element_id string, document_id string, page_number int, text string, extraction_method string, confidence double")
     batches = spark.createDataFrame([("d1", json.dumps({"products": [field("el_1"), 7]})), ("d2", json.dumps(field("el_1"))), ("d3", "no json")], "document_id string, payload string")
     got = {(r.document_id, r.ordinal): [i.code for i in r.issues] for r in hydrate.hydrate(batches, elements).collect()}
-    assert got == {("d1", 0): [], ("d1", 1): ["invalid_product_payload"], ("d2", 0): ["single_product_envelope", "unknown_evidence_reference"], ("d3", -1): ["invalid_product_batch"]}
+    assert got == {("d1", 0): [], ("d1", 1): ["invalid_product_payload"], ("d2", 0): ["single_product_envelope", "cross_document_evidence"], ("d3", -1): ["invalid_product_batch"]}
 
 
 def value(raw, normalized=None, confidence=None, text="Bore", element="el_1", document="d1", cited=True):

@@ -37,7 +37,7 @@ def test_table_versions_and_scopes(spark, tmp_path):
     assert table.read().count() == 0
     table.write(spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("b", 1, 1)], table.schema))
     new = spark.createDataFrame([("a", 1, 2)], table.schema)
-    table.write(catalog.replace_scope(table.read(), new, ["k", "page"]), sort=["k"])
+    table.replace(new, ["k", "page"], sort=["k"])
     assert {tuple(r) for r in table.read().collect()} == {("a", 1, 2), ("a", 2, 1), ("b", 1, 1)}
     gone = spark.createDataFrame([("b",)], "k string")
     assert catalog.replace_scope(table.read(), new.limit(0), ["k"], gone).count() == 2
@@ -45,6 +45,70 @@ def test_table_versions_and_scopes(spark, tmp_path):
     assert left.count() == 1 and n.first().deleted == 2
 
 
+def folders(path):
+    return {f"{d.name}/{b.name}" for d in path.glob("d-*") for b in d.glob("_bucket=*")}
+
+
+def test_one_page_of_many_rewrites_one_bucket(spark, tmp_path):
+    table = store.Table(spark, f"file://{tmp_path}", "d string, page int, v int", ["d", "page"], 32)
+    first = table.write(spark.range(10_000).selectExpr("concat('d', id % 10) as d", "cast(id div 10 as int) as page", "1 as v"))
+    before = folders(tmp_path)
+    assert len(before) == 32
+    second = table.replace(spark.createDataFrame([("d3", 7, 2), ("d3", 7, 3)], table.schema), ["d", "page"])
+    assert len(folders(tmp_path) - before) == 1 and table.versions() == [first, second]
+    assert table.read().where("v > 1").count() == 2 and table.read().count() == 10_001
+    assert table.read(first).count() == 10_000 and table.read(first).where("v > 1").count() == 0
+    owners = spark.createDataFrame([("d3", 7), ("d4", 7), ("none", 1)], "d string, page int")
+    assert sorted(r.v for r in table.scoped(owners, ["d", "page"]).collect()) == [1, 2, 3]
+    third = table.replace(spark.createDataFrame([], table.schema), ["d", "page"], owners)
+    assert table.read().count() == 9_998 and table.read(second).count() == 10_001
+    assert table.replace(spark.createDataFrame([], table.schema), ["d", "page"]) == third
+    assert table.expire(1) >= 2 and table.versions() == [third] and table.read().count() == 9_998
+    assert len(folders(tmp_path)) == len(table._manifest()["files"])
+    with pytest.raises(ValueError):
+        table.read(first)
+    with pytest.raises(ValueError):
+        table.replace(spark.createDataFrame([], table.schema), ["d"])
+
+
+def test_two_writers(spark, tmp_path):
+    """Writers of different buckets both stay; of two writers of one bucket the second one finds out."""
+    table = store.Table(spark, f"file://{tmp_path}", "k int, v int", ["k"], 8)
+    row = lambda *x: spark.createDataFrame([x], table.schema)
+    table.write(spark.createDataFrame([(k, 0) for k in range(40)], table.schema))
+    held = table._manifest()
+    bucket = {k: table._touched(held, [row(k, 0)]) for k in range(40)}
+    other = next(k for k in range(40) if bucket[k] != bucket[0])
+    files = table._files(catalog.replace_scope(table._frame([f for f in held["files"] if f["bucket"] in bucket[0]]), row(0, 1), ["k"]), 8, None)
+    table.replace(row(other, 2), ["k"])
+    table._commit(held, files, bucket[0])
+    assert {(r.k, r.v) for r in table.read().where("v > 0").collect()} == {(0, 1), (other, 2)} and table.read().count() == 40
+    with pytest.raises(store.Conflict):
+        table._commit(held, files, bucket[0])
+
+
+def test_tables_of_earlier_forms(spark, tmp_path):
+    """A folder with a pointer and without kinds and pages is read, and becomes one of buckets when it is written; its old folder goes with its version."""
+    from pagewright.plans import run
+
+    old = [("kb_1", "d1", None, "t1", [("d1", None, 4, "e1", "t1", None, ["p"])]), ("kb_2", "d1", "prd_1", "t2", []), ("kb_3", "d2", None, "t3", [("d2", None, 1, "e2", "t3", None, ["p"])])]
+    rows = spark.createDataFrame(old, f"chunk_id string, source_document_id string, product_record_id string, text string, citations array<{run.CITATION}>")
+    rows.write.parquet(f"{tmp_path}/knowledge_chunks/v-1")
+    (tmp_path / "knowledge_chunks" / "CURRENT").write_text("v-1")
+    table = run.tables(spark, f"file://{tmp_path}")["knowledge_chunks"]
+    key = lambda df: sorted((r.chunk_id, r.chunk_kind, r.page_number) for r in df.collect())
+    want = [("kb_1", "page_evidence", 4), ("kb_2", "product", None), ("kb_3", "page_evidence", 1)]
+    assert key(table.read()) == want and table.versions() == []
+    gone = spark.createDataFrame([("d2", 1)], "source_document_id string, page_number int")
+    table.replace(table.read().limit(0), ["source_document_id", "page_number"], gone)
+    assert key(table.read()) == want[:2] and table.versions() == [1] and all(f["bucket"] is not None and f["form"] == 1 for f in table._manifest()["files"])
+    step = lambda df: df.withColumn("text", F.upper("text"))
+    newer = store.Table(spark, table.path, table.schema, table.key, upgrades=[*table.upgrades, step])
+    assert {r.text for r in newer.read().collect()} == {"T1", "T2"}
+    newer.replace(newer.read().limit(0), ["source_document_id"], spark.createDataFrame([("d9",)], "source_document_id string"))
+    assert {r.text for r in newer.read().collect()} == {"T1", "T2"}
+
+
 def test_incremental_index(spark, tmp_path):
     table = store.Table(spark, f"file://{tmp_path}/chunks", CHUNK)
     source, mark = f"file://{tmp_path}/in", f"file://{tmp_path}/mark"
