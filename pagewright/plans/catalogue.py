@@ -677,6 +677,17 @@ def id_set_operations(documents):
     return catalog.id_sets(rows, ["source"], "id", "side", "even", "odd").select("source", F.array_join("both", ",").alias("both_"), "either", "only_first")
 
 
+@query(r"""
+    WITH h AS (SELECT p_partkey, sha256(unnest(regexp_extract_all(lower(p_name), '\w+'))) AS h FROM part),
+    c AS (SELECT p_partkey, ('0x' || substr(h, 1, 2))::INT % 64 AS position, sum(CASE WHEN ('0x' || substr(h, 3, 2))::INT % 2 = 1 THEN 1 ELSE -1 END)::DOUBLE AS v FROM h GROUP BY ALL)
+    SELECT p_partkey, position, v / sqrt(sum(v * v) OVER (PARTITION BY p_partkey)) AS value FROM c WHERE v <> 0
+""")
+def embedded_chunks(part):
+    """The vector of every part's name from the offline model, as its components that are not 0."""
+    rows = models.embed(part.select("p_partkey", F.col("p_name").alias("text")))
+    return rows.select("p_partkey", F.posexplode("embedding").alias("position", "value")).where("value <> 0")
+
+
 # ---------------------------------------------------------------- files
 
 
