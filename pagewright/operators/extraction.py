@@ -44,7 +44,7 @@ def extract(
     park: Callable[[DataFrame, str], DataFrame],
 ) -> Extracted:
     """Extracts the pages that have no earlier extraction of their present content. ``park`` writes a frame once, so that models are called once."""
-    routed = elements.fingerprint(routing.route_pages(pages, thresholds))
+    routed = elements.fingerprint(routing.route_pages(pages, thresholds, identifiers=False))
     todo, held = elements.pending(routed, earlier)
     todo = todo.withColumn("blank", routing.is_blank(todo) if "inventory" in todo.columns else F.lit(False))
     todo = park(todo, "pages")

@@ -39,10 +39,11 @@ class Thresholds:
             raise ValueError("ratios lie between 0 and 1")
 
 
-def signals(native: Column, coverage: Column | None = None, tables: Column | None = None, columns: Column | None = None) -> Column:
-    """A struct of a page's signals. A missing text counts as empty; a coverage that is no finite number as 0."""
+def signals(native: Column, coverage: Column | None = None, tables: Column | None = None, columns: Column | None = None, identifiers: bool = True) -> Column:
+    """A struct of a page's signals. A missing text counts as empty; a coverage that is no finite number as 0. Identifiers are counted if asked for, and null otherwise."""
     text = F.coalesce(native, F.lit(""))
     count = lambda p: F.regexp_count(text, F.lit(p)).cast("long")
+    broken = text.contains("\ufffd") | text.contains("\0")
     # Characters of a class: what removing its runs takes away, which makes no list of matches.
     of_class = lambda p: (F.length(text) - F.length(F.regexp_replace(text, f"{p}+", ""))).cast("long")
 
@@ -68,12 +69,12 @@ def signals(native: Column, coverage: Column | None = None, tables: Column | Non
             c["line"]["n"].alias("line_count"),
             ratio(c["size"] - of_class(r"[\p{C}\p{Z}&&[^ \n\r\t]]"), c["size"], 1.0).alias("printable_ratio"),
             ratio(of_class(T.ALNUM), c["solid"], 0.0).alias("alphanumeric_ratio"),
-            ratio(of_class(r"[\x{fffd}\x00]"), F.greatest(c["solid"], F.lit(1)), 0.0).alias("replacement_character_ratio"),
+            ratio(F.when(broken, of_class(r"[\x{fffd}\x00]")).otherwise(F.lit(0).cast("long")), F.greatest(c["solid"], F.lit(1)), 0.0).alias("replacement_character_ratio"),
             c["line"]["median"].alias("median_line_length"),
             cover.alias("image_coverage"),
             (F.greatest(F.lit(0), F.coalesce(tables, F.lit(0))) if tables is not None else F.lit(0)).cast("int").alias("table_count"),
             (F.coalesce(columns, F.lit(False)) if columns is not None else F.lit(False)).alias("is_multi_column"),
-            count(T.IDENTIFIERS).alias("identifier_count"),
+            (count(T.IDENTIFIERS) if identifiers else F.lit(None).cast("long")).alias("identifier_count"),
         )
 
     return T.once(counted, told)
@@ -92,16 +93,18 @@ def decide(s: Column, t: Thresholds = Thresholds()) -> Column:
     return F.struct(F.when(vision, VISION).otherwise(NATIVE).alias("route"), verify.alias("requires_ocr"), reasons.alias("reasons"))
 
 
-def route_pages(pages: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    """Adds ``signals`` and ``routing`` to pages (``native_text``, and ``image_coverage, table_count, is_multi_column`` where there are such)."""
+def route_pages(pages: DataFrame, t: Thresholds = Thresholds(), identifiers: bool = True) -> DataFrame:
+    """Adds ``signals`` and ``routing`` to pages (``native_text``, and ``image_coverage, table_count, is_multi_column`` where there are such). Identifiers are counted if asked for, or if the decision needs them."""
     has = lambda c: F.col(c) if c in pages.columns else None
-    found = signals(F.col("native_text"), has("image_coverage"), has("table_count"), has("is_multi_column"))
+    found = signals(F.col("native_text"), has("image_coverage"), has("table_count"), has("is_multi_column"), identifiers or t.verify_native)
     return pages.withColumn("signals", found).withColumn("routing", decide(F.col("signals"), t))
 
 
 def table_count(text: Column) -> Column:
     """1 where at least three lines, and a fifth of all that are not blank, look tabular."""
-    lines = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(T.WHOLE_LINE), F.lit(0))
+    # Without a tab or a gap within a line no line is tabular, and then none is cut out.
+    gap = text.contains("\t") | text.rlike(rf"(?!\n){T.SPACE}(?!\n){T.SPACE}")
+    lines = F.when(gap, F.regexp_extract_all(text, F.lit(T.WHOLE_LINE), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
     def judged(rows: Column) -> Column:
         tabular = F.size(F.filter(rows, lambda s: s.contains("\t") | s.rlike(rf"[^\s]{T.SPACE}{{2,}}[^\s]{T.SPACE}{{2,}}[^\s]")))

@@ -85,7 +85,7 @@ _DECIDED = f"""
 
 def _routed(documents: DataFrame) -> DataFrame:
     pages = documents.select("doc_id", F.col("text").alias("native_text")).withColumn("table_count", routing.table_count(F.col("native_text")))
-    return routing.route_pages(pages)
+    return routing.route_pages(pages, identifiers=False)
 
 
 @query(f"""
@@ -95,7 +95,7 @@ def _routed(documents: DataFrame) -> DataFrame:
     FROM ({_SIGNALS})
 """)
 def route_signals(documents):
-    s = _routed(documents).select("doc_id", "signals.*")
+    s = documents.select("doc_id", routing.signals(F.col("text"), identifiers=False).alias("signals")).select("doc_id", "signals.*")
     ratios = [F.round(c, 6).alias(c) for c in ("printable_ratio", "alphanumeric_ratio", "replacement_character_ratio")]
     return s.select("doc_id", "character_count", "word_count", "line_count", *ratios, "median_line_length")
 
