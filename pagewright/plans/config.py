@@ -49,6 +49,8 @@ class Config:
     strict: bool = False
     fail_fast: bool = False
     embed: bool = True
+    #: Whether answers of models are written down as they come, for tasks and runs that are tried again.
+    journal: bool = False
     low_confidence: float = 0.65
     routing: Thresholds = field(default_factory=Thresholds)
     limits: Limits = field(default_factory=Limits)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagewright.operators import catalog, chunks, elements, extraction, guard, hints, hydrate, ops, rules
-from pagewright.plans import models
+from pagewright.plans import budget, calls, models
 from pagewright.plans.config import Config
 from pagewright.sources.store import Table, try_append, write_json
 
@@ -60,7 +60,7 @@ def tables(spark: SparkSession, root: str, buckets: int = 64) -> dict[str, Table
 
 
 def limited(pages: DataFrame, config: Config) -> DataFrame:
-    """The pages that the limits let through: the first documents by id, the first pages of each, and a budget over all of them in order."""
+    """The pages that the limits of documents let through: the first documents by id, and the first pages of each. What all may take together is in ``budget``."""
     limits = config.limits
     if limits.documents is not None:
         first = pages.select("document_id").distinct().orderBy("document_id").limit(limits.documents)
@@ -68,8 +68,6 @@ def limited(pages: DataFrame, config: Config) -> DataFrame:
     if limits.pages_per_document is not None:
         n = F.row_number().over(Window.partitionBy("document_id").orderBy("page_number"))
         pages = pages.withColumn("_n", n).where(F.col("_n") <= limits.pages_per_document).drop("_n")
-    if limits.pages is not None:
-        pages = pages.orderBy("document_id", "page_number").limit(limits.pages)
     return pages
 
 
@@ -133,11 +131,17 @@ def run(
     """Runs over pages (``document_id, page_number, native_text`` and whatever else of ``readers.PAGE_ROW``) and returns the summary row.
 
     Models that are not given are those of the configuration (``models.clients``). OCR takes part where there is a model for it. With ``fail_fast`` the first step with
-    a failed page ends the run, when what went well has been stored.
+    a failed page ends the run, when what went well has been stored. A budget of pages is spent by what its documents come to, so documents are processed in waves.
+
+    Where the configuration asks for it, answers of models are written down as they come (``calls``) until the run's tables hold them.
     """
     began = time.time()
     made = models.clients(config)
     page_model, structured, ocr_model, embedding = page_model or made.page, structured or made.structured, ocr_model or made.ocr, embedding or made.embedding
+    journal = f"{root}/_calls"
+    if config.journal:
+        page_model, structured, embedding = (calls.remembered(m, journal) for m in (page_model, structured, embedding))
+        ocr_model = calls.remembered(ocr_model, journal) if ocr_model is not None else None
     store = tables(spark, root, config.buckets)
     pages = limited(pages, config)
     # What its source could not read has an error already; a file without pages stands as page 0.
@@ -148,24 +152,41 @@ def run(
     if twice is not None:
         raise ValueError(f"page {twice['page_number']} of {twice['document_id']} is there more than once")
     scope = ["document_id", "page_number"]
-    processed = every.select(*scope).distinct()
     thresholds = config.routing
     if ocr_model is None:
         thresholds = replace(thresholds, verify_vision=False, verify_native=False)
 
     # Models must not be called again by what follows: their results are written first.
     park = parked(spark, root)
-    owners = park(processed, "scope")
-    got = extraction.extract(pages, store["extractions"].scoped(owners, scope), thresholds, page_model, ocr_model, park)
-    hits = got.held.count()
-    done = got.extractions.select(*scope)
-    for name, rows in (("elements", got.elements), ("page_audits", got.audits), ("extractions", got.extractions)):
-        store[name].replace(rows, scope, done, sort=scope)
-    errors = got.errors.unionByName(unread)
-    store["page_errors"].replace(errors, scope, owners)
-    evidence = _embedded(chunks.page_chunks(got.elements), config, embedding)
-    scoped = done.select(F.col("document_id").alias("source_document_id"), "page_number").distinct()
-    store["knowledge_chunks"].replace(evidence, ["source_document_id", "page_number"], scoped, sort=["chunk_kind", "source_document_id", "page_number"])
+    hits = 0
+    whole_run = config.limits.pages is None
+    seen = Table(spark, f"{root}/_scope", every.select(*scope).schema)
+    seen.write(every.select(*scope).limit(0))
+
+    def extracted(taken: DataFrame) -> DataFrame:
+        """Extracts and stores some pages; the documents of which every page has failed."""
+        nonlocal hits
+        owners = park(taken, "wave")
+        seen.write(owners if whole_run else seen.read().unionByName(owners))
+        # Without a budget there is one wave, and no page has to be joined.
+        got = extraction.extract(pages if whole_run else pages.join(owners, scope, "left_semi"), store["extractions"].scoped(owners, scope), thresholds, page_model, ocr_model, park)
+        hits += got.held.count()
+        done = got.extractions.select(*scope)
+        for name, rows in (("elements", got.elements), ("page_audits", got.audits), ("extractions", got.extractions)):
+            store[name].replace(rows, scope, done, sort=scope)
+        errors = park(got.errors.unionByName(unread if whole_run else unread.join(owners, scope, "left_semi")), "wave_errors")
+        store["page_errors"].replace(errors, scope, owners)
+        evidence = _embedded(chunks.page_chunks(got.elements), config, embedding, park)
+        scoped = done.select(F.col("document_id").alias("source_document_id"), "page_number").distinct()
+        store["knowledge_chunks"].replace(evidence, ["source_document_id", "page_number"], scoped, sort=["chunk_kind", "source_document_id", "page_number"])
+        bad = errors.select(*scope).distinct().groupBy("document_id").agg(F.count("*").alias("bad"))
+        return owners.groupBy("document_id").agg(F.count("*").alias("all")).join(bad, "document_id").where("bad = all").select("document_id")
+
+    budget.spend(every.select(*scope).distinct(), config.limits.pages, extracted, park)
+    owners = seen.read()
+    seen.expire()
+    every = every if whole_run else every.join(owners, scope, "left_semi")
+    errors = store["page_errors"].scoped(owners, scope)
     if config.fail_fast and not errors.isEmpty():
         first = errors.orderBy(*scope).first()
         raise RunFailed(f"page {first['page_number']} of {first['document_id']}: {first['error']}")
@@ -179,7 +200,7 @@ def run(
     for name, owner in (("product_specifications", "record_id"), ("product_evidence", "product_record_id")):
         store[name].replace(admitted[name], [owner], admitted["products"].select(F.col("record_id").alias(owner)), sort=[owner])
     store["failed_chunks"].replace(admitted["failed"], ["document_id"], owners.select("document_id").distinct())
-    products = _embedded(admitted["product_chunks"], config, embedding)
+    products = _embedded(admitted["product_chunks"], config, embedding, park)
     store["knowledge_chunks"].replace(products, ["source_document_id", "product_record_id"], sort=["chunk_kind", "source_document_id", "page_number"])
 
     issues = try_append(admitted["products"], f"{root}/products.jsonl", "products_jsonl_write_failed") + try_append(admitted["ingestion_batches"], f"{root}/batches.jsonl", "batch_jsonl_write_failed")
@@ -198,15 +219,17 @@ def run(
     totals = {
         "elements": whole.count(), "products": store["products"].read().count(), "rejected": store["rejected_products"].read().count(), "chunks": store["knowledge_chunks"].read().count(),
         "needs_review": store["products"].read().where("review_status = 'needs_review'").count(), "ocr_pages": store["extractions"].scoped(owners, scope).where("requires_ocr").count(),
-        "blank_pages": blank.join(processed, scope, "left_semi").count(), "checkpoint_hits": hits,
+        "blank_pages": blank.join(owners, scope, "left_semi").count(), "checkpoint_hits": hits,
     }
     told = summary.withColumns({k: F.lit(v) for k, v in totals.items()})
     for table in store.values():
         table.expire(config.versions)
+    if config.journal:
+        calls.forget(journal)
     write_json(spark, f"{root}/summary.json", told.first().asDict() | {"finished_at": datetime.now(UTC).isoformat(), "elapsed_seconds": round(time.time() - began, 3), "issues": issues})
     return told
 
 
-def _embedded(rows: DataFrame, config: Config, embedding: Callable[[], models.EmbeddingModel]) -> DataFrame:
-    """Chunks with their vectors, so that queries need not make them."""
-    return models.embed(rows, embedding) if config.embed else rows.withColumn("embedding", F.lit(None).cast("array<double>"))
+def _embedded(rows: DataFrame, config: Config, embedding: Callable[[], models.EmbeddingModel], park: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Chunks with their vectors, so that queries need not make them; written once, as what replaces a scope reads its rows more than once."""
+    return park(models.embed(rows, embedding), "embedded") if config.embed else rows.withColumn("embedding", F.lit(None).cast("array<double>"))
