@@ -1,8 +1,8 @@
 """Secret scan by assignment-aware lexing.
 
 Base rules find fixed shapes (`assign`, `access`, `hex`). Beyond them, source and configuration syntax is lexed into
-name-literal pairs: ``name = "x"``, ``"name": "x"``, ``name: x``, ``name := 'x'``, ``--name x``, ``<name>x</name>`` and
-``scheme://user:x@host``. A literal bound to a name is carried along when that name is assigned to another one or joined with ``+``,
+name-literal pairs: ``name = "x"``, ``"name": "x"``, ``name: x``, ``name := 'x'``, ``--name x``, ``<name>x</name>``, ``c["name"] = "x"``,
+``setName("x")``, ``put("name", "x")``, ``name = call("x")``, ``name:`` with ``x`` alone on the next, deeper line, and ``scheme://user:x@host``. A literal bound to a name is carried along when that name is assigned to another one or joined with ``+``,
 and a literal is reported (`lit`) when one of the names that it reaches is a sensitive one and its own shape is
 plausible for a secret. Names and literals may have any length; a literal ends with its line. What is in a quoted literal is lexed too, with
 names of its own. What a base rule covers already is not reported again.
@@ -38,15 +38,25 @@ PAIR = re.compile(
 FLAG = re.compile(rb"(?<![\w-])--(?P<name>" + _NAME + rb")[\x20=](?P<value>" + _LITERAL + rb"|[^\s\"'`-][^\s\"'`]{5,}+)")
 TAG = re.compile(rb"<(?P<name>" + _NAME + rb")>[\x20\t]*+(?P<value>[^<>\s]{6,}+)[\x20\t]*+</(?P=name)>")
 URL = re.compile(rb"[a-z][a-z0-9+.-]{1,15}://[^\s:/@\"']++:(?P<value>[^\s:/@\"']{6,}+)@")
+_TIGHT = rb"\"[^\"\\\s]++\"|'[^'\\\s]++'"
+SUBSCRIPT = re.compile(rb"\[[\x20\t]*+(?P<q>[\"'])(?P<name>" + _NAME + rb")(?P=q)[\x20\t]*+\][\x20\t]*+(?::=|=>|=(?!=))[\x20\t]*+(?P<value>" + _LITERAL + rb"|" + _NAME + rb")")
+SETTER = re.compile(rb"(?<![A-Za-z0-9_$])(?:set|with|put|add)_?+(?P<name>[A-Za-z][A-Za-z0-9_]*+)\([\x20\t]*+(?P<value>" + _TIGHT + rb"|" + _NAME + rb")[\x20\t]*+\)")
+PUT = re.compile(rb"\([\x20\t]*+(?P<q>[\"'])(?P<name>" + _NAME + rb")(?P=q)[\x20\t]*+,[\x20\t]*+(?P<value>" + _TIGHT + rb"|" + _NAME + rb")[\x20\t]*+\)")
+BLOCK = re.compile(
+    rb"(?m)^(?P<indent>[\x20\t]*+)(?P<q>[\"']?)(?P<name>" + _NAME + rb")(?P=q)[\x20\t]*+:[\x20\t]*+(?:[|>][+-]?+[\x20\t]*+)?+\r?\n(?P=indent)[\x20\t]++(?P<value>(?:" + _TIGHT + rb"|[^\s\"'`,;:(){}\[\]<>|]++)(?=[\x20\t]*+\r?$))"
+)
+#: Arguments of a call that a name is assigned.
+ARGUMENTS = re.compile(rb"\((?P<value>[\x20\t]*+(?:" + _TIGHT + rb"|" + _NAME + rb")(?:[\x20\t]*+,[\x20\t]*+(?:" + _TIGHT + rb"|" + _NAME + rb"))*+)[\x20\t]*+\)")
+_CONSTANT = re.compile(rb"[A-Z][A-Z0-9_]*+$")
 PART = re.compile(_LITERAL + rb"|" + _NAME)
 _WORDS = re.compile(rb"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
 #: How far each word of a name speaks for a secret.
 SENSITIVE = {
-    b"password": 1.0, b"passwd": 1.0, b"passphrase": 1.0, b"pwd": 0.9, b"pass": 0.8, b"secret": 1.0, b"token": 0.9, b"apikey": 1.0, b"credential": 0.9,
+    b"password": 1.0, b"passwords": 1.0, b"secrets": 1.0, b"tokens": 0.3, b"keys": 0.4, b"passwd": 1.0, b"passphrase": 1.0, b"pwd": 0.9, b"pass": 0.8, b"secret": 1.0, b"token": 0.9, b"apikey": 1.0, b"credential": 0.9,
     b"credentials": 0.9, b"bearer": 0.8, b"private": 0.5, b"api": 0.4, b"access": 0.4, b"auth": 0.6, b"signing": 0.5, b"encryption": 0.5, b"client": 0.1, b"key": 0.4,
 }
-HARMLESS = {b"public", b"length", b"name", b"type", b"count", b"file", b"path", b"url", b"id", b"field", b"policy", b"expiry", b"min", b"max", b"tokens", b"tokenizer"}
+HARMLESS = {b"public", b"length", b"name", b"type", b"count", b"file", b"path", b"url", b"id", b"field", b"policy", b"expiry", b"min", b"max", b"tokenizer"}
 PLACEHOLDER = re.compile(rb"(?i)^(?:x+|\*+|\.+|-+|null|none|nil|true|false|undefined|change_?me|placeholder|example.*|your[_-].*|test|todo|password|secret|token|\$\{.*\}|\$[A-Z_]+|%\(?.*|<.*>|\{\{.*\}\})$")
 
 
@@ -90,8 +100,17 @@ def _bind(raw: bytes, found, events: list[tuple[bytes, list[tuple[int, int, bool
         if value[:1] in b"\"'`":
             own += [_unquoted(raw[a:b], a) for a, b in quoted]
             refs += [bound[x[0]] for x in parts if x[0] in bound]
+        elif m.re is PAIR and (call := ARGUMENTS.match(raw, m.end())):
+            # What a call is given may be what it returns; a quoted argument that looks like the name of a setting does not count.
+            for x in PART.finditer(raw, *call.span("value")):
+                if x[0][:1] not in b"\"'`":
+                    refs += [bound[x[0]]] if x[0] in bound else []
+                elif not _CONSTANT.match(x[0][1:-1]):
+                    own.append((x.start() + 1, x.end() - 1, False))
         elif value in bound:
             refs.append(bound[value])
+        elif m.re in (SUBSCRIPT, SETTER, PUT):
+            pass  # a name that nothing is known of
         else:
             refs += [bound[x] for x in value.split(b"+") if x in bound] if b"+" in value else []
             own += [] if refs else [_unquoted(value, at)]
@@ -103,12 +122,13 @@ def _bind(raw: bytes, found, events: list[tuple[bytes, list[tuple[int, int, bool
 
 def literals(raw: bytes, least: float = 0.5) -> list[tuple[int, int]]:
     """Byte spans of the literals that reach a sensitive name, in order."""
-    if b"=" not in raw and b":" not in raw and b"--" not in raw and b"</" not in raw:
+    if not any(x in raw for x in (b"=", b":", b"--", b"</", b"(")):
         return []
+    kinds = [FLAG, TAG, PAIR, *([SUBSCRIPT] if b"[" in raw else []), *([SETTER, PUT] if b"(" in raw else []), *([BLOCK] if b":" in raw and b"\n" in raw else [])]
     # Every assignment is an event; a name stands for the event that bound it last. Weights flow back from later events to those that they
     # refer to, in one pass.
     events: list[tuple[bytes, list[tuple[int, int, bool]], list[int]]] = []
-    _bind(raw, sorted((m for p in (FLAG, TAG, PAIR) for m in p.finditer(raw)), key=lambda m: m.start("name")), events)
+    _bind(raw, sorted((m for p in kinds for m in p.finditer(raw)), key=lambda m: m.start("name")), events)
     weights = [sensitivity(name) for name, _, _ in events]
     reached: dict[tuple[int, int, bool], float] = {}
     for e in range(len(events) - 1, -1, -1):

@@ -366,6 +366,33 @@ def test_secrets(spark, none):
     assert secrets.scan_secrets(none).count() == 0
 
 
+def test_secrets_of_more_forms():
+    shown = lambda t: [t.encode()[a:b].decode() for a, b in secrets.literals(t.encode())]
+    for text in (
+        'cfg["db_password"] = "zzYY1122aaBB"', "$conf['db_password']='zzYY1122aaBB';", 'setPassword("zzYY1122aaBB")', "client.set_api_key( 'zzYY1122aaBB' )", 'API_TOKENS = "zzYY1122aaBB"',
+        'env.put("db_password", "zzYY1122aaBB")', "db_password:\n  zzYY1122aaBB\nuser: me", 'db:\n  password: |-\n    zzYY1122aaBB\n', 'password:\r\n  "zzYY1122aaBB"\r\n', 'K = "zzYY1122aaBB"\npassword = f(K)',
+        'K = "zzYY1122aaBB"\ncfg["password"] = K', 'K = "zzYY1122aaBB"\nc.setPassword(K)', 'password = decode("utf8", "zzYY1122aaBB")', 'K = "zzYY1122aaBB"\nenv.put("secret", K)',
+    ):
+        assert shown(text) == ["zzYY1122aaBB"], text
+    for text in (
+        'rows["name"] = "zzYY1122aaBB"', 'setTitle("zzYY1122aaBB")', 'max_tokens = "zzYY1122aaBB"', 'password = getenv("DB_PASSWORD_2")', "password = read(path1)", "password:\n  user: zzYY1122aaBB", "password:\nzzYY1122aaBB",
+        'label("password", "Enter your passphrase 1")', 'cfg["password"] = other1', "the tokens: every word of a text counts", 'if cfg["password"] == "zzYY1122aaBB"', "setPassword(value1)", "", "(", "[", ":\n", "password:\n ", "set(", 'f("a", ',
+    ):
+        assert shown(text) == [], text
+
+
+@pytest.mark.parametrize("unit", ['["password', "set", "setA(", '("a", ', "password:\n ", "password = f(", "a:\n  b\n", "f(a, ", " \t"])
+def test_secrets_of_long_texts_take_linear_time(unit):
+    import time
+
+    took = []
+    for n in (20_000, 200_000):
+        began = time.perf_counter()
+        secrets.literals(unit.encode() * (n // len(unit)) + b"=:")
+        took.append(time.perf_counter() - began)
+    assert took[1] < 40 * took[0] + 0.5
+
+
 @pytest.mark.parametrize("n", [401, 2_000, 100_000])
 def test_secrets_of_any_length(n):
     long = ("Zx81qqLp77mmTTa9" * n)[:n]
