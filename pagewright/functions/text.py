@@ -145,3 +145,55 @@ def bar_rows(x: Column | str) -> Column:
     inner = lambda s: F.regexp_replace(s, r"^\|+|\|+$", "")
     rows = F.transform(F.filter(lines(x), lambda s: s.contains("|")), lambda s: F.transform(F.split(inner(s), r"\|"), collapse))
     return F.filter(rows, lambda r: F.size(r) >= 2)
+
+
+def number(x: Column | str) -> Column:
+    """A double as text: the fewest digits that give it back, without an exponent from 0.0001 up to below 1e16, and ``1e-05`` or ``1.5e+16`` beyond; ``nan``, ``inf`` and ``-inf``; null for null.
+
+    Limit: where a double needs 17 digits, the last one is Java's, which in Java 17 is not always the nearest that gives the double back (one of some 80,000 random bit patterns differs from Python's
+    ``repr``; none of 80,000 numbers between -10^6 and 10^6 did). Spark's own text of a double is that of the Java version it runs on, which may have a digit too many, and has another notation (``1.0E-4``), so neither belongs in a hash.
+    """
+    value = _col(x).cast("double")
+
+    def digits(s: Column) -> Column:
+        """Digits without zeros around them, and where the point stands before the first one."""
+        whole, exponent = F.regexp_extract(s, r"^(\d+)", 1), F.coalesce(F.regexp_extract(s, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0))
+        every = F.concat(whole, F.regexp_extract(s, r"\.(\d+)", 1))
+        led = F.regexp_replace(every, "^0+", "")
+        return F.struct(F.regexp_replace(led, "0+$", "").alias("d"), (F.length(whole) + exponent - (F.length(every) - F.length(led))).alias("at"))
+
+    def fewest(n: Column) -> Column:
+        """Only texts of 16 digits and more, and those of subnormal numbers, can be shortened. Of two of one length the nearer one comes first."""
+
+        def cut(k: Column) -> Column:
+            low = F.substring(n["d"], F.lit(1), k).cast("decimal(20,0)")
+            up = F.substring(n["d"], k + 1, F.lit(1)) >= "5"
+            near = lambda v: F.struct((v.cast("string")).alias("d"), (n["at"] + F.length(v.cast("string")) - k).alias("at"))
+            return F.when(up, F.array(near(low + 1), near(low))).otherwise(F.array(near(low), near(low + 1)))
+
+        least = F.when(F.abs(value) < 1e-300, F.lit(1)).otherwise(F.lit(15))
+        tried = F.flatten(F.transform(F.sequence(least, F.length(n["d"]) - 1), cut))
+        fits = F.filter(tried, lambda c: F.concat(F.lit("0."), c["d"], F.lit("E"), c["at"].cast("string")).cast("double") == F.abs(value))
+        best = F.get(F.transform(fits, lambda c: F.struct(F.regexp_replace(c["d"], "0+$", "").alias("d"), c["at"].alias("at"))), F.lit(0))
+        open_ = (F.length(n["d"]) > 15) | (F.abs(value) < 1e-300) & (F.length(n["d"]) > 1)
+        return F.when(open_, F.coalesce(best, n)).otherwise(n)
+
+    def shown(n: Column) -> Column:
+        d, at, size = n["d"], n["at"], F.length(n["d"])
+        plain = (
+            F.when(at <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -at), d)).when(at >= size, F.concat(d, F.repeat(F.lit("0"), at - size), F.lit(".0")))
+            .otherwise(F.concat(F.substring(d, F.lit(1), at), F.lit("."), F.substring(d, at + 1, size)))
+        )
+        power = (at - 1).cast("string")
+        far = F.concat(F.when(at > 0, F.lit("e+")).otherwise(F.lit("e-")), F.lpad(F.regexp_replace(power, "-", ""), F.greatest(F.lit(2), F.length(F.regexp_replace(power, "-", ""))), F.lit("0")))
+        head = F.concat(F.substring(d, 1, 1), F.when(size > 1, F.concat(F.lit("."), F.substring(d, F.lit(2), size))).otherwise(F.lit("")))
+        return F.when((at > -4) & (at <= 16), plain).otherwise(F.concat(head, far))
+
+    once = lambda c, f: F.transform(F.array(c), f)[0]
+    # Integers of more than 53 bits are exact as such; Java 17 rounds some of them to a digit that is not the nearest.
+    size = F.abs(value)
+    told = F.when((size >= 2.0**53) & (size < 2.0**63), size.try_cast("bigint").cast("string")).otherwise(size.cast("string"))
+    text = once(once(digits(told), fewest), shown)
+    sign = F.when(value.cast("string").startswith("-"), "-").otherwise("")
+    own = F.when(F.isnan(value), "nan").when(F.abs(value) == float("inf"), F.concat(sign, F.lit("inf"))).when(value == 0, F.concat(sign, F.lit("0.0"))).otherwise(F.concat(sign, text))
+    return F.when(value.isNotNull(), own)

@@ -99,6 +99,12 @@ def _cites(field: Column, v: Column) -> Column:
     return F.transform(F.coalesce(v["evidence"], F.array().cast(f"array<{EVIDENCE}>")), lambda e: F.struct(field.alias("field_path"), e.alias("e")))
 
 
+def _canonical(citations: str) -> Column:
+    """Citations as JSON with numbers as ``T.number`` writes them: a quoted number is the only place where those characters stand, as quotes within a text are escaped."""
+    told = F.to_json(F.transform(citations, lambda c: c.withField("confidence", T.number(c["confidence"]))))
+    return F.regexp_replace(told, r'"confidence":"([^"]*)"', '"confidence":$1')
+
+
 def product_chunks(products: DataFrame) -> DataFrame:
     """An identity chunk for each product that has an identity value, and one for each specification and operating condition."""
     label = F.concat_ws(" | ", *[F.when(_shown(F.col(c)) != "", _shown(F.col(c))) for c in ("manufacturer", "part_name", "part_number")])
@@ -129,7 +135,7 @@ def product_chunks(products: DataFrame) -> DataFrame:
     found = chunks.drop("cites").join(lists, list(key), "left")
     citations = F.transform(F.coalesce("cited", F.array()), lambda c: F.struct(*[c[x].alias(x) for x in ("source_document_id", "source_path", "page_number", "element_id", "excerpt", "confidence", "field_paths")]))
     found = found.withColumn("citations", F.when(F.col("cited").isNotNull(), citations))
-    parts = [F.lit(KB_VERSION), F.col("record_id"), F.col("chunk_type"), F.col("ordinal").cast("string"), F.col("text"), F.coalesce(F.to_json("citations"), F.lit("[]"))]
+    parts = [F.lit(KB_VERSION), F.col("record_id"), F.col("chunk_type"), F.col("ordinal").cast("string"), F.col("text"), F.coalesce(_canonical("citations"), F.lit("[]"))]
     found = found.withColumn("content_sha256", T.prefixed_hash(*parts))
     return found.select(
         F.concat(F.lit("kb_"), F.left("content_sha256", F.lit(32))).alias("chunk_id"), "content_sha256", F.lit("product").alias("chunk_kind"), F.col("record_id").alias("product_record_id"), "source_document_id",

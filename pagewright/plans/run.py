@@ -160,31 +160,28 @@ def run(
     park = parked(spark, root)
     hits = 0
     whole_run = config.limits.pages is None
-    seen = Table(spark, f"{root}/_scope", every.select(*scope).schema)
-    seen.write(every.select(*scope).limit(0))
+    owners = every.select(*scope).limit(0)
 
     def extracted(taken: DataFrame) -> DataFrame:
         """Extracts and stores some pages; the documents of which every page has failed."""
-        nonlocal hits
-        owners = park(taken, "wave")
-        seen.write(owners if whole_run else seen.read().unionByName(owners))
+        nonlocal hits, owners
+        own = park(taken, "wave")
+        owners = own if whole_run else park(owners.unionByName(own), "scope")
         # Without a budget there is one wave, and no page has to be joined.
-        got = extraction.extract(pages if whole_run else pages.join(owners, scope, "left_semi"), store["extractions"].scoped(owners, scope), thresholds, page_model, ocr_model, park)
+        got = extraction.extract(pages if whole_run else pages.join(own, scope, "left_semi"), store["extractions"].scoped(own, scope), thresholds, page_model, ocr_model, park)
         hits += got.held.count()
         done = got.extractions.select(*scope)
         for name, rows in (("elements", got.elements), ("page_audits", got.audits), ("extractions", got.extractions)):
             store[name].replace(rows, scope, done, sort=scope)
-        errors = park(got.errors.unionByName(unread if whole_run else unread.join(owners, scope, "left_semi")), "wave_errors")
-        store["page_errors"].replace(errors, scope, owners)
+        errors = got.errors.unionByName(unread if whole_run else unread.join(own, scope, "left_semi"))
+        store["page_errors"].replace(errors, scope, own)
         evidence = _embedded(chunks.page_chunks(got.elements), config, embedding, park)
         scoped = done.select(F.col("document_id").alias("source_document_id"), "page_number").distinct()
         store["knowledge_chunks"].replace(evidence, ["source_document_id", "page_number"], scoped, sort=["chunk_kind", "source_document_id", "page_number"])
         bad = errors.select(*scope).distinct().groupBy("document_id").agg(F.count("*").alias("bad"))
-        return owners.groupBy("document_id").agg(F.count("*").alias("all")).join(bad, "document_id").where("bad = all").select("document_id")
+        return own.groupBy("document_id").agg(F.count("*").alias("all")).join(bad, "document_id").where("bad = all").select("document_id")
 
     budget.spend(every.select(*scope).distinct(), config.limits.pages, extracted, park)
-    owners = seen.read()
-    seen.expire()
     every = every if whole_run else every.join(owners, scope, "left_semi")
     errors = store["page_errors"].scoped(owners, scope)
     if config.fail_fast and not errors.isEmpty():

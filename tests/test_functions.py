@@ -1,4 +1,6 @@
 import hashlib
+import random
+import struct
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -63,3 +65,16 @@ def test_identifier_columns():
 def test_rows_in_columns(spark):
     assert one(spark, "| a | b |\nplain\n|c|d|", T.bar_rows) == [["a", "b"], ["c", "d"]]
     assert one(spark, "<TR><td>a <b>x</b></td><th>b</th></TR><tr><td>single</td></tr>", T.html_rows) == [["a x", "b"]]
+
+
+def test_numbers_are_the_shortest_that_give_the_double_back(spark):
+    rng = random.Random(11)
+    rows = [0.0, -0.0, 1.0, 1e-4, 1e-5, 9.999e-5, 1e15, 1e16, 1e17, 5e-324, 2e23, 2.0**-44, 1.7976931348623157e308, 2.2250738585072014e-308, -1.0164619483135988e18, 2.0**63, float("inf"), -float("inf"), float("nan"), 0.1 + 0.2]
+    rows += [rng.random() for _ in range(40_000)] + [round(rng.uniform(-1e6, 1e6), rng.randint(0, 8)) for _ in range(40_000)]
+    rows += [float(rng.getrandbits(63)) for _ in range(5_000)] + [rng.getrandbits(rng.randint(1, 52)) * 5e-324 for _ in range(5_000)] + [2.0**k for k in range(-1074, 1024, 7)]
+    shown = lambda values: [tuple(r) for r in spark.createDataFrame([(x,) for x in values], "x double").repartition(8).select("x", T.number("x").alias("t")).collect()]
+    got = shown([*rows, None])
+    assert [(x, t) for x, t in got if t != (None if x is None else repr(x))] == [] and len(got) == len(rows) + 1
+    # Of any bits: as short, and the same double again. The last of 17 digits is Java's, and may not be the nearest.
+    odd = [(x, t) for x, t in shown([struct.unpack("d", rng.randbytes(8))[0] for _ in range(50_000)]) if t != repr(x)]
+    assert len(odd) < 10 and all(float(t) == x and len(t) == len(repr(x)) and sum(c.isdigit() for c in t.split("e")[0]) == 17 for x, t in odd)
