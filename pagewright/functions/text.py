@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 #: White space as Unicode and the separators U+001C to U+001F have it.
-SPACE = r"[\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACE = r"[\p{IsWhite_Space}\x1c-\x1f]"
 WORD = r"[\p{L}\p{N}_]"
 ALNUM = r"[\p{L}\p{N}]"
-_SOLID = r"[^\s\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_SOLID = r"[^\p{IsWhite_Space}\x1c-\x1f]"
 _IN_LINE = r"[^\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
-#: What a line that is not blank has from its first to its last visible character, and such a line as a whole. All line ends are white space.
-STRIPPED_LINE = f"{_SOLID}(?:{_IN_LINE}*{_SOLID})?"
-WHOLE_LINE = f"{_IN_LINE}*{_SOLID}{_IN_LINE}*"
+#: White space within a line.
+_GAP = r"[\p{IsWhite_Space}\x1f&&[^\n\r\x0b\x0c\x85\x{2028}\x{2029}]]"
+#: What a line that is not blank has from its first to its last visible character, and such a line as a whole. All line ends are white space. Nothing is given back: each character is read a fixed number of times.
+STRIPPED_LINE = f"{_SOLID}++(?:{_GAP}++{_SOLID}++)*+"
+WHOLE_LINE = f"(?<!{_GAP}){_GAP}*+{_SOLID}{_IN_LINE}*+"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
 #: A word starts with a word character and goes on over dots, slashes, plus and minus signs.
 WORDS = r"[\p{L}\p{N}_][\p{L}\p{N}_./+\-]*"
@@ -53,6 +55,11 @@ def strip(x: Column | str) -> Column:
     return F.regexp_replace(_col(x), f"^{SPACE}+|{SPACE}+$", "")
 
 
+def blank(x: Column | str) -> Column:
+    """Whether nothing is left of a text when it is stripped; null for null."""
+    return ~_col(x).rlike(_SOLID)
+
+
 def collapse(x: Column | str) -> Column:
     """Every run of white space as one space, none at the ends."""
     return F.trim(F.regexp_replace(_col(x), f"{SPACE}+", " "))
@@ -63,6 +70,12 @@ def lines(x: Column | str) -> Column:
     return F.regexp_extract_all(_col(x), F.lit(STRIPPED_LINE), F.lit(0))
 
 
+def word_count(x: Column | str) -> Column:
+    """How many ``WORDS`` a text has: of each only its first character is kept, so no list of them is made."""
+    first = rf"[^\p{{L}}\p{{N}}_]*+(?:({WORD})[\p{{L}}\p{{N}}_./+\-]*+|\z)"
+    return F.length(F.regexp_replace(_col(x), first, "$1")).cast("long")
+
+
 def once(x: Column, f: Callable[[Column], Column]) -> Column:
     """``f(x)`` with ``x`` worked out once, however often ``f`` uses it: a column's expression is repeated at each use, a lambda's parameter is not."""
     return F.element_at(F.transform(F.array(x), f), 1)

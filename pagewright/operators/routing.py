@@ -65,7 +65,7 @@ def signals(native: Column, coverage: Column | None = None, tables: Column | Non
     def told(c: Column) -> Column:
         return F.struct(
             c["solid"].alias("character_count"),
-            count(T.WORDS).alias("word_count"),
+            T.word_count(text).alias("word_count"),
             c["line"]["n"].alias("line_count"),
             ratio(c["size"] - of_class(r"[\p{C}\p{Z}&&[^ \n\r\t]]"), c["size"], 1.0).alias("printable_ratio"),
             ratio(of_class(T.ALNUM), c["solid"], 0.0).alias("alphanumeric_ratio"),
@@ -103,7 +103,7 @@ def route_pages(pages: DataFrame, t: Thresholds = Thresholds(), identifiers: boo
 def table_count(text: Column) -> Column:
     """1 where at least three lines, and a fifth of all that are not blank, look tabular."""
     # Without a tab or a gap within a line no line is tabular, and then none is cut out.
-    gap = text.contains("\t") | text.rlike(rf"(?!\n){T.SPACE}(?!\n){T.SPACE}")
+    gap = text.contains("\t") | text.rlike(rf"[{T.SPACE}&&[^\n]]{{2}}")
     lines = F.when(gap, F.regexp_extract_all(text, F.lit(T.WHOLE_LINE), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
     def judged(rows: Column) -> Column:
