@@ -186,6 +186,15 @@ def fingerprint(pages: DataFrame, parser: str = "", ocr: str = "") -> DataFrame:
     return pages.withColumn("fingerprint", F.coalesce(T.prefixed_hash(*parts), F.lit("")))
 
 
+def resumption(pages: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Pages with ``restored``: whether an earlier extraction holds for their present fingerprint; one that failed never does. Either side is read once, whatever is then done with each kind of page."""
+    key = ["document_id", "page_number", "fingerprint"]
+    if "error" in earlier.columns:
+        earlier = earlier.where("error is null")
+    held = earlier.select(*key, F.lit(True).alias("restored")).distinct()
+    return pages.join(held, key, "left").withColumn("restored", F.coalesce("restored", F.lit(False)))
+
+
 def pending(pages: DataFrame, earlier: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pages that still have to be extracted, and earlier extractions that hold for their page's present fingerprint; one that failed never does."""
     key = ["document_id", "page_number", "fingerprint"]
