@@ -126,7 +126,7 @@ def _share(x: Column) -> Column:
 
 def value_issues(v: Column, path: Column, document: Column, required: bool, strict: bool, low: float) -> Column:
     """What is wrong with one value: a form that its schema forbids, blank forms, missing evidence, low confidence, evidence from elsewhere, broken characters."""
-    blank = lambda c: v[c].isNotNull() & (T.strip(v[c]) == "")
+    blank = lambda c: v[c].isNotNull() & T.blank(v[c])
     cites = F.coalesce(v["evidence"], F.array().cast(f"array<{EVIDENCE}>"))
     single = [
         F.when(F.coalesce(v["raw"], v["normalized"]).isNull() | ~_share(v["confidence"]), _issue("schema_error", path, "error")),
@@ -136,7 +136,7 @@ def value_issues(v: Column, path: Column, document: Column, required: bool, stri
         F.when(effective(v) < low, _issue("low_confidence", path, "warning")),
     ]
     listed = F.flatten(F.transform(cites, lambda e: F.array_compact(F.array(
-        F.when((e["page_number"] < 1) | (T.strip(e["element_id"]) == "") | ~_share(e["confidence"]), _issue("schema_error", path, "error")),
+        F.when((e["page_number"] < 1) | T.blank(e["element_id"]) | ~_share(e["confidence"]), _issue("schema_error", path, "error")),
         F.when(e["source_document_id"] != document, _issue("evidence_document_mismatch", path, "warning")),
         F.when(e["text"].contains("�"), _issue("replacement_character", path, "warning")),
     ))))
@@ -148,7 +148,7 @@ def validate(products: DataFrame, strict: bool = False, require_evidence: bool =
     has = lambda c: F.col(c).isNotNull() & (F.coalesce(F.col(c)["raw"], F.col(c)["normalized"]).isNotNull())
     grade = "error" if strict else "warning"
     number = F.coalesce(F.col("part_number")["raw"], F.lit(""))
-    blank_id = lambda c: F.coalesce(T.strip(F.col(c)) == "", F.lit(True))
+    blank_id = lambda c: F.coalesce(T.blank(c), F.lit(True))
     record = F.array_compact(F.array(
         F.when(blank_id("record_id"), _issue("schema_error", F.lit("record_id"), "error")),
         F.when(blank_id("source_document_id"), _issue("schema_error", F.lit("source_document_id"), "error")),
