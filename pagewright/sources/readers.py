@@ -104,6 +104,10 @@ PAGE = (
 PAGE_ROW = f"{PAGE}, source_path string, error string"
 
 
+#: Bytes of pages, about, that are handed on at once.
+FRAME = 1 << 20
+
+
 def read_pages(files: DataFrame, parser: Callable[[bytes], Iterator[dict]] = pdf.pages) -> DataFrame:
     """Pages of files (``content``, and ``path`` where there is one) by a parser that yields a dict per page with the fields of ``PAGE``; the document's id is its content's.
 
@@ -118,11 +122,19 @@ def read_pages(files: DataFrame, parser: Callable[[bytes], Iterator[dict]] = pdf
             yield {"error": f"{type(e).__name__}: {e}"}
 
     def parse(frames):
+        # Pages of many small files make one frame, as a frame costs more than a page; one of a large file is handed on before the next are read.
+        rows: list[list] = []
+        held = 0
         for frame in frames:
             for doc, path, raw in zip(frame["document_id"], frame["path"], frame["content"], strict=True):
-                rows = [[({"document_id": doc, "source_path": path} | page).get(c) for c in columns] for page in parsed(bytes(raw))]
-                if rows:
-                    yield pd.DataFrame(rows, columns=columns, dtype=object)
+                for page in parsed(bytes(raw)):
+                    rows.append([({"document_id": doc, "source_path": path} | page).get(c) for c in columns])
+                    held += 4096 + len(page.get("native_text") or "") + len(page.get("image") or b"")
+                    if held > FRAME:
+                        yield pd.DataFrame(rows, columns=columns, dtype=object)
+                        rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns, dtype=object)
 
     path = F.col("path") if "path" in files.columns else F.lit(None).cast("string")
     named = files.select(F.concat(F.lit("sha256:"), F.sha2("content", 256)).alias("document_id"), path.alias("path"), "content")
