@@ -1,7 +1,9 @@
 import json
 import random
 
-from pagewright.functions import tables
+import pytest
+
+from pagewright.functions import tables, untrusted
 from pagewright.operators import guard, guard_rows, hints
 
 TEXTS = [
@@ -95,3 +97,12 @@ def test_identifiers_are_read_row_by_row():
         text = "\n".join(r.choice([" | ", "\t", "  "]).join(r.choice(cells) for _ in range(r.randrange(1, 4))) for _ in range(r.randrange(8)))
         kind = r.choice(["table", "text"])
         assert tables.identifier_column(text, kind) == _columns_of_a_grid(text, kind), text
+
+
+def test_what_is_no_text_is_refused_as_before():
+    for x in (None, float("nan"), 3, b"{}"):
+        with pytest.raises(TypeError):
+            untrusted.loads(x)
+    with pytest.raises(untrusted.NotJson):
+        untrusted.loads("[" * 129 + "]" * 129)
+    assert untrusted.loads("[" * 128 + "]" * 128) and untrusted.loads(json.dumps(["{" * 500])) == ["{" * 500]
